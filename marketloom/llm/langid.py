@@ -98,9 +98,9 @@ def identify(docs: DataFrame, model: Model, dim: int = 8192) -> DataFrame:
 
     Null texts and texts without a letter get und, score 0 and are rejected; a text whose best cosine
     is under its language's floor is rejected and keeps its best language. One row per row; columns
-    named like the results are overwritten.
+    named like the results or _text are left out.
     """
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score", "rejected")]
+    kept = [c for c in docs.columns if c not in ("lang_pred", "score", "rejected", "_text")]
 
     def predict(batches):
         for batch in batches:

@@ -95,7 +95,7 @@ def mix(docs: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5, most: f
     into blocks. The splitting tree deals each source's number of blocks out to 2**levels shards,
     and each shard takes its quota of the source's permuted blocks.
 
-    Returns docs' columns (clashing names are overwritten) with size, source_size, target, taken and
+    Returns docs' columns (those with names used here are left out) with size, source_size, target, taken and
     draws: an array of (shard, position, pass, start, words), start counting words from 0; position is
     the block's place in the shard's local shuffle. Null or empty texts have size 0 and no draws;
     rows alike are each a row of their own. The result depends neither on partitions nor on runs.
@@ -103,6 +103,8 @@ def mix(docs: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5, most: f
     spark = docs.sparkSession
     shares = shuffle_partitions(spark)
     zero = F.lit(0).cast("long")
+    own_names = ("size", "source_size", "target", "taken", "draws", "sk", "rank", "blocks", "_h", "_share", "_at", "_quota", "_ends", "_before")
+    docs = docs.drop(*own_names)
     h = F.xxhash64(F.lit(seed), "doc_id")
     sized = docs.withColumns({
         "size": F.coalesce(F.regexp_count("text", F.lit(WORD)).cast("long"), zero),
@@ -121,7 +123,7 @@ def mix(docs: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5, most: f
     lines = lines.join(totals.join(shards, "rank"), "sk")
     own = Window.partitionBy("sk", "_share").orderBy("_h", "doc_id", F.xxhash64("text"))
     placed = sized.withColumn("_at", F.sum("size").over(own.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-    placed = placed.drop("source_size", "rank", "target", "_quota", "blocks", "_ends", "_before").join(lines, ["sk", "_share"])
+    placed = placed.join(lines, ["sk", "_share"])
     step = F.when(F.col("blocks") % PRIMES[0] == 0, PRIMES[1]).otherwise(PRIMES[0]).cast("long")
 
     def draws(k: int) -> Column:
@@ -143,8 +145,7 @@ def mix(docs: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5, most: f
     none = F.expr("cast(array() as array<struct<shard:int,position:bigint,pass:int,start:bigint,words:bigint>>)")
     placed = placed.withColumn("draws", F.concat(F.coalesce(draws(0), none), F.coalesce(draws(1), none)))
     placed = placed.withColumn("taken", F.aggregate("draws", zero, lambda s, x: s + x["words"]))
-    kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken", "draws")]
-    return placed.select(*kept, "size", "source_size", "target", "taken", "draws")
+    return placed.select(*docs.columns, "size", "source_size", "target", "taken", "draws")
 
 
 def shard_rows(mixed: DataFrame) -> DataFrame:
