@@ -5,6 +5,7 @@ from __future__ import annotations
 import bisect
 import os
 import zlib
+from array import array
 from collections import defaultdict
 
 import numpy as np
@@ -15,8 +16,9 @@ from pyspark.sql import functions as F
 from .common import shuffle_partitions, table, written
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: Entries that the tokeniser's cache holds before it is emptied: a bound on memory, not on results.
-CACHE = 400_000
+#: Entries of each of the tokeniser's two caches, the newer and the older: a bound on memory, not on results.
+CACHE = 600_000
+ENDS = ",.;:!?"
 
 
 def tokenizer_path() -> str:
@@ -40,28 +42,36 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache: dict[str, bytes | None] = {}
+        self.older: dict[str, bytes | None] = {}
+        self.ends = dict(zip(ENDS, self.whole(list(ENDS))))
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cuts = [t.replace(" ", "\0 ").split("\0") if "\0" not in t else None for t in texts]
-        cache = self.cache
-        new = [c for c in set().union(*(c for c in cuts if c)) if c not in cache]
-        if len(cache) + len(new) > CACHE:
-            cache.clear()
-            new = list(set().union(*(c for c in cuts if c)))
-        good = []
-        for c in new:
-            body = c[1:] if c[:1] == " " else c
-            if not body or body[0].isspace() or body[-1].isspace() or any(s in c for s in self.special):
+        plain = [t and "\0" not in t and not any(s in t for s in self.special) for t in texts]
+        cuts = [t.replace(" ", "\0 ").split("\0") if ok else () for t, ok in zip(texts, plain)]
+        if len(self.cache) > CACHE:
+            self.cache, self.older = {}, self.cache
+        cache, older = self.cache, self.older
+        words, ended = [], []
+        for c in set().union(*cuts) - cache.keys():
+            if c in older:
+                cache[c] = older[c]
+            elif not c.strip() or c[-1].isspace() or c[c[0] == " "].isspace():
                 cache[c] = None
+            elif c[-1] in ENDS and c[-2:-1].isalnum():
+                ended.append(c)  # a letter or number and a punctuation mark never share a pre-token
             else:
-                good.append(c)
-        cache.update(zip(good, self.whole(good)))
+                words.append(c)
+        stems = {c[:-1] for c in ended} - cache.keys()
+        words += stems.difference(words)
+        cache.update(zip(words, self.whole(words)))
+        for c in ended:
+            cache[c] = cache[c[:-1]] + self.ends[c[-1]]
         out = []
         for t, c in zip(texts, cuts):
-            parts = [cache[x] for x in c] if c else [None]
+            parts = list(map(cache.__getitem__, c)) or [None]
             out.append(b"" if not t else self.whole([t])[0] if None in parts else b"".join(parts))
         return out
 
@@ -78,10 +88,10 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = 1024, end_i
         encoder, end = Encoder(path), np.uint32(end_id).astype("<u4").tobytes()
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1)
-            for lo in range(0, len(keys), 256):
-                part = [t or "" for t in texts.slice(lo, 256).to_pylist()]
+            for lo in range(0, len(keys), 512):
+                part = [t or "" for t in texts.slice(lo, 512).to_pylist()]
                 rows = []
-                for key, ids in zip(keys[lo : lo + 256], encoder.encode(part)):
+                for key, ids in zip(keys[lo : lo + 512], encoder.encode(part)):
                     ids += end
                     n = len(ids) // 4
                     at = [0, *range(n % capacity or capacity, n, capacity), n] if n > capacity else [0, n]
