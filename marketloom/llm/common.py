@@ -42,6 +42,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return written_twice(df, name)[0]
 
 
+def drop_written(df: DataFrame) -> None:
+    """Deletes a table that written() made and that nothing will read again."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ascii_lower(column):
     """Lower-cases A-Z and nothing else."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

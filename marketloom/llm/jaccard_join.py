@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import components, table, written
+from .common import components, drop_written, table, written
 from .vectors import forest
 
 #: Percent of the union that the intersection must have at least.
@@ -50,8 +50,15 @@ def dimensions(n: int) -> int:
 
 
 def count_vector(shingles: np.ndarray) -> np.ndarray:
+    """Counts by group of the hashes' low bits; 255 stands for that or more."""
     d = dimensions(len(shingles))
-    return np.minimum(np.bincount((shingles & np.uint64(d - 1)).astype(np.int64), minlength=d), 65535).astype(np.uint16)
+    return np.minimum(np.bincount((shingles & np.uint64(d - 1)).astype(np.int64), minlength=d), 255).astype(np.uint8)
+
+
+def counts_of(vector: bytes | np.ndarray) -> np.ndarray:
+    """A stored vector's counts; where it is full, one that no minimum comes below."""
+    v = np.frombuffer(vector, np.uint8).astype(np.int32)
+    return np.where(v == 255, 1 << 24, v)
 
 
 def sketch(docs: DataFrame) -> DataFrame:
@@ -123,7 +130,7 @@ class Tree:
 
 
 def folded(vector: np.ndarray, d: int) -> np.ndarray:
-    return vector.reshape(-1, d).astype(np.int64).sum(0)
+    return np.minimum(vector.reshape(-1, d).astype(np.int64).sum(0), 1 << 24)
 
 
 def may_link(nodes, sizes, vectors, left=None, right=None):
@@ -157,7 +164,7 @@ def candidate_edges(groups: DataFrame, block: int) -> DataFrame:
 
     def run(t: pa.Table) -> pa.Table:
         nodes, sizes, own = (t[c].to_numpy() for c in ("node", "n", "own"))
-        vectors = [np.frombuffer(v.as_py(), np.uint16) for v in t["vector"]]
+        vectors = [counts_of(v.as_py()) for v in t["vector"]]
         i, j = t["i"][0].as_py(), t["j"][0].as_py()
         a, b = [], []
         for x, y in may_link(nodes, sizes, vectors, own == i, own == j):
@@ -188,7 +195,7 @@ def linked(sets: DataFrame, most: int) -> DataFrame:
         sizes = np.array([len(s) for s in shingles])
         i, j = t["i"][0].as_py(), t["j"][0].as_py()
         near: list[list[np.ndarray]] = [[] for _ in nodes]
-        for x, y in may_link(nodes, sizes, [count_vector(s) for s in shingles], own == i, own == j):
+        for x, y in may_link(nodes, sizes, [counts_of(count_vector(s)) for s in shingles], own == i, own == j):
             for u, v in ((x, y), (y, x)):
                 order = np.argsort(u, kind="stable")
                 u, v = u[order], v[order]
@@ -219,22 +226,40 @@ def linked(sets: DataFrame, most: int) -> DataFrame:
     return low.select(columns).union(high.select(columns)).groupBy("cluster", "i", "j").applyInArrow(run, "a long, b long")
 
 
+#: Bits by which documents are sorted out before their sets are made: 256 bitmaps of 32768 bits, 1 MB at any scale.
+BITMAPS, BITS = 256, 32768
+
+
+def bit_of(column: str):
+    return F.pmod(F.xxhash64(column), F.lit(BITMAPS * BITS))
+
+
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The shingles of wanted (doc_id, node, cluster, weight), from docs' whole texts."""
+    """The shingles of wanted (rep: a doc_id, node, cluster, weight), from docs' whole texts.
+
+    A bitmap of the wanted doc_ids' hashes, of fixed size, spares most of the other texts the work; the
+    join then decides. With many documents wanted it spares fewer, and the result is the same.
+    """
+    bit = bit_of("rep")
+    maps = wanted.groupBy(F.floor(bit / BITS).alias("map")).agg(F.bitmap_construct_agg((bit % BITS)).alias("bits")).collect()
+    bitmap = np.zeros(BITMAPS * BITS // 8, np.uint8)
+    for r in maps:
+        bitmap[r["map"] * BITS // 8 : (r["map"] + 1) * BITS // 8] = np.frombuffer(r["bits"], np.uint8)
 
     def run(batches):
         shingles = Shingles()
         for batch in batches:
             t = pa.Table.from_batches([batch])
+            bit = t["bit"].to_numpy()
+            t = t.filter(pa.array((bitmap[bit >> 3] >> (bit & 7) & 1).astype(bool)))
             for lo in range(0, len(t), 256):
                 part = t.slice(lo, 256)
                 sets = [shingles.of(x.as_py()) for x in part["text"]]
-                right = pa.array([node_of(s) == n for s, n in zip(sets, part["node"].to_pylist())])
-                part = part.drop_columns(["text"]).append_column("shingles", pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())))
-                yield from part.filter(right).to_batches()
+                yield pa.RecordBatch.from_arrays([part["doc_id"].combine_chunks(), pa.array([node_of(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["doc_id", "of", "shingles"])
 
-    rows = docs.join(wanted, docs.doc_id.eqNullSafe(wanted.rep)).select("node", "cluster", "weight", "text")
-    return rows.mapInArrow(run, "node long, cluster long, weight long, shingles array<long>").dropDuplicates(["node"])
+    made = docs.select("doc_id", "text", bit_of("doc_id").alias("bit")).mapInArrow(run, "doc_id long, of long, shingles array<long>")
+    met = made.join(wanted, made.doc_id.eqNullSafe(wanted.rep) & (F.col("of") == F.col("node")))
+    return met.select("node", "cluster", "weight", "shingles").dropDuplicates(["node"])
 
 
 def join(docs: DataFrame, small: int = 8, listed: int = 64, block: int = 2048, most: int = 2_000_000) -> DataFrame:
@@ -252,8 +277,10 @@ def join(docs: DataFrame, small: int = 8, listed: int = 64, block: int = 2048, m
     a task are cut into parts that meet two by two.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = written(sketch(docs), "sketch")
-    classes = written(rows.where("n > 0").dropDuplicates(["node"]), "classes")
+    sketches = written(sketch(docs), "sketch")
+    rows = written(sketches.select("doc_id", "n", "node"), "rows")
+    classes = written(sketches.where("n > 0").dropDuplicates(["node"]), "classes")
+    drop_written(sketches)
     tokens = classes.select("node", F.explode("prefix").alias("token"))
     shared = written(tokens.withColumn("size", F.count("*").over(Window.partitionBy("token"))).where("size > 1"), "shared")
     points = classes.select("node", "n", "vector")
@@ -270,7 +297,7 @@ def join(docs: DataFrame, small: int = 8, listed: int = 64, block: int = 2048, m
             n, m = t["n"].to_numpy(), t["m"].to_numpy()
             good = []
             for k, (v, w) in enumerate(zip(t["v"].to_pylist(), t["w"].to_pylist())):
-                v, w = np.frombuffer(v, np.uint16), np.frombuffer(w, np.uint16)
+                v, w = counts_of(v), counts_of(w)
                 d = min(len(v), len(w))
                 good.append(bool(enough(int(np.minimum(folded(v, d), folded(w, d)).sum()), n[k], m[k])))
             yield from t.select(["a", "b"]).filter(pa.array(good, pa.bool_())).to_batches()
