@@ -68,9 +68,9 @@ def from_excel_serial(c: Column) -> Column:
 def human_bytes(c: Column) -> Column:
     size, out = c.cast("double"), None
     for k, unit in enumerate(("B", "KB", "MB", "GB")):
-        text = F.format_string("%.1f" + unit, size / F.lit(float(1024**k)))
+        text = F.format_string("%.1f" + unit, F.bround(size / F.lit(float(1024**k)), 1))
         out = F.when(size < float(1024 ** (k + 1)), text) if out is None else out.when(size < float(1024 ** (k + 1)), text)
-    return out.otherwise(F.format_string("%.1fTB", size / F.lit(float(1024**4))))
+    return out.otherwise(F.format_string("%.1fTB", F.bround(size / F.lit(float(1024**4)), 1)))
 
 
 def enum_label(c: Column, labels: dict) -> Column:

@@ -73,4 +73,4 @@ def by_words(names: DataFrame, stocks: DataFrame, common: int = 2, least: float
 def cascade(names: DataFrame, *tiers: DataFrame) -> DataFrame:
     """Each name's match (name, code, method) of the first tier that has one."""
     numbered = [t.select("name", "code", "method").withColumn("tier", F.lit(k)) for k, t in enumerate(tiers)]
-    return dedup(reduce(DataFrame.unionByName, numbered), ["name"], [F.asc("tier"), F.asc("code")]).join(names.select("name").distinct(), "name", "left_semi")
+    return dedup(reduce(DataFrame.unionByName, numbered), ["name"], [F.asc("tier"), F.asc("code")]).drop("tier").join(names.select("name").distinct(), "name", "left_semi")
