@@ -14,6 +14,8 @@ from .common import table
 LETTER = re.compile(r"[^\W\d_]")
 #: Bytes that aren't part of letters (ASCII but for a-z) count as a word's border.
 BORDER = bytes(c if c > 127 or 97 <= c <= 122 else 32 for c in range(256))
+#: Coordinates of a vector.
+DIM = 4096
 #: Documents after which a batch of vectors is scored.
 BLOCK = 512
 
@@ -58,7 +60,7 @@ class Model:
         return langs, score, [bool(s < self.floor[x]) for s, x in zip(score, langs)]
 
 
-def fit(labelled: DataFrame, bound: int = 3000, clusters: int = 3, dim: int = 8192, seed: int = 11, slack: float = 0.5) -> Model:
+def fit(labelled: DataFrame, bound: int = 1200, clusters: int = 3, dim: int = DIM, seed: int = 11, slack: float = 0.5) -> Model:
     """Fits centroids on labelled (doc_id, text, lang): at most about `bound` rows, the first by hashed doc_id.
 
     Rows without text, letter or lang teach nothing. Each language has up to `clusters` centroids.
@@ -73,13 +75,13 @@ def fit(labelled: DataFrame, bound: int = 3000, clusters: int = 3, dim: int = 81
         for batch in batches:
             t = pa.Table.from_batches([batch])
             keep = [(x, g) for x, g in zip(t["lang"].to_pylist(), t["text"].to_pylist()) if LETTER.search(g)]
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in keep], pa.string()), pa.array([grams(g, dim).astype("<u4").tobytes() for _, g in keep], pa.binary())], ["lang", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in keep], pa.string()), pa.array([np.minimum(grams(g, dim), 65535).astype("<u2").tobytes() for _, g in keep], pa.binary())], ["lang", "counts"])
 
     sample = rows.where(mark < bound / n) if n > bound else rows
     got = sorted(sample.select("lang", "text").mapInArrow(count, "lang string, counts binary").toPandas().itertuples(index=False), key=lambda r: (r.lang, r.counts))
     if not got:
         raise ValueError("no labelled text to learn languages from")
-    counts = np.stack([np.frombuffer(r.counts, "<u4") for r in got]).astype(np.float32)
+    counts = np.stack([np.frombuffer(r.counts, "<u2") for r in got]).astype(np.float32)
     langs = np.array([r.lang for r in got])
     idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))).astype(np.float32) + 1
     x = normalised(counts, idf)
@@ -93,7 +95,7 @@ def fit(labelled: DataFrame, bound: int = 3000, clusters: int = 3, dim: int = 81
     return Model(idf, np.concatenate(centroids).astype(np.float32), names, floor)
 
 
-def identify(docs: DataFrame, model: Model, dim: int = 8192) -> DataFrame:
+def identify(docs: DataFrame, model: Model, dim: int = DIM) -> DataFrame:
     """Predicts each row's language from its whole text: docs' columns, lang_pred, score, rejected.
 
     Null texts and texts without a letter get und, score 0 and are rejected; a text whose best cosine
