@@ -55,8 +55,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is left into sequences of 1024 tokens, with the ids."""
-    return packing.pack(docs, with_ids=True)
+    """Packs what is left into sequences of 1024 tokens."""
+    return packing.pack(docs)
 
 
 STAGES = [

@@ -76,7 +76,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # small star: each smaller neighbour of u, and u itself, is tied to the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        cur = written(small.where("u <> v").distinct(), "edges")
+        last, cur = cur, written(small.where("u <> v").distinct(), "edges")
+        drop_written(last)
         now = cur.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(now) == mark:
             break

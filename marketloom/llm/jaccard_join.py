@@ -306,11 +306,17 @@ def join(docs: DataFrame, small: int = 8, listed: int = 64, block: int = 2048, m
     mid = lists.where(F.size("nodes") > small).select(F.xxhash64("nodes").alias("gid"), F.size("nodes").alias("size"), F.explode("nodes").alias("node"))
     big = shared.where(F.col("size") > listed).select(F.col("token").alias("gid"), F.col("size").cast("int").alias("size"), "node")
     many = candidate_edges(mid.union(big).join(points, "node"), block)
-    clusters = components(written(few.union(many).distinct(), "candidates"))
+    candidates = written(few.union(many).distinct(), "candidates")
+    drop_written(shared)
+    drop_written(lists)
+    clusters = components(candidates)
     members = clusters.withColumnRenamed("component", "cluster").join(classes.select("node", F.col("doc_id").alias("rep"), "n"), "node")
     members = written(members.withColumn("weight", F.sum("n").over(Window.partitionBy("cluster"))).drop("n"), "clusters")
+    drop_written(classes)
     sets = written(shingle_sets(docs, members), "sets")
-    labels = written(components(written(linked(sets, most), "links")), "labels")
+    links = written(linked(sets, most), "links")
+    drop_written(sets)
+    labels = written(components(links), "labels")
     low = rows.groupBy("node").agg(F.min("doc_id").alias("low")).where("node <> 0")
     own = low.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     own = own.withColumn("component_id", F.min("low").over(Window.partitionBy("component"))).select("node", "component_id")

@@ -175,16 +175,16 @@ def best_fit(left: dict[int, int], capacity: int) -> dict[tuple[int, ...], int]:
     return dict(done)
 
 
-def configurations(histogram: dict[int, int], capacity: int = 1024, rounds: int = 1500, rate: float = 0.15, step: float = 0.3, waste: int = 0) -> list[tuple[tuple[int, ...], int]]:
+def configurations(histogram: dict[int, int], capacity: int = 1024, rounds: int = 1500, rate: float = 0.15, step: float = 0.3, power: float = 1.5) -> list[tuple[tuple[int, ...], int]]:
     """Which sequences to build: (lengths, how many), covering the histogram exactly.
 
     The configuration linear program asks for the fewest sequences whose configurations cover each
-    length's count. Multiplicative weights: a length's weight is its share of the capacity times
-    exp(-rate * covered share); the knapsack prices the configuration to take next, which is taken
+    length's count. Multiplicative weights: a length's weight is a power of its share of the capacity
+    times exp(-rate * covered share); the knapsack prices the configuration to take next, which is taken
     for a share (step) of the rows that its scarcest length has left. That is rounded down at each
     step, so it stays whole. Only lengths with enough rows left for any configuration are priced;
-    pricing ends when no configuration fills all but `waste` tokens. Best-fit decreasing on counts
-    packs what rounding leaves. Only the histogram is used: time and memory don't grow with the rows.
+    where the best configuration isn't full, its largest length is priced no more. Best-fit decreasing
+    on counts packs what rounding leaves. Only the histogram is used: time and memory don't grow with the rows.
     """
     total, left = np.zeros(capacity + 1), np.zeros(capacity + 1, dtype=np.int64)
     for length, n in histogram.items():
@@ -194,16 +194,17 @@ def configurations(histogram: dict[int, int], capacity: int = 1024, rounds: int
         plan[(capacity,)] = int(left[capacity])
         left[capacity] = 0
     lengths = np.arange(capacity + 1)
-    most = capacity // np.maximum(lengths, 1)
+    priced = left >= capacity // np.maximum(lengths, 1)
+    priced[0] = False
     for _ in range(rounds):
-        priced = left >= most
-        priced[0] = False
+        priced &= left >= capacity // np.maximum(lengths, 1)
         if not priced.any():
             break
-        weight = np.where(priced, lengths / capacity * np.exp(rate * left / np.maximum(total, 1)), -np.inf)
+        weight = np.where(priced, (lengths / capacity) ** power * np.exp(rate * left / np.maximum(total, 1)), -np.inf)
         items = knapsack(weight, capacity)
-        if sum(items) < capacity - waste:
-            break
+        if sum(items) < capacity:
+            priced[max(items)] = False
+            continue
         use = np.bincount(items, minlength=capacity + 1)
         own = use > 0
         take = max(1, int((left[own] // use[own]).min() * step))
