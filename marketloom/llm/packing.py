@@ -183,8 +183,9 @@ def configurations(histogram: dict[int, int], capacity: int = 1024, rounds: int
     times exp(-rate * covered share); the knapsack prices the configuration to take next, which is taken
     for a share (step) of the rows that its scarcest length has left. That is rounded down at each
     step, so it stays whole. Only lengths with enough rows left for any configuration are priced;
-    where the best configuration isn't full, its largest length is priced no more. Best-fit decreasing
-    on counts packs what rounding leaves. Only the histogram is used: time and memory don't grow with the rows.
+    where the best configuration isn't full, its largest length is priced no more, unless that is over
+    half the capacity and the small lengths left can't fill the room beside such: then it is taken as
+    it is, before others use up what fits best. Best-fit decreasing on counts packs what rounding leaves. Only the histogram is used: time and memory don't grow with the rows.
     """
     total, left = np.zeros(capacity + 1), np.zeros(capacity + 1, dtype=np.int64)
     for length, n in histogram.items():
@@ -194,6 +195,7 @@ def configurations(histogram: dict[int, int], capacity: int = 1024, rounds: int
         plan[(capacity,)] = int(left[capacity])
         left[capacity] = 0
     lengths = np.arange(capacity + 1)
+    big = 2 * lengths > capacity
     priced = left >= capacity // np.maximum(lengths, 1)
     priced[0] = False
     for _ in range(rounds):
@@ -202,12 +204,12 @@ def configurations(histogram: dict[int, int], capacity: int = 1024, rounds: int
             break
         weight = np.where(priced, (lengths / capacity) ** power * np.exp(rate * left / np.maximum(total, 1)), -np.inf)
         items = knapsack(weight, capacity)
-        if sum(items) < capacity:
+        if sum(items) < capacity and (not big[max(items)] or int((left * lengths)[~big].sum()) > int((left * (capacity - lengths))[big].sum())):
             priced[max(items)] = False
             continue
         use = np.bincount(items, minlength=capacity + 1)
         own = use > 0
-        take = max(1, int((left[own] // use[own]).min() * step))
+        take = max(1, int((left[own] // use[own]).min() * (step if sum(items) == capacity else 1)))
         plan[tuple(sorted(items, reverse=True))] += take
         left -= use * take
     for items, n in best_fit({int(k): int(left[k]) for k in np.flatnonzero(left)}, capacity).items():
