@@ -203,6 +203,46 @@ def test_suffix_tree_base_and_gain(which, request):
         assert sum(r.score for r in rows) >= sum(r.base_score for r in rows)
 
 
+@pytest.mark.parametrize("which", ["real", "odd"])
+def test_suffix_tree_score_matches_brute_force(which, request):
+    df = request.getfixturevalue(which)
+    if which == "real":
+        df = df.orderBy("doc_id").limit(60).cache()
+    rows = suffix_tree.score(df, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 1, piece_words=3000).collect()
+    followers, counts, own = defaultdict(Counter), Counter(), []
+    for i, t in texts(df):
+        words = [*WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or "")), None]
+        own.append((i, words))
+        if i is not None and zlib.crc32(str(i).encode()) % 5 != 1:
+            counts.update(words)
+            for size in (1, 2):
+                for k in range(size, len(words)):
+                    followers[tuple(words[k - size : k])][words[k]] += 1
+    n, v = sum(counts.values()), len(counts)
+
+    def q(w):
+        return (counts[w] + 0.5) / (n + 0.5 * (v + 1))
+
+    def diverges(f):
+        n_state = f.total()
+        return max(f.values()) >= 2 and sum(c * math.log((c - 1 + len(f) * q(w)) / (n_state - 1 + len(f)) / q(w)) for w, c in f.items()) >= 3.0
+
+    tree = {s: f for s, f in followers.items() if diverges(f)}
+
+    def p(words, k):
+        for size in (2, 1):
+            f = tree.get(tuple(words[k - size : k])) if k >= size else None
+            if f:
+                return (f[words[k]] + len(f) * q(words[k])) / (f.total() + len(f))
+        return q(words[k])
+
+    want = sorted((i or 0, round(sum(math.log10(p(words, k)) for k in range(len(words))), 3)) for i, words in own)
+    got = sorted((r.doc_id or 0, round(r.score, 3)) for r in rows)
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert np.allclose([x for _, x in got], [x for _, x in want], atol=2e-3)
+    assert which == "odd" or tree and any(len(s) == 2 for s in tree)
+
+
 def test_license_inheritance(spark):
     rows = [("a/LICENSE", "Licensed under the Apache License, Version 2.0."), ("a/x.py", "code"), ("a/b/c/y.py", None), ("a/b/z.py", "Released under the MIT License."), ("d/e.py", ""), (None, "x"), ("top", "license of nobody at all but the bearer of this very long unrelated line")]
     got = {r.path: (r.license, r.origin, r.inherited_from) for r in licenses.scan(spark.createDataFrame(rows, "path string, text string")).collect()}
