@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 
@@ -18,10 +19,16 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-#: Tokens that may be identifiers: they hold a digit or an at sign.
-TOKEN = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
-LAST_WORDS = re.compile(r"([^\x20\x09-\x0D]{1,40})[\x20\x09-\x0D]+\Z")
-SHAPE = (re.compile(r"[0-9]+"), re.compile(r"[a-z]+"), re.compile(r"[A-Z]+"))
+#: What may be an identifier that the plain patterns don't know: a name at a host, spelled out or masked, and groups of
+#: digits or mask signs with separators; both may run over several tokens.
+AT = re.compile(r"(?<![\w.%+*-])[\w.%+*-]++\x20?(?:@|[(\[]at[)\]])\x20?\w[\w*-]*+(?:(?:\.|\x20?[(\[]dot[)\]]\x20?)[\w*-]++)*+")
+GROUP = r"(?:[0-9]++|[xX*#]{2,}+|[xX*](?![A-Za-z0-9]))++"
+NUMBER = re.compile(rf"(?<![\w@.,$])[+(]{{0,2}}{GROUP}(?:[\x20()./-]{{1,3}}+{GROUP})*+")
+IP6 = re.compile(r"(?<![\w:.])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![\w:])")
+SIGN = re.compile(r"[0-9xX*#]")
+QUAD = re.compile(r"(?:[0-9]{1,3}|[xX*#]{1,3})(?:\.(?:[0-9]{1,3}|[xX*#]{1,3})){3}\Z")
+DATE = re.compile(r"(?:(?:19|20)[0-9]{2}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2(?:19|20)[0-9]{2})(?![0-9])")
+SPACE = "\x20\t\n\x0b\x0c\r"
 TRIM = ".,;:!?\"'()[]{}<>|"
 
 
@@ -68,41 +75,85 @@ def base_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, i
 
 
 def shape(token: str) -> str:
-    """What an identifier looks like: runs of digits, small and capital letters become 9, a, A (with their length for digits)."""
-    token = SHAPE[0].sub(lambda m: f"9{{{len(m[0])}}}", token)
-    return SHAPE[2].sub("A", re.sub(r"(?<![{0-9])[a-z]+", "a", token))[:60]
+    """What an identifier looks like, without lengths, prefixes and separators: a name at a host (@), an address (q), a short (n) or long (N) number; empty if none of these."""
+    if "@" in token or AT.match(token):
+        return "@"
+    if QUAD.match(token) or IP6.fullmatch(token) and ("::" in token or token.count(":") == 7):
+        return "q"
+    signs = SIGN.findall(token)
+    if DATE.match(token) or not 7 <= len(signs) <= 19 or sum(c.isdigit() for c in signs) < 4:
+        return ""
+    return "N" if len(signs) >= 13 else "n"
+
+
+def seed_shape(kind: str, token: str) -> str:
+    return {"email": "@", "ip": "q"}.get(kind) or ("N" if sum("0" <= c <= "9" for c in token) >= 13 else "n")
+
+
+def plain_word(word: str) -> str:
+    return re.sub(r"[0-9]", "#", word.lower().strip(TRIM))
 
 
 def before(text: str, start: int) -> str:
     """The word before a place, lower-cased, its digits and outer punctuation gone; empty at a text's start."""
-    m = LAST_WORDS.search(text, max(0, start - 64), start)
-    return re.sub(r"[0-9]", "#", m[1].lower().strip(TRIM)) if m else ""
+    left = text[max(0, start - 64) : start].rstrip(SPACE + TRIM)
+    return plain_word(re.split(f"[{SPACE}]", left)[-1][-40:])
+
 
+def after(text: str, end: int) -> str:
+    """The word after a place, as before() has it; empty at a text's end."""
+    right = text[end : end + 64].lstrip(SPACE + TRIM)
+    return plain_word(re.split(f"[{SPACE}]", right, maxsplit=1)[0][:40])
 
-def candidates(text: str, taken: list[tuple[str, int, int]]):
-    """Tokens with a digit or an at sign that touch none of the taken spans: (start, end)."""
-    covered = sorted((s, e) for _, s, e in taken)
-    k = 0
-    for m in TOKEN.finditer(text):
-        token = m[0].strip(TRIM)
-        if len(token) < 6 or len(token) > 80 or sum(c.isdigit() for c in token) < 4 and "@" not in token:
-            continue
-        s = m.start() + m[0].index(token)
-        e = s + len(token)
-        while k < len(covered) and covered[k][1] <= s:
-            k += 1
-        if all(c[0] >= e or c[1] <= s for c in covered[k : k + 4]):
-            yield s, e
 
+def candidates(text: str, own: list[tuple[str, int, int]], failed: list[tuple[str, int, int]]):
+    """What is shaped like an identifier between the base spans: (start, end, shape).
 
-SCAN = "spans array<struct<kind:string,start:int,end:int>>, seen array<struct<kind:string,start:int,end:int,context:string,shape:string,instance:long>>"
+    It touches no span that failed as a card or an address, and is more than what failed as a phone.
+    """
+    covered = sorted((s, e) for k, s, e in [*own, *(x for x in failed if x[0] != "phone")])
+    phones = [(s, e) for k, s, e in failed if k == "phone"]
+    at = 0
+    for s, e in [*covered, (len(text), len(text))]:
+        taken = []
+        for pattern in (AT, IP6, NUMBER) if s > at else ():
+            found = []
+            for m in pattern.finditer(text, at, s):
+                lo, hi = m.span()
+                if pattern is NUMBER and hi < len(text) and (text[hi].isalnum() or text[hi] in "@_"):
+                    # a number that runs on into a word loses its last group
+                    hi = lo + len(text[lo:hi].rstrip("0123456789xX*#"))
+                if hi - lo > 160:
+                    continue
+                hi = lo + len(text[lo:hi].rstrip(TRIM + "\x20/-+"))
+                lo += text[lo:hi].startswith("(") and ")" not in text[lo:hi]
+                kind = shape(text[lo:hi]) if 6 <= hi - lo <= 80 else ""
+                if kind and not meets(taken, lo, hi) and not within(phones, lo, hi):
+                    found.append((lo, hi))
+                    yield lo, hi, kind
+            taken = sorted(taken + found)
+        at = max(at, e)
+
+
+def within(spans: list[tuple[int, int]], lo: int, hi: int) -> bool:
+    """Whether one of the spans, in order and apart from each other, holds (lo, hi)."""
+    k = bisect.bisect_right(spans, (lo, 1 << 60))
+    return k > 0 and spans[k - 1][1] >= hi
+
+
+def meets(spans: list[tuple[int, int]], lo: int, hi: int) -> bool:
+    k = bisect.bisect_left(spans, (hi, -1))
+    return k > 0 and spans[k - 1][1] > lo
+
+
+SCAN = "spans array<struct<kind:string,start:int,end:int>>, seen array<struct<kind:string,start:int,end:int,before:string,after:string,shape:string,instance:long>>"
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """docs' columns with the base spans and, under seen, every identifier-like token with its context."""
+    """docs' columns with the base spans and, under seen, everything identifier-like with the words beside it."""
     fields = [f for f in docs.schema if f.name not in ("spans", "seen", "_text")]
     item = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
-    more = pa.struct([*item, ("context", pa.string()), ("shape", pa.string()), ("instance", pa.int64())])
+    more = pa.struct([*item, ("before", pa.string()), ("after", pa.string()), ("shape", pa.string()), ("instance", pa.int64())])
 
     def instance(s: str) -> int:
         return int.from_bytes(hashlib.blake2b(s.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
@@ -115,8 +166,8 @@ def scan(docs: DataFrame) -> DataFrame:
                 text = text or ""
                 own, failed = base_spans(text)
                 spans.append([dict(zip(("kind", "start", "end"), x)) for x in own])
-                marked = [*own, *((None, s, e) for s, e in candidates(text, own + failed))]
-                seen.append([{"kind": k, "start": s, "end": e, "context": before(text, s), "shape": shape(text[s:e]), "instance": instance(text[s:e])} for k, s, e in marked])
+                marked = [*((k, s, e, seed_shape(k, text[s:e])) for k, s, e in own), *((None, *x) for x in candidates(text, own, failed))]
+                seen.append([{"kind": k, "start": s, "end": e, "before": before(text, s), "after": after(text, e), "shape": x, "instance": instance(text[s:e])} for k, s, e, x in marked])
             t = t.drop_columns(["_text"]).append_column("spans", pa.array(spans, pa.list_(item))).append_column("seen", pa.array(seen, pa.list_(more)))
             yield from t.to_batches()
 
@@ -124,40 +175,54 @@ def scan(docs: DataFrame) -> DataFrame:
     return docs.select(*names, F.col("text").cast("string").alias("_text")).mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", " + SCAN)
 
 
+PATTERN = ["side", "context", "shape"]
+
+
+def with_patterns(seen: DataFrame) -> DataFrame:
+    """A row for each pattern of each row of seen: a shape with the word before, with both words, or with the word after."""
+    both = F.when((F.col("before") != "") & (F.col("after") != ""), F.concat_ws(" ", "before", "after")).otherwise("")
+    sides = F.array(*(F.struct(F.lit(k).alias("side"), c.alias("context")) for k, c in (("l", F.col("before")), ("b", both), ("r", F.col("after")))))
+    return seen.withColumn("_p", F.explode(F.filter(sides, lambda x: x["context"] != ""))).withColumns({"side": F.col("_p.side"), "context": F.col("_p.context")}).drop("_p")
+
+
 def confident(seen: DataFrame, rounds: int = 3, least: float = 0.6, support: int = 3) -> DataFrame:
-    """Patterns that may be trusted, from seen (kind or null, context, shape, instance): context, shape, kind.
+    """Patterns that may be trusted, from seen (kind or null, before, after, shape, instance): side, context, shape, found.
 
-    A pattern is a context word with a shape. Seeds (instances of a kind) score 1, others 0 at first.
+    A pattern is a shape with the words beside it (see with_patterns). Seeds (instances of a kind) score 1, others 0 at first.
     Each round scores a pattern by the mean score of its distinct instances, and an unknown instance
     by the noisy or of its patterns, over the grouped edges between the two; three rounds. Kept are
-    patterns of at least `support` distinct seeds and a score of at least `least`.
+    patterns of at least `support` distinct seeds and a score of at least `least`. The word after
+    alone counts only where its seeds stand after at least `support` words, else it is the word before that tells.
     """
-    edges = written(seen.groupBy("context", "shape", "instance").agg(F.max("kind").alias("kind")).where("context <> ''"), "edges")
+    edges = with_patterns(seen).groupBy(*PATTERN, "instance").agg(F.max("kind").alias("kind"), F.min("before").alias("before"))
+    edges = written(edges, "edges")
     score = edges.select("instance", F.col("kind").isNotNull().cast("double").alias("seed")).groupBy("instance").agg(F.max("seed").alias("score"))
-    seeds = edges.where("kind is not null").groupBy("context", "shape").agg(F.max("kind").alias("kind"), F.count("*").alias("n_seeds"), F.countDistinct("kind").alias("n_kinds"))
+    seeds = edges.where("kind is not null").groupBy(*PATTERN).agg(F.max("kind").alias("kind"), F.count("*").alias("n_seeds"), F.countDistinct("kind").alias("n_kinds"), F.countDistinct("before").alias("n_before"))
+    seeds = seeds.where((F.col("n_seeds") >= support) & (F.col("n_kinds") == 1) & ((F.col("side") != "r") | (F.col("n_before") >= support)))
     for k in range(rounds):
         linked = edges.join(score, "instance")
-        pattern = linked.groupBy("context", "shape").agg(F.avg("score").alias("p"))
-        pattern = pattern.join(seeds.where((F.col("n_seeds") >= support) & (F.col("n_kinds") == 1)), ["context", "shape"])
+        pattern = linked.groupBy(*PATTERN).agg(F.avg("score").alias("p"))
+        pattern = pattern.join(seeds, PATTERN)
         if k < rounds - 1:
-            reach = edges.join(pattern.select("context", "shape", "p"), ["context", "shape"], "left")
+            reach = edges.join(pattern.select(*PATTERN, "p"), PATTERN, "left")
             score = reach.groupBy("instance").agg(F.greatest(F.max(F.col("kind").isNotNull().cast("double")), 1 - F.exp(F.sum(F.ln(F.greatest(1 - F.coalesce("p", F.lit(0.0)), F.lit(1e-6)))))).alias("score"))
             score = written(score, "scores")
-    return pattern.where(F.col("p") >= least).select("context", "shape", F.col("kind").alias("found"))
+    return pattern.where(F.col("p") >= least).select(*PATTERN, F.col("kind").alias("found"), "p")
 
 
 def detect(docs: DataFrame, rounds: int = 3, least: float = 0.6, support: int = 3) -> DataFrame:
     """Personal data of docs (doc_id, text): docs' columns but text, base and spans (arrays of kind, start, end).
 
-    Base spans come from the plain patterns; the bootstrapped patterns add tokens that stand in a
-    trusted pattern's context with its shape and touch neither a base span nor one that failed as such. Null texts are empty; rows with
+    Base spans come from the plain patterns; the bootstrapped patterns add what stands in a
+    trusted pattern's context with its shape and touches no base span (see candidates). Null texts are empty; rows with
     the same doc_id are each a row of their own; columns named base, spans, seen, new, _row or _text are left out.
     """
     kept = [c for c in docs.columns if c not in ("text", "spans", "seen", "base", "new", "_row", "_text")]
     found = written(scan(docs.select(*kept, "text")).drop("text").withColumn("_row", F.monotonically_increasing_id()), "scanned")
     seen = found.select("_row", F.explode("seen").alias("s")).select("_row", "s.*")
     patterns = confident(seen, rounds, least, support)
-    new = seen.where("kind is null").join(patterns, ["context", "shape"])
+    new = with_patterns(seen.where("kind is null")).join(patterns, PATTERN)
+    new = new.groupBy("_row", "start", "end").agg(F.max_by("found", F.struct("p", "side", "found")).alias("found"))
     new = new.groupBy("_row").agg(F.collect_list(F.struct(F.col("found").alias("kind"), "start", "end")).alias("new"))
     place = F.array(*(F.lit(k) for k in KINDS))
 

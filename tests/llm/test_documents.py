@@ -172,6 +172,24 @@ def test_patterns_find_unseen_identifiers(spark):
     assert len(out[100].spans) == 0 and all(len(out[i].spans) >= 1 for i in range(30))
 
 
+def test_patterns_find_what_no_base_pattern_knows(spark):
+    ways = ["reach us, phone: {} or write", "my callback {} works all day"]
+    rows = [(i, ways[i % 2].format(f"+1 (212) 555-01{i:02d}")) for i in range(30)]
+    rows += [(100 + i, f"please mail account{i}@shop.example.org about it") for i in range(20)] + [(150 + i, f"card no 4111 1111 1111 {k} expires") for i, k in enumerate((1111, 1129, 1137, 1145)) if pii.luhn(f"411111111111{k}")]
+    rows += [(160 + i, f"{w} 10.0.3.{i} pinged twice") for i, w in enumerate(("alpha", "beta", "gamma", "delta", "epsilon"))]
+    hidden = {
+        500: ("callback 212-555-0199 is it", "phone", "212-555-0199"), 501: ("phone 212 555 01 88", "phone", "212 555 01 88"), 502: ("phone +1 (212) XXX-0100 at night", "phone", "+1 (212) XXX-0100"),
+        503: ("please mail root@localhost today", "email", "root@localhost"), 504: ("please mail jo (at) shop (dot) org today", "email", "jo (at) shop (dot) org"),
+        505: ("server 10.0.x.x pinged twice", "ip", "10.0.x.x"), 506: ("card no 4111-XXXX-XXXX-1111 expires", "card", "4111-XXXX-XXXX-1111"),
+    }
+    decoys = ["invoice 212-555-0199 is it", "invoice 212-555-0177 works all day", "phone 2024-01-05 or write", "callback 12 works all day", "we sat root@localhost there", "card no 4111 1111 1111 1112 expires", "server 256.1.1.1 pinged twice", "code 12345678 and more"]
+    rows += [(k, t) for k, (t, _, _) in hidden.items()] + [(900 + k, t) for k, t in enumerate(decoys)]
+    assert not any(pii.base_spans(t)[0] for t in [*decoys, *(t for t, _, _ in hidden.values())])
+    out = {r.doc_id: [(x.kind, x.start, x.end) for x in r.spans] for r in pii.detect(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k: [(x, t[s:e]) for x, s, e in out[k]] for k, (t, _, _) in hidden.items()} == {k: [(kind, x)] for k, (t, kind, x) in hidden.items()}
+    assert [d for k, d in enumerate(decoys) if out[900 + k]] == []
+
+
 def test_language_accuracy_and_rejection(real, odd, none, spark):
     model = langid.fit(real.where(~langid.held_out()))
     rows = langid.identify(real.withColumn("held", langid.held_out()), model).where("held").collect()
