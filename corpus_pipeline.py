@@ -19,10 +19,16 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group: that whose doc_id is the group's. Of rows with one doc_id one stays."""
-    groups = jaccard_join.join(docs.select("doc_id", "text"))
-    kept = groups.where("doc_id = component_id or component_id is null").select("doc_id").distinct()
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept.doc_id), "left_semi").dropDuplicates(["doc_id"])
+    """Keeps one row of each group, that with the smallest (doc_id, hash of its text), null last; rows without words are groups of their own."""
+    keyed = docs.withColumn("_hash", F.xxhash64("text"))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")
+    groups = jaccard_join.labelled(docs.select("doc_id", "text")).where("component is not null")
+    kept = groups.groupBy("component").agg(F.min(first).alias("first")).select(F.col("first.doc_id").alias("_id"), F.col("first.hash").alias("_kept"))
+    found = keyed.join(kept, keyed.doc_id.eqNullSafe(kept._id) & (keyed._hash == kept._kept), "left_semi")
+    # rows alike in both: the smallest by the other columns
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    found = found.groupBy("doc_id", "_hash").agg(F.min(F.struct(*others, "text")).alias("row")).select("doc_id", "row.*").select(*docs.columns)
+    return found.union(docs.where(~F.coalesce(F.regexp_like("text", F.lit(WORD)), F.lit(False))))
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

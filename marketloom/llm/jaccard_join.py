@@ -62,7 +62,7 @@ def counts_of(vector: bytes | np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """A row per row: doc_id, node (the set's hash; 0 for an empty set), n, prefix, vector.
+    """A row per row: doc_id, hash (the text's), node (the set's hash; 0 for an empty set), n, prefix, vector.
 
     Sets of Jaccard at least LEAST % share at least LEAST % of either, so the least hashes, one more than
     either may lack, have one in common: the prefix.
@@ -77,13 +77,14 @@ def sketch(docs: DataFrame) -> DataFrame:
                 sets = [shingles.of(x.as_py()) for x in part["text"]]
                 yield pa.RecordBatch.from_arrays([
                     part["doc_id"].combine_chunks(),
+                    part["hash"].combine_chunks(),
                     pa.array([node_of(s) for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([s[: len(s) - -(-len(s) * LEAST // 100) + 1 if len(s) else 0].view(np.int64) for s in sets], pa.list_(pa.int64())),
                     pa.array([count_vector(s).tobytes() for s in sets], pa.binary()),
-                ], ["doc_id", "node", "n", "prefix", "vector"])
+                ], ["doc_id", "hash", "node", "n", "prefix", "vector"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, node long, n long, prefix array<long>, vector binary")
+    return docs.select("doc_id", F.xxhash64("text").alias("hash"), "text").mapInArrow(run, "doc_id long, hash long, node long, n long, prefix array<long>, vector binary")
 
 
 def node_of(shingles: np.ndarray) -> int:
@@ -263,9 +264,15 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def join(docs: DataFrame, small: int = 8, listed: int = 64, block: int = 2048, most: int = 2_000_000) -> DataFrame:
+    """See labelled; without hash and component."""
+    return labelled(docs, small, listed, block, most).select("doc_id", "n_shingles", "component_id")
+
+
+def labelled(docs: DataFrame, small: int = 8, listed: int = 64, block: int = 2048, most: int = 2_000_000) -> DataFrame:
     """Links docs (doc_id, text) whose sets of distinct five-word shingles have Jaccard of at least 0.8.
 
-    Returns a row per row: doc_id, n_shingles, component_id (the smallest doc_id reachable). Texts of
+    Returns a row per row: doc_id, n_shingles, component_id (the smallest doc_id reachable), hash (the text's
+    xxhash64) and component (the smallest hash of a set reachable; null for an empty set). Texts of
     fewer than five words are one shingle; null texts and texts without words have none and link with
     nothing. Rows alike, or with the same set, are one class. Rows without doc_id take part; where no
     row of a component has one, component_id is null. Empty tables give no rows.
@@ -278,8 +285,8 @@ def join(docs: DataFrame, small: int = 8, listed: int = 64, block: int = 2048, m
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketches = written(sketch(docs), "sketch")
-    rows = written(sketches.select("doc_id", "n", "node"), "rows")
-    classes = written(sketches.where("n > 0").dropDuplicates(["node"]), "classes")
+    rows = written(sketches.select("doc_id", "hash", "n", "node"), "rows")
+    classes = written(sketches.where("n > 0").drop("hash").dropDuplicates(["node"]), "classes")
     drop_written(sketches)
     tokens = classes.select("node", F.explode("prefix").alias("token"))
     shared = written(tokens.withColumn("size", F.count("*").over(Window.partitionBy("token"))).where("size > 1"), "shared")
@@ -319,9 +326,9 @@ def join(docs: DataFrame, small: int = 8, listed: int = 64, block: int = 2048, m
     labels = written(components(links), "labels")
     low = rows.groupBy("node").agg(F.min("doc_id").alias("low")).where("node <> 0")
     own = low.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    own = own.withColumn("component_id", F.min("low").over(Window.partitionBy("component"))).select("node", "component_id")
-    out = rows.select("doc_id", "n", "node").join(own, "node", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    own = own.withColumn("component_id", F.min("low").over(Window.partitionBy("component"))).select("node", "component", "component_id")
+    out = rows.join(own, "node", "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "hash", "component")
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

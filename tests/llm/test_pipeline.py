@@ -18,3 +18,15 @@ def test_stages(spark):
         seats[r.sequence_id] += r.length
     assert max(seats.values()) <= 1024
     assert "555-" not in "".join(r.text for r in pipeline.personal_data_stage(spark, spark.createDataFrame([(1, "call +1 (212) 555-0100 now", "en", "a", 26)], columns), sf_dir).collect())
+
+
+def test_near_duplicates_keep_what_is_not_linked(spark):
+    words = " ".join(f"w{k}" for k in range(40))
+    other = [f"{c} one two three four five six seven eight {c}{c}" for c in "abcde"]
+    rows = [(None, other[0], "en", "s", 1), (None, other[1], "en", "s", 1), (7, other[2], "en", "s", 1), (7, other[3], "de", "s", 1), (7, other[3], "en", "s", 1), (None, None, None, "s", 0), (None, None, None, "s", 0)]
+    rows += [(9, words + " end", "en", "s", 1), (8, words, "en", "s", 1), (8, other[4], "en", "s", 1), (None, words, "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    want = [rows[0], rows[1], rows[2], rows[3], rows[5], rows[6], rows[8], rows[9]]
+    for parts in (1, 5):
+        got = pipeline.near_duplicate_stage(spark, docs.repartition(parts), "").collect()
+        assert Counter(map(tuple, got)) == Counter(want)
