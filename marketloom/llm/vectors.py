@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 
 import numpy as np
@@ -217,11 +218,24 @@ def matches(keys, ids, x, window: int, least: float):
     return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, int), np.zeros(0, int))
 
 
-def link_vectors(vectors: DataFrame, least: float = 0.9, passes: int = 16, hashes: int = 10, window: int = 48, width: float = 0.2, block: int = 2048, seed: int = 23) -> DataFrame:
+def depth_and_passes(n: int) -> tuple[int, int]:
+    """Hashes in a key and passes for n classes: keys tell n classes apart, passes grow as near pairs part in ever longer keys."""
+    return math.ceil(math.log2(n + 2)), math.ceil(10 + n**0.28)
+
+
+def pass_keys(x: np.ndarray, axes: np.ndarray, shift: np.ndarray, passes: int, width: float) -> np.ndarray:
+    """Sort keys of unit vectors for each pass: projections cut to steps of `width`, then one projection's value, big-endian bytes."""
+    at = (x @ axes.T).reshape(len(x), passes, -1)
+    cut = np.floor(at[..., :-1] / width + shift.reshape(passes, -1)[:, :-1]).astype(np.int32) + 32768
+    value = np.clip(np.floor(at[..., -1:] * (1 << 22)) + (1 << 31), 0, (1 << 32) - 1).astype(">u4")
+    return np.concatenate((np.ascontiguousarray(cut.astype(">u2")).view(np.uint8), np.ascontiguousarray(value).view(np.uint8)), axis=2)
+
+
+def link_vectors(vectors: DataFrame, least: float = 0.9, passes: int | None = None, hashes: int | None = None, window: int = 48, width: float = 0.2, block: int = 2048, seed: int = 23) -> DataFrame:
     """Near-duplicate vectors (vec_id, embedding) by sorted projection passes.
 
     Vectors alike are one class. In each pass the classes are ordered by concatenated random hashes
-    (projections cut to steps of `width`), each is compared with the `window` classes after it, and the
+    (projections cut to steps of `width`; as many as depth_and_passes says, then a projection's value), each is compared with the `window` classes after it, and the
     pairs of cosine `least` or more tie components together over all passes. Then the members of each
     component are compared in blocks for their exact numbers of links, of which only counts leave a task.
 
@@ -233,6 +247,8 @@ def link_vectors(vectors: DataFrame, least: float = 0.9, passes: int = 16, hashe
     keyed = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
     ready = usable(keyed.where("vec_id is not null")).withColumn("a", F.xxhash64("embedding")).withColumn("b", F.xxhash64("embedding", F.lit(1)))
     classes = written(ready.groupBy("a", "b").agg(F.min("vec_id").alias("node"), F.count("*").alias("n"), F.min("embedding").alias("embedding")), "classes")
+    n_classes = classes.count()
+    hashes, passes = (given or found for given, found in zip((hashes, passes), depth_and_passes(n_classes)))
 
     def deal(batches):
         for batch in batches:
@@ -244,16 +260,15 @@ def link_vectors(vectors: DataFrame, least: float = 0.9, passes: int = 16, hashe
                     part = own.slice(lo, 1024)
                     x = matrix(part["embedding"])
                     x /= np.linalg.norm(x, axis=1, keepdims=True)
-                    axes, shift = directions(int(dim), passes, hashes, seed)
-                    cut = np.floor(x @ axes.T / width + shift).astype(np.int16).reshape(len(x), passes, hashes)
-                    order = (cut.astype(np.int32) + 32768).astype(">u2")
+                    axes, shift = directions(int(dim), passes, hashes + 1, seed)
+                    order = pass_keys(x, axes, shift, passes, width)
                     for p in range(passes):
-                        keys = [int(dim).to_bytes(4, "big") + bytes([p]) + r.tobytes() for r in np.ascontiguousarray(order[:, p])]
+                        keys = [int(dim).to_bytes(4, "big") + p.to_bytes(2, "big") + r.tobytes() for r in order[:, p]]
                         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), part["node"].combine_chunks(), pa.array(list(x), pa.list_(pa.float64()))], ["key", "node", "x"])
 
     edge = "a long, b long, part int, side int, key binary, node long, x array<double>"
     rows = classes.select("node", "embedding").mapInArrow(deal, "key binary, node long, x array<double>")
-    parts = max(1, min(shuffle_partitions(spark), classes.count() * passes // (8 * window)))
+    parts = max(1, min(shuffle_partitions(spark), n_classes * passes // (8 * window)))
     ordered = rows.repartitionByRange(parts, "key", "node").sortWithinPartitions("key", "node")
 
     def pairs_of(keys, nodes, vectors):
@@ -261,7 +276,7 @@ def link_vectors(vectors: DataFrame, least: float = 0.9, passes: int = 16, hashe
         for dim in np.unique(sizes):
             own = np.flatnonzero(sizes == dim)
             x = np.array([vectors[i] for i in own])
-            i, j = matches(np.array([hash(keys[k][:5]) for k in own]), own, x, window, least)
+            i, j = matches(np.array([hash(keys[k][:6]) for k in own]), own, x, window, least)
             a, b = nodes[own[i]], nodes[own[j]]
             keep = forest(a, b)
             yield a[keep], b[keep]

@@ -46,6 +46,32 @@ def test_vector_links(points):
     assert len(rows[504]) == 2 and rows[504][0].n_links == 1
 
 
+def planted_recall(n, cosine, pairs=500, window=48, seed=11):
+    """The share of planted pairs that some pass brings within the window, among n random unit vectors of 64 dimensions."""
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    a = x[:pairs]
+    side = rng.standard_normal(a.shape)
+    side -= (side * a).sum(1, keepdims=True) * a
+    x[pairs : 2 * pairs] = cosine * a + np.sqrt(1 - cosine**2) * side / np.linalg.norm(side, axis=1, keepdims=True)
+    hashes, passes = vectors.depth_and_passes(n)
+    axes, shift = vectors.directions(64, passes, hashes + 1, 23)
+    met = np.zeros(pairs, bool)
+    for p in range(passes):
+        own = slice(p * (hashes + 1), (p + 1) * (hashes + 1))
+        keys = np.ascontiguousarray(vectors.pass_keys(x, axes[own], shift[own], 1, 0.2)[:, 0])
+        place = np.empty(n, int)
+        place[np.lexsort(keys.T[::-1])] = np.arange(n)
+        met |= abs(place[:pairs] - place[pairs : 2 * pairs]) <= window
+    return met.mean()
+
+
+@pytest.mark.parametrize("n", [20_000, 80_000])
+def test_planted_pairs_meet(n):
+    assert planted_recall(n, 0.905) >= 0.98 and planted_recall(n, 0.95) >= 0.995
+
+
 def test_vectors_of_empty_tables(points):
     df, _ = points
     assert vectors.link_vectors(df.limit(0)).count() == 0 and vectors.nearest(df.limit(0), df.limit(0)).count() == 0
