@@ -2,70 +2,69 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import math
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, shuffle_partitions, table
+from .common import WORD, shuffle_partitions, table, written
 
-#: Two primes for permuting blocks; the second where a source's number of blocks is a multiple of the first.
+#: Two primes for permuting blocks; the second where the number of blocks is a multiple of the first.
 PRIMES = (1_000_003, 998_244_353)
-#: Up to so many blocks a split is drawn block by block; beyond, by the normal limit of the distribution.
-EXACT = 256
-
-
-def uniform(*key: Column) -> Column:
-    """A number in (0, 1) that depends on key alone."""
-    return (F.shiftrightunsigned(F.xxhash64(*key), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
-
-
-def split(total: Column, own: Column, draw: Column, *key: Column) -> Column:
-    """How many of own blocks are among draw blocks drawn from total: one hypergeometric draw."""
-    one_by_one = F.aggregate(
-        F.sequence(F.lit(1).cast("long"), own),
-        F.struct(draw.alias("d"), total.alias("t"), F.lit(0).cast("long").alias("k")),
-        lambda s, i: F.when(
-            uniform(*key, i) * s["t"] < s["d"],
-            F.struct((s["d"] - 1).alias("d"), (s["t"] - 1).alias("t"), (s["k"] + 1).alias("k")),
-        ).otherwise(F.struct(s["d"].alias("d"), (s["t"] - 1).alias("t"), s["k"].alias("k"))),
-        lambda s: s["k"],
-    )
-    p = own / total
-    spread = F.sqrt(F.greatest(draw * p * (1 - p) * (total - draw) / F.greatest(total - 1, F.lit(1)), F.lit(0.0)))
-    normal = F.sqrt(-2 * F.ln(uniform(*key, F.lit("r")))) * F.cos(2 * F.pi() * uniform(*key, F.lit("a")))
-    by_limit = F.round(draw * p + spread * normal).cast("long")
-    least, most = F.greatest(draw - (total - own), F.lit(0).cast("long")), F.least(draw, own)
-    return F.when(own <= 0, F.lit(0).cast("long")).when(own <= EXACT, one_by_one).otherwise(F.least(F.greatest(by_limit, least), most))
+#: A word with the white space before it.
+PIECE = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
+#: Columns that the operator adds or uses; docs' own of these names are left out.
+OWN = ("size", "source_size", "target", "taken", "draws", "sk", "passes", "_h", "_share", "_hash", "_at")
+DRAWS = "array<struct<shard:int,position:bigint,pass:int,start:bigint,words:bigint>>"
+
+
+def let(name: str, value: str, body: str) -> str:
+    """SQL: body with name bound to value, which is computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def split(total: str, own: str, draw: str, key: str) -> str:
+    """SQL for how many of own blocks are among draw blocks drawn from total: one hypergeometric draw, by a hash of key.
+
+    By inversion: likelihoods relative to that of the mode, by the ratio of neighbours, outwards as far as 12 standard
+    deviations, beyond which they vanish in double precision. First they are summed, then walked up to a uniform share
+    of the sum. The same at every size, with steps in proportion to the standard deviation.
+    """
+    least, most = f"greatest({draw} - ({total} - {own}), 0L)", f"least({draw}, {own})"
+    spread = f"sqrt(greatest({draw} * ({own} / {total}) * (1 - {own} / {total}) * ({total} - {draw}) / greatest({total} - 1, 1L), 0D))"
+    case = f"""named_struct('o', double({own}), 'd', double({draw}), 'rest', double({total} - {own} - {draw}),
+        'm', greatest({least}, least({most}, floor(({draw} + 1D) * ({own} + 1D) / ({total} + 2D)))),
+        'steps', least({most} - {least} + 1, ceil(12 * {spread}) + 20), 'r', (shiftrightunsigned(xxhash64({key}), 11) + 0.5D) / {1 << 53}D)"""
+    up = "greatest(a.u * (c.o - (c.m + i - 1)) * (c.d - (c.m + i - 1)) / ((c.m + i) * (c.rest + c.m + i)), 0D)"
+    down = "greatest(a.v * (c.m - i + 1) * (c.rest + c.m - i + 1) / ((c.o - c.m + i) * (c.d - c.m + i)), 0D)"
+    both = f"named_struct('u', {up}, 'v', {down})"
+    goal = f"""aggregate(sequence(1L, c.steps), named_struct('u', 1D, 'v', 1D, 's', 1D),
+        (a, i) -> {let("x", both, "named_struct('u', x.u, 'v', x.v, 's', a.s + x.u + x.v)")}, a -> a.s * c.r)"""
+    hit = "coalesce(a.k, case when g < a.s + x.u then c.m + i when g < a.s + x.u + x.v then c.m - i end)"
+    found = f"""aggregate(sequence(1L, c.steps), named_struct('u', 1D, 'v', 1D, 's', 1D, 'k', if(g < 1, c.m, null)),
+        (a, i) -> {let("x", both, f"named_struct('u', x.u, 'v', x.v, 's', a.s + x.u + x.v, 'k', {hit})")}, a -> coalesce(a.k, c.m))"""
+    return f"if({least} >= {most}, {least}, {let('c', case, let('g', goal, found))})"
 
 
 def splitting_tree(quotas: DataFrame, levels: int, seed: int) -> DataFrame:
-    """Deals the sources' block quotas (rank, blocks) out to 2**levels shards: rank, shard, blocks.
+    """Deals quotas of blocks (rank, blocks) out to 2**levels shards: rank, shard, blocks.
 
-    A node holds what each source has left for its shards; half of a node's blocks, drawn without
-    replacement, go left and the rest right. Column sums are the quotas, exactly.
+    A node holds what each rank has left for its shards; half of a node's blocks, drawn without
+    replacement, go left and the rest right. Column sums are the quotas, exactly, and shards differ by a block a level.
     """
     tree = quotas.agg(F.sort_array(F.collect_list(F.struct("rank", "blocks"))).alias("q")).withColumn("node", F.lit(0).cast("long"))
-    zero = F.lit(0).cast("long")
     for level in range(levels):
-        total = F.aggregate("q", zero, lambda s, x: s + x["blocks"])
-        tree = tree.withColumn("total", total)
-        empty = F.expr("cast(array() as array<bigint>)")
-        left = F.aggregate(
-            "q",
-            F.struct(F.col("total").alias("t"), F.floor(F.col("total") / 2).cast("long").alias("d"), empty.alias("out")),
-            lambda s, x: F.struct(
-                (s["t"] - x["blocks"]).alias("t"),
-                (s["d"] - split(s["t"], x["blocks"], s["d"], F.lit(seed), F.lit(level), F.col("node"), x["rank"])).alias("d"),
-                F.concat(s["out"], F.array(split(s["t"], x["blocks"], s["d"], F.lit(seed), F.lit(level), F.col("node"), x["rank"]))).alias("out"),
-            ),
-            lambda s: s["out"],
-        )
-        tree = tree.withColumn("left", left)
-        halves = F.array(
-            F.zip_with("q", "left", lambda x, k: F.struct(x["rank"].alias("rank"), k.alias("blocks"))),
-            F.zip_with("q", "left", lambda x, k: F.struct(x["rank"].alias("rank"), (x["blocks"] - k).alias("blocks"))),
-        )
-        tree = tree.select(F.posexplode(halves).alias("side", "q"), "node").select((F.col("node") * 2 + F.col("side")).alias("node"), "q")
-    return tree.select(F.col("node").alias("shard"), F.inline("q"))
+        # left half: from t blocks in all d are drawn; each rank in turn gives k of its own
+        k = split("s.t", "x.blocks", "s.d", f"{seed}, {level}, node, x.rank")
+        deal = let("k", k, "named_struct('t', s.t - x.blocks, 'd', s.d - k, 'out', concat(s.out, array(k)))")
+        left = f"aggregate(q, named_struct('t', t, 'd', t div 2, 'out', cast(array() as array<bigint>)), (s, x) -> {deal}, s -> s.out)"
+        tree = tree.selectExpr("node", "q", let("t", "aggregate(q, 0L, (s, x) -> s + x.blocks)", left) + " as left")
+        halves = "array(zip_with(q, left, (x, k) -> named_struct('rank', x.rank, 'blocks', k)), zip_with(q, left, (x, k) -> named_struct('rank', x.rank, 'blocks', x.blocks - k)))"
+        tree = tree.selectExpr("node", f"posexplode({halves}) as (side, q)").selectExpr("node * 2 + side as node", "q")
+        if level % 6 == 5:
+            # a few rows of the upper levels become many: they spread over tasks
+            tree = tree.repartition("node")
+    return tree.selectExpr("node as shard", "inline(q)")
 
 
 def targets(totals: DataFrame, weights: tuple, share: float, most: float) -> DataFrame:
@@ -86,75 +85,143 @@ def targets(totals: DataFrame, weights: tuple, share: float, most: float) -> Dat
     return t.select("sk", "source_size", "rank", F.when(F.col("full"), F.col("limit")).otherwise(F.least(F.col("limit"), F.col("w") * level)).alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5, most: float = 2.0, levels: int = 4, block: int = 256, seed: int = 17) -> DataFrame:
-    """Draws from docs (doc_id, text, source) the mix whose sources come to their targets.
+def passes(totals: DataFrame, most: int, block: int) -> DataFrame:
+    """A row for each pass over a source, of targets' rows: rank (its pass told), n blocks, blocks of them to draw, words to take.
 
-    Sources, ordered by code point with null last, have the weights in turn and share `share` times
-    all words; a source's target stops at most (at most 2) times its size. The source's documents
-    stand in an order hashed from doc_id; the first target words of that line, repeated once, are cut
-    into blocks. The splitting tree deals each source's number of blocks out to 2**levels shards,
-    and each shard takes its quota of the source's permuted blocks.
+    A source is gone through wholly as often as its target has room for; the last pass is drawn from.
+    A block holds `block` words or one more or less; a source of less than 64 blocks is cut into smaller ones.
+    """
+    size = F.greatest(F.lit(1).cast("long"), F.least(F.lit(block).cast("long"), F.floor(F.col("source_size") / 64)))
+    lines = totals.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(most - 1)))).withColumn("n", F.ceil(F.col("source_size") / size).cast("long"))
+    words = F.greatest(F.lit(0).cast("long"), F.least(F.col("source_size"), F.round("target").cast("long") - F.col("pass") * F.col("source_size")))
+    lines = lines.withColumn("words", words).where("words > 0")
+    # blocks hold at least floor(source_size / n) words, so these many give the words that are wanted
+    need = F.least(F.col("n"), F.ceil(F.col("words") / F.floor(F.col("source_size") / F.col("n"))).cast("long"))
+    return lines.select("sk", "source_size", "pass", (F.col("rank") * most + F.col("pass")).alias("line"), "n", "words", need.alias("blocks"))
 
-    Returns docs' columns (those with names used here are left out) with size, source_size, target, taken and
-    draws: an array of (shard, position, pass, start, words), start counting words from 0; position is
-    the block's place in the shard's local shuffle. Null or empty texts have size 0 and no draws;
-    rows alike are each a row of their own. The result depends neither on partitions nor on runs.
+
+def plan(sized: DataFrame, weights: tuple, share: float, most: int, levels: int | None, block: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Targets of sized's sources (sk, source_size, target) and what each source's passes give to each shard (sk, passes).
+
+    The number of shards follows from the blocks: 2**levels, about the square root of the number of blocks drawn.
+    For each pass there are the shards' pools: the source's permuted blocks are cut into as many stretches, as long as
+    the quotas of the tree say, and ends: the quotas summed up. A pool never holds less than its quota.
     """
-    spark = docs.sparkSession
-    shares = shuffle_partitions(spark)
-    zero = F.lit(0).cast("long")
-    own_names = ("size", "source_size", "target", "taken", "draws", "sk", "rank", "blocks", "_h", "_share", "_at", "_quota", "_ends", "_before")
-    docs = docs.drop(*own_names)
+    totals = written(targets(sized.groupBy("sk").agg(F.sum("size").alias("source_size")), weights, share, most), "sources")
+    lines = written(passes(totals, most, block), "passes")
+    drawn = lines.agg(F.sum("blocks")).first()[0] or 0
+    levels = math.ceil(math.log2(drawn + 1) / 2) if levels is None else levels
+    shards = splitting_tree(lines.select(F.col("line").alias("rank"), "blocks"), levels, seed)
+    upto = Window.partitionBy("rank").orderBy("shard")
+    shards = shards.withColumn("end", F.sum("blocks").over(upto)).join(lines.withColumnRenamed("blocks", "q"), F.col("rank") == F.col("line"))
+    spare = F.when(F.col("q") > 0, F.least(F.col("n") - F.col("q"), F.floor(F.col("end") * ((F.col("n") - F.col("q")) / F.col("q"))))).otherwise(0)
+    last = F.lit((1 << levels) - 1)
+    shards = shards.withColumn("pool", F.when(F.col("shard") == last, F.col("n")).otherwise(F.col("end") + spare).cast("long"))
+    by = shards.groupBy("sk", "line", "pass", "n", "q", "words", "source_size").agg(F.sort_array(F.collect_list(F.struct("shard", "end", "pool"))).alias("s"))
+    one = F.struct("pass", "line", "n", "q", "words", "source_size", F.col("s.end").alias("ends"), F.col("s.pool").alias("pools"))
+    return totals.select("sk", "source_size", "target"), by.groupBy("sk").agg(F.sort_array(F.collect_list(one)).alias("passes"))
+
+
+def measured(docs: DataFrame, seed: int, shares: int) -> DataFrame:
+    """docs with their words counted and their place in their source's hashed line."""
     h = F.xxhash64(F.lit(seed), "doc_id")
-    sized = docs.withColumns({
-        "size": F.coalesce(F.regexp_count("text", F.lit(WORD)).cast("long"), zero),
-        "sk": F.when(F.col("source").isNull(), "1").otherwise(F.concat(F.lit("0"), "source")),
+    return docs.withColumns({
+        "size": F.coalesce(F.regexp_count("text", F.lit(WORD)).cast("long"), F.lit(0).cast("long")),
+        "sk": F.when(F.col("source").isNull(), "1").otherwise(F.concat(F.lit("0"), F.col("source").cast("string"))),
         "_h": F.shiftrightunsigned(h, 1),
         "_share": F.floor(F.shiftrightunsigned(h, 33) * shares / F.lit(float(1 << 31))).cast("int"),
-    })
-    narrow = sized.groupBy("sk", "_share").agg(F.sum("size").alias("_size"))
-    totals = targets(narrow.groupBy("sk").agg(F.sum("_size").alias("source_size")), weights, share, most)
-    totals = totals.withColumn("_quota", F.round("target").cast("long")).withColumn("blocks", F.ceil(F.col("_quota") / block).cast("long"))
-    shards = splitting_tree(totals.select("rank", "blocks"), levels, seed)
-    ends = Window.partitionBy("rank").orderBy("shard")
-    shards = shards.withColumn("end", F.sum("blocks").over(ends)).groupBy("rank").agg(F.sort_array(F.collect_list("end")).alias("_ends"))
+        "_hash": F.xxhash64("text"),
+    })
+
+
+def drawn_blocks(levels: int, seed: int) -> str:
+    """SQL for what a document's words, from _at on, have in the drawn blocks of its source's passes: an array of draws."""
+    small, more = "(p.source_size div p.n)", "(p.source_size % p.n)"
+
+    def edge(k):
+        # block k begins here: the words are cut as evenly as whole numbers allow
+        return f"(({k}) * {small} + least({k}, {more}))"
+
+    def block_at(word):
+        return f"if({word} < {more} * ({small} + 1), ({word}) div ({small} + 1), {more} + ({word} - {more} * ({small} + 1)) div greatest({small}, 1L))"
+
+    def permuted(at, n, key, first, second):
+        return f"pmod(pmod({at}, {n}) * if({n} % {first} = 0, {second}L, {first}L) + shiftrightunsigned(xxhash64({seed}, {key}), 32), {n})"
+
+    # the shard in whose pool a place is: a binary search
+    halves = f"cast(array({', '.join(str(1 << k) for k in reversed(range(levels)))}) as array<int>)"
+    shard = f"aggregate({halves}, 0, (s, half) -> if(p.pools[s + half - 1] <= v.at, s + half, s))"
+    pool = "named_struct('shard', j, 'lo', if(j > 0, p.pools[j - 1], 0L), 'end', if(j > 0, p.ends[j - 1], 0L))"
+    # a shard draws the blocks that its own permutation of its pool puts first
+    place = permuted("v.at - c.lo", "(p.pools[c.shard] - c.lo)", "'shard', p.line, c.shard", PRIMES[1], PRIMES[0])
+    # the words wanted are dealt evenly over the drawn blocks; a block gives its first ones
+    length = f"({edge('v.k + 1')} - {edge('v.k')})"
+    even = "(p.words div p.q + if(o < p.words % p.q, 1, 0))"
+    give = f"if(p.q = p.n, {length} - if(o < p.source_size - p.words, 1, 0), least({even}, {length}))"
+    ends = f"named_struct('lo', greatest(_at, {edge('v.k')}), 'hi', least(_at + size, {edge('v.k')} + {give}))"
+    row = f"named_struct('shard', c.shard, 'position', xxhash64({seed}, 'place', p.line, v.k), 'pass', p.pass, 'start', e.lo - _at, 'words', e.hi - e.lo)"
+    given = let("o", "c.end + at", let("e", ends, f"if(e.hi > e.lo, {row}, null)"))
+    taken = let("j", shard, let("c", pool, let("at", place, f"if(at < p.ends[c.shard] - c.end, {given}, null)")))
+    one = let("v", f"named_struct('k', k, 'at', {permuted('k', 'p.n', chr(39) + 'line' + chr(39) + ', p.line', *PRIMES)})", taken)
+    return f"flatten(transform(passes, p -> filter(transform(sequence({block_at('_at')}, {block_at('(_at + size - 1)')}), k -> {one}), x -> x is not null)))"
+
+
+def draw(sized: DataFrame, columns: list[str], weights: tuple, share: float, most: int, levels: int | None, block: int, seed: int) -> DataFrame:
+    """Places the rows of measured(), a stored table, and draws: columns, size, source_size, target, taken, draws."""
+    zero = F.lit(0).cast("long")
+    totals, given = plan(sized, weights, share, most, levels, block, seed)
+    given = written(given, "given")
+    levels = (given.select(F.max(F.size(F.col("passes")[0]["ends"]))).first()[0] or 1).bit_length() - 1
     before = Window.partitionBy("sk").orderBy("_share").rowsBetween(Window.unboundedPreceding, -1)
-    lines = narrow.withColumn("_before", F.coalesce(F.sum("_size").over(before), zero)).drop("_size")
-    lines = lines.join(totals.join(shards, "rank"), "sk")
-    own = Window.partitionBy("sk", "_share").orderBy("_h", "doc_id", F.xxhash64("text"))
+    lines = sized.groupBy("sk", "_share").agg(F.sum("size").alias("_size")).withColumn("_before", F.coalesce(F.sum("_size").over(before), zero)).drop("_size")
+    own = Window.partitionBy("sk", "_share").orderBy("_h", "doc_id", "_hash")
     placed = sized.withColumn("_at", F.sum("size").over(own.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-    placed = placed.join(lines, ["sk", "_share"])
-    step = F.when(F.col("blocks") % PRIMES[0] == 0, PRIMES[1]).otherwise(PRIMES[0]).cast("long")
+    placed = placed.join(lines, ["sk", "_share"]).withColumn("_at", F.col("_at") + F.col("_before"))
+    placed = placed.join(totals, "sk").join(given, "sk", "left")
+    found = F.expr(f"cast(if(size > 0 and passes is not null, {drawn_blocks(levels, seed)}, array()) as {DRAWS})")
+    placed = placed.withColumn("draws", found).withColumn("taken", F.expr("aggregate(draws, 0L, (s, x) -> s + x.words)"))
+    return placed.select(*columns, "size", "source_size", "target", "taken", "draws")
+
 
-    def draws(k: int) -> Column:
-        low = F.col("_before") + F.col("_at") + k * F.col("source_size")
-        high = F.least(low + F.col("size"), F.col("_quota"))
+def mix(docs: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5, most: int = 2, levels: int | None = None, block: int = 512, seed: int = 17) -> DataFrame:
+    """Draws from docs (doc_id, text, source) the mix whose sources come to their targets.
 
-        def one(i):
-            permuted = F.pmod((i % F.col("blocks")) * step, F.col("blocks"))
-            return F.struct(
-                F.size(F.filter("_ends", lambda e: e <= permuted)).alias("shard"),
-                F.xxhash64(F.lit(seed), F.lit("place"), "rank", i).alias("position"),
-                F.lit(k).alias("pass"),
-                (F.greatest(low, i * block) - low).alias("start"),
-                (F.least(high, (i + 1) * block) - F.greatest(low, i * block)).alias("words"),
-            )
+    Sources, ordered by code point with null last, have the weights in turn and share `share` times
+    all words; a source's target stops at `most` (a whole number) times its size. The source's documents
+    stand in an order hashed from doc_id, cut into blocks of about `block` words. Whole passes over it are taken as
+    often as the target has room; of the last pass as many blocks as the rest of the target needs (see passes).
 
-        return F.when(high > low, F.transform(F.sequence(F.floor(low / block), F.floor((high - 1) / block)), one))
+    The splitting tree deals the passes' numbers of blocks out to 2**levels shards by hypergeometric draws. The source's
+    permuted blocks are cut into the shards' pools, and each shard draws its quota from its pool by a permutation of its
+    own: which blocks are taken, and by which shard, follows from tree, levels and seed. A block is drawn once a pass.
 
-    none = F.expr("cast(array() as array<struct<shard:int,position:bigint,pass:int,start:bigint,words:bigint>>)")
-    placed = placed.withColumn("draws", F.concat(F.coalesce(draws(0), none), F.coalesce(draws(1), none)))
-    placed = placed.withColumn("taken", F.aggregate("draws", zero, lambda s, x: s + x["words"]))
-    return placed.select(*docs.columns, "size", "source_size", "target", "taken", "draws")
+    Returns docs' columns (those with names in OWN are left out) with size, source_size, target, taken and
+    draws: an array of (shard, position, pass, start, words), start counting words from 0; position is
+    the block's place in the shard's local shuffle. Null or empty texts have size 0 and no draws;
+    rows alike are each a row of their own; an empty table gives none. The result depends neither on partitions nor on runs.
+    """
+    if most != int(most) or most < 1:
+        raise ValueError("most must be a whole number")
+    docs = docs.drop(*OWN)
+    sized = written(measured(docs, seed, shuffle_partitions(docs.sparkSession)), "sized")
+    return draw(sized, docs.columns, weights, share, int(most), levels, block, seed)
 
 
 def shard_rows(mixed: DataFrame) -> DataFrame:
-    """The mix as a row per drawn block: shard, position, doc_id, pass, start, words, text, each shard shuffled."""
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    rows = mixed.select("doc_id", "text", F.explode("draws").alias("d")).select("d.shard", "d.position", "doc_id", "d.pass", "d.start", "d.words", F.array_join(F.slice(words, (F.col("d.start") + 1).cast("int"), F.col("d.words").cast("int")), " ").alias("text"))
-    return rows.repartitionByRange("shard", "position").sortWithinPartitions("shard", "position")
+    """The mix as a row for each document's part of a drawn block: mixed's columns with shard, position, pass, start, words; text is the part's.
+
+    A shard's rows lie together, in the order of its local shuffle; shards are of one size, so they spread evenly.
+    The white space between words stays as it is in the text.
+    """
+    part = r"regexp_replace(array_join(slice(w, int(d.start) + 1, int(d.words)), ''), '^[\\x20\\x09-\\x0D]+', '')"
+    rows = f"transform(draws, d -> named_struct('shard', d.shard, 'position', d.position, 'pass', d.pass, 'start', d.start, 'words', d.words, 'text', {part}))"
+    cut = F.expr(let("w", f"regexp_extract_all(cast(text as string), '{PIECE}', 0)".replace("\\", "\\\\"), rows))
+    kept = [c for c in mixed.columns if c not in ("text", "draws", "shard", "position", "pass", "start", "words", "_d")]
+    rows = mixed.where(F.size("draws") > 0).select(*kept, F.explode(cut).alias("_d")).select(*kept, "_d.*")
+    return rows.repartition("shard").sortWithinPartitions("shard", "position", "doc_id", "start", "text")
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    sized = written(measured(docs, 17, shuffle_partitions(spark)).drop("text"), "sized")
+    return draw(sized, ["doc_id"], (3, 1, 2), 1.5, 2, None, 512, 17).drop("draws")

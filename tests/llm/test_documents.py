@@ -82,6 +82,45 @@ def test_mixing_meets_targets(which, request):
     assert Counter((r.doc_id, r.taken) for r in rows) == Counter((r.doc_id, r.taken) for r in again)
 
 
+def test_mixing_draws_what_the_tree_says(real):
+    mixed = mixing.mix(real, block=64).cache()
+    rows = {r.doc_id: r for r in mixed.collect()}
+    seen = defaultdict(int)
+    for r in mixing.shard_rows(mixed).collect():
+        words = WORD.findall(rows[r.doc_id].text)
+        assert WORD.findall(r.text) == words[r.start : r.start + r.words] and r.words > 0
+        assert r.text in rows[r.doc_id].text
+        seen[r.doc_id] += r.words
+    assert seen == {i: r.taken for i, r in rows.items() if r.taken}
+    for r in rows.values():
+        for p in (0, 1):
+            ends = sorted((d.start, d.start + d.words) for d in r.draws if d["pass"] == p)
+            assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+    taken = Counter((r.doc_id, r.taken) for r in rows.values())
+    by_source = defaultdict(int)
+    for r in rows.values():
+        by_source[r.source] += r.taken
+    for other in (mixing.mix(real, block=64, seed=18), mixing.mix(real, block=64, levels=1)):
+        found, own = other.select("doc_id", "source", "taken").collect(), defaultdict(int)
+        assert Counter((r.doc_id, r.taken) for r in found) != taken
+        for r in found:
+            own[r.source] += r.taken
+        assert own == by_source
+    with pytest.raises(ValueError):
+        mixing.mix(real, most=1.5)
+
+
+def test_splits_are_hypergeometric(spark):
+    for total, own, draw in ((50, 20, 13), (4000, 3000, 2000)):
+        found = spark.range(4000).selectExpr(mixing.split(f"{total}L", f"{own}L", f"{draw}L", "id") + " as k").groupBy("k").count().collect()
+        n, chi, cells = {r.k: r["count"] for r in found}, 0.0, 0
+        for k in range(max(0, draw - total + own), min(draw, own) + 1):
+            want = 4000 * math.exp(sum(math.lgamma(a + 1) - math.lgamma(b + 1) - math.lgamma(a - b + 1) for a, b in ((own, k), (total - own, draw - k))) - math.lgamma(total + 1) + math.lgamma(draw + 1) + math.lgamma(total - draw + 1))
+            if want > 5:
+                chi, cells = chi + (n.get(k, 0) - want) ** 2 / want, cells + 1
+        assert sum(n.values()) == 4000 and chi < cells + 4 * math.sqrt(2 * cells)
+
+
 def test_splitting_tree_keeps_quotas(spark):
     quotas = spark.createDataFrame([(1, 1000), (2, 0), (3, 37), (4, 123456)], "rank long, blocks long")
     rows = mixing.splitting_tree(quotas, 3, 9).collect()
