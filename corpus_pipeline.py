@@ -48,15 +48,8 @@ def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each pass of a document that the mix draws, with the words it takes."""
-    mixed = mixing.mix(docs)
-    per_pass = F.filter(
-        F.transform(F.array(F.lit(0), F.lit(1)), lambda p: F.aggregate(F.filter("draws", lambda d: d["pass"] == p), F.lit(0).cast("long"), lambda s, d: s + d["words"])),
-        lambda n: n > 0,
-    )
-    rows = mixed.withColumn("_words", F.explode(per_pass))
-    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("_words").cast("int")), " ")
-    rows = rows.withColumn("text", F.when(F.col("_words") == F.col("size"), F.col("text")).otherwise(cut))
+    """A row for each part of a document that a shard of the mix draws, in the shards' shuffled order; n_chars follows the text."""
+    rows = mixing.shard_rows(mixing.mix(docs))
     return rows.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
