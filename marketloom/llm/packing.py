@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import bisect
+import math
 import os
 import zlib
 from array import array
 from collections import defaultdict
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -109,10 +111,11 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = 1024, end_i
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, PIECES + ", ids array<long>" * with_ids)
 
 
-def knapsack(weight: np.ndarray, capacity: int) -> list[int]:
-    """Prices a configuration: the multiset of lengths of largest summed weight that fits capacity.
+def knapsack(weight: np.ndarray, capacity: int, slack: float = 0.01, most: int = 64) -> tuple[float, list[tuple[int, ...]]]:
+    """Prices configurations, the multisets of lengths that fit capacity, by dynamic programming.
 
-    weight[l]: of length l, -inf where none is left. Unbounded knapsack by dynamic programming.
+    weight[l]: what length l is worth, -inf where there is none. Returns the largest worth of a configuration, and
+    of each length's best configuration those within `slack` of that worth, the best `most` of them.
     """
     best, choice = np.zeros(capacity + 1), np.zeros(capacity + 1, dtype=np.int64)
     back = weight[1:]
@@ -123,14 +126,18 @@ def knapsack(weight: np.ndarray, capacity: int) -> list[int]:
             best[c], choice[c] = v[k], k + 1
         else:
             best[c] = best[c - 1]
-    out, c = [], capacity
-    while c > 0:
-        if choice[c]:
-            out.append(int(choice[c]))
-            c -= int(choice[c])
-        else:
-            c -= 1
-    return out
+
+    def trace(c):
+        while c > 0:
+            if choice[c]:
+                yield int(choice[c])
+                c -= int(choice[c])
+            else:
+                c -= 1
+
+    worth = np.where(np.isfinite(weight), weight + best[capacity - np.arange(capacity + 1)], -np.inf)
+    near = [int(k) for k in np.argsort(-worth, kind="stable")[:most] if worth[k] >= (1 - slack) * best[capacity]]
+    return float(best[capacity]), sorted({tuple(sorted((k, *trace(capacity - k)), reverse=True)) for k in near})
 
 
 def best_fit(left: dict[int, int], capacity: int) -> dict[tuple[int, ...], int]:
@@ -175,46 +182,115 @@ def best_fit(left: dict[int, int], capacity: int) -> dict[tuple[int, ...], int]:
     return dict(done)
 
 
-def configurations(histogram: dict[int, int], capacity: int = 1024, rounds: int = 1500, rate: float = 0.15, step: float = 0.3, power: float = 1.5) -> list[tuple[tuple[int, ...], int]]:
-    """Which sequences to build: (lengths, how many), covering the histogram exactly.
+class Program:
+    """The configuration linear program: the fewest sequences (x, fractions allowed) whose configurations hold each length as often as it comes.
+
+    Multiplicative weights on both sides: a length's price y grows by exp(rate * its lack), a configuration's share x by
+    exp(rate * (its worth at the prices - 1)), each with the last step's gradient once more against the one before
+    (optimistic steps). Lacks are shares of the lengths' counts, so rare and frequent lengths move alike. Both sides are
+    averaged over a round; then the knapsack prices all configurations at the averaged prices, and those worth
+    most join the program. Prices divided by the best worth are a dual solution, so they bound the fewest sequences from below.
+    """
+
+    def __init__(self, histogram: dict[int, int], capacity: int, start: dict[tuple[int, ...], int]):
+        self.capacity = capacity
+        self.lengths = np.array(sorted(histogram), dtype=np.int64)
+        self.counts = np.array([histogram[k] for k in self.lengths.tolist()], dtype=np.float64)
+        self.place = {k: i for i, k in enumerate(self.lengths.tolist())}
+        self.columns: list[tuple[int, ...]] = []
+        self.x, self.y, self.low = np.zeros(0), self.lengths / capacity, 0.0
+        self.add(list(start), np.array([float(n) for n in start.values()]))
+
+    def add(self, columns: list[tuple[int, ...]], x: np.ndarray) -> None:
+        self.columns += columns
+        self.x = np.concatenate((self.x, x))
+        parts = [np.unique([self.place[k] for k in c], return_counts=True) for c in self.columns]
+        sizes = np.array([len(p) for p, _ in parts])
+        self.row, self.many = np.concatenate([p for p, _ in parts]), np.concatenate([n for _, n in parts]).astype(np.float64)
+        self.first, self.column = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(parts)), sizes)
+
+    def worth(self, y: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(self.many * y[self.row], self.first)
+
+    def held(self, x: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, weights=self.many * x[self.column], minlength=len(self.lengths))
+
+    def step(self, steps: int, rate: float) -> None:
+        x, y, sum_x, sum_y = self.x, self.y, np.zeros_like(self.x), np.zeros_like(self.y)
+        last_x = last_y = None
+        for _ in range(steps):
+            gx, gy = self.worth(y) - 1, 1 - self.held(x) / self.counts
+            ox, oy = (gx, gy) if last_x is None else (2 * gx - last_x, 2 * gy - last_y)
+            x, y = x * np.exp(np.clip(rate * ox, -1, 1)), y * np.exp(np.clip(rate * oy, -1, 1))
+            last_x, last_y = gx, gy
+            sum_x += x
+            sum_y += y
+        self.x, self.y = sum_x / steps, sum_y / steps
+
+    def solve(self, rounds: int, steps: int, rate: float, gap: float, keep: int) -> None:
+        """At most `rounds` rounds; earlier where no configuration's worth exceeds 1 by more than gap and the sequences are within gap of the bound."""
+        known = set(self.columns)
+        for _ in range(rounds):
+            self.step(steps, rate)
+            weight = np.full(self.capacity + 1, -np.inf)
+            weight[self.lengths] = self.y
+            top, found = knapsack(weight, self.capacity)
+            self.low = max(self.low, float(self.counts @ self.y) / max(top, 1e-12))
+            if top <= 1 + gap and self.x.sum() <= (1 + gap) * self.low and self.held(self.x).min() >= 0:
+                break
+            if len(self.columns) > keep:
+                own = np.sort(np.argsort(-self.x, kind="stable")[: keep // 2])
+                self.columns, self.x = [self.columns[k] for k in own], self.x[own]
+                known = set(self.columns)
+            new = [c for c in found if c not in known]
+            known.update(new)
+            if new:
+                self.add(new, np.full(len(new), 1e-3 * self.x.sum() / len(new)))
+
+
+class Plan(NamedTuple):
+    """sequences: (lengths, how many); by_program: pieces that rounding placed; bound: no packing has fewer sequences."""
+
+    sequences: list[tuple[tuple[int, ...], int]]
+    by_program: int
+    bound: int
 
-    The configuration linear program asks for the fewest sequences whose configurations cover each
-    length's count. Multiplicative weights: a length's weight is a power of its share of the capacity
-    times exp(-rate * covered share); the knapsack prices the configuration to take next, which is taken
-    for a share (step) of the rows that its scarcest length has left. That is rounded down at each
-    step, so it stays whole. Only lengths with enough rows left for any configuration are priced;
-    where the best configuration isn't full, its largest length is priced no more, unless that is over
-    half the capacity and the small lengths left can't fill the room beside such: then it is taken as
-    it is, before others use up what fits best. Best-fit decreasing on counts packs what rounding leaves. Only the histogram is used: time and memory don't grow with the rows.
+
+def configurations(histogram: dict[int, int], capacity: int = 1024, rounds: int = 60, steps: int = 100, rate: float = 0.5, gap: float = 1e-4, keep: int = 6000) -> Plan:
+    """Which sequences to build, covering the histogram exactly.
+
+    The configuration linear program (see Program) is started from a best-fit decreasing packing's configurations and
+    solved by multiplicative weights with knapsack pricing. Its solution is rounded: whole parts first, then the
+    largest fractions, as far as their pieces are left. Best-fit decreasing packs the pieces that rounding leaves,
+    about half a sequence for each configuration in use. At most `keep` configurations are held at a
+    time. Only the histogram is used: time and memory don't grow with the rows.
     """
-    total, left = np.zeros(capacity + 1), np.zeros(capacity + 1, dtype=np.int64)
-    for length, n in histogram.items():
-        total[length] = left[length] = n
+    histogram = {int(k): int(n) for k, n in histogram.items() if n > 0}
+    if not histogram:
+        return Plan([], 0, 0)
+    program = Program(histogram, capacity, best_fit(histogram, capacity))
+    program.solve(rounds, steps, rate, gap, keep)
+    left = np.zeros(capacity + 1, dtype=np.int64)
+    left[program.lengths] = program.counts.astype(np.int64)
     plan: dict[tuple[int, ...], int] = defaultdict(int)
-    if left[capacity]:
-        plan[(capacity,)] = int(left[capacity])
-        left[capacity] = 0
-    lengths = np.arange(capacity + 1)
-    big = 2 * lengths > capacity
-    priced = left >= capacity // np.maximum(lengths, 1)
-    priced[0] = False
-    for _ in range(rounds):
-        priced &= left >= capacity // np.maximum(lengths, 1)
-        if not priced.any():
-            break
-        weight = np.where(priced, (lengths / capacity) ** power * np.exp(rate * left / np.maximum(total, 1)), -np.inf)
-        items = knapsack(weight, capacity)
-        if sum(items) < capacity and (not big[max(items)] or int((left * lengths)[~big].sum()) > int((left * (capacity - lengths))[big].sum())):
-            priced[max(items)] = False
-            continue
-        use = np.bincount(items, minlength=capacity + 1)
-        own = use > 0
-        take = max(1, int((left[own] // use[own]).min() * (step if sum(items) == capacity else 1)))
-        plan[tuple(sorted(items, reverse=True))] += take
-        left -= use * take
+
+    def take(items, n):
+        own, use = np.unique(items, return_counts=True)
+        n = min(n, int((left[own] // use).min()))
+        if n > 0:
+            plan[items] += n
+            left[own] -= use * n
+
+    for k in np.argsort(-program.x, kind="stable").tolist():
+        take(program.columns[k], int(program.x[k]))
+    for k in np.argsort(np.floor(program.x) - program.x, kind="stable").tolist():
+        if program.x[k] % 1 >= 0.5:
+            take(program.columns[k], 1)
+    by_program = sum(len(items) * n for items, n in plan.items())
     for items, n in best_fit({int(k): int(left[k]) for k in np.flatnonzero(left)}, capacity).items():
         plan[tuple(sorted(items, reverse=True))] += n
-    return sorted(plan.items())
+    volume = -(-sum(k * n for k, n in histogram.items()) // capacity)
+    return Plan(sorted(plan.items()), by_program, max(volume, math.ceil(program.low - 1e-6 * program.low - 1e-6)))
 
 
 def place(parts: DataFrame, capacity: int = 1024) -> DataFrame:
@@ -229,7 +305,7 @@ def place(parts: DataFrame, capacity: int = 1024) -> DataFrame:
     keys, bases, offsets = [], [], []
     start: dict[int, int] = defaultdict(int)
     base = 0
-    for items, n in configurations(histogram, capacity):
+    for items, n in configurations(histogram, capacity).sequences:
         offset = 0
         for length in items:
             keys.append((length << 44) + start[length])
