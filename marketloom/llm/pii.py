@@ -5,6 +5,7 @@ from __future__ import annotations
 import bisect
 import hashlib
 import re
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -94,19 +95,30 @@ def plain_word(word: str) -> str:
     return re.sub(r"[0-9]", "#", word.lower().strip(TRIM))
 
 
-def before(text: str, start: int) -> str:
+class Bounds(NamedTuple):
+    """What counts as identifier-like and as context, in code points. Base spans and the text itself know no bound."""
+
+    #: An identifier beyond the base spans is at least and at most so long.
+    shortest: int = 6
+    longest: int = 80
+    #: So far from a span its context word begins or ends, and of a longer word the nearest so many count.
+    reach: int = 64
+    word: int = 40
+
+
+def before(text: str, start: int, bounds: Bounds = Bounds()) -> str:
     """The word before a place, lower-cased, its digits and outer punctuation gone; empty at a text's start."""
-    left = text[max(0, start - 64) : start].rstrip(SPACE + TRIM)
-    return plain_word(re.split(f"[{SPACE}]", left)[-1][-40:])
+    left = text[max(0, start - bounds.reach) : start].rstrip(SPACE + TRIM)
+    return plain_word(re.split(f"[{SPACE}]", left)[-1][-bounds.word :])
 
 
-def after(text: str, end: int) -> str:
+def after(text: str, end: int, bounds: Bounds = Bounds()) -> str:
     """The word after a place, as before() has it; empty at a text's end."""
-    right = text[end : end + 64].lstrip(SPACE + TRIM)
-    return plain_word(re.split(f"[{SPACE}]", right, maxsplit=1)[0][:40])
+    right = text[end : end + bounds.reach].lstrip(SPACE + TRIM)
+    return plain_word(re.split(f"[{SPACE}]", right, maxsplit=1)[0][: bounds.word])
 
 
-def candidates(text: str, own: list[tuple[str, int, int]], failed: list[tuple[str, int, int]]):
+def candidates(text: str, own: list[tuple[str, int, int]], failed: list[tuple[str, int, int]], bounds: Bounds = Bounds()):
     """What is shaped like an identifier between the base spans: (start, end, shape).
 
     It touches no span that failed as a card or an address, and is more than what failed as a phone.
@@ -123,11 +135,9 @@ def candidates(text: str, own: list[tuple[str, int, int]], failed: list[tuple[st
                 if pattern is NUMBER and hi < len(text) and (text[hi].isalnum() or text[hi] in "@_"):
                     # a number that runs on into a word loses its last group
                     hi = lo + len(text[lo:hi].rstrip("0123456789xX*#"))
-                if hi - lo > 160:
-                    continue
                 hi = lo + len(text[lo:hi].rstrip(TRIM + "\x20/-+"))
                 lo += text[lo:hi].startswith("(") and ")" not in text[lo:hi]
-                kind = shape(text[lo:hi]) if 6 <= hi - lo <= 80 else ""
+                kind = shape(text[lo:hi]) if bounds.shortest <= hi - lo <= bounds.longest else ""
                 if kind and not meets(taken, lo, hi) and not within(phones, lo, hi):
                     found.append((lo, hi))
                     yield lo, hi, kind
@@ -149,30 +159,37 @@ def meets(spans: list[tuple[int, int]], lo: int, hi: int) -> bool:
 SCAN = "spans array<struct<kind:string,start:int,end:int>>, seen array<struct<kind:string,start:int,end:int,before:string,after:string,shape:string,instance:long>>"
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def instance(s: str) -> int:
+    return int.from_bytes(hashlib.blake2b(s.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+
+
+def marked(text: str, bounds: Bounds = Bounds()) -> tuple[list, list]:
+    """A text's base spans, and all that is identifier-like: (kind or None, start, end, before, after, shape, instance)."""
+    own, failed = base_spans(text)
+    found = [*((k, s, e, seed_shape(k, text[s:e])) for k, s, e in own), *((None, *x) for x in candidates(text, own, failed, bounds))]
+    return own, [(k, s, e, before(text, s, bounds), after(text, e, bounds), x, instance(text[s:e])) for k, s, e, x in found]
+
+
+def scan(docs: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
     """docs' columns with the base spans and, under seen, everything identifier-like with the words beside it."""
     fields = [f for f in docs.schema if f.name not in ("spans", "seen", "_text")]
     item = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
     more = pa.struct([*item, ("before", pa.string()), ("after", pa.string()), ("shape", pa.string()), ("instance", pa.int64())])
 
-    def instance(s: str) -> int:
-        return int.from_bytes(hashlib.blake2b(s.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+    names = ("kind", "start", "end", "before", "after", "shape", "instance")
 
     def run(batches):
         for batch in batches:
             t = pa.Table.from_batches([batch])
             spans, seen = [], []
             for text in t["_text"].to_pylist():
-                text = text or ""
-                own, failed = base_spans(text)
-                spans.append([dict(zip(("kind", "start", "end"), x)) for x in own])
-                marked = [*((k, s, e, seed_shape(k, text[s:e])) for k, s, e in own), *((None, *x) for x in candidates(text, own, failed))]
-                seen.append([{"kind": k, "start": s, "end": e, "before": before(text, s), "after": after(text, e), "shape": x, "instance": instance(text[s:e])} for k, s, e, x in marked])
+                own, all_ = marked(text or "", bounds)
+                spans.append([dict(zip(names, x)) for x in own])
+                seen.append([dict(zip(names, x)) for x in all_])
             t = t.drop_columns(["_text"]).append_column("spans", pa.array(spans, pa.list_(item))).append_column("seen", pa.array(seen, pa.list_(more)))
             yield from t.to_batches()
 
-    names = [f.name for f in fields]
-    return docs.select(*names, F.col("text").cast("string").alias("_text")).mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", " + SCAN)
+    return docs.select(*(f.name for f in fields), F.col("text").cast("string").alias("_text")).mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", " + SCAN)
 
 
 PATTERN = ["side", "context", "shape"]
@@ -185,42 +202,48 @@ def with_patterns(seen: DataFrame) -> DataFrame:
     return seen.withColumn("_p", F.explode(F.filter(sides, lambda x: x["context"] != ""))).withColumns({"side": F.col("_p.side"), "context": F.col("_p.context")}).drop("_p")
 
 
-def confident(seen: DataFrame, rounds: int = 3, least: float = 0.6, support: int = 3) -> DataFrame:
-    """Patterns that may be trusted, from seen (kind or null, before, after, shape, instance): side, context, shape, found.
+def confident(seen: DataFrame, rounds: int = 4, least: float = 0.6, support: int = 3, trust: float = 0.8) -> DataFrame:
+    """Patterns that may be trusted, from seen (kind or null, before, after, shape, instance): side, context, shape, found, p.
 
-    A pattern is a shape with the words beside it (see with_patterns). Seeds (instances of a kind) score 1, others 0 at first.
-    Each round scores a pattern by the mean score of its distinct instances, and an unknown instance
-    by the noisy or of its patterns, over the grouped edges between the two; three rounds. Kept are
-    patterns of at least `support` distinct seeds and a score of at least `least`. The word after
-    alone counts only where its seeds stand after at least `support` words, else it is the word before that tells.
+    A pattern is a shape with the words beside it (see with_patterns), joined with its distinct instances to a graph. Instances of a base kind
+    are seeds of score 1. In each round a pattern scores the mean of its instances' scores (0: not reached yet) and is
+    trusted with at least `support` distinct seeds, all of one kind, and a score of at least `least`; the word after alone only
+    where its seeds stand after at least `support` words, else it is the word before that tells. Trusted patterns reach
+    instances: these score the noisy or of their patterns, and with at least `trust` and one kind only they are seeds of the next
+    round, whose patterns so may stand on seeds that no base pattern knows. The last round's trusted patterns are returned.
     """
     edges = with_patterns(seen).groupBy(*PATTERN, "instance").agg(F.max("kind").alias("kind"), F.min("before").alias("before"))
     edges = written(edges, "edges")
-    score = edges.select("instance", F.col("kind").isNotNull().cast("double").alias("seed")).groupBy("instance").agg(F.max("seed").alias("score"))
-    seeds = edges.where("kind is not null").groupBy(*PATTERN).agg(F.max("kind").alias("kind"), F.count("*").alias("n_seeds"), F.countDistinct("kind").alias("n_kinds"), F.countDistinct("before").alias("n_before"))
-    seeds = seeds.where((F.col("n_seeds") >= support) & (F.col("n_kinds") == 1) & ((F.col("side") != "r") | (F.col("n_before") >= support)))
+    base = edges.where("kind is not null").groupBy("instance").agg(F.max("kind").alias("label"), F.lit(1.0).alias("score"))
+    known = base
     for k in range(rounds):
-        linked = edges.join(score, "instance")
-        pattern = linked.groupBy(*PATTERN).agg(F.avg("score").alias("p"))
-        pattern = pattern.join(seeds, PATTERN)
+        linked = edges.join(known, "instance", "left")
+        seed = F.col("label").isNotNull()
+        pattern = linked.groupBy(*PATTERN).agg(
+            F.avg(F.coalesce("score", F.lit(0.0))).alias("p"), F.count("label").alias("n"), F.min("label").alias("one"), F.max("label").alias("found"),
+            F.count_distinct(F.when(seed, F.col("before"))).alias("n_before"),
+        )
+        pattern = pattern.where((F.col("n") >= support) & (F.col("one") == F.col("found")) & ((F.col("side") != "r") | (F.col("n_before") >= support)) & (F.col("p") >= least))
+        pattern = written(pattern.select(*PATTERN, "found", "p"), "patterns")
         if k < rounds - 1:
-            reach = edges.join(pattern.select(*PATTERN, "p"), PATTERN, "left")
-            score = reach.groupBy("instance").agg(F.greatest(F.max(F.col("kind").isNotNull().cast("double")), 1 - F.exp(F.sum(F.ln(F.greatest(1 - F.coalesce("p", F.lit(0.0)), F.lit(1e-6)))))).alias("score"))
-            score = written(score, "scores")
-    return pattern.where(F.col("p") >= least).select(*PATTERN, F.col("kind").alias("found"), "p")
+            reached = edges.where("kind is null").join(pattern, PATTERN).groupBy("instance")
+            reached = reached.agg((1 - F.exp(F.sum(F.ln(F.greatest(1 - F.col("p"), F.lit(1e-6)))))).alias("score"), F.min("found").alias("one"), F.max("found").alias("label"))
+            label = F.when((F.col("score") >= trust) & (F.col("one") == F.col("label")), F.col("label"))
+            known = written(base.union(reached.select("instance", label.alias("label"), "score").join(base, "instance", "left_anti")), "known")
+    return pattern
 
 
-def detect(docs: DataFrame, rounds: int = 3, least: float = 0.6, support: int = 3) -> DataFrame:
+def detect(docs: DataFrame, rounds: int = 4, least: float = 0.6, support: int = 3, trust: float = 0.8, bounds: Bounds = Bounds()) -> DataFrame:
     """Personal data of docs (doc_id, text): docs' columns but text, base and spans (arrays of kind, start, end).
 
-    Base spans come from the plain patterns; the bootstrapped patterns add what stands in a
+    Base spans come from the plain patterns; the bootstrapped patterns (see confident) add what stands in a
     trusted pattern's context with its shape and touches no base span (see candidates). Null texts are empty; rows with
-    the same doc_id are each a row of their own; columns named base, spans, seen, new, _row or _text are left out.
+    the same doc_id are each a row of their own; an empty table gives none; columns named base, spans, seen, new, _row or _text are left out.
     """
     kept = [c for c in docs.columns if c not in ("text", "spans", "seen", "base", "new", "_row", "_text")]
-    found = written(scan(docs.select(*kept, "text")).drop("text").withColumn("_row", F.monotonically_increasing_id()), "scanned")
+    found = written(scan(docs.select(*kept, "text"), bounds).drop("text").withColumn("_row", F.monotonically_increasing_id()), "scanned")
     seen = found.select("_row", F.explode("seen").alias("s")).select("_row", "s.*")
-    patterns = confident(seen, rounds, least, support)
+    patterns = confident(seen, rounds, least, support, trust)
     new = with_patterns(seen.where("kind is null")).join(patterns, PATTERN)
     new = new.groupBy("_row", "start", "end").agg(F.max_by("found", F.struct("p", "side", "found")).alias("found"))
     new = new.groupBy("_row").agg(F.collect_list(F.struct(F.col("found").alias("kind"), "start", "end")).alias("new"))

@@ -240,6 +240,64 @@ def test_patterns_find_what_no_base_pattern_knows(spark):
     assert [d for k, d in enumerate(decoys) if out[900 + k]] == []
 
 
+def brute_patterns(texts_, rounds=4, least=0.6, support=3, trust=0.8):
+    """The bootstrapping in plain Python: spans beyond the base spans, by text."""
+    edges, kinds, first, spots = defaultdict(set), {}, defaultdict(dict), []
+    for i, text in texts_:
+        for kind, s, e, b, a, shape, inst in pii.marked(text or "")[1]:
+            keys = [(side, c, shape) for side, c in (("l", b), ("b", f"{b} {a}" if b and a else ""), ("r", a)) if c]
+            for k in keys:
+                edges[k].add(inst)
+                first[k][inst] = min(first[k].get(inst, b), b)
+            if kind:
+                kinds[inst] = kind
+            else:
+                spots.append((i, s, e, keys, inst))
+    score, label = dict.fromkeys(kinds, 1.0), dict(kinds)
+    for r in range(rounds):
+        trusted = {}
+        for k, own in edges.items():
+            seeds = [x for x in own if label.get(x)]
+            p = sum(score.get(x, 0.0) for x in own) / len(own)
+            if len(seeds) >= support and len({label[x] for x in seeds}) == 1 and (k[0] != "r" or len({first[k][x] for x in seeds}) >= support) and p >= least - 1e-12:
+                trusted[k] = (label[seeds[0]], p)
+        if r < rounds - 1:
+            reach = defaultdict(set)
+            for _, _, _, keys, inst in spots:
+                reach[inst] |= {k for k in keys if k in trusted}
+            score, label = dict.fromkeys(kinds, 1.0), dict(kinds)
+            for inst, keys in reach.items():
+                if keys and inst not in kinds:
+                    score[inst] = 1 - math.prod(max(1 - trusted[k][1], 1e-6) for k in keys)
+                    found = {trusted[k][0] for k in keys}
+                    if score[inst] >= trust and len(found) == 1:
+                        label[inst] = found.pop()
+    out = defaultdict(set)
+    for i, s, e, keys, _ in spots:
+        hits = [(trusted[k][1], k[0], trusted[k][0]) for k in keys if k in trusted]
+        if hits:
+            out[i].add((max(hits)[2], s, e))
+    return out
+
+
+def test_bootstrapping_matches_brute_force(spark):
+    rng = np.random.default_rng(8)
+    near, far = ["phone", "call", "tel", "ring", "fax"], ["today", "please", "now", "often", "soon"]
+    # seeds stand only after "phone"; what they find there stands after "mobile" too, and there with what no base pattern reaches
+    rows = [(i, f"my phone +1 (212) 555-{1000 + i} works") for i in range(40)]
+    rows += [(100 + i, f"my {w} 212-555-{2000 + i} {t}") for i in range(8) for w, t in (("phone", "works"), ("mobile", "rings"))]
+    rows += [(200, "my mobile 646-555-0001 rings"), (201, "serial 646-555-0002 printed"), (202, None), (203, "")] + rows[:3]
+    rows += [(300 + i, f"{near[rng.integers(5)]} {rng.integers(10**9, 10**10)} {far[rng.integers(5)]}") for i in range(60)] + [(400 + i, f"call +4420{rng.integers(10**7, 10**8)} {far[i % 5]}") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_patterns(rows)
+    got = defaultdict(set)
+    for r in pii.detect(df).collect():
+        got[r.doc_id] |= {(x.kind, x.start, x.end) for x in r.spans} - {(x.kind, x.start, x.end) for x in r.base}
+    assert {k: v for k, v in got.items() if v} == dict(want)
+    # found by a pattern whose seeds were themselves found; the first round alone doesn't reach it
+    assert want[200] and not want[201] and 200 not in brute_patterns(rows, rounds=1)
+
+
 def test_language_accuracy_and_rejection(real, odd, none, spark):
     model = langid.fit(real.where(~langid.held_out()))
     rows = langid.identify(real.withColumn("held", langid.held_out()), model).where("held").collect()
