@@ -21,9 +21,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share. Only where none is configured (tests) a local one is made."""
+    """The folder all executors share. Where none is configured a local master (tests) makes one; a cluster must name it."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="marketloom-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path

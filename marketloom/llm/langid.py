@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
 
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 #: Bytes that aren't part of letters (ASCII but for a-z) count as a word's border.
 BORDER = bytes(c if c > 127 or 97 <= c <= 122 else 32 for c in range(256))
 #: Coordinates of a vector.
@@ -47,12 +46,14 @@ def clustered(x: np.ndarray, k: int, seed: int, rounds: int = 12) -> np.ndarray:
 
 
 class Model:
-    """langs[j]: the language of centroid j; floor: by language, the cosine below which a text is rejected."""
+    """langs[j]: the language of centroid j; floor: by language, the cosine below which a text is rejected. Without centroids all is rejected as und."""
 
     def __init__(self, idf, centroids, langs, floor):
         self.idf, self.centroids, self.langs, self.floor = idf, centroids, langs, floor
 
     def predict(self, counts: np.ndarray):
+        if not self.langs:
+            return ["und"] * len(counts), np.zeros(len(counts)), [True] * len(counts)
         near = normalised(counts, self.idf) @ self.centroids.T
         best = near.argmax(1)
         score = np.clip(near[np.arange(len(best)), best].astype(float), 0, 1)
@@ -61,27 +62,35 @@ class Model:
 
 
 def fit(labelled: DataFrame, bound: int = 1200, clusters: int = 3, dim: int = DIM, seed: int = 11, slack: float = 0.5) -> Model:
-    """Fits centroids on labelled (doc_id, text, lang): at most about `bound` rows, the first by hashed doc_id.
+    """Fits centroids on labelled (doc_id, text, lang): at most about `bound` rows, from each language alike as far as it has them, the first by hashed doc_id.
 
     Rows without text, letter or lang teach nothing. Each language has up to `clusters` centroids.
-    Its rejection floor is `slack` times the smallest cosine of its training texts. Raises ValueError
-    if there is nothing to learn from.
+    Its rejection floor is `slack` times the smallest cosine of its training texts. With nothing to learn from,
+    the model tells no language (see Model).
     """
     rows = labelled.where("text is not null and lang is not null")
-    n = rows.count()
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not sizes:
+        return Model(None, None, [], {})
+    # languages with less than an even share leave the rest to the others
+    share, left = {}, bound
+    for k, lang in enumerate(sorted(sizes, key=lambda x: (sizes[x], x))):
+        share[lang] = min(sizes[lang], left / (len(sizes) - k))
+        left -= share[lang]
+    rate = F.create_map(*(F.lit(x) for lang in sorted(sizes) for x in (lang, share[lang] / sizes[lang])))
     mark = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 1).cast("double") / float(1 << 63)
 
     def count(batches):
         for batch in batches:
             t = pa.Table.from_batches([batch])
             keep = [(x, g) for x, g in zip(t["lang"].to_pylist(), t["text"].to_pylist()) if LETTER.search(g)]
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in keep], pa.string()), pa.array([np.minimum(grams(g, dim), 65535).astype("<u2").tobytes() for _, g in keep], pa.binary())], ["lang", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in keep], pa.string()), pa.array([grams(g, dim).astype("<u4").tobytes() for _, g in keep], pa.binary())], ["lang", "counts"])
 
-    sample = rows.where(mark < bound / n) if n > bound else rows
+    sample = rows.where(mark < rate[F.col("lang")])
     got = sorted(sample.select("lang", "text").mapInArrow(count, "lang string, counts binary").toPandas().itertuples(index=False), key=lambda r: (r.lang, r.counts))
     if not got:
-        raise ValueError("no labelled text to learn languages from")
-    counts = np.stack([np.frombuffer(r.counts, "<u2") for r in got]).astype(np.float32)
+        return Model(None, None, [], {})
+    counts = np.stack([np.frombuffer(r.counts, "<u4") for r in got]).astype(np.float32)
     langs = np.array([r.lang for r in got])
     idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))).astype(np.float32) + 1
     x = normalised(counts, idf)

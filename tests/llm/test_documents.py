@@ -306,8 +306,17 @@ def test_language_accuracy_and_rejection(real, odd, none, spark):
     out = langid.identify(odd, model).collect()
     assert {(r.lang_pred, r.rejected) for r in out if not (r.text and langid.LETTER.search(r.text))} == {("und", True)} if "text" in odd.columns else True
     assert langid.identify(none, model).count() == 0
-    with pytest.raises(ValueError):
-        langid.fit(none)
+    for nothing in (none, odd.where("lang is null"), odd.where("text = '12 34 ...'")):
+        empty = langid.fit(nothing)
+        assert {(r.lang_pred, r.score, r.rejected) for r in langid.identify(odd, empty).collect()} == {("und", 0.0, True)}
+    signs = spark.createDataFrame([(1, "² ½ 7 _ !"), (2, "ª"), (3, "ñ")], "doc_id long, text string")
+    assert [r.lang_pred == "und" for r in langid.identify(signs, model).orderBy("doc_id").collect()] == [True, False, False]
+
+
+def test_rare_languages_are_learnt(spark):
+    rows = [(i, "the quick brown fox jumps over the lazy dog again", "en") for i in range(3000)] + [(5000 + i, "zażółć gęślą jaźń i źdźbło trawy", "pl") for i in range(4)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), bound=60)
+    assert set(model.langs) == {"en", "pl"}
 
 
 @pytest.mark.parametrize("which", ["real", "odd", "none"])
