@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -107,72 +109,181 @@ class Codebook:
         return out
 
 
-def fit_codebooks(vectors: DataFrame, bound: int = 8192, seed: int = 3) -> dict[int, Codebook]:
-    """A codebook for each dimension, fitted on about `bound` vectors at most, the first by hashed vec_id."""
-    n = vectors.count()
+def packed(codes: np.ndarray) -> np.ndarray:
+    """Codes (parts x vectors) as rows of bytes, two codes to a byte."""
+    codes = np.concatenate((codes, np.zeros((len(codes) % 2, codes.shape[1]), np.uint8)))
+    return np.ascontiguousarray((codes[::2] | codes[1::2] << 4).T)
+
+
+def unpacked(rows: np.ndarray, parts: int) -> np.ndarray:
+    codes = np.empty((2 * rows.shape[1], len(rows)), np.uint8)
+    codes[::2], codes[1::2] = (rows & 15).T, (rows >> 4).T
+    return codes[:parts]
+
+
+class Index(NamedTuple):
+    """What is fitted for vectors of one length: a codebook and the centroids of cells, to the nearest of which a vector belongs."""
+
+    book: Codebook
+    cells: np.ndarray
+
+    def order(self, x: np.ndarray) -> np.ndarray:
+        """Cells by their distance to each of x, nearest first."""
+        return np.argsort((self.cells**2).sum(1)[None] - 2 * x @ self.cells.T, axis=1, kind="stable")
+
+
+def fit_index(vectors: DataFrame, part: int, bound: int, seed: int = 3) -> dict[int, Index]:
+    """An Index for each length of vectors, fitted on about `bound` of them at most, the first by hashed vec_id. A cell for each `part` vectors, but not more than one for 8 of the sample."""
+    sizes = {r["dim"]: r["count"] for r in vectors.groupBy(F.size("embedding").alias("dim")).count().collect()}
+    n = sum(sizes.values())
     mark = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "vec_id"), 1).cast("double") / float(1 << 63)
     sample = vectors.where(mark < bound / n) if n > bound else vectors
     by: dict[int, list] = defaultdict(list)
-    for row in sorted(sample.select("vec_id", "embedding").collect(), key=lambda r: r.vec_id):
+    for row in sorted(sample.select("vec_id", "embedding").collect(), key=lambda r: (r.vec_id, r.embedding)):
         by[len(row.embedding)].append(row.embedding)
-    return {d: Codebook(np.asarray(x, dtype=np.float64)) for d, x in by.items()}
+    found = {}
+    for d, rows in by.items():
+        x = np.asarray(rows, dtype=np.float64)
+        k = max(1, min(-(-sizes[d] // part), len(x) // 8))
+        cells = x[np.random.default_rng(seed).choice(len(x), k, replace=False)]
+        for _ in range(8):
+            near = ((cells**2).sum(1)[None] - 2 * x @ cells.T).argmin(1)
+            cells = np.stack([x[near == j].mean(0) if (near == j).any() else cells[j] for j in range(k)])
+        found[d] = Index(Codebook(x), cells)
+    return found
+
+
+def coded(vectors: DataFrame, index: dict[int, Index]) -> DataFrame:
+    """All vectors with dim, cell and their packed codes. Lengths that the sample doesn't hold have one cell and no codes."""
+
+    def run(batches):
+        for batch in batches:
+            for t in by_length(pa.Table.from_batches([batch])):
+                x = matrix(t["embedding"])
+                own = index.get(x.shape[1])
+                cell = own.order(x)[:, 0] if own else np.zeros(len(x), np.int64)
+                codes = [r.tobytes() for r in packed(own.book.encode(x))] if own else [b""] * len(x)
+                dims = np.full(len(x), x.shape[1])
+                yield from t.append_column("dim", pa.array(dims, pa.int32())).append_column("cell", pa.array(cell, pa.int32())).append_column("codes", pa.array(codes, pa.binary())).to_batches()
+
+    return vectors.select("vec_id", "embedding").mapInArrow(run, f"vec_id long, embedding {vectors.schema['embedding'].dataType.simpleString()}, dim int, cell int, codes binary")
+
+
+def by_length(t: pa.Table, most: int = 1024):
+    """A table's rows with embedding by its length, at most so many at a time."""
+    lengths = pa.compute.list_value_length(t["embedding"]).to_numpy(zero_copy_only=False)
+    for d in np.unique(lengths):
+        own = t.filter(pa.array(lengths == d))
+        for lo in range(0, len(own), most):
+            yield own.slice(lo, most).combine_chunks()
 
 
-def nearest(queries: DataFrame, vectors: DataFrame, k: int = 10, rerank: int = 150, block: int = 256, fit_bound: int = 8192) -> DataFrame:
+def probes_for(asked: DataFrame, ready: DataFrame, index: dict[int, Index], k: int, queries: int, coverage: float, seed: int = 9) -> dict[int, int]:
+    """How many cells a query must look into, by length: so many that of about `queries` sampled queries' true k nearest a share of `coverage` lies in them.
+
+    The sample is compared with all vectors: one pass, of which k + 1 rows a query leave each batch.
+    """
+    n = asked.count()
+    mark = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "query_id"), 1).cast("double") / float(1 << 63)
+    rows = asked.where(mark < queries / max(n, 1)).select("embedding").collect() if n else []
+    own: dict[int, np.ndarray] = {d: np.array([r.embedding for r in rows if len(r.embedding) == d], dtype=np.float64) for d in index}
+
+    def run(batches):
+        for batch in batches:
+            for t in by_length(pa.Table.from_batches([batch])):
+                x, cell = matrix(t["embedding"]), t["cell"].to_numpy()
+                q = own.get(x.shape[1], np.zeros((0, x.shape[1])))
+                if len(q):
+                    d = (q**2).sum(1)[:, None] - 2 * q @ x.T + (x**2).sum(1)
+                    near = np.argsort(d, axis=1, kind="stable")[:, : k + 1]
+                    m = near.shape[1]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(len(q) * m, x.shape[1]), pa.int32()), pa.array(np.repeat(np.arange(len(q)), m), pa.int32()),
+                        pa.array(np.take_along_axis(d, near, 1).ravel()), pa.array(cell[near.ravel()], pa.int32()),
+                    ], ["dim", "q", "d", "cell"])
+
+    found = ready.mapInArrow(run, "dim int, q int, d double, cell int")
+    found = found.withColumn("r", F.row_number().over(Window.partitionBy("dim", "q").orderBy("d", "cell"))).where(F.col("r") <= k + 1)
+    ranks: dict[int, list] = defaultdict(list)
+    places = {d: np.argsort(index[d].order(q), axis=1) for d, q in own.items() if len(q)}
+    for r in found.collect():
+        ranks[r.dim].append(int(places[r.dim][r.q, r.cell]) + 1)
+    return {d: int(np.quantile(ranks[d], coverage, method="higher")) if ranks[d] else len(index[d].cells) for d in index}
+
+
+def nearest(queries: DataFrame, vectors: DataFrame, k: int = 10, rerank: int = 150, part: int = 4096, block: int = 2048, fit_bound: int = 8192, sampled: int = 64, coverage: float = 0.98) -> DataFrame:
     """The k nearest of vectors to each of queries (both vec_id, embedding) by Euclidean distance, approximately.
 
-    All vectors are coded. Queries, in blocks, meet every chunk of the vectors: a scan of the four-bit
-    tables picks the chunk's `rerank` best distinct vectors, exact distances in double precision on the
-    original vectors pick its k. Returns query_id, rank (from 1), vec_id, score; nearest first, ties to
-    the smaller vec_id; fewer than k where there are fewer. A row is never its own neighbour, nor is
-    another with its vec_id. Unusable vectors (see sound) and rows without vec_id take no part, and
+    All vectors are coded, in four bits for two components, and belong to the nearest of the cells; a cell's vectors are
+    dealt to parts of about `part`. A query looks into as many cells as a sample of queries shows to hold `coverage` of true neighbours
+    (see probes_for): few where the vectors lie in clusters, nearly all where they don't. In each part the queries that look into it, in
+    blocks of about `block`, scan the four-bit tables, which pick the part's `rerank` best distinct
+    vectors; exact distances in double precision on the original vectors pick its k. So a task holds about
+    `part` vectors and `block` queries at any size of the tables.
+
+    Returns query_id, rank (from 1), vec_id, score; nearest first, ties to the smaller vec_id; fewer than k where fewer are
+    found. Each query row is answered on its own: of the vectors with its vec_id and its very numbers one, itself, is left out, others with its
+    vec_id are candidates. Unusable vectors (see sound) and rows without vec_id take no part, and
     vectors of different length are never compared; an empty side gives no rows.
     """
-    spark = vectors.sparkSession
-    schema = "query_id long, near array<struct<score:double,vec_id:bigint>>"
     ready = usable(vectors.where("vec_id is not null").select(F.col("vec_id").cast("long").alias("vec_id"), "embedding"))
     asked = usable(queries.where("vec_id is not null").select(F.col("vec_id").cast("long").alias("query_id"), "embedding"))
-    books = fit_codebooks(ready, fit_bound)
-    chunks = shuffle_partitions(spark)
-    left = ready.withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.lit(chunks)).cast("int")).withColumn("dim", F.size("embedding"))
-    right = asked.withColumn("dim", F.size("embedding")).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    asked = written(asked.withColumn("query", F.monotonically_increasing_id()), "asked")
+    index = fit_index(ready, part, fit_bound)
+    ready = written(coded(ready, index), "coded")
+    looks = probes_for(asked, ready, index, k, sampled, coverage)
+
+    def probe(batches):
+        for batch in batches:
+            for t in by_length(pa.Table.from_batches([batch])):
+                x = matrix(t["embedding"])
+                own = index.get(x.shape[1])
+                cells = own.order(x)[:, : looks[x.shape[1]]] if own else np.zeros((len(x), 1), np.int64)
+                rows = t.take(pa.array(np.repeat(np.arange(len(x)), cells.shape[1])))
+                yield from rows.append_column("dim", pa.array(np.full(len(rows), x.shape[1]), pa.int32())).append_column("cell", pa.array(cells.ravel(), pa.int32())).to_batches()
+
+    probing = written(asked.mapInArrow(probe, f"query_id long, embedding {asked.schema['embedding'].dataType.simpleString()}, query long, dim int, cell int"), "probing")
+    place = ["dim", "cell"]
+    sizes = ready.groupBy(*place).agg(F.ceil(F.count("*") / part).cast("int").alias("parts")).join(probing.groupBy(*place).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), place)
+    sizes = written(sizes, "cells")
+    left = ready.join(sizes, place).withColumns({"part": F.pmod(F.xxhash64("vec_id", "embedding"), "parts").cast("int"), "block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))})
+    right = probing.join(sizes, place).withColumns({"block": F.pmod(F.xxhash64("query"), "blocks").cast("int"), "part": F.explode(F.sequence(F.lit(0), F.col("parts") - 1))})
 
     def run(own: pa.Table, wanted: pa.Table) -> pa.Table:
         out_id, out_near = [], []
         if len(own) and len(wanted):
-            ids = own["vec_id"].to_numpy()
-            order = np.argsort(ids, kind="stable")
-            ids, x = ids[order], matrix(own["embedding"])[order]
-            # like vectors count as one; their smallest k + 1 ids are enough, one may be the query's
-            rows = np.ascontiguousarray(x).view(np.dtype((np.void, x.shape[1] * 8))).ravel()
+            ids, x = own["vec_id"].to_numpy(), matrix(own["embedding"])
+            # like vectors count as one; their smallest k + 1 ids are enough, one may be the query itself
+            rows = np.ascontiguousarray(x + 0.0).view(np.dtype((np.void, x.shape[1] * 8))).ravel()
             _, first, member = np.unique(rows, return_index=True, return_inverse=True)
-            by_class = np.argsort(member, kind="stable")
+            by_class = np.lexsort((ids, member))
             lows = np.searchsorted(member[by_class], np.arange(len(first) + 1))
-            u = x[first]
-            book = books.get(x.shape[1])
-            codes = book.encode(u) if book and len(u) > rerank else None
-            qids, qx = wanted["query_id"].to_numpy(), matrix(wanted["embedding"])
-            for lo in range(0, len(qids), block):
-                q = qx[lo : lo + block]
-                if codes is not None:
-                    near = book.scan(q, codes)
-                    best = np.argpartition(-near, rerank - 1, axis=1)[:, :rerank]
-                else:
-                    best = np.broadcast_to(np.arange(len(u)), (len(q), len(u)))
+            u, index_ = x[first], index.get(x.shape[1])
+            codes = unpacked(np.stack([np.frombuffer(own["codes"][int(i)].as_py(), np.uint8) for i in first]), len(index_.book.centroids)) if index_ else None
+            keys, qids, qx = wanted["query"].to_numpy(), wanted["query_id"].to_numpy(), matrix(wanted["embedding"])
+            m = min(rerank, len(u))
+            for lo in range(0, len(qids), 256):
+                q = qx[lo : lo + 256]
+                best = np.argpartition(-index_.book.scan(q, codes), m - 1, axis=1)[:, :m] if index_ else np.broadcast_to(np.arange(len(u)), (len(q), len(u)))
                 for j, cand in enumerate(best):
                     dist = np.sqrt(((u[cand] - q[j]) ** 2).sum(1))
                     edge = np.partition(dist, min(k, len(dist) - 1))[min(k, len(dist) - 1)]
                     found = []
                     for c in np.flatnonzero(dist <= edge):
-                        mine = by_class[lows[cand[c]] : lows[cand[c] + 1]]
-                        found += [(float(dist[c]), int(i)) for i in ids[mine[: k + 1]] if i != qids[lo + j]]
-                    out_id.append(int(qids[lo + j]))
+                        mine = ids[by_class[lows[cand[c]] : lows[cand[c] + 1]]]
+                        at = np.searchsorted(mine, qids[lo + j]) if dist[c] == 0 else len(mine)
+                        if at < len(mine) and mine[at] == qids[lo + j]:
+                            mine = np.delete(mine, at)
+                        found += [(float(dist[c]), int(i)) for i in mine[:k]]
+                    out_id.append(int(keys[lo + j]))
                     out_near.append([{"score": s, "vec_id": i} for s, i in sorted(found)[:k]])
-        return pa.table({"query_id": pa.array(out_id, pa.int64()), "near": pa.array(out_near, pa.list_(pa.struct([("score", pa.float64()), ("vec_id", pa.int64())])))})
+        return pa.table({"query": pa.array(out_id, pa.int64()), "near": pa.array(out_near, pa.list_(pa.struct([("score", pa.float64()), ("vec_id", pa.int64())])))})
 
-    met = left.groupBy("chunk", "dim").cogroup(right.groupBy("chunk", "dim")).applyInArrow(run, schema)
-    best = met.groupBy("query_id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("near"))
-    return best.select("query_id", F.posexplode("near").alias("rank", "n")).select("query_id", (F.col("rank") + 1).alias("rank"), "n.vec_id", "n.score")
+    keys = [*place, "part", "block"]
+    left, right = left.select(*keys, "vec_id", "embedding", "codes"), right.select(*keys, "query", "query_id", "embedding")
+    met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, "query long, near array<struct<score:double,vec_id:bigint>>")
+    ranked = met.select("query", F.inline("near")).withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy("score", "vec_id"))).where(F.col("rank") <= k)
+    return ranked.join(asked.select("query", "query_id"), "query").select("query_id", "rank", "vec_id", "score")
 
 
 def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,8 +299,9 @@ def directions(dim: int, passes: int, hashes: int, seed: int) -> tuple[np.ndarra
     return rng.standard_normal((passes * hashes, dim)) / np.sqrt(dim), rng.random(passes * hashes)
 
 
-def forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which of the pairs tie together what earlier ones have not: a spanning forest."""
+def forest(a: np.ndarray, b: np.ndarray, sure: int | None = None) -> np.ndarray:
+    """Which of the pairs tie together what earlier ones have not: a spanning forest. Pairs from the place `sure` on tie nothing, but are kept where the others don't tie them."""
+    sure = len(a) if sure is None else sure
     parent: dict[int, int] = {}
 
     def root(x):
@@ -202,20 +314,32 @@ def forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     for k, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
         x, y = root(x), root(y)
         if x != y:
-            parent[x] = y
             keep[k] = True
+            if k < sure:
+                parent[x] = y
     return keep
 
 
-def matches(keys, ids, x, window: int, least: float):
-    """Pairs of rows at most window apart, of one pass, with cosine of at least `least`: places i < j."""
-    close, left, right = x.astype(np.float32), [], []
-    for step in range(1, min(window, len(ids) - 1) + 1):
-        i = np.flatnonzero((keys[:-step] == keys[step:]) & (np.einsum("ij,ij->i", close[:-step], close[step:]) >= least - 1e-4))
-        i = i[(x[i] * x[i + step]).sum(1) >= least]
-        left.append(i)
-        right.append(i + step)
-    return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, int), np.zeros(0, int))
+def rounded(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unit vectors in a byte a component: numbers, their scale, and how far the vector is from what they stand for."""
+    scale = np.maximum(np.abs(x).max(1), 1e-30) / 127
+    small = np.rint(x / scale[:, None]).astype(np.int8)
+    return small, scale.astype(np.float32), np.linalg.norm(x - small * scale.astype(np.float32)[:, None].astype(np.float64), axis=1).astype(np.float32) + np.float32(1e-5)
+
+
+def matches(kinds, small, scale, error, window: int, least: float):
+    """Pairs of rows at most window apart, of one pass: places i < j that link for sure, and those too near `least` to tell from rounded vectors."""
+    close, sure, maybe = small.astype(np.float32), [], []
+    for step in range(1, min(window, len(kinds) - 1) + 1):
+        cosine = np.einsum("ij,ij->i", close[:-step], close[step:]) * scale[:-step] * scale[step:]
+        # |x.y - x'.y'| is at most |y - y'| + |x - x'| (1 + |y - y'|)
+        off = error[step:] + error[:-step] * (1 + error[step:])
+        same = kinds[:-step] == kinds[step:]
+        for out, hit in ((sure, cosine - off >= least), (maybe, (cosine - off < least) & (cosine + off >= least))):
+            i = np.flatnonzero(same & hit)
+            out.append(np.stack((i, i + step)))
+    none = np.zeros((2, 0), np.int64)
+    return (np.concatenate(v, axis=1) if v else none for v in (sure, maybe))
 
 
 def depth_and_passes(n: int) -> tuple[int, int]:
@@ -224,111 +348,121 @@ def depth_and_passes(n: int) -> tuple[int, int]:
 
 
 def pass_keys(x: np.ndarray, axes: np.ndarray, shift: np.ndarray, passes: int, width: float) -> np.ndarray:
-    """Sort keys of unit vectors for each pass: projections cut to steps of `width`, then one projection's value, big-endian bytes."""
+    """Sort keys of unit vectors for each pass: projections cut to steps of `width`, a byte each, then one projection's value, big-endian bytes."""
     at = (x @ axes.T).reshape(len(x), passes, -1)
-    cut = np.floor(at[..., :-1] / width + shift.reshape(passes, -1)[:, :-1]).astype(np.int32) + 32768
+    cut = np.clip(np.floor(at[..., :-1] / width + shift.reshape(passes, -1)[:, :-1]) + 128, 0, 255).astype(np.uint8)
     value = np.clip(np.floor(at[..., -1:] * (1 << 22)) + (1 << 31), 0, (1 << 32) - 1).astype(">u4")
-    return np.concatenate((np.ascontiguousarray(cut.astype(">u2")).view(np.uint8), np.ascontiguousarray(value).view(np.uint8)), axis=2)
+    return np.concatenate((cut, np.ascontiguousarray(value).view(np.uint8)), axis=2)
 
 
-def link_vectors(vectors: DataFrame, least: float = 0.9, passes: int | None = None, hashes: int | None = None, window: int = 48, width: float = 0.2, block: int = 2048, seed: int = 23) -> DataFrame:
+def link_vectors(vectors: DataFrame, least: float = 0.9, passes: int | None = None, hashes: int | None = None, window: int = 48, width: float = 0.2, block: int = 512, seed: int = 23) -> DataFrame:
     """Near-duplicate vectors (vec_id, embedding) by sorted projection passes.
 
     Vectors alike are one class. In each pass the classes are ordered by concatenated random hashes
-    (projections cut to steps of `width`; as many as depth_and_passes says, then a projection's value), each is compared with the `window` classes after it, and the
-    pairs of cosine `least` or more tie components together over all passes. Then the members of each
+    (projections cut to steps of `width`; as many as depth_and_passes says, then a projection's value). Only sort keys and vectors rounded to
+    a byte a component are sorted; each is compared with the `window` after it. What links whatever the rounding ties components
+    together; pairs that the rounding leaves open, and that aren't tied by then, are checked on the original vectors. The pairs of all passes are united. Then the members of each
     component are compared in blocks for their exact numbers of links, of which only counts leave a task.
 
     Returns a row per row: vec_id, n_links, component_id (smallest vec_id), kept. Unusable vectors (see
     usable) and rows without vec_id link with nothing: n_links 0, themselves as component. Rows with the
-    same vec_id are each a row of their own. Vectors of different length are never linked.
+    same vec_id are each a row of their own, linked only if their vectors are. Vectors of different length are never linked.
     """
     spark = vectors.sparkSession
     keyed = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
     ready = usable(keyed.where("vec_id is not null")).withColumn("a", F.xxhash64("embedding")).withColumn("b", F.xxhash64("embedding", F.lit(1)))
-    classes = written(ready.groupBy("a", "b").agg(F.min("vec_id").alias("node"), F.count("*").alias("n"), F.min("embedding").alias("embedding")), "classes")
+    classes = ready.groupBy("a", "b").agg(F.min("vec_id").alias("low"), F.count("*").alias("n"), F.min("embedding").alias("embedding"))
+    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     n_classes = classes.count()
     hashes, passes = (given or found for given, found in zip((hashes, passes), depth_and_passes(n_classes)))
 
     def deal(batches):
         for batch in batches:
-            t = pa.Table.from_batches([batch])
-            lengths = np.array([len(v) for v in t["embedding"]])
-            for dim in np.unique(lengths):
-                own = t.filter(pa.array(lengths == dim))
-                for lo in range(0, len(own), 1024):
-                    part = own.slice(lo, 1024)
-                    x = matrix(part["embedding"])
-                    x /= np.linalg.norm(x, axis=1, keepdims=True)
-                    axes, shift = directions(int(dim), passes, hashes + 1, seed)
-                    order = pass_keys(x, axes, shift, passes, width)
-                    for p in range(passes):
-                        keys = [int(dim).to_bytes(4, "big") + p.to_bytes(2, "big") + r.tobytes() for r in order[:, p]]
-                        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), part["node"].combine_chunks(), pa.array(list(x), pa.list_(pa.float64()))], ["key", "node", "x"])
-
-    edge = "a long, b long, part int, side int, key binary, node long, x array<double>"
-    rows = classes.select("node", "embedding").mapInArrow(deal, "key binary, node long, x array<double>")
+            for part in by_length(pa.Table.from_batches([batch])):
+                x = matrix(part["embedding"])
+                x /= np.linalg.norm(x, axis=1, keepdims=True)
+                dim = x.shape[1]
+                small, scale, error = rounded(x)
+                values = pa.array([r.tobytes() for r in small], pa.binary())
+                axes, shift = directions(dim, passes, hashes + 1, seed)
+                order = pass_keys(x, axes, shift, passes, width)
+                for p in range(passes):
+                    keys = [dim.to_bytes(4, "big") + p.to_bytes(2, "big") + r.tobytes() for r in order[:, p]]
+                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), part["node"].combine_chunks() if isinstance(part["node"], pa.ChunkedArray) else part["node"], values, pa.array(scale), pa.array(error)], ["key", "node", "x", "scale", "error"])
+
+    row = "key binary, node long, x binary, scale float, error float"
+    edge = f"a long, b long, sure boolean, part int, side int, {row}"
+    rows = classes.select("node", "embedding").mapInArrow(deal, row)
     parts = max(1, min(shuffle_partitions(spark), n_classes * passes // (8 * window)))
     ordered = rows.repartitionByRange(parts, "key", "node").sortWithinPartitions("key", "node")
 
-    def pairs_of(keys, nodes, vectors):
-        sizes = np.array([len(v) for v in vectors])
+    def pairs_of(t: pa.Table):
+        """Links for sure, as a spanning forest, and pairs to be checked that it doesn't tie: a, b, sure."""
+        keys, nodes, scale, error = t["key"].to_pylist(), t["node"].to_numpy(), t["scale"].to_numpy(), t["error"].to_numpy()
+        sizes = np.array([int.from_bytes(k[:4], "big") for k in keys])
         for dim in np.unique(sizes):
             own = np.flatnonzero(sizes == dim)
-            x = np.array([vectors[i] for i in own])
-            i, j = matches(np.array([hash(keys[k][:6]) for k in own]), own, x, window, least)
-            a, b = nodes[own[i]], nodes[own[j]]
-            keep = forest(a, b)
-            yield a[keep], b[keep]
-
-    def batch_of(a=(), b=(), part=None, side=None, keys=None, nodes=None, xs=None):
-        n, m = len(a), len(keys) if keys is not None else 0
-        none = lambda k: [None] * k
-        return pa.RecordBatch.from_arrays([
-            pa.array([*map(int, a), *none(m)], pa.int64()), pa.array([*map(int, b), *none(m)], pa.int64()),
-            pa.array([*none(n), *[part] * m], pa.int32()), pa.array([*none(n), *[side] * m], pa.int32()),
-            pa.array([*none(n), *(keys or ())], pa.binary()), pa.array([*none(n), *(nodes if nodes is not None else ())], pa.int64()),
-            pa.array([*none(n), *(xs or ())], pa.list_(pa.float64())),
-        ], ["a", "b", "part", "side", "key", "node", "x"])
+            kinds = np.array([int.from_bytes(keys[k][4:6], "big") for k in own])
+            small = np.frombuffer(b"".join(t["x"][int(k)].as_py() for k in own), np.int8).reshape(len(own), -1)
+            sure, maybe = matches(kinds, small, scale[own], error[own], window, least)
+            (a, b), (c, d) = nodes[own[sure]], nodes[own[maybe]]
+            kept = forest(np.concatenate((a, c)), np.concatenate((b, d)), len(a))
+            yield np.concatenate((a, c))[kept], np.concatenate((b, d))[kept], (np.arange(len(kept)) < len(a))[kept]
+
+    names = ["a", "b", "sure", "part", "side", "key", "node", "x", "scale", "error"]
+
+    def links(a, b, sure):
+        n = len(a)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sure, pa.bool_()), *(pa.nulls(n, x) for x in (pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.float32(), pa.float32()))], names)
+
+    def border(t: pa.Table, part: int, side: int):
+        n, t = len(t), t.combine_chunks()
+        columns = [t[c].combine_chunks() if isinstance(t[c], pa.ChunkedArray) else t[c] for c in names[5:]]
+        return pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()), pa.array([part] * n, pa.int32()), pa.array([side] * n, pa.int32()), *columns], names)
 
     def compare(batches):
         from pyspark import TaskContext
 
-        part = TaskContext.get().partitionId()
-        keys, nodes, xs, first = [], np.zeros(0, np.int64), [], True
+        part, held, first = TaskContext.get().partitionId(), None, True
         for batch in batches:
-            t = pa.Table.from_batches([batch])
-            for lo in range(0, len(t), 4096):
-                s = t.slice(lo, 4096)
-                keys += s["key"].to_pylist()
-                nodes = np.concatenate((nodes, s["node"].to_numpy()))
-                xs += list(matrix(s["x"])) if len({len(v) for v in s["x"]}) == 1 else [np.array(v.as_py()) for v in s["x"]]
-                if first and len(keys) >= window:
-                    yield batch_of(part=part, side=0, keys=keys[:window], nodes=nodes[:window], xs=xs[:window])
+            for lo in range(0, batch.num_rows, 4096):
+                t = pa.Table.from_batches([batch.slice(lo, 4096)])
+                held = t if held is None else pa.concat_tables([held, t])
+                if first and len(held) >= window:
+                    yield border(held.slice(0, window), part, 0)
                     first = False
-                for a, b in pairs_of(keys, nodes, xs):
-                    yield batch_of(a, b)
-                keys, nodes, xs = keys[-window:], nodes[-window:], xs[-window:]
-        if first and keys:
-            yield batch_of(part=part, side=0, keys=keys, nodes=nodes, xs=xs)
-        if keys:
-            yield batch_of(part=part + 1, side=-1, keys=keys, nodes=nodes, xs=xs)
+                for found in pairs_of(held):
+                    yield links(*found)
+                held = held.slice(max(0, len(held) - window))
+        if held is not None:
+            if first:
+                yield border(held, part, 0)
+            yield border(held, part + 1, -1)
 
     found = written(ordered.mapInArrow(compare, edge), "windows")
 
     def across(t: pa.Table) -> pa.Table:
-        order = np.lexsort((np.arange(len(t)), t["side"].to_numpy()))
-        t = t.take(pa.array(order))
-        done = [ab for ab in pairs_of(t["key"].to_pylist(), t["node"].to_numpy(), [np.array(v.as_py()) for v in t["x"]])]
-        a, b = (np.concatenate([d[k] for d in done]) if done else np.zeros(0, np.int64) for k in (0, 1))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    borders = found.where("part is not null").groupBy("part").applyInArrow(across, "a long, b long")
-    edges = found.where("a is not null").select("a", "b").union(borders).distinct()
-    label = written(components(edges).withColumn("size", F.count("*").over(Window.partitionBy("component"))), "labels")
+        t = t.take(pa.array(np.lexsort((np.arange(len(t)), t["side"].to_numpy()))))
+        return pa.concat_tables([pa.Table.from_batches([links(*x)]).select(["a", "b", "sure"]) for x in pairs_of(t)])
+
+    borders = found.where("part is not null").select("part", "side", *(c.split()[0] for c in row.split(", "))).groupBy("part").applyInArrow(across, "a long, b long, sure boolean")
+    pairs = found.where("a is not null").select("a", "b", "sure").union(borders)
+    pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sure").groupBy("a", "b").agg(F.max("sure").alias("sure")), "pairs")
+    open_ = pairs.where("not sure").join(classes.select(F.col("node").alias("a"), F.col("embedding").alias("x")), "a").join(classes.select(F.col("node").alias("b"), F.col("embedding").alias("y")), "b")
+
+    def check(batches):
+        for batch in batches:
+            for t in by_length(pa.Table.from_batches([batch]).rename_columns(["a", "b", "embedding", "y"])):
+                x, y = matrix(t["embedding"]), matrix(t["y"])
+                x, y = x / np.linalg.norm(x, axis=1, keepdims=True), y / np.linalg.norm(y, axis=1, keepdims=True)
+                yield from t.select(["a", "b"]).filter(pa.array((x * y).sum(1) >= least)).to_batches()
+
+    checked = open_.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
+    label = written(components(pairs.where("sure").select("a", "b").union(checked)), "labels")
+    sizes = label.groupBy("component").agg(F.count("*").alias("size"))
     # the members of each component, in blocks: every block is compared with every block of its component
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / block)).cast("int")
-    member, again = written_twice(label.join(classes, "node").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")), "members")
+    blocks = F.ceil(F.col("size") / block).cast("int")
+    member, again = written_twice(label.join(sizes, "component").join(classes, "node").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")), "members")
     one = member.select("component", F.col("block").alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"), "node", "n", "embedding")
     two = again.select("component", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("own"), F.col("block").alias("other"), "node", "n", "embedding")
 
@@ -337,20 +471,18 @@ def link_vectors(vectors: DataFrame, least: float = 0.9, passes: int | None = No
         if len(left) and len(right):
             y, other, weight = matrix(right["embedding"]), right["node"].to_numpy(), right["n"].to_numpy()
             y /= np.linalg.norm(y, axis=1, keepdims=True)
-            for lo in range(0, len(left), 512):
-                part = left.slice(lo, 512)
-                x = matrix(part["embedding"])
-                x /= np.linalg.norm(x, axis=1, keepdims=True)
-                near = (x @ y.T >= least) & (part["node"].to_numpy()[:, None] != other)
-                ids += part["node"].to_pylist()
-                links += (near @ weight).tolist()
+            x = matrix(left["embedding"])
+            x /= np.linalg.norm(x, axis=1, keepdims=True)
+            near = (x @ y.T >= least) & (left["node"].to_numpy()[:, None] != other)
+            ids, links = left["node"].to_numpy(), near @ weight
         return pa.table({"node": pa.array(ids, pa.int64()), "links": pa.array(links, pa.int64())})
 
     keys = ["component", "own", "other"]
-    links = written(one.groupBy(*keys).cogroup(two.groupBy(*keys)).applyInArrow(count, "node long, links long"), "links")
-    links = links.groupBy("node").agg(F.sum("links").alias("links"))
-    info = classes.select("a", "b", "node", "n").join(label.select("node", "component"), "node", "left").join(links, "node", "left")
-    info = info.select("a", "b", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
+    counted = written(one.groupBy(*keys).cogroup(two.groupBy(*keys)).applyInArrow(count, "node long, links long"), "links")
+    counted = counted.groupBy("node").agg(F.sum("links").alias("links"))
+    lows = member.groupBy("component").agg(F.min("low").alias("component_id"))
+    info = classes.select("a", "b", "node", "n", "low").join(label.join(lows, "component").select("node", "component_id"), "node", "left").join(counted, "node", "left")
+    info = info.select("a", "b", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component_id", "low").alias("component_id"))
     done = ready.select("vec_id", "a", "b").join(info, ["a", "b"]).select("vec_id", "n_links", "component_id")
     rest = keyed.where(F.col("vec_id").isNull() | ~F.coalesce(sound("embedding"), F.lit(False)))
     out = done.union(rest.select("vec_id", F.lit(0).cast("long"), F.col("vec_id").alias("component_id")))

@@ -1,7 +1,10 @@
+import math
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from marketloom.llm import link_graph, vectors
 
@@ -20,7 +23,7 @@ def points(spark):
 def test_nearest_recall(points):
     df, x = points
     got = {}
-    for r in vectors.nearest(df.where("vec_id % 20 = 0"), df, fit_bound=200, rerank=40).collect():
+    for r in vectors.nearest(df.where("vec_id % 20 = 0"), df, fit_bound=200, rerank=20, part=100, block=8).collect():
         got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
     assert set(got) == set(range(0, 400, 20))
     hits = 0
@@ -72,6 +75,59 @@ def test_planted_pairs_meet(n):
     assert planted_recall(n, 0.905) >= 0.98 and planted_recall(n, 0.95) >= 0.995
 
 
+def test_nearest_answers_every_query_row(spark):
+    rows = [(100, [1.0, 0.0]), (100, [0.0, 1.0]), (100, [0.0, 1.0]), (1, [1.0, 0.1]), (2, [0.0, 0.9]), (3, [1.0, 0.0]), (None, [1.0, 0.0]), (4, [1.0]), (200, [5.0]), (300, None)]
+    df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<double>, query string").withColumn("rank", F.lit(1)).withColumn("cell", F.lit("c"))
+    got = sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 6)) for r in vectors.nearest(df.where("vec_id % 100 = 0"), df, k=3).collect())
+    d = lambda a, b: round(float(np.linalg.norm(np.subtract(a, b))), 6)
+    want = []
+    for k, (i, v) in enumerate(rows):
+        if i is not None and i % 100 == 0 and v:
+            near = sorted((d(v, w), j) for m, (j, w) in enumerate(rows) if m != k and j is not None and w and len(w) == len(v))
+            want += [(i, r + 1, j, s) for r, (s, j) in enumerate(near[:3])]
+    assert got == sorted(want)
+
+
+def test_recall_on_many_vectors(spark):
+    """50,000 vectors of 32 dimensions, without clusters and with them."""
+    rng = np.random.default_rng(6)
+    for centres in (0, 300):
+        x = rng.standard_normal((50_000, 32)) + (4 * rng.standard_normal((centres, 32))[rng.integers(centres, size=50_000)] if centres else 0)
+        df = spark.createDataFrame(pa.table({"vec_id": np.arange(50_000), "embedding": pa.array(list(x), pa.list_(pa.float64()))}))
+        hits = 0
+        got = vectors.nearest(df.where("vec_id % 1000 = 0"), df).toPandas().groupby("query_id").vec_id.agg(set)
+        for q in range(0, 50_000, 1000):
+            d = ((x - x[q]) ** 2).sum(1)
+            d[q] = np.inf
+            hits += len(got[q] & set(np.argsort(d)[:10].tolist()))
+        assert hits / 500 >= 0.95
+
+
+def test_links_of_rows_with_one_id(spark):
+    rows = [(7, [1.0, 0.0, 0.0]), (7, [0.0, 1.0, 0.0]), (1, [1.0, 0.05, 0.0]), (2, [0.0, 1.0, 0.02]), (9, [0.0, 0.0, 1.0]), (9, [0.0, 0.0, 1.0])]
+    df = spark.createDataFrame([(i, v, 1, "s") for i, v in rows], "vec_id long, embedding array<float>, n int, component string")
+    got = sorted(tuple(r) for r in vectors.link_vectors(df).collect())
+    assert got == [(1, 1, 1, True), (2, 1, 2, True), (7, 1, 1, False), (7, 1, 2, False), (9, 1, 9, True), (9, 1, 9, True)]
+
+
+def test_planted_links_among_many(spark):
+    """Pairs and a group near the threshold among 20,000 vectors: all links against brute force."""
+    rng = np.random.default_rng(12)
+    x = rng.standard_normal((20_000, 48))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for i in range(0, 1600, 2):
+        side = rng.standard_normal(48)
+        side -= side @ x[i] * x[i]
+        c = rng.uniform(0.88, 0.99)
+        x[i + 1] = c * x[i] + math.sqrt(1 - c * c) * side / np.linalg.norm(side)
+    x[5000:5300] = x[5000] + 0.33 * rng.standard_normal((300, 48)) / math.sqrt(48)
+    y = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = np.concatenate([(y[lo : lo + 2000] @ y.T >= 0.9).sum(1) - 1 for lo in range(0, 20_000, 2000)])
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(20_000), "embedding": pa.array(list(x), pa.list_(pa.float64()))}))
+    got = vectors.link_vectors(df).toPandas().set_index("vec_id").n_links.sort_index().to_numpy()
+    assert (got <= want).all() and got.sum() >= 0.99 * want.sum() and want.sum() > 20_000
+
+
 def test_vectors_of_empty_tables(points):
     df, _ = points
     assert vectors.link_vectors(df.limit(0)).count() == 0 and vectors.nearest(df.limit(0), df.limit(0)).count() == 0
