@@ -2,97 +2,154 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import math
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, table
 
-#: What a header says, by license: short notices in the templates' own words.
+#: What licenses say of themselves in headers and titles, and the short licenses' own texts.
 TEMPLATES = (
-    ("Apache-2.0", "licensed under the apache license version 2.0"),
-    ("MIT", "released under the mit license"),
-    ("MIT", "permission is hereby granted free of charge"),
-    ("GPL-3.0", "licensed under the gnu general public license version 3"),
-    ("BSD-3-Clause", "redistribution and use in source and binary forms bsd 3-clause license"),
-    ("CC-BY-NC-4.0", "licensed under cc by-nc 4.0"),
-    ("CC-BY-4.0", "licensed under cc by 4.0"),
-    ("MPL-2.0", "subject to the terms of the mozilla public license v 2.0"),
-    ("Proprietary", "all rights reserved"),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
+    ("Apache-2.0", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("MIT", "Released under the MIT License"),
+    ("MIT", "The MIT License (MIT)"),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("GPL-3.0", "Licensed under the GNU General Public License, version 3"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-2.0", "Licensed under the GNU General Public License, version 2"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License"),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0"),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain"),
+    ("Proprietary", "All rights reserved"),
 )
-#: A line is a header's if it has one of these.
-CUE = r"(?i)licen[sc]e|copyright|all rights reserved|redistribution|spdx"
+#: Licenses whose SPDX line is a template too.
+SPDX = ("Apache-2.0", "MIT", "GPL-2.0-only", "GPL-3.0-only", "LGPL-3.0-only", "AGPL-3.0-only", "BSD-2-Clause", "BSD-3-Clause", "ISC", "MPL-2.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "Unlicense")
 TERM = r"[a-z0-9][a-z0-9.+-]*[a-z0-9]|[a-z0-9]"
-
-
-def weights() -> tuple[dict[str, float], list[tuple[str, dict[str, float]]]]:
-    """The terms' idf over the templates, and the templates' normalised vectors."""
-    import math
-    import re
-
-    bags = [(name, re.findall(TERM, text)) for name, text in TEMPLATES]
-    terms = sorted({t for _, b in bags for t in b})
-    idf = {t: math.log((1 + len(bags)) / (1 + sum(t in b for _, b in bags))) + 1 for t in terms}
-    out = []
-    for name, b in bags:
-        v = {t: b.count(t) * idf[t] for t in set(b)}
-        norm = math.sqrt(sum(x * x for x in v.values()))
-        out.append((name, {t: v[t] / norm for t in sorted(v)}))
-    return idf, out
-
-
-def header_scores(files: DataFrame) -> DataFrame:
-    """Each license line's best template: files' keys with line, license, score (cosine over the templates' terms and one weight for others).
-
-    Terms outside the templates count with the largest idf, so a long line of other words is far from all.
-    """
-    idf, templates = weights()
-    table_ = F.create_map(*(x for t, w in idf.items() for x in (F.lit(t), F.lit(w))))
-    other = max(idf.values())
-    lines = F.filter(F.split("text", "\r\n|\n|\r"), lambda x: F.regexp_like(x, F.lit(CUE)))
-    found = files.withColumn("line", F.explode(lines))
-    bag = F.regexp_extract_all(ascii_lower(F.col("line")), F.lit(TERM), F.lit(0))
-    found = found.withColumn("terms", bag).where(F.size("terms") > 0)
-    found = found.withColumn("tf", F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("t"), (F.size(F.filter("terms", lambda x: x == t)) * F.coalesce(F.element_at(table_, t), F.lit(other))).alias("w"))))
-    norm = F.sqrt(F.aggregate("tf", F.lit(0.0), lambda s, x: s + x["w"] * x["w"]))
-    found = found.withColumn("norm", norm)
+#: Where a text falls into units: line ends and sentence ends.
+UNIT = r"\r\n|\n|\r|(?<=[.!?;:])[\x20\t]+"
+#: A file with such a name is compared as a whole too.
+NAMED = r"(?i)(^|/)(un)?(licen[sc]e|copying|notice)([._-][^/]*)?$"
+#: Lengths in terms of the windows that a unit too long to be a header is cut into.
+WINDOWS = (6, 12, 24)
+
+
+def bags() -> list[tuple[str, list[str]]]:
+    spdx = [(name.removesuffix("-only"), f"SPDX-License-Identifier: {name}") for name in SPDX]
+    return [(name, re.findall(TERM, text.lower())) for name, text in (*TEMPLATES, *spdx)]
+
+
+class Weights:
+    """Terms' idf over the files and the templates' normalised vectors. A term of no template weighs as the templates' median term."""
+
+    def __init__(self, n: int, seen: dict[str, int], least: float):
+        own = bags()
+        self.idf = {t: math.log((1 + n) / (1 + seen.get(t, 0))) + 1 for _, b in own for t in b}
+        self.other = sorted(self.idf.values())[len(self.idf) // 2]
+        self.templates, self.strong = [], set()
+        for name, b in own:
+            v = {t: b.count(t) * self.idf[t] for t in sorted(set(b))}
+            norm = math.sqrt(sum(x * x for x in v.values()))
+            v = {t: x / norm for t, x in v.items()}
+            self.templates.append((name, v))
+            # without any of these terms a text's cosine stays under `least`: the rest of the vector is too short
+            rest = 1.0
+            for t in sorted(v, key=lambda t: (-v[t], t)):
+                if math.sqrt(max(rest, 0.0)) < least:
+                    break
+                self.strong.add(t)
+                rest -= v[t] ** 2
+
+
+def weigh(files: DataFrame, least: float) -> Weights:
+    """Counts in how many files each template term is: one pass, of which at most the templates' terms reach the driver."""
+    vocabulary = sorted({t for _, b in bags() for t in b})
+    terms = F.array_intersect(F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(TERM), F.lit(0)), F.array(*map(F.lit, vocabulary)))
+    seen = files.where("text is not null").select(F.explode(F.concat(F.array(F.lit("")), terms)).alias("t")).groupBy("t").count()
+    counts = {r.t: r["count"] for r in seen.collect()}
+    return Weights(counts.pop("", 0), counts, least)
+
+
+def own_license(path: str, weights: Weights, least: float) -> Column:
+    """A file's best template as struct(score, license), or null under `least`: one expression over text and path."""
+    quoted = "'" + TERM.replace("\\", "\\\\") + "'"
+    strong = "array(" + ", ".join(f"'{t}'" for t in sorted(weights.strong)) + ")"
+
+    def let(name, value, body):
+        return f"transform(array({value}), {name} -> {body})[0]"
+
+    def number(x):
+        return f"{x!r}D"
+
+    units = f"transform(split(low, '{UNIT.replace(chr(92), chr(92) * 2)}'), u -> regexp_extract_all(u, {quoted}, 0))"
+    long_ = 2 * max(WINDOWS)
+    runs = [f"transform(sequence(0, size(u) - 1), i -> flatten(slice(u, i + 1, {k})))" for k in (1, 2, 3)]
+    windows = [f"flatten(transform(filter(u, x -> size(x) > {long_}), x -> transform(sequence(0, size(x) - 1, {k // 3}), i -> slice(x, i + 1, {k}))))" for k in WINDOWS]
+    whole = f"if({path} is not null and regexp_like({path}, '{NAMED.replace(chr(92), chr(92) * 2)}'), array(flatten(u)), array())"
+    every = let("u", units, f"concat({', '.join(runs + windows)}, {whole})")
+    found = f"array_distinct(filter({every}, x -> size(x) > 0 and arrays_overlap(x, strong)))"
+    weight = "map(" + ", ".join(f"'{t}', {number(w)}" for t, w in sorted(weights.idf.items())) + ")"
+    tf = f"transform(array_distinct(x), t -> named_struct('t', t, 'w', size(filter(x, y -> y = t)) * coalesce(idf[t], {number(weights.other)})))"
     scores = []
-    for name, vector in templates:
-        v = F.create_map(*(x for t, w in vector.items() for x in (F.lit(t), F.lit(w))))
-        dot = F.aggregate("tf", F.lit(0.0), lambda s, x: s + x["w"] * F.coalesce(F.element_at(v, x["t"]), F.lit(0.0)))
-        scores.append(F.struct(F.round(dot / F.col("norm"), 9).alias("score"), F.lit(name).alias("license")))
-    found = found.withColumn("best", F.array_max(F.array(*scores)))
-    return found.drop("text", "terms", "tf", "norm").withColumns({"license": F.col("best.license"), "score": F.col("best.score")}).drop("best")
+    for k, (name, _) in enumerate(weights.templates):
+        scores.append(f"named_struct('score', aggregate(tf, 0D, (s, x) -> s + x.w * coalesce(vectors[{k}][x.t], 0D)), 'license', '{name}')")
+    vectors = "array(" + ", ".join("map(" + ", ".join(f"'{t}', {number(w)}" for t, w in v.items()) + ")" for _, v in weights.templates) + ")"
+    best = let("tf", tf, let("best", f"array_max(array({', '.join(scores)}))", "named_struct('score', round(best.score / sqrt(aggregate(tf, 0D, (s, x) -> s + x.w * x.w)), 9), 'license', best.license)"))
+    best = f"array_max(transform({found}, x -> {best}))"
+    body = let("low", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')", let("strong", strong, let("idf", weight, let("vectors", vectors, best))))
+    likely = F.regexp_like("text", F.lit("(?i)(" + "|".join(re.escape(t) for t in sorted(weights.strong)) + ")"))
+    out = F.when(likely, F.expr(body))
+    return F.when(out["score"] >= least, out)
 
 
 def scan(files: DataFrame, least: float = 0.6) -> DataFrame:
-    """Finds files' (path, text) licenses: path, license, score, origin, inherited_from.
-
-    A file's own license is that of its best header line with a cosine of at least `least`. A directory's
-    license is that of its best such file (ties to the smallest path); a file without one inherits from
-    the nearest directory above it that has one. origin: header, directory or none. Null or empty texts
-    have no header; null paths inherit nothing; rows alike are each a row of their own.
+    """Finds files' (path, text) licenses: path, license, score, origin, inherited_from, and files' other columns but text.
+
+    A text's units are its lines and sentences; compared with the templates, by cosine over terms weighted by their idf over all the files,
+    are one, two and three units in a row, windows of units too long to be a header, and whole files with the name of a license file.
+    The best of cosine `least` or more is the file's own license, ties to the last name. A text without any of
+    the terms that `least` takes is not compared. A directory's license is that of its license files, or of its other files, with the best
+    score, ties to the smallest path; a file without one inherits from
+    the nearest directory above it that has one, up to the root, ''. origin: header, directory or none. Null or empty texts
+    have no header; null paths inherit nothing; rows alike are each a row of their own; an empty table gives none. Columns named like the results are left out.
     """
-    rows = files.select("path", "text").withColumn("_row", F.monotonically_increasing_id())
-    best = header_scores(rows.where("text is not null")).where(F.col("score") >= least)
-    best = best.groupBy("_row").agg(F.max(F.struct("score", "license")).alias("own"))
-    return inherit(rows.drop("text").join(best, "_row", "left")).drop("_row")
+    weights = weigh(files, least)
+    kept = [c for c in files.columns if c not in ("text", "path", "license", "score", "origin", "inherited_from", "own", "above", "dir", "given")]
+    return inherit(files.select(*kept, "path", own_license("path", weights, least).alias("own")))
 
 
 def inherit(rows: DataFrame) -> DataFrame:
+    """Licenses of rows (path, own): own ones, or those of the nearest directory above."""
+    kept = [c for c in rows.columns if c not in ("path", "own")]
     parts = F.split("path", "/")
-    above = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda k: F.array_join(F.slice(parts, 1, k), "/"))
-    rows = rows.withColumn("above", F.when(F.size(parts) > 1, above))
+    above = F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda k: F.array_join(F.slice(parts, F.lit(1), k), "/"))
+    rows = rows.withColumn("above", F.when(F.col("path").isNotNull(), above))
     parent = F.element_at("above", -1)
-    dirs = rows.where("own is not null and above is not null").groupBy(parent.alias("dir")).agg(F.max_by("own.license", F.struct("own.score", F.lit(0))).alias("license"), F.max("own.score").alias("score"))
-    # a directory asks the directories above it; files then ask their own directory: one row a directory
+    first = F.struct(~F.regexp_like("path", F.lit(NAMED)), -F.col("own.score"), "path", "own.license")
+    dirs = rows.where("own is not null and above is not null").groupBy(parent.alias("from")).agg(F.min_by("own", first).alias("own"))
+    # a directory asks itself and the directories above it, one row a directory
     asked = rows.where("above is not null").select("above").distinct().select(F.element_at("above", -1).alias("dir"), F.posexplode("above").alias("depth", "from"))
-    nearest = asked.join(dirs.withColumnRenamed("dir", "from"), "from").groupBy("dir").agg(F.max(F.struct("depth", "from", "license", "score")).alias("given"))
+    nearest = asked.join(dirs, "from").groupBy("dir").agg(F.max(F.struct("depth", "from", "own")).alias("given"))
     out = rows.withColumn("dir", parent).join(nearest, "dir", "left")
     own = F.col("own").isNotNull()
     return out.select(
-        "_row", "path",
-        F.when(own, F.col("own.license")).otherwise(F.col("given.license")).alias("license"),
-        F.when(own, F.col("own.score")).otherwise(F.col("given.score")).alias("score"),
+        *kept, "path",
+        F.when(own, F.col("own.license")).otherwise(F.col("given.own.license")).alias("license"),
+        F.when(own, F.col("own.score")).otherwise(F.col("given.own.score")).alias("score"),
         F.when(own, "header").when(F.col("given").isNotNull(), "directory").otherwise("none").alias("origin"),
         F.when(~own, F.col("given.from")).alias("inherited_from"),
     )
@@ -103,8 +160,4 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     hundred = F.when(F.col("doc_id") % 100 >= 20, F.floor(F.col("doc_id") / 100).cast("string"))
     path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.floor(F.col("doc_id") / 1000).cast("string"), hundred, F.col("doc_id").cast("string"))
-    rows = docs.select("doc_id", path.alias("path"), "text")
-    best = header_scores(rows.where("text is not null")).where(F.col("score") >= 0.6)
-    best = best.groupBy("doc_id").agg(F.max(F.struct("score", "license")).alias("own")).withColumnRenamed("doc_id", "_row")
-    files = rows.select(F.col("doc_id").alias("_row"), "path").join(best, "_row", "left")
-    return inherit(files).withColumnRenamed("_row", "doc_id").withColumn("score", F.round("score", 6))
+    return scan(docs.select("doc_id", path.alias("path"), "text")).withColumn("score", F.round("score", 6))
