@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.llm import jaccard_join, langid, mixing, packing, pii
-from marketloom.llm.common import WORD, table, written
+from marketloom.llm.common import WORD, drop_written, table, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -72,6 +72,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(*COLUMNS)
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+    for k, (name, stage) in enumerate(STAGES):
+        last, docs = docs, written(stage(spark, docs, sf_dir), name)
+        if k:
+            drop_written(last)
     return docs
