@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import components, drop_written, table, written
@@ -289,7 +289,9 @@ def labelled(docs: DataFrame, small: int = 8, listed: int = 64, block: int = 204
     classes = written(sketches.where("n > 0").drop("hash").dropDuplicates(["node"]), "classes")
     drop_written(sketches)
     tokens = classes.select("node", F.explode("prefix").alias("token"))
-    shared = written(tokens.withColumn("size", F.count("*").over(Window.partitionBy("token"))).where("size > 1"), "shared")
+    # grouped counts are combined before the shuffle, and the join back may split a frequent token's rows
+    sizes = tokens.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
+    shared = written(tokens.join(sizes, "token"), "shared")
     points = classes.select("node", "n", "vector")
     lists = shared.where(F.col("size") <= listed).groupBy("token").agg(F.sort_array(F.collect_list("node")).alias("nodes")).select("nodes").distinct()
     lists = written(lists, "lists")
@@ -318,7 +320,8 @@ def labelled(docs: DataFrame, small: int = 8, listed: int = 64, block: int = 204
     drop_written(lists)
     clusters = components(candidates)
     members = clusters.withColumnRenamed("component", "cluster").join(classes.select("node", F.col("doc_id").alias("rep"), "n"), "node")
-    members = written(members.withColumn("weight", F.sum("n").over(Window.partitionBy("cluster"))).drop("n"), "clusters")
+    members = written(members, "members")
+    members = written(members.join(members.groupBy("cluster").agg(F.sum("n").alias("weight")), "cluster").select("node", "cluster", "rep", "weight"), "clusters")
     drop_written(classes)
     sets = written(shingle_sets(docs, members), "sets")
     links = written(linked(sets, most), "links")
@@ -326,7 +329,8 @@ def labelled(docs: DataFrame, small: int = 8, listed: int = 64, block: int = 204
     labels = written(components(links), "labels")
     low = rows.groupBy("node").agg(F.min("doc_id").alias("low")).where("node <> 0")
     own = low.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    own = own.withColumn("component_id", F.min("low").over(Window.partitionBy("component"))).select("node", "component", "component_id")
+    own = written(own, "own")
+    own = own.join(own.groupBy("component").agg(F.min("low").alias("component_id")), "component").select("node", "component", "component_id")
     out = rows.join(own, "node", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "hash", "component")
 
