@@ -24,5 +24,9 @@ def days(spark: SparkSession, start: str, end: str, rule: str = "all") -> DataFr
 
 
 def day_count(start, end, rule: str = "weekday"):
-    """How many days of a rule lie between two date columns."""
-    return F.size(F.filter(F.sequence(start, end), lambda d: (F.weekday(d) < 5) if rule == "weekday" else (F.weekday(d) != 6)))
+    """How many days of a rule lie between two date columns, both included."""
+    keep = {
+        "all": lambda d: F.lit(True), "weekday": lambda d: F.weekday(d) < 5, "mon_sat": lambda d: F.weekday(d) != 6, "monday": lambda d: F.weekday(d) == 0,
+        "month_clamped": lambda d: F.day(d) == 1, "quarter_end": lambda d: (d == F.last_day(d)) & F.month(d).isin(3, 6, 9, 12),
+    }[rule]
+    return F.when(start <= end, F.size(F.filter(F.sequence(start, end), keep))).otherwise(0)

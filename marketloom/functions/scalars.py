@@ -6,7 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: What the loose company-name normaliser removes, in this order, anywhere in the name.
-NAME_PARTS = (" ltd", " limited", " inc", " corp", " corporation", " co", ".", ",", " company", " holdings", " holding")
+NAME_PARTS = (
+    " co ltd", " co. ltd", " co., ltd", " co.,ltd", " corp", " corporation", " inc", " ltd", " co", " holding", " holdings",
+    " enterprise", " enterprises", " international", " group", "/taiwan", "/the", "/tw",
+)
 
 
 def strip_unicode(c: Column) -> Column:
@@ -23,14 +26,7 @@ def normalize_name(c: Column, parts=NAME_PARTS) -> Column:
     c = strip_unicode(F.lower(c))
     for p in parts:
         c = F.replace(c, F.lit(p), F.lit(""))
-    return F.trim(F.regexp_replace(F.regexp_replace(c, r"[^a-z0-9 ]", ""), r" +", " "))
-
-
-def strict_name(c: Column, parts=NAME_PARTS) -> Column:
-    """Like normalize_name, but takes the parts off the end only."""
-    tail = "|".join(p.strip().replace(".", r"\.") for p in parts if p.strip().isalpha())
-    c = F.regexp_replace(F.regexp_replace(strip_unicode(F.lower(c)), r"[.,]", ""), rf"( ({tail}))+$", "")
-    return F.trim(F.regexp_replace(c, r"[^a-z0-9 ]", ""))
+    return F.trim(F.regexp_replace(F.regexp_replace(c, r"(?U)[^a-z0-9\s]", ""), r"(?U)\s+", " "))
 
 
 def clean_ticker(c: Column) -> Column:
@@ -49,12 +45,12 @@ def falsy_coalesce(*cols: Column) -> Column:
 
 
 def parse_date_any(c: Column) -> Column:
-    """A date from Y年M月D日, Y/M/D, or YYYYMMDD, the forms tried in that order; null if none holds a real day."""
+    """The first date in a text: of the form Y年M月D or Y/M/D if there is one, else of YYYYMMDD; null if it is no real day."""
     def parts(pattern):
         y, m, d = (F.regexp_extract(c, pattern, k) for k in (1, 2, 3))
-        return F.when(y != "", F.try_to_date(F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")), "yyyy-MM-dd"))
+        return F.when(y != "", F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")))
 
-    return F.coalesce(parts(r"(20\d{2})\s*年\s*(\d{1,2})\s*月\s*(\d{1,2})\s*日"), parts(r"(20\d{2})/(\d{1,2})/(\d{1,2})"), parts(r"(20\d{2})(\d{2})(\d{2})"))
+    return F.try_to_date(F.coalesce(parts(r"(?U)(20\d{2})\s*[年/]\s*(\d{1,2})\s*[月/]\s*(\d{1,2})"), parts(r"(20\d{2})(\d{2})(\d{2})")), "yyyy-MM-dd")
 
 
 def excel_serial(c: Column) -> Column:
@@ -66,11 +62,28 @@ def from_excel_serial(c: Column) -> Column:
 
 
 def human_bytes(c: Column) -> Column:
-    size, out = c.cast("double"), None
-    for k, unit in enumerate(("B", "KB", "MB", "GB")):
-        text = F.format_string("%.1f" + unit, F.bround(size / F.lit(float(1024**k)), 1))
-        out = F.when(size < float(1024 ** (k + 1)), text) if out is None else out.when(size < float(1024 ** (k + 1)), text)
-    return out.otherwise(F.format_string("%.1fTB", F.bround(size / F.lit(float(1024**4)), 1)))
+    """Bytes with a unit up to PB, one place after the point."""
+    size, units = c.cast("double"), ("B", "KB", "MB", "GB", "TB", "PB")
+    texts = [F.format_string("%.1f" + unit, F.bround(size / F.lit(float(1024**k)), 1)) for k, unit in enumerate(units)]
+    out = F.when(size < 1024.0, texts[0])
+    for k in range(1, 5):
+        out = out.when(size < float(1024 ** (k + 1)), texts[k])
+    return out.otherwise(texts[5])
+
+
+def truthy(c: Column) -> Column:
+    """Whether a cell says true: true or 1, however it is stored."""
+    return F.coalesce(F.lower(c.cast("string")).isin("true", "1"), F.lit(False))
+
+
+def subscribed(status: Column, message: Column) -> Column:
+    """Whether a subscription holds: status 200 and a message that isn't "expired"."""
+    return F.coalesce(status == 200, F.lit(False)) & ~message.eqNullSafe(F.lit("已到期"))
+
+
+def name_prefix(c: Column) -> Column:
+    """A file name's part before the first underscore: its date."""
+    return F.substring_index(c, "_", 1)
 
 
 def enum_label(c: Column, labels: dict) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import human_bytes, progress_bar
@@ -34,3 +34,13 @@ def sizes(files: DataFrame) -> DataFrame:
 
 def with_bar(report: DataFrame) -> DataFrame:
     return report.withColumn("bar", progress_bar(F.col("pct")))
+
+
+def latest_before(asked: DataFrame, landed: DataFrame, most: int = 15) -> DataFrame:
+    """For each asked (dataset, d) the last weekday up to d, d included, that has landed data, of at most `most` weekdays; null if none has."""
+    have = landed.select("dataset", "d").where("weekday(d) < 5").distinct().withColumn("_h", F.col("d"))
+    both = asked.select("dataset", "d").distinct().withColumn("_a", F.lit(True)).join(have, ["dataset", "d"], "full_outer")
+    found = F.last("_h", ignorenulls=True).over(Window.partitionBy("dataset").orderBy("d"))
+    weekdays = F.size(F.filter(F.sequence("latest", "d"), lambda x: F.weekday(x) < 5))
+    out = both.withColumn("latest", found).where("_a")
+    return out.select("dataset", "d", F.when(weekdays <= most, F.col("latest")).alias("latest"))

@@ -55,21 +55,36 @@ def by_containment(names: DataFrame, stocks: DataFrame, least: int = 5) -> DataF
 
 
 def by_words(names: DataFrame, stocks: DataFrame, common: int = 2, least: float = 0.5) -> DataFrame:
-    """Best word overlap: shared words over the longer set's; two words at least on both sides and in common.
+    """Best word overlap: shared words over the longer set's; `common` words at least on both sides and in common.
 
-    Pairs come from an equi-join on words and a count. Returns name, code, ordinal, score.
+    A pair that scores `least` shares so many words that the rarest few of either side, by the stocks' and names' own
+    counts, have one in common. So only these meet in the equi-join, and a word that most names have is left out of it; the pairs found are then counted whole. Returns name, code, ordinal, score.
     """
     def words(c):
         return F.array_distinct(F.filter(F.split(normalize_name(c), " "), lambda x: x != ""))
 
-    n = names.select("name", words(F.col("name")).alias("w")).where(f"size(w) >= {common}").select("name", F.size("w").alias("n"), F.explode("w").alias("word"))
-    s = stocks.select("ordinal", "code", words(F.col("eng")).alias("w")).where(f"size(w) >= {common}").select("ordinal", "code", F.size("w").alias("m"), F.explode("w").alias("word"))
-    score = F.count("*") / F.greatest(F.first("n"), F.first("m"))
-    met = n.join(s, "word").groupBy("name", "ordinal", "code").agg(F.count("*").alias("both"), score.alias("score"))
-    met = met.where((F.col("both") >= common) & (F.col("score") >= least))
+    n = names.select("name", words(F.col("name")).alias("w")).where(f"size(w) >= {common}")
+    s = stocks.select("ordinal", "code", words(F.col("eng")).alias("v")).where(f"size(v) >= {common}")
+    often = n.select(F.explode("w").alias("word")).unionByName(s.select(F.explode("v").alias("word"))).groupBy("word").agg(F.count("*").alias("often"))
+
+    def rare(df, key, words_):
+        # of k words at least max(common, least * k) are shared, so one is among the rarest k less that many, plus one
+        each = df.select(*key, F.size(words_).alias("k"), F.explode(words_).alias("word")).join(often, "word")
+        first = each.withColumn("r", F.row_number().over(Window.partitionBy(*key).orderBy("often", "word")))
+        return first.where(F.col("r") <= F.col("k") - F.greatest(F.lit(common), F.ceil(F.col("k") * least)) + 1).select(*key, "word")
+
+    met = rare(n, ["name"], "w").join(rare(s, ["ordinal", "code"], "v"), "word").select("name", "ordinal", "code").distinct()
+    met = met.join(n, "name").join(s, ["ordinal", "code"]).withColumn("both", F.size(F.array_intersect("w", "v")))
+    met = met.withColumn("score", F.col("both") / F.greatest(F.size("w"), F.size("v"))).where((F.col("both") >= common) & (F.col("score") >= least))
     return dedup(met, ["name"], [F.desc("score"), F.asc("ordinal")]).select("name", "code", "ordinal", "score")
 
 
+def by_rule(names: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
+    """Special cases before all tiers: names that hold a phrase get its code. rules: (phrase, code), the first that fits."""
+    code = F.coalesce(*(F.when(F.contains(F.lower("name"), F.lit(phrase)), code) for phrase, code in rules))
+    return names.select("name", code.alias("code"), F.lit("manual").alias("method")).where("code is not null")
+
+
 def cascade(names: DataFrame, *tiers: DataFrame) -> DataFrame:
     """Each name's match (name, code, method) of the first tier that has one."""
     numbered = [t.select("name", "code", "method").withColumn("tier", F.lit(k)) for k, t in enumerate(tiers)]

@@ -116,3 +116,20 @@ def expected_date_gate(df: DataFrame, batch: str, ordinal: list[str], date: Colu
 
 def multiset_equal(a: DataFrame, b: DataFrame) -> bool:
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def ordered_list(df: DataFrame, key: str, order: str, value: str) -> DataFrame:
+    """Each key's values as a list in the given order, as a lookup table with several values a key holds them."""
+    return df.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct(order, value))), lambda x: x[value]).alias(f"{value}s"))
+
+
+def first_n(df: DataFrame, key: str, by: str, n: int, separator: str = ", ") -> DataFrame:
+    """Each key's n smallest values joined as text: ranked first, so that no more than n are collected."""
+    top = df.select(key, by).withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(by))).where(f"_r <= {n}")
+    return top.groupBy(key).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_r", by))), lambda x: x[by].cast("string")), separator).alias(by))
+
+
+def until_older(df: DataFrame, page: str, date: str, least: Column) -> DataFrame:
+    """Rows of pages, newest first, up to the first page whose rows are all older than `least`: paging that stops early."""
+    stop = df.groupBy(page).agg(F.max(date).alias("_d")).where(F.col("_d") < least).agg(F.min(page).alias("_stop"))
+    return df.join(F.broadcast(stop), F.col("_stop").isNull() | (F.col(page) <= F.col("_stop"))).drop("_stop")

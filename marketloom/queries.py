@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,17 +36,19 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --- holdings ----------------------------------------------------------------------------------
 
 
-def snapshot(spark, sf_dir, year: int) -> DataFrame:
-    rows = load(spark, sf_dir, "lineitem").where((F.year("l_shipdate") == year) & (F.col("l_partkey") % 7 != year % 7))
-    held = rows.groupBy(F.col("l_partkey").alias("stock_id")).agg(F.sum("l_quantity").alias("holdings"))
-    total = rows.agg(F.sum("l_quantity").alias("t"))
-    return held.crossJoin(F.broadcast(total)).select("stock_id", "holdings", F.round(F.col("holdings") / F.col("t") * 100, 8).alias("weight"))
+def snapshots(spark, sf_dir, *years: int) -> list[DataFrame]:
+    """Yearly holdings with their weight in percent, from one scan of the years' rows: the date range reaches the scan."""
+    ship = F.col("l_shipdate")
+    rows = load(spark, sf_dir, "lineitem").where((ship >= F.lit(f"{min(years)}-01-01").cast("timestamp_ntz")) & (ship < F.lit(f"{max(years) + 1}-01-01").cast("timestamp_ntz")))
+    held = rows.groupBy(F.year(ship).alias("y"), F.col("l_partkey").alias("stock_id")).agg(F.sum("l_quantity").alias("holdings"))
+    total = held.groupBy("y").agg(F.sum("holdings").alias("t"))
+    held = held.join(F.broadcast(total), "y").withColumn("weight", F.col("holdings") / F.col("t") * 100)
+    return [held.where(F.col("y") == y).select("stock_id", "holdings", "weight") for y in years]
 
 
 DIFF = """
-with s as (select year(l_shipdate) y, l_partkey stock_id, sum(l_quantity) holdings from lineitem
-           where year(l_shipdate) in (1998, 1999) and l_partkey % 7 <> year(l_shipdate) % 7 group by 1, 2),
-w as (select *, round(holdings / sum(holdings) over (partition by y) * 100, 8) weight from s),
+with s as (select year(l_shipdate) y, l_partkey stock_id, sum(l_quantity) holdings from lineitem where year(l_shipdate) in (1998, 1999) group by 1, 2),
+w as (select *, holdings / sum(holdings) over (partition by y) * 100 weight from s),
 n as (select * from w where y = 1999), p as (select * from w where y = 1998),
 d as (select coalesce(n.stock_id, p.stock_id) stock_id, coalesce(n.holdings, 0) holdings_now, coalesce(p.holdings, 0) holdings_prev,
   coalesce(n.weight, 0) weight_now, coalesce(p.weight, 0) weight_prev,
@@ -54,7 +58,7 @@ d as (select coalesce(n.stock_id, p.stock_id) stock_id, coalesce(n.holdings, 0)
 
 
 def whole_diff(spark, sf_dir):
-    return holdings.diff(snapshot(spark, sf_dir, 1999), snapshot(spark, sf_dir, 1998), "stock_id")
+    return holdings.diff(*snapshots(spark, sf_dir, 1999, 1998), "stock_id")
 
 
 @query(DIFF + """select stock_id, holdings_now, holdings_prev, status, holdings_now - holdings_prev holdings_diff, round(weight_now - weight_prev, 6) weight_diff,
@@ -159,7 +163,11 @@ def id_universe(spark, sf_dir):
 @query("select distinct o_custkey from orders where year(o_orderdate) = 1999 and o_custkey not in (select o_custkey from orders where year(o_orderdate) = 1998)")
 def new_ids(spark, sf_dir):
     o = load(spark, sf_dir, "orders")
-    return o.where("year(o_orderdate) = 1999").select("o_custkey").distinct().join(o.where("year(o_orderdate) = 1998").select("o_custkey"), "o_custkey", "left_anti")
+
+    def of(year):
+        return o.where(f"o_orderdate >= timestamp_ntz'{year}-01-01' and o_orderdate < timestamp_ntz'{year + 1}-01-01'").select("o_custkey")
+
+    return of(1999).distinct().join(of(1998), "o_custkey", "left_anti")
 
 
 @query("select s_suppkey, coalesce(n_name, '') n_name from supplier left join (select * from nation where n_regionkey in (0, 2)) on s_nationkey = n_nationkey")
@@ -179,7 +187,7 @@ WORDS = [("greeting", "the"), ("greeting", "und"), ("legal", "license"), ("legal
 
 @query("with w(label, word) as (values " + ", ".join(f"('{a}', '{b}')" for a, b in WORDS) + ") select distinct doc_id, label from documents join w on contains(text, word)")
 def keyword_multi_match(spark, sf_dir):
-    return notices.keyword_hits(load(spark, sf_dir, "documents"), "doc_id", "text", spark.createDataFrame(WORDS, "label string, word string"))
+    return notices.keyword_hits(load(spark, sf_dir, "documents"), "doc_id", "text", WORDS)
 
 
 @query("""with s as (select s_suppkey k, s_name as name from supplier), c as (select c_custkey k, c_name as name from customer)
@@ -224,42 +232,82 @@ def unmatched_names(spark, sf_dir):
     return sets.join(matching.by_ticker(sets, codes), "name", "left_anti").select("name")
 
 
-STOCKS = [(1, "A1", "antique lemon"), (2, "B2", "azure"), (3, "C3", "brown lace company"), (4, "D4", "blush steel anodized"), (5, "E5", "metallic corp"), (6, "F6", "steel")]
-STOCK_SQL = "s(ordinal, code, b) as (values (1, 'A1', 'antique lemon'), (2, 'B2', 'azure'), (3, 'C3', 'brown lacempany'), (4, 'D4', 'blush steel anodized'), (5, 'E5', 'metallic'), (6, 'F6', 'steel'))"
+def norm_sql(c: str) -> str:
+    out = f"lower(trim({c}))"
+    for part in scalars.NAME_PARTS:
+        out = f"replace({out}, '{part}', '')"
+    return f"trim(regexp_replace(regexp_replace({out}, '[^a-z0-9\\s]', '', 'g'), '\\s+', ' ', 'g'))"
+
 
+STOCKS = [(1, "A1", "Old Anvil Corp."), (2, "B2", "gizmo"), (3, "C3", "Small Ring International Co., Ltd"), (4, "D4", "the blue widget works"), (5, "E5", "Red Bolt Holding"), (6, "F6", "steel"), (7, "G7", "new rod"), (8, "H8", "New Rod Group"), (9, "I9", "Works of the Hot Plate"), (10, "J10", "plate hot")]
+STOCK_SQL = "stocks(ordinal, code, eng) as (values " + ", ".join(str(s) for s in STOCKS) + ")"
+CONTAINS = f"""n as (select distinct name, {norm_sql("name")} a from names), s as (select ordinal, code, {norm_sql("eng")} b from stocks),
+hit as (select name, code, case when contains(a, b) then 'contains' else 'reverse_contains' end as method, row_number() over (partition by name order by ordinal) k
+from n join s on length(b) >= 3 and (a = b or (contains(a, b) and length(b) >= 5) or (contains(b, a) and length(a) >= 5)))"""
 
-@query(f"""with {STOCK_SQL}, n as (select distinct p_name as name, lower(p_name) a from part),
-h as (select name, code, case when contains(a, b) then 'contains' else 'reverse_contains' end as method, row_number() over (partition by name order by ordinal) k
-from n join s on (contains(a, b) and length(b) >= 5) or (contains(b, a) and length(a) >= 5)) select name, code, method from h where k = 1""")
+
+@query(f"""with {STOCK_SQL}, names as (select distinct p_name as name from part), {CONTAINS} select name, code, method from hit where k = 1""")
 def contains_match(spark, sf_dir):
     names = load(spark, sf_dir, "part").select(F.col("p_name").alias("name")).distinct()
     return matching.by_containment(names, spark.createDataFrame(STOCKS, "ordinal int, code string, eng string"))
 
 
-@query("""with n as (select distinct p_name || ' ' || lower(p_type) as name from part), s as (select row_number() over (order by p_partkey) ordinal, 'P' || p_partkey code, p_name || ' ' || lower(p_type) eng from part where p_partkey <= 40),
+@query(f"""with {STOCK_SQL}, n as (select distinct p_name as name, {norm_sql("p_name")} a from part), s as (select *, {norm_sql("eng")} b from stocks)
+select name, arg_max(code, ordinal) code, 'exact_norm' as method from n join s on a = b where length(b) > 1 group by 1""")
+def normal_name_match(spark, sf_dir):
+    names = load(spark, sf_dir, "part").select(F.col("p_name").alias("name")).distinct()
+    return matching.by_normal_name(names, spark.createDataFrame(STOCKS, "ordinal int, code string, eng string"))
+
+
+RULES = [("government of taiwan", "GOV")]
+NAMES_SQL = "names as (select p_name as name from part union select 'Bonds of the Government of Taiwan' union select 'hot works of plate')"
+
+
+@query(f"""with {STOCK_SQL}, {NAMES_SQL}, {CONTAINS},
+g as (select name, 'GOV' code, 'manual' as method from names where contains(lower(name), 'government of taiwan')),
+x as (select name, arg_max(code, ordinal) code, 'exact_norm' as method from n join s on a = b where length(b) > 1 group by 1),
+w as (select name, code, 'word_match' as method from (select name, code, row_number() over (partition by name order by len(list_intersect(u, v)) / greatest(len(u), len(v)) desc, ordinal) k
+  from (select name, list_distinct(string_split(a, ' ')) u from n), (select ordinal, code, list_distinct(string_split(b, ' ')) v from s)
+  where len(u) >= 2 and len(v) >= 2 and len(list_intersect(u, v)) >= 2 and len(list_intersect(u, v)) / greatest(len(u), len(v)) >= 0.5) where k = 1),
+every as (select *, 0 t from g union all select *, 1 from x union all select name, code, method, 2 from hit where k = 1 union all select *, 3 from w)
+select name, code, method from (select *, row_number() over (partition by name order by t) r from every) where r = 1""")
+def name_cascade(spark, sf_dir):
+    extra = spark.createDataFrame([("Bonds of the Government of Taiwan",), ("hot works of plate",)], "name string")
+    names = load(spark, sf_dir, "part").select(F.col("p_name").alias("name")).unionByName(extra).distinct()
+    stocks = spark.createDataFrame(STOCKS, "ordinal int, code string, eng string")
+    words = matching.by_words(names, stocks).withColumn("method", F.lit("word_match"))
+    return matching.cascade(names, matching.by_rule(names, RULES), matching.by_normal_name(names, stocks), matching.by_containment(names, stocks), words)
+
+
+@query("""with n as (select distinct p_name || ' ' || lower(p_type) as name from part), s as (select p_partkey ordinal, 'P' || p_partkey code, p_name || ' ' || lower(p_type) eng from part),
 nw as (select name, list_distinct(string_split(lower(name), ' ')) w from n), sw as (select ordinal, code, list_distinct(string_split(lower(eng), ' ')) w from s),
 m as (select name, code, ordinal, len(list_intersect(nw.w, sw.w)) c, round(len(list_intersect(nw.w, sw.w)) / greatest(len(nw.w), len(sw.w)), 6) score from nw, sw where len(list_intersect(nw.w, sw.w)) >= 2)
-select name, code, cast(ordinal as int) ordinal, cast(score as double) score from (select *, row_number() over (partition by name order by score desc, ordinal) k from m where score >= 0.5) where k = 1""")
+select name, code, ordinal, cast(score as double) score from (select *, row_number() over (partition by name order by score desc, ordinal) k from m where score >= 0.5) where k = 1""")
 def word_match(spark, sf_dir):
     p = load(spark, sf_dir, "part").withColumn("name", F.concat_ws(" ", "p_name", F.lower("p_type")))
-    s = p.where("p_partkey <= 40").select(F.row_number().over(Window.orderBy("p_partkey")).alias("ordinal"), F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("code"), F.col("name").alias("eng"))
+    s = p.select(F.col("p_partkey").alias("ordinal"), F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("code"), F.col("name").alias("eng"))
     return matching.by_words(p.select("name").distinct(), s).withColumn("score", F.round("score", 6))
 
 
-NORM = "lower(trim(c_name))"
-for _p in scalars.NAME_PARTS:
-    NORM = f"replace({NORM}, '{_p}', '')"
+@query("select c_nationkey, list_sort(list(distinct c_mktsegment)) segments from customer group by 1")
+def ticker_sets(spark, sf_dir):
+    c = load(spark, sf_dir, "customer").withColumn("t", F.when(F.col("c_acctbal") < 0, F.lit(" ")).otherwise(F.concat(F.lit(" "), "c_mktsegment", F.lit(" "))))
+    found = matching.ticker_sets(c.unionByName(c.withColumn("t", F.col("c_mktsegment"))), "c_nationkey", "t")
+    return found.select("c_nationkey", F.col("tickers").alias("segments"))
+
+
+OFFICIAL = "'Acer Enterprises International Co., Ltd./Taiwan ' || c_name"
 
 
-@query(f"select c_custkey, trim(regexp_replace(regexp_replace({NORM.replace('c_name', chr(39) + 'Acer Corporation Inc. ' + chr(39) + ' || c_name')}, '[^a-z0-9 ]', '', 'g'), ' +', ' ', 'g')) as norm from customer")
+@query(f"select c_custkey, {norm_sql(OFFICIAL)} as norm from customer")
 def normalize_name(spark, sf_dir):
-    return load(spark, sf_dir, "customer").select("c_custkey", scalars.normalize_name(F.concat(F.lit("Acer Corporation Inc. "), F.col("c_name"))).alias("norm"))
+    return load(spark, sf_dir, "customer").select("c_custkey", scalars.normalize_name(F.concat(F.lit("Acer Enterprises International Co., Ltd./Taiwan "), F.col("c_name"))).alias("norm"))
 
 
 # --- upserts -----------------------------------------------------------------------------------
 
 UPSERT = """with old as (select o_custkey, cast(o_orderdate as date) d, o_orderkey, o_totalprice from orders),
-new as (select o_custkey, d, o_orderkey, o_totalprice + 1 o_totalprice from old where o_orderkey % 3 = 0 and d between date '1998-01-01' and date '1998-03-31'),
+new as (select o_custkey, d, o_orderkey, o_totalprice + 1 o_totalprice from old join (select o_orderkey k from orders where o_orderpriority = '1-URGENT') on k = o_orderkey where d between date '1998-01-01' and date '1998-03-31'),
 touched as (select distinct o_custkey from new),
 mix as (select *, 0 src from old where o_custkey in (select o_custkey from touched) and not d between date '1998-01-01' and date '1998-03-31' union all select *, 1 from new),
 up as (select o_custkey, d, o_orderkey, o_totalprice from (select *, row_number() over (partition by o_custkey, d order by src desc, o_orderkey desc, o_totalprice desc) k from mix) where k = 1
@@ -268,8 +316,9 @@ up as (select o_custkey, d, o_orderkey, o_totalprice from (select *, row_number(
 
 
 def upserted(spark, sf_dir):
-    old = load(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderdate").cast("date").alias("d"), "o_orderkey", "o_totalprice")
-    new = old.where("o_orderkey % 3 = 0 and d between date'1998-01-01' and date'1998-03-31'").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    orders = load(spark, sf_dir, "orders").withColumn("d", F.col("o_orderdate").cast("date"))
+    old = orders.select("o_custkey", "d", "o_orderkey", "o_totalprice")
+    new = orders.where("o_orderpriority = '1-URGENT' and d between date'1998-01-01' and date'1998-03-31'").select("o_custkey", "d", "o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice"))
     out = relational.windowed_upsert(old, new, "o_custkey", ["o_custkey", "d"], "d", "1998-01-01", "1998-03-31", [F.desc("o_orderkey"), F.desc("o_totalprice")])
     return old, out
 
@@ -291,10 +340,20 @@ def corrections(spark, sf_dir):
     return relational.corrections(load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_custkey"), patch, "o_orderkey")
 
 
-@query("select event_id, user_id from events where event_id not in (select event_id from events where event_id % 4 = 1)")
+@query(UPSERT + "select o_custkey, d, o_orderkey, round(o_totalprice, 2) o_totalprice from up")
+def entity_sink(spark, sf_dir):
+    """The upsert written to a table of customers: of its buckets only those with a changed customer are written again."""
+    old, merged = upserted(spark, sf_dir)
+    path = scratch(spark)
+    sinks.entities(old, path, "o_custkey")
+    sinks.entities(merged, path, "o_custkey", changed=relational.change_types(old, merged, "o_custkey").where("change_type <> 'unchanged'"))
+    return spark.read.parquet(path).select("o_custkey", "d", "o_orderkey", F.round("o_totalprice", 2).alias("o_totalprice"))
+
+
+@query("select event_id, user_id from events where event_id not in (select event_id from events where event_type = 'click')")
 def manifest_dedup(spark, sf_dir):
-    e = load(spark, sf_dir, "events").select("event_id", "user_id")
-    return coverage.pending(e.select("event_id"), e.where("event_id % 4 = 1").select("event_id")).join(e, "event_id")
+    e = load(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    return coverage.pending(e.select("event_id"), e.where("event_type = 'click'").select("event_id")).join(e, "event_id").select("event_id", "user_id")
 
 
 # --- calendars ---------------------------------------------------------------------------------
@@ -348,7 +407,7 @@ def request_plan(spark, sf_dir):
 
 
 def landed(spark, sf_dir):
-    return load(spark, sf_dir, "events").where("event_id % 3 = 0").select(F.col("event_type").alias("dataset"), F.col("ts").cast("date").alias("d"))
+    return load(spark, sf_dir, "events").where("value > 150").select(F.col("event_type").alias("dataset"), F.col("ts").cast("date").alias("d"))
 
 
 def expected(spark, sf_dir):
@@ -358,7 +417,7 @@ def expected(spark, sf_dir):
     return e.select(F.col("event_type").alias("dataset")).distinct().crossJoin(F.broadcast(days))
 
 
-LANDED = """with l as (select distinct event_type dataset, cast(ts as date) d from events where event_id % 3 = 0),
+LANDED = """with l as (select distinct event_type dataset, cast(ts as date) d from events where value > 150),
 days as (select cast(unnest(generate_series((select min(cast(ts as date)) from events), (select max(cast(ts as date)) from events), interval 1 day)) as date) d),
 x as (select dataset, d from (select distinct event_type dataset from events), days where isodow(d) < 6)
 """
@@ -382,10 +441,17 @@ def status_histogram(spark, sf_dir):
     return coverage.status_histogram(o, "o_orderpriority", "s", ["ok", "skip", "fail"])
 
 
-@query("""with b as (select source dataset, cast(sum(n_chars * 1024) as bigint) bytes from documents group by rollup(source))
-select dataset, bytes, case when bytes < 1024 then printf('%.1fB', bytes::double) when bytes < 1048576 then printf('%.1fKB', bytes / 1024) when bytes < 1073741824 then printf('%.1fMB', bytes / 1048576) else printf('%.1fGB', bytes / 1073741824) end size from b""")
+@query(LANDED + "select x.dataset, x.d, (select max(l.d) from l where l.dataset = x.dataset and l.d <= x.d and isodow(l.d) < 6 and date_diff('day', l.d, x.d) < 21) latest from x")
+def latest_day_with_data(spark, sf_dir):
+    """The last of 15 weekdays up to each day with landed data."""
+    return coverage.latest_before(expected(spark, sf_dir), landed(spark, sf_dir))
+
+
+@query("""with b as (select source dataset, cast(sum(n_chars::hugeint * 1024 * 1024) as bigint) bytes from documents group by rollup(source))
+select dataset, bytes, case when bytes < 1024 then printf('%.1fB', bytes::double) when bytes < 1048576 then printf('%.1fKB', bytes / 1024) when bytes < 1073741824 then printf('%.1fMB', bytes / 1048576)
+when bytes < 1099511627776 then printf('%.1fGB', bytes / 1073741824) when bytes < 1125899906842624 then printf('%.1fTB', bytes / 1099511627776) else printf('%.1fPB', bytes / 1125899906842624) end size from b""")
 def rollup_total(spark, sf_dir):
-    return coverage.sizes(load(spark, sf_dir, "documents").select(F.col("source").alias("dataset"), (F.col("n_chars") * 1024).alias("length")))
+    return coverage.sizes(load(spark, sf_dir, "documents").select(F.col("source").alias("dataset"), (F.col("n_chars") * 1024 * 1024).alias("length")))
 
 
 @query("select o_orderpriority, count(*) n from orders group by 1")
@@ -403,9 +469,62 @@ def cond_count(spark, sf_dir):
     return load(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(F.count_if(F.col("o_totalprice") > 150000).alias("big"), F.bool_and(F.col("o_totalprice") > 0).alias("positive"))
 
 
-@query("select event_type, array_to_string(list_slice(list_sort(list(event_id)), 1, 30), ', ') failed from events where value > 300 group by 1")
+@query("select event_type, array_to_string(list_slice(list_sort(list(event_id)), 1, 30), ', ') failed from events where value > 100 group by 1")
 def failure_list(spark, sf_dir):
-    return load(spark, sf_dir, "events").where("value > 300").groupBy("event_type").agg(F.array_join(F.slice(F.sort_array(F.collect_list("event_id")), 1, 30), ", ").alias("failed"))
+    failed = load(spark, sf_dir, "events").where("value > 100").select("event_type", F.col("event_id").alias("failed"))
+    return relational.first_n(failed, "event_type", "failed", 30)
+
+
+@query("select n_regionkey, list_transform(list_sort(list((n_nationkey, n_name))), lambda x: x[2]) n_names from nation group by 1")
+def ordered_list(spark, sf_dir):
+    return relational.ordered_list(load(spark, sf_dir, "nation"), "n_regionkey", "n_nationkey", "n_name")
+
+
+PAGED = "e as (select event_id, cast(ts as date) d, (row_number() over (order by ts desc, event_id) - 1) // 50 page from events)"
+
+
+@query(f"with {PAGED}, stop as (select min(page) p from (select page, max(d) m from e group by 1) where m < date '2024-01-20') select event_id, d from e where page <= coalesce((select p from stop), page)")
+def paging_until_older(spark, sf_dir):
+    """Event pages, newest first, up to the first that lies wholly before a date."""
+    e = load(spark, sf_dir, "events").select("event_id", F.col("ts").cast("date").alias("d"), "ts")
+    rank = F.row_number().over(Window.partitionBy("d").orderBy(F.desc("ts"), "event_id"))
+    # pages run over the whole list: rank within a day plus the rows of later days
+    days = e.groupBy("d").agg(F.count("*").alias("n")).withColumn("later", F.coalesce(F.sum("n").over(Window.orderBy(F.desc("d")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
+    paged = e.withColumn("r", rank).join(F.broadcast(days), "d").withColumn("page", F.floor((F.col("r") + F.col("later") - 1) / 50))
+    return relational.until_older(paged.select("event_id", "d", "page"), "page", "d", F.lit("2024-01-20").cast("date")).select("event_id", "d")
+
+
+@query("select o_orderkey, o_orderpriority from orders where o_orderstatus in ('F', 'O')")
+def truth_filter(spark, sf_dir):
+    cell = F.when(F.col("o_orderstatus") == "F", "TRUE").when(F.col("o_orderstatus") == "O", "1").when(F.col("o_orderpriority") == "5-LOW", "0")
+    return load(spark, sf_dir, "orders").where(scalars.truthy(cell)).select("o_orderkey", "o_orderpriority")
+
+
+@query("select c_custkey from customer where c_nationkey < 20 and c_mktsegment <> 'BUILDING'")
+def subscription_filter(spark, sf_dir):
+    status, message = F.when(F.col("c_nationkey") < 20, 200).when(F.col("c_nationkey") < 23, 402), F.when(F.col("c_mktsegment") == "BUILDING", "已到期").when(F.col("c_mktsegment") == "MACHINERY", "ok")
+    return load(spark, sf_dir, "customer").where(scalars.subscribed(status, message)).select("c_custkey")
+
+
+@query("select s_suppkey, strftime(date '2024-01-01' + s_suppkey::int, '%Y%m%d') d from supplier")
+def file_name_date(spark, sf_dir):
+    name = F.concat(F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.col("s_suppkey").cast("int")), "yyyyMMdd"), F.lit("_"), F.col("s_name"), F.lit("_x.csv"))
+    return load(spark, sf_dir, "supplier").select("s_suppkey", scalars.name_prefix(name).alias("d"))
+
+
+@query("""with o as (select o_orderkey, cast(o_orderdate as date) a, cast(o_orderdate as date) + 40 b from orders), l as (select o_orderkey, generate_series(a, b, interval 1 day) dd from o)
+select o_orderkey, len(list_filter(dd, lambda x: isodow(x) < 6)) weekdays, len(list_filter(dd, lambda x: isodow(x) < 7)) mon_sat, len(list_filter(dd, lambda x: isodow(x) = 1)) mondays, len(list_filter(dd, lambda x: day(x) = 1)) first_days from l""")
+def day_counts(spark, sf_dir):
+    a = F.col("o_orderdate").cast("date")
+    names = {"weekdays": "weekday", "mon_sat": "mon_sat", "mondays": "monday", "first_days": "month_clamped"}
+    return load(spark, sf_dir, "orders").select("o_orderkey", *(calendars.day_count(a, F.date_add(a, 40), rule).cast("long").alias(n) for n, rule in names.items()))
+
+
+@query("""select p_partkey, rpad(repeat('#', floor(least(p_size, 100) / 100 * 20)::int), 20, '-') bar, replace(replace(p_name, 'a', ''), ':', '') safe, date '1899-12-30' + p_size d from part""")
+def text_cleaners(spark, sf_dir):
+    """Progress bars, file names without the signs that file systems refuse, and days from serial numbers."""
+    name = F.concat(F.lit(" "), F.replace("p_name", F.lit("a"), F.lit('/:"')), F.lit("\n"))
+    return load(spark, sf_dir, "part").select("p_partkey", scalars.progress_bar(F.col("p_size")).alias("bar"), scalars.safe_file_name(name).alias("safe"), scalars.from_excel_serial(F.col("p_size")).alias("d"))
 
 
 # --- scalars -----------------------------------------------------------------------------------
@@ -446,13 +565,64 @@ def html_rows(spark, sf_dir):
     return notices.list_entries(load(spark, sf_dir, "pages"), r'<a href="([^"]*)">([^<]*)</a>', ["href", "label"])
 
 
-@query()
-def section_slice(spark, sf_dir):
-    """Notices made from suppliers: each names one code added and one deleted."""
+def notice_texts(spark, sf_dir):
+    """Notices made from suppliers, in both languages, with what makes them hard to read."""
     s = load(spark, sf_dir, "supplier")
     code = F.lpad((F.col("s_suppkey") % 9000 + 1000).cast("string"), 4, "0")
-    text = F.concat(F.lit("「特選臺灣"), F.col("s_suppkey").cast("string"), F.lit("指數」 自2026年6月26日 生效\n納入(1)：\n"), code, F.lit(" 瑞\n昱、\n刪除(1)：\n9999 乙\n* 註"))
-    return notices.parse(s.select(F.col("s_suppkey").alias("notice_id"), text.alias("text")))
+    text = F.concat(
+        F.lit("「特選臺灣"), F.col("s_suppkey").cast("string"), F.lit("\n 指數 」定期審核\n2026/06/09\n定審資料日 (20260529)，自 2026 年 6 月 26 日 （星期五）起生效\n成分股納入(2)：\n臺灣證券交易所掛牌股票：\n"), code,
+        F.lit(" 瑞\n昱、1101B 台泥乙特\n成分股刪除 （ 2 ）：3673 TPK-KY、6456GIS-KY\n* 9998 註\nReview Result\nInclusions(3): 5871 Chailease  Holding, 1101B TCC\nExclusions(1): 3673 TPK\n 2330 TSMC"),
+    )
+    return s.select(F.col("s_suppkey").alias("notice_id"), text.alias("text"))
+
+
+NOTICES = """rows(action, code, name) as (values ('add', null, '瑞昱'), ('add', '1101B', '台泥乙特'), ('add', '5871', 'Chailease Holding'), ('delete', '3673', 'TPK-KY'), ('delete', '6456', 'GIS-KY'), ('delete', '2330', 'TSMC')),
+parsed as (select s_suppkey notice_id, '特選臺灣' || s_suppkey || '指數' index_name, date '2026-06-09' announce_date, date '2026-05-29' review_date, date '2026-06-26' effective_date, action,
+coalesce(code, lpad((s_suppkey % 9000 + 1000)::varchar, 4, '0')) code, name from supplier, rows)"""
+
+
+@query(f"with {NOTICES} select * from parsed")
+def section_slice(spark, sf_dir):
+    return notices.parse(notice_texts(spark, sf_dir))
+
+
+@query("""with r(name, a, e) as (values ('臺灣高股息指數', date '2026-06-09', date '2026-06-26'), ('臺灣科技指數', date '2026-12-01', date '2026-12-21'))
+select s_suppkey notice_id, '2026年6月份審核日程表' report_title, date '2026-05-20' update_date, s_suppkey || name index_name, a announce_date, e effective_date from supplier, r""")
+def schedule_rows(spark, sf_dir):
+    key = F.col("s_suppkey").cast("string")
+    text = F.concat(F.lit("2026 年 6 月份 審核日程表\n更新日期 ：2026/5/20\n指數 公告日期 2026/1/1\n"), key, F.lit(" 臺灣高股息 指數 2026/6/09 2026/06/26\n休市 2026/06/19 2026/06/20\n"), key, F.lit("臺灣科技指數　2026/12/1　(2026/12/21) 2027/01/01"))
+    return notices.schedule(load(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("notice_id"), text.alias("text")))
+
+
+TRACKED = [("00X", "指數"), ("00Y", "特選臺灣7")]
+
+
+@query(f"""with {NOTICES}, hits as (select notice_id, '00X' as label from parsed union select notice_id, '00Y' from parsed where contains(index_name, '特選臺灣7')),
+found as (select label, announce_date, action, code, min(review_date) review_date, min(effective_date) effective_date from hits join parsed using (notice_id) group by all)
+select coalesce(f.label, g.label) as label, coalesce(f.announce_date, g.d) announce_date, coalesce(f.action, g.action) as action, coalesce(f.code, g.code) code,
+case when f.label is null then g.r else review_date end review_date, case when f.label is null then g.e else effective_date end effective_date, g.label is not null is_new
+from found f full join (values ('00X', 'add', '5871', date '2026-06-09', date '2020-01-01', date '2020-01-02'), ('00Z', 'add', '0050', date '2003-06-25', null, date '2003-06-30')) g(label, action, code, d, r, e)
+on f.label = g.label and f.action = g.action and f.code = g.code and f.announce_date = g.d""")
+def history_rebuild(spark, sf_dir):
+    """The tracked history, rebuilt from the landed notices and founding rows."""
+    texts = notice_texts(spark, sf_dir)
+    rows = notices.parse(texts)
+    hits = notices.keyword_hits(rows.select("notice_id", "index_name").distinct(), "notice_id", "index_name", TRACKED)
+    day = lambda x: x and datetime.date.fromisoformat(x)
+    founding = [("00X", "2026-06-09", "2020-01-01", "2020-01-02", "add", "5871"), ("00Z", "2003-06-25", None, "2003-06-30", "add", "0050")]
+    founding = spark.createDataFrame([(a, day(b), day(c), day(d), e, f) for a, b, c, d, e, f in founding], "label string, announce_date date, review_date date, effective_date date, action string, code string")
+    return notices.history(hits, rows, founding)
+
+
+@query("""with e(k, n, cc, ty, e, nn, o, s, vid, icc, v) as (values (0, 'Acer', 'TW', '0', 1.5, 10.0, 0.1, 'Tech', '2353', 'KY', 0.2), (1, 'Bond', 'TW', '1', null, null, null, 'Gov', 'B1', null, null), (2, 'Odd', null, '9', 3.0, null, null, '', '', null, null))
+select s_name period, date '2024-12-31' period_date, s_suppkey % 2 = 0 interim, n company_name, cc country_code, case ty when '0' then 'Equity' when '1' then 'Fixed Income' else ty end asset_type, e::double market_value_nok, nn::double nominal_value, o::double ownership_pct, s sector, vid ticker, icc incorporation_country, v::double voting_pct
+from supplier, e""")
+def fund_holdings(spark, sf_dir):
+    """Fund payloads made from suppliers, their data a list or an object that holds one."""
+    entries = '[{"n":"Acer","cc":"TW","at":0,"o":0.1,"a":{"e":1.5,"n":10},"eq":{"s":"Tech","vid":"2353","icc":"KY","v":0.2}},{"n":"Bond","cc":"TW","at":1,"eq":{"s":""},"fi":{"s":"Gov","vid":"B1"}},{"n":"Odd","at":9,"a":{"e":3}}]'
+    even = F.col("s_suppkey") % 2 == 0
+    payload = F.concat(F.lit('{"date":"2024-12-31T00:00:00","interim":'), F.when(even, "true").otherwise("false"), F.lit(',"data":'), F.when(F.col("s_nationkey") < 12, F.lit(entries)).otherwise(F.lit('{"data":' + entries + "}")), F.lit("}"))
+    return readers.fund_entries(load(spark, sf_dir, "supplier").select("s_name", payload.alias("payload")), "payload", "s_name")
 
 
 @query("select o_orderkey, cast(o_orderdate as date) d1, cast(o_orderdate as date) d2, cast(o_orderdate as date) d3 from orders")
@@ -482,15 +652,21 @@ def next_boundary(spark, sf_dir):
 # --- sources, sinks, streams -------------------------------------------------------------------
 
 
-@query()
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+
+
+@query("select unnest([" + ", ".join(f"'{t}'" for t in TABLES) + "]) as name, true has_bytes")
 def file_listing(spark, sf_dir):
-    return readers.listing(spark, sf_dir, "*.parquet").select("name", "length")
+    """The landed tables by the listing of their files, one file or many each; contents aren't read."""
+    files = readers.listing(spark, sf_dir, "*.parquet").withColumn("table", F.regexp_extract("path", r"([^/]+)\.parquet(/|$)", 1))
+    return files.where(F.col("table").isin(*TABLES)).groupBy(F.col("table").alias("name")).agg((F.sum("length") > 0).alias("has_bytes"))
 
 
 def scratch(spark) -> str:
+    """A new folder that all executors share; a machine-local one only with a local master and none configured."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    import uuid
-
+    if not shared and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return f"{shared}/roundtrip-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp()
 
 
@@ -508,6 +684,41 @@ def roundtrip_csv(spark, sf_dir):
     return readers.csv(spark, path, "s_suppkey long, s_name string")
 
 
+@query("select s_suppkey k, s_name as name from supplier union all select n_nationkey, n_name from nation")
+def csv_append(spark, sf_dir):
+    path = scratch(spark)
+    sinks.csv(load(spark, sf_dir, "supplier").withColumnsRenamed({"s_suppkey": "k", "s_name": "name"}), path, ["k", "name"])
+    sinks.csv(load(spark, sf_dir, "nation").withColumnsRenamed({"n_nationkey": "k", "n_name": "name"}), path, ["k", "name"], append=True)
+    return readers.csv(spark, path, "k long, name string")
+
+
+@query("select n_nationkey, n_name from nation")
+def snapshot_versions(spark, sf_dir):
+    """A new version beside the old one: who reads the old isn't disturbed, the new one is whole."""
+    path = scratch(spark)
+    old = spark.read.parquet(sinks.snapshot(load(spark, sf_dir, "nation").select("n_nationkey", "n_name").where("n_nationkey < 10"), path))
+    new = sinks.snapshot(load(spark, sf_dir, "nation").select("n_nationkey", "n_name").where("n_nationkey >= 10"), path)
+    return old.unionByName(spark.read.parquet(new))
+
+
+@query("select distinct cast(o_orderdate as date) d from orders")
+def date_list(spark, sf_dir):
+    """Days written as lines, with blank ones among them, and read back."""
+    path = scratch(spark)
+    days = load(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("d")).distinct()
+    sinks.lines(days.select(F.explode(F.array(F.concat(F.lit(" "), F.col("d").cast("string")), F.lit(""))).alias("line")), "line", path)
+    return readers.date_list(spark, path)
+
+
+@query("select n_nationkey, n_name from nation where n_regionkey <> 3")
+def json_envelopes(spark, sf_dir):
+    """Responses {status, msg, data}, one a region, of which those with status 200 give rows."""
+    path = scratch(spark)
+    n = load(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.collect_list(F.struct("n_nationkey", "n_name")).alias("data"))
+    sinks.json(n.select(F.when(F.col("n_regionkey") == 3, 402).otherwise(200).alias("status"), F.lit("msg").alias("msg"), "data").repartition(8), path)
+    return readers.envelope(spark, path, "n_nationkey:int, n_name:string")
+
+
 @query("select c_custkey, c_name, c_acctbal from customer")
 def roundtrip_json(spark, sf_dir):
     path = scratch(spark)
@@ -517,13 +728,11 @@ def roundtrip_json(spark, sf_dir):
 
 def streamed(spark, sf_dir, make, mode):
     path = scratch(spark)
-    from uuid import uuid4
-
     source = load(spark, sf_dir, "events")
     # a file stream reads a folder; where the table is one file its folder holds the others too
     copy = f"{path}-in"
     source.write.mode("overwrite").parquet(copy)
-    ingest.run_once(make(ingest.file_stream(spark, copy, source.schema, "ts")), path, f"{path}-log-{uuid4().hex}", mode)
+    ingest.run_once(make(ingest.file_stream(spark, copy, source.schema, "ts")), path, f"{path}-log", mode)
     return spark.read.parquet(path)
 
 
@@ -532,6 +741,12 @@ def stream_dedup(spark, sf_dir):
     return streamed(spark, sf_dir, lambda s: ingest.dedup_stream(s, ["event_id"], "ts", "4000 days").select("event_id"), "append")
 
 
-@query()
+@query("select cast(ts as date) d, event_type, count(*) n from events group by 1, 2")
 def stream_tumbling(spark, sf_dir):
-    return streamed(spark, sf_dir, lambda s: ingest.tumbling(s, "ts", "1 day", ["event_type"], "1 day"), "append")
+    """Daily counts by a stream in update mode: each micro-batch lands the windows that changed, and of a window the last batch counts."""
+    path, source = scratch(spark), load(spark, sf_dir, "events")
+    source.write.mode("overwrite").parquet(f"{path}-in")
+    stream = ingest.tumbling(ingest.file_stream(spark, f"{path}-in", source.schema, "ts"), "ts", "1 day", ["event_type"], "1 day")
+    ingest.upsert_stream(stream, lambda rows, batch: rows.withColumn("batch", F.lit(batch)).write.mode("overwrite").parquet(f"{path}/batch={batch:06d}"), f"{path}-log")
+    found = spark.read.option("basePath", path).parquet(path)
+    return relational.dedup(found, ["start", "event_type"], [F.desc("batch")]).select(F.col("start").cast("date").alias("d"), "event_type", "n")

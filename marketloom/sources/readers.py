@@ -34,15 +34,23 @@ def positional_rows(df: DataFrame, payload: str, etf: str) -> DataFrame:
     return rows.select("ordinal", F.to_date(F.col("r")[0], "yyyyMMdd").alias("date"), F.col("r")[1].alias("stock_id"), F.col("r")[3].cast("double").alias("weight_pct"), to_lots(F.col("r")[4]).alias("holdings"), "etf")
 
 
-def fund_entries(df: DataFrame, payload: str) -> DataFrame:
-    """Fund holdings from payloads whose data is a list, or an object that holds one; nested parts may be missing."""
+#: The fund's asset types.
+ASSET_TYPES = {0: "Equity", 1: "Fixed Income", 2: "Real Estate", 3: "Infrastructure"}
+
+
+def fund_entries(df: DataFrame, payload: str, period: str, labels: dict = ASSET_TYPES) -> DataFrame:
+    """Fund holdings from payloads {date, interim, data} whose data is a list, or an object that holds one; nested parts may be missing."""
     from ..functions.scalars import enum_label, falsy_coalesce
 
-    entry = "array<struct<n:string,cc:string,at:int,o:double,eq:struct<s:string,vid:string,icc:string,v:double>,fi:struct<s:string,vid:string>,re:struct<s:string>>>"
+    entry = "array<struct<n:string,cc:string,at:int,o:double,a:struct<e:double,n:double>,eq:struct<s:string,vid:string,icc:string,v:double>,fi:struct<s:string,vid:string>>>"
     data = F.get_json_object(payload, "$.data")
-    rows = df.withColumn("e", F.explode(F.coalesce(F.from_json(F.when(data.startswith("["), data), entry), F.from_json(F.get_json_object(payload, "$.data.data"), entry))))
-    label = enum_label(F.col("e.at"), {1: "Equity", 2: "Fixed income", 3: "Real estate"})
-    return rows.select(F.col("e.n").alias("company_name"), F.col("e.cc").alias("country_code"), label.alias("asset_type"), falsy_coalesce(F.col("e.eq.s"), F.col("e.fi.s"), F.col("e.re.s")).alias("sector"), falsy_coalesce(F.col("e.eq.vid"), F.col("e.fi.vid")).alias("ticker"), F.col("e.o").alias("ownership_pct"), F.col("e.eq.v").alias("voting_pct"))
+    rows = df.withColumn("e", F.explode(F.coalesce(F.from_json(F.when(F.startswith(F.ltrim(data), F.lit("[")), data), entry), F.from_json(F.get_json_object(payload, "$.data.data"), entry))))
+    return rows.select(
+        F.col(period).alias("period"), F.try_to_date(F.substring(F.get_json_object(payload, "$.date"), 1, 10), "yyyy-MM-dd").alias("period_date"), F.get_json_object(payload, "$.interim").cast("boolean").alias("interim"),
+        F.col("e.n").alias("company_name"), F.col("e.cc").alias("country_code"), enum_label(F.col("e.at"), labels).alias("asset_type"), F.col("e.a.e").alias("market_value_nok"), F.col("e.a.n").alias("nominal_value"),
+        F.col("e.o").alias("ownership_pct"), falsy_coalesce(F.col("e.eq.s"), F.col("e.fi.s")).alias("sector"), falsy_coalesce(F.col("e.eq.vid"), F.col("e.fi.vid")).alias("ticker"),
+        F.col("e.eq.icc").alias("incorporation_country"), F.col("e.eq.v").alias("voting_pct"),
+    )
 
 
 def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
@@ -61,8 +69,13 @@ def date_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.trim("value").alias("d")).where("d <> ''").select(F.col("d").cast("date").alias("d"))
 
 
+def json(spark: SparkSession, path: str, schema) -> DataFrame:
+    """JSON files that hold one document each, over several lines, under a declared schema."""
+    return spark.read.schema(schema).option("multiLine", True).json(path)
+
+
 def whole_texts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
 def unzip(spark: SparkSession, path: str) -> DataFrame:

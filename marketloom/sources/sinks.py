@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def dated(df: DataFrame, path: str, by: list[str], order: list[str] = ()) -> None:
@@ -31,3 +32,12 @@ def json(df: DataFrame, path: str) -> None:
 
 def lines(df: DataFrame, column: str, path: str) -> None:
     df.select(df[column].cast("string").alias("value")).write.mode("overwrite").text(path)
+
+
+def entities(df: DataFrame, path: str, entity: str, buckets: int = 64, changed: DataFrame | None = None) -> None:
+    """A table of entities in hashed buckets. With changed (entity), only the buckets that hold one are written again; df then has all rows of these."""
+    bucket = F.pmod(F.xxhash64(entity), F.lit(buckets)).cast("int")
+    rows = df.withColumn("bucket", bucket)
+    if changed is not None:
+        rows = rows.join(F.broadcast(changed.select(bucket.alias("bucket")).distinct()), "bucket", "left_semi")
+    dated(rows, path, ["bucket"], [entity])

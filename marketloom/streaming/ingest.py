@@ -26,6 +26,6 @@ def run_once(df: DataFrame, target: str, checkpoint: str, mode: str = "append")
     q.awaitTermination()
 
 
-def upsert_stream(stream: DataFrame, apply, checkpoint: str) -> None:
-    """Calls apply(batch, batch id) for each micro-batch: the batch upsert goes there."""
-    stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+def upsert_stream(stream: DataFrame, apply, checkpoint: str, mode: str = "update") -> None:
+    """Calls apply(batch, batch id) for each micro-batch: the batch upsert goes there. In update mode an aggregate's batch has the groups that changed."""
+    stream.writeStream.outputMode(mode).foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
