@@ -338,44 +338,52 @@ def test_suffix_tree_base_and_gain(which, request):
         assert sum(r.score for r in rows) >= sum(r.base_score for r in rows)
 
 
-@pytest.mark.parametrize("which", ["real", "odd"])
-def test_suffix_tree_score_matches_brute_force(which, request):
+@pytest.mark.parametrize("which,depth,sure", [("real", 2, 10**6), ("real", 3, 40), ("odd", 3, 10**6)])
+def test_suffix_tree_score_matches_brute_force(which, depth, sure, request):
     df = request.getfixturevalue(which)
     if which == "real":
         df = df.orderBy("doc_id").limit(60).cache()
-    rows = suffix_tree.score(df, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 1, piece_words=3000).collect()
+    rows = suffix_tree.score(df, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 1, depth=depth, sure=sure, piece_words=3000).collect()
     followers, counts, own = defaultdict(Counter), Counter(), []
     for i, t in texts(df):
         words = [*WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or "")), None]
         own.append((i, words))
         if i is not None and zlib.crc32(str(i).encode()) % 5 != 1:
             counts.update(words)
-            for size in (1, 2):
+            for size in range(1, depth + 1):
                 for k in range(size, len(words)):
                     followers[tuple(words[k - size : k])][words[k]] += 1
     n, v = sum(counts.values()), len(counts)
-
-    def q(w):
-        return (counts[w] + 0.5) / (n + 0.5 * (v + 1))
-
-    def diverges(f):
-        n_state = f.total()
-        return max(f.values()) >= 2 and sum(c * math.log((c - 1 + len(f) * q(w)) / (n_state - 1 + len(f)) / q(w)) for w, c in f.items()) >= 3.0
-
-    tree = {s: f for s, f in followers.items() if diverges(f)}
-
-    def p(words, k):
-        for size in (2, 1):
-            f = tree.get(tuple(words[k - size : k])) if k >= size else None
-            if f:
-                return (f[words[k]] + len(f) * q(words[k])) / (f.total() + len(f))
-        return q(words[k])
-
-    want = sorted((i or 0, round(sum(math.log10(p(words, k)) for k in range(len(words))), 3)) for i, words in own)
+    tree = {}
+
+    def p(state, w):
+        if not state:
+            return (counts[w] + 0.5) / (n + 0.5 * (v + 1))
+        f = tree.get(state)
+        if not f:
+            return p(state[1:], w)
+        m = f.total()
+        return (f[w] + m**0.75 * p(state[1:], w)) / (m + m**0.75)
+
+    def gain(state, f):
+        m, total = f.total(), 0.0
+        for w, c in f.items():
+            q = math.exp(-round(-math.log(p(state[1:], w)) * 1024) / 1024)
+            total += c * math.log((c - 1 + m**0.75 * q) / (m - 1 + m**0.75) / q)
+        return total
+
+    for state in sorted(followers, key=len):
+        f = followers[state]
+        if f.total() >= sure or max(f.values()) >= 2 and gain(state, f) >= 3.0:
+            tree[state] = f
+    want = sorted((i or 0, round(sum(math.log10(p(tuple(words[max(0, k - depth) : k]), w)) for k, w in enumerate(words)), 3)) for i, words in own)
     got = sorted((r.doc_id or 0, round(r.score, 3)) for r in rows)
     assert [i for i, _ in got] == [i for i, _ in want]
     assert np.allclose([x for _, x in got], [x for _, x in want], atol=2e-3)
-    assert which == "odd" or tree and any(len(s) == 2 for s in tree)
+    assert which == "odd" or any(len(s) == depth for s in tree) and (sure > 40 or any(f.total() >= sure for f in tree.values()))
+    # each state's predictions sum to one: of all words and the class of those not seen
+    for state in list(tree)[:5]:
+        assert math.isclose(sum(p(state, w) for w in counts) + p(state, "never seen"), 1.0, rel_tol=1e-9)
 
 
 def test_license_inheritance(spark):
