@@ -16,7 +16,7 @@ TEMPLATES = (
     ("Apache-2.0", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
     ("Apache-2.0", "Apache License Version 2.0, January 2004"),
     ("MIT", "Released under the MIT License"),
-    ("MIT", "The MIT License (MIT)"),
+    ("MIT", "MIT License, Copyright (c)"),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
     ("GPL-3.0", "Licensed under the GNU General Public License, version 3"),
@@ -39,7 +39,8 @@ TEMPLATES = (
 )
 #: Licenses whose SPDX line is a template too.
 SPDX = ("Apache-2.0", "MIT", "GPL-2.0-only", "GPL-3.0-only", "LGPL-3.0-only", "AGPL-3.0-only", "BSD-2-Clause", "BSD-3-Clause", "ISC", "MPL-2.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "Unlicense")
-TERM = r"[a-z0-9][a-z0-9.+-]*[a-z0-9]|[a-z0-9]"
+#: A term: a word, or a number with its points.
+TERM = r"[a-z0-9]+(?:\.[0-9]+)*"
 #: Where a text falls into units: line ends and sentence ends.
 UNIT = r"\r\n|\n|\r|(?<=[.!?;:])[\x20\t]+"
 #: A file with such a name is compared as a whole too.
@@ -54,66 +55,70 @@ def bags() -> list[tuple[str, list[str]]]:
 
 
 class Weights:
-    """Terms' idf over the files and the templates' normalised vectors. A term of no template weighs as the templates' median term."""
+    """Terms' idf over the files and the templates' normalised vectors. A term of no template weighs as the templates' median term.
 
-    def __init__(self, n: int, seen: dict[str, int], least: float):
+    A text's cosine with a template is at most the length of the template's vector over the terms that the text has. For
+    that bound terms in more than one of eight files count as there: common, by template, holds the squared length over these, rare the squares of the others.
+    """
+
+    def __init__(self, n: int, seen: dict[str, int]):
         own = bags()
         self.idf = {t: math.log((1 + n) / (1 + seen.get(t, 0))) + 1 for _, b in own for t in b}
         self.other = sorted(self.idf.values())[len(self.idf) // 2]
-        self.templates, self.strong = [], set()
+        self.templates, self.common, self.rare = [], [], []
         for name, b in own:
             v = {t: b.count(t) * self.idf[t] for t in sorted(set(b))}
             norm = math.sqrt(sum(x * x for x in v.values()))
             v = {t: x / norm for t, x in v.items()}
             self.templates.append((name, v))
-            # without any of these terms a text's cosine stays under `least`: the rest of the vector is too short
-            rest = 1.0
-            for t in sorted(v, key=lambda t: (-v[t], t)):
-                if math.sqrt(max(rest, 0.0)) < least:
-                    break
-                self.strong.add(t)
-                rest -= v[t] ** 2
+            self.rare.append({t: x * x for t, x in v.items() if 8 * seen.get(t, 0) <= n})
+            self.common.append(max(0.0, 1 - sum(self.rare[-1].values())) + 1e-9)
 
 
-def weigh(files: DataFrame, least: float) -> Weights:
+def weigh(files: DataFrame) -> Weights:
     """Counts in how many files each template term is: one pass, of which at most the templates' terms reach the driver."""
     vocabulary = sorted({t for _, b in bags() for t in b})
     terms = F.array_intersect(F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(TERM), F.lit(0)), F.array(*map(F.lit, vocabulary)))
     seen = files.where("text is not null").select(F.explode(F.concat(F.array(F.lit("")), terms)).alias("t")).groupBy("t").count()
     counts = {r.t: r["count"] for r in seen.collect()}
-    return Weights(counts.pop("", 0), counts, least)
+    return Weights(counts.pop("", 0), counts)
 
 
 def own_license(path: str, weights: Weights, least: float) -> Column:
-    """A file's best template as struct(score, license), or null under `least`: one expression over text and path."""
+    """A file's best template as struct(score, license), or null under `least`: one expression over text and path.
+
+    First a file's, then its windows' rare template terms are held against the bound of Weights; what it rules out can't reach `least`.
+    """
     quoted = "'" + TERM.replace("\\", "\\\\") + "'"
-    strong = "array(" + ", ".join(f"'{t}'" for t in sorted(weights.strong)) + ")"
 
     def let(name, value, body):
         return f"transform(array({value}), {name} -> {body})[0]"
 
-    def number(x):
-        return f"{x!r}D"
+    def vector(v):
+        return "map(" + ", ".join(f"'{t}', {x!r}D" for t, x in v.items()) + ")" if v else "cast(map() as map<string, double>)"
+
+    bounds = "array(" + ", ".join(f"named_struct('low', {c!r}D, 'squares', {vector(r)})" for c, r in zip(weights.common, weights.rare)) + ")"
+    rare = "array(" + ", ".join(f"'{t}'" for t in sorted({t for r in weights.rare for t in r})) + ")"
+    always = str(max(weights.common) >= least**2).lower()
+
+    def may(terms):
+        reach = f"exists(bounds, b -> aggregate(here, b.low, (s, x) -> s + coalesce(b.squares[x], 0D)) >= {least**2!r}D)"
+        return let("here", f"array_intersect({terms}, rare)", f"({always} or size(here) > 0) and {reach}")
 
-    units = f"transform(split(low, '{UNIT.replace(chr(92), chr(92) * 2)}'), u -> regexp_extract_all(u, {quoted}, 0))"
     long_ = 2 * max(WINDOWS)
     runs = [f"transform(sequence(0, size(u) - 1), i -> flatten(slice(u, i + 1, {k})))" for k in (1, 2, 3)]
     windows = [f"flatten(transform(filter(u, x -> size(x) > {long_}), x -> transform(sequence(0, size(x) - 1, {k // 3}), i -> slice(x, i + 1, {k}))))" for k in WINDOWS]
     whole = f"if({path} is not null and regexp_like({path}, '{NAMED.replace(chr(92), chr(92) * 2)}'), array(flatten(u)), array())"
-    every = let("u", units, f"concat({', '.join(runs + windows)}, {whole})")
-    found = f"array_distinct(filter({every}, x -> size(x) > 0 and arrays_overlap(x, strong)))"
-    weight = "map(" + ", ".join(f"'{t}', {number(w)}" for t, w in sorted(weights.idf.items())) + ")"
-    tf = f"transform(array_distinct(x), t -> named_struct('t', t, 'w', size(filter(x, y -> y = t)) * coalesce(idf[t], {number(weights.other)})))"
-    scores = []
-    for k, (name, _) in enumerate(weights.templates):
-        scores.append(f"named_struct('score', aggregate(tf, 0D, (s, x) -> s + x.w * coalesce(vectors[{k}][x.t], 0D)), 'license', '{name}')")
-    vectors = "array(" + ", ".join("map(" + ", ".join(f"'{t}', {number(w)}" for t, w in v.items()) + ")" for _, v in weights.templates) + ")"
+    found = f"array_distinct(filter(concat({', '.join(runs + windows)}, {whole}), x -> size(x) > 0 and {may('x')}))"
+    tf = f"transform(array_distinct(x), t -> named_struct('t', t, 'w', size(filter(x, y -> y = t)) * coalesce(idf[t], {weights.other!r}D)))"
+    scores = [f"named_struct('score', aggregate(tf, 0D, (s, x) -> s + x.w * coalesce(vectors[{k}][x.t], 0D)), 'license', '{name}')" for k, (name, _) in enumerate(weights.templates)]
     best = let("tf", tf, let("best", f"array_max(array({', '.join(scores)}))", "named_struct('score', round(best.score / sqrt(aggregate(tf, 0D, (s, x) -> s + x.w * x.w)), 9), 'license', best.license)"))
-    best = f"array_max(transform({found}, x -> {best}))"
-    body = let("low", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')", let("strong", strong, let("idf", weight, let("vectors", vectors, best))))
-    likely = F.regexp_like("text", F.lit("(?i)(" + "|".join(re.escape(t) for t in sorted(weights.strong)) + ")"))
-    out = F.when(likely, F.expr(body))
-    return F.when(out["score"] >= least, out)
+    vectors = "array(" + ", ".join(vector(v) for _, v in weights.templates) + ")"
+    best = let("idf", vector(dict(sorted(weights.idf.items()))), let("vectors", vectors, f"array_max(transform({found}, x -> {best}))"))
+    units = f"transform(split(low, '{UNIT.replace(chr(92), chr(92) * 2)}'), u -> regexp_extract_all(u, {quoted}, 0))"
+    body = let("u", units, f"if({may('flatten(u)')}, {best}, null)")
+    body = let("low", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')", let("bounds", bounds, let("rare", rare, body)))
+    return F.expr(let("own", body, f"if(own.score >= {least!r}D, own, null)"))
 
 
 def scan(files: DataFrame, least: float = 0.6) -> DataFrame:
@@ -121,13 +126,13 @@ def scan(files: DataFrame, least: float = 0.6) -> DataFrame:
 
     A text's units are its lines and sentences; compared with the templates, by cosine over terms weighted by their idf over all the files,
     are one, two and three units in a row, windows of units too long to be a header, and whole files with the name of a license file.
-    The best of cosine `least` or more is the file's own license, ties to the last name. A text without any of
-    the terms that `least` takes is not compared. A directory's license is that of its license files, or of its other files, with the best
+    The best of cosine `least` or more is the file's own license, ties to the last name. What can't reach `least`
+    by its template terms (see Weights) is not compared. A directory's license is that of its license files, or of its other files, with the best
     score, ties to the smallest path; a file without one inherits from
     the nearest directory above it that has one, up to the root, ''. origin: header, directory or none. Null or empty texts
     have no header; null paths inherit nothing; rows alike are each a row of their own; an empty table gives none. Columns named like the results are left out.
     """
-    weights = weigh(files, least)
+    weights = weigh(files)
     kept = [c for c in files.columns if c not in ("text", "path", "license", "score", "origin", "inherited_from", "own", "above", "dir", "given")]
     return inherit(files.select(*kept, "path", own_license("path", weights, least).alias("own")))
 

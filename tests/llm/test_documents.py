@@ -415,7 +415,7 @@ def test_license_scores_match_brute_force(which, request):
         if t is not None:
             n += 1
             seen.update(set(re.findall(licenses.TERM, re.sub("[A-Z]", lambda m: m[0].lower(), t))))
-    w = licenses.Weights(n, seen, 0.6)
+    w = licenses.Weights(n, seen)
     want = Counter()
     for path, t in rows:
         units = [re.findall(licenses.TERM, u) for u in re.split(licenses.UNIT, re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))]
