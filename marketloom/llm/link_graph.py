@@ -41,48 +41,54 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.where("src <> dst and src <> '' and dst <> ''").groupBy("src", "dst").agg(F.count("*").alias("w"))
 
 
-def spread(edges: DataFrame, seeds: DataFrame, rounds: int = 12, damping: float = 0.85) -> DataFrame:
-    """Personalised PageRank of hosts over edges (src, dst, w) from seeds (host, mass; masses sum to 1): host, rank.
+def spread(edges: DataFrame, seeds: DataFrame, most: int = 40, close: float = 1e-3, damping: float = 0.85) -> DataFrame:
+    """Personalised PageRank of hosts, for each side on its own: edges (side, src, dst, w), seeds (side, host, n); side, host, rank.
 
-    Each round is a join on the edges' source and a grouped sum; every fourth is written to the shared
-    folder. Mass at hosts without links leaves, so ranks sum to 1 at most.
+    Each round is a join on the edges' source and a grouped sum. Every fourth is written to the shared folder and compared
+    with the one before it: the rounds end when ranks moved by less than `close` in all, or after `most` rounds. Mass that
+    comes to a host without links goes back to the seeds: to scale the ranks of a side to a sum of 1 at the end comes to the same.
     """
-    out = edges.groupBy("src").agg(F.sum("w").alias("total"))
-    shares = written(edges.join(out, "src").select("src", "dst", (F.col("w") / F.col("total")).alias("share")), "shares")
-    start = seeds.select("host", (F.col("mass") * (1 - damping)).alias("mass"))
-    rank = seeds.select("host", F.col("mass").alias("rank"))
-    for k in range(rounds):
-        moved = rank.join(shares, rank.host == shares.src).groupBy("dst").agg((damping * F.sum(F.col("rank") * F.col("share"))).alias("mass"))
-        rank = moved.select(F.col("dst").alias("host"), "mass").union(start).groupBy("host").agg(F.sum("mass").alias("rank"))
-        if k % 4 == 3:
-            rank = written(rank, "rank")
-    return rank
-
-
-def judge(pages: DataFrame, rules=RULES, rounds: int = 12, bias: float = 1.0) -> DataFrame:
+    out = edges.groupBy("side", "src").agg(F.sum("w").alias("total"))
+    shares = written(edges.join(out, ["side", "src"]).select("side", F.col("src").alias("host"), "dst", (F.col("w") / F.col("total")).alias("share")), "shares")
+    masses = seeds.join(F.broadcast(seeds.groupBy("side").agg(F.sum("n").alias("all"))), "side")
+    start = written(masses.select("side", "host", (F.col("n") / F.col("all")).alias("rank")), "start")
+    again = start.select("side", "host", (F.col("rank") * (1 - damping)).alias("rank"))
+
+    def step(rank):
+        moved = rank.join(shares, ["side", "host"]).select("side", F.col("dst").alias("host"), (damping * F.col("rank") * F.col("share")).alias("rank"))
+        return moved.union(again).groupBy("side", "host").agg(F.sum("rank").alias("rank"))
+
+    rank = start
+    for _ in range(0, most, 4):
+        before = step(step(step(rank)))
+        both = before.select("side", "host", F.col("rank").alias("last"), F.lit(0.0).alias("rank")).union(step(before).select("side", "host", F.lit(0.0), "rank"))
+        rank = written(both.groupBy("side", "host").agg(F.sum("last").alias("last"), F.sum("rank").alias("rank")), "rank")
+        moved = rank.agg(F.sum(F.abs(F.col("rank") - F.col("last")))).first()[0] or 0.0
+        rank = rank.select("side", "host", "rank")
+        if moved < close:
+            break
+    whole = rank.groupBy("side").agg(F.sum("rank").alias("whole"))
+    return rank.join(F.broadcast(whole), "side").select("side", "host", (F.col("rank") / F.col("whole")).alias("rank"))
+
+
+def judge(pages: DataFrame, rules=RULES, most: int = 40, close: float = 1e-3, bias: float = 1.0) -> DataFrame:
     """Judges pages (page_id, url, html): page_id, host, path, rule, verdict, trust, distrust.
 
     Pages that a rule fits get its verdict. Hosts of allowed pages are trusted seeds, of blocked ones
     blocked seeds, each with mass by its share of such pages. Trust follows links; distrust goes
     against them, from a blocked host to those that link to it. A host without a fitting rule is blocked
     if its distrust exceeds bias times its trust, else allowed, so hosts that neither reaches are
-    allowed. Null urls and urls without :// have an empty host and path, match no rule and are allowed.
-    Rows alike are judged each.
+    allowed; so are all where no page is a seed. Null urls and urls without :// have an empty host and path, match no rule and are allowed.
+    Rows alike are judged each; an empty table gives none.
     """
     parsed = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), "html").withColumns({"host": host_of("url"), "path": path_of("url")})
     ruled = match(parsed, rules)
     edges = written(host_edges(parsed), "edges")
-    by_host = ruled.where("ruled is not null").groupBy("host", "ruled").agg(F.count("*").alias("n"))
-    by_host = written(by_host, "seeds")
-
-    def seeds(verdict):
-        own = by_host.where(F.col("ruled") == verdict)
-        return own.crossJoin(F.broadcast(own.agg(F.sum("n").alias("all")))).select("host", (F.col("n") / F.col("all")).alias("mass"))
-
-    trust = spread(edges, seeds("allow"), rounds).withColumnRenamed("rank", "trust")
-    back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "w")
-    distrust = spread(back, seeds("block"), rounds).withColumnRenamed("rank", "distrust")
-    hosts = trust.join(distrust, "host", "full_outer")
+    seeds = ruled.where("ruled is not null").groupBy(F.col("ruled").alias("side"), "host").agg(F.count("*").alias("n"))
+    # trust goes along the links, distrust against them
+    sides = edges.select(F.lit("allow").alias("side"), "src", "dst", "w").union(edges.select(F.lit("block"), "dst", "src", "w"))
+    ranks = spread(sides, seeds, most, close)
+    hosts = ranks.groupBy("host").agg(F.sum(F.when(F.col("side") == "allow", F.col("rank"))).alias("trust"), F.sum(F.when(F.col("side") == "block", F.col("rank"))).alias("distrust"))
     zero = F.lit(0.0)
     out = ruled.select("page_id", "host", "path", "rule", "ruled").join(hosts, "host", "left").withColumns({"trust": F.coalesce("trust", zero), "distrust": F.coalesce("distrust", zero)})
     method = F.when(F.col("rule").isNull() & (F.col("host") != "") & (F.col("distrust") > bias * F.col("trust")), "block").otherwise("allow")

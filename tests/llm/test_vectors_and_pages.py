@@ -153,3 +153,39 @@ def test_parsing_matches_plain_python(spark):
         rest = r.url.split("://", 1)[1] if "://" in r.url else ""
         host = re.match(r"[^/?#]*", rest)[0]
         assert (r.h, r.p) == (host.lower(), re.match(r"[^?#]*", rest[len(host) :])[0])
+
+
+def test_ranks_match_brute_force(spark):
+    rng = np.random.default_rng(5)
+    hosts = ["s0.net", "s1.net", "example.net", "s2.org"] + [f"h{k}.com" for k in range(36)]
+    rows, links = [], np.zeros((40, 40))
+    for i, h in enumerate(hosts):
+        for k in range(3):
+            to = [] if i % 9 == 5 else [int(t) for t in rng.integers(40, size=rng.integers(0, 5))]
+            for t in to:
+                links[i, t] += t != i
+            path = {"example.net": "/en/", "s2.org": "/fr/"}.get(h, "/") + str(k)
+            rows.append((3 * i + k, f"http://{h}{path}", "".join(f'<a href="http://{hosts[t]}/x">.</a>' for t in to), "clash"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, side string")
+
+    def rank(w, seed):
+        seed = seed / seed.sum()
+        total, r = w.sum(1), seed.copy()
+        for _ in range(400):
+            flow = (r / np.where(total > 0, total, 1) * (total > 0)) @ w + r[total == 0].sum() * seed
+            r = 0.85 * flow + 0.15 * seed
+        return r
+
+    trust = rank(links, np.array([3.0 * (h in ("example.net", "s2.org")) for h in hosts]))
+    distrust = rank(links.T, np.array([3.0 * (h in ("s0.net", "s1.net")) for h in hosts]))
+    got = link_graph.judge(df, most=200, close=1e-9).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        k = hosts.index(r.host)
+        assert abs(r.trust - trust[k]) < 1e-6 and abs(r.distrust - distrust[k]) < 1e-6
+        if r.rule is None:
+            assert r.verdict == ("block" if distrust[k] > trust[k] else "allow")
+    assert {r.verdict for r in got if r.rule is None} == {"allow", "block"}
+    # without rules, links or rows
+    assert {r.verdict for r in link_graph.judge(df, rules=()).collect()} == {"allow"} and link_graph.judge(df.limit(0)).count() == 0
+    assert {r.verdict for r in link_graph.judge(df.withColumn("html", F.lit(None).cast("string")).where("page_id > 20")).collect()} == {"allow"}
