@@ -8,7 +8,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, table
+from .common import ascii_lower, table, written
 
 #: What licenses say of themselves in headers and titles, and the short licenses' own texts.
 TEMPLATES = (
@@ -134,7 +134,8 @@ def scan(files: DataFrame, least: float = 0.6) -> DataFrame:
     """
     weights = weigh(files)
     kept = [c for c in files.columns if c not in ("text", "path", "license", "score", "origin", "inherited_from", "own", "above", "dir", "given")]
-    return inherit(files.select(*kept, "path", own_license("path", weights, least).alias("own")))
+    # the texts are compared once; what follows reads paths and results
+    return inherit(written(files.select(*kept, "path", own_license("path", weights, least).alias("own")), "own"))
 
 
 def inherit(rows: DataFrame) -> DataFrame:
