@@ -17,4 +17,5 @@ QUERIES = {
     "op10_embedding_near_dedup": vectors.op10_embedding_near_dedup,
 }
 
-SQL: dict[str, str] = {}
+#: Where SQL can say the same; the other operators are tested against brute force in tests/llm.
+SQL: dict[str, str] = {"op7_ngram_jaccard_join": jaccard_join.SQL, "op10_embedding_near_dedup": vectors.LINKS_SQL}

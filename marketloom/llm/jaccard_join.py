@@ -337,3 +337,17 @@ def labelled(docs: DataFrame, small: int = 8, listed: int = 64, block: int = 204
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join(table(spark, sf_dir, "documents"))
+
+
+#: The join in DuckDB's SQL: all pairs with a common shingle, counted, and what they reach.
+SQL = r"""
+with recursive docs as (select row_number() over () as id, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+words as (select id, len(w) as k, unnest(w) as x, generate_subscripts(w, 1) as pos from docs),
+runs as (select id, k, pos, concat_ws(' ', x, lead(x, 1) over i, lead(x, 2) over i, lead(x, 3) over i, lead(x, 4) over i) as t from words window i as (partition by id order by pos)),
+shingles as (select distinct id, t from runs where pos = 1 or pos <= k - 4),
+sizes as (select id, count(*) as n from shingles group by id),
+one as (select s.id, z.n, s.t from shingles s join sizes z on s.id = z.id),
+links as (select a.id as a, b.id as b from one a join one b on a.t = b.t and a.id <> b.id group by a.id, b.id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach(a, b) as (select id, id from docs union select r.a, l.b from reach r join links l on r.b = l.a)
+select d.doc_id, coalesce(z.n, 0) as n_shingles, min(o.doc_id) as component_id from docs d left join sizes z on z.id = d.id join reach r on r.a = d.id join docs o on o.id = r.b group by d.id, d.doc_id, z.n
+"""

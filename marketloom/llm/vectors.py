@@ -491,3 +491,14 @@ def link_vectors(vectors: DataFrame, least: float = 0.9, passes: int | None = No
 
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_vectors(table(spark, sf_dir, "embeddings"))
+
+
+#: The links in DuckDB's SQL: every pair's cosine, and what they reach.
+LINKS_SQL = """
+with recursive v as (select row_number() over () as id, vec_id, list_transform(embedding, lambda x: x::double) as x from embeddings),
+good as (select * from v where vec_id is not null and x is not null and len(x) > 0 and len(list_filter(x, lambda y: y is null or not isfinite(y))) = 0 and len(list_filter(x, lambda y: y <> 0)) > 0),
+links as (select a.id as a, b.id as b from good a join good b on a.id <> b.id and len(a.x) = len(b.x) where list_cosine_similarity(a.x, b.x) >= 0.9),
+reach(a, b) as (select id, id from v union select r.a, l.b from reach r join links l on r.b = l.a),
+low as (select r.a, min(o.vec_id) as component_id from reach r join v o on o.id = r.b group by r.a)
+select vec_id, (select count(*) from links where a = v.id) as n_links, component_id, coalesce(vec_id = component_id, true) as kept from v join low on low.a = v.id
+"""

@@ -363,13 +363,13 @@ def test_suffix_tree_score_matches_brute_force(which, depth, sure, request):
         if not f:
             return p(state[1:], w)
         m = f.total()
-        return (f[w] + m**0.75 * p(state[1:], w)) / (m + m**0.75)
+        return (f[w] + m**0.85 * p(state[1:], w)) / (m + m**0.85)
 
     def gain(state, f):
         m, total = f.total(), 0.0
         for w, c in f.items():
             q = math.exp(-round(-math.log(p(state[1:], w)) * 1024) / 1024)
-            total += c * math.log((c - 1 + m**0.75 * q) / (m - 1 + m**0.75) / q)
+            total += c * math.log((c - 1 + m**0.85 * q) / (m - 1 + m**0.85) / q)
         return total
 
     for state in sorted(followers, key=len):
