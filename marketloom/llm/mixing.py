@@ -166,8 +166,8 @@ def drawn_blocks(levels: int, seed: int) -> str:
     return f"flatten(transform(passes, p -> filter(transform(sequence({block_at('_at')}, {block_at('(_at + size - 1)')}), k -> {one}), x -> x is not null)))"
 
 
-def draw(sized: DataFrame, columns: list[str], weights: tuple, share: float, most: int, levels: int | None, block: int, seed: int) -> DataFrame:
-    """Places the rows of measured(), a stored table, and draws: columns, size, source_size, target, taken, draws."""
+def draw(sized: DataFrame, rows: DataFrame, columns: list[str], weights: tuple, share: float, most: int, levels: int | None, block: int, seed: int) -> DataFrame:
+    """Places the rows of measured() and draws: columns, size, source_size, target, taken, draws. sized, a stored table, has their sk, _share and size, or the sizes' sums."""
     zero = F.lit(0).cast("long")
     totals, given = plan(sized, weights, share, most, levels, block, seed)
     given = written(given, "given")
@@ -175,7 +175,7 @@ def draw(sized: DataFrame, columns: list[str], weights: tuple, share: float, mos
     before = Window.partitionBy("sk").orderBy("_share").rowsBetween(Window.unboundedPreceding, -1)
     lines = sized.groupBy("sk", "_share").agg(F.sum("size").alias("_size")).withColumn("_before", F.coalesce(F.sum("_size").over(before), zero)).drop("_size")
     own = Window.partitionBy("sk", "_share").orderBy("_h", "doc_id", "_hash")
-    placed = sized.withColumn("_at", F.sum("size").over(own.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
+    placed = rows.withColumn("_at", F.sum("size").over(own.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     placed = placed.join(lines, ["sk", "_share"]).withColumn("_at", F.col("_at") + F.col("_before"))
     placed = placed.join(totals, "sk").join(given, "sk", "left")
     found = F.expr(f"cast(if(size > 0 and passes is not null, {drawn_blocks(levels, seed)}, array()) as {DRAWS})")
@@ -203,8 +203,10 @@ def mix(docs: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5, most: i
     if most != int(most) or most < 1:
         raise ValueError("most must be a whole number")
     docs = docs.drop(*OWN)
-    sized = written(measured(docs, seed, shuffle_partitions(docs.sparkSession)), "sized")
-    return draw(sized, docs.columns, weights, share, int(most), levels, block, seed)
+    # the texts are read twice, for the sizes and for the draws: to write them again would take more room than that spares
+    rows = measured(docs, seed, shuffle_partitions(docs.sparkSession))
+    sized = written(rows.groupBy("sk", "_share").agg(F.sum("size").alias("size")), "sized")
+    return draw(sized, rows, docs.columns, weights, share, int(most), levels, block, seed)
 
 
 def shard_rows(mixed: DataFrame) -> DataFrame:
@@ -224,4 +226,4 @@ def shard_rows(mixed: DataFrame) -> DataFrame:
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     sized = written(measured(docs, 17, shuffle_partitions(spark)).drop("text"), "sized")
-    return draw(sized, ["doc_id"], (3, 1, 2), 1.5, 2, None, 512, 17).drop("draws")
+    return draw(sized, sized, ["doc_id"], (3, 1, 2), 1.5, 2, None, 512, 17).drop("draws")
