@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard_join, langid, licenses, link_graph, manifest, mixing, packing, pii, suffix_tree, vectors
+from . import divergence, jaccard_join, langid, licenses, link_graph, manifest, mixing, packing, pii, quality, suffix_tree, vectors
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -15,8 +15,10 @@ QUERIES = {
     "op8_language_id": langid.op8_language_id,
     "op9_url_filters": link_graph.op9_url_filters,
     "op10_embedding_near_dedup": vectors.op10_embedding_near_dedup,
+    "op11_source_divergence": divergence.op11_source_divergence,
+    "op12_quality_scores": quality.op12_quality_scores,
     "op13_merkle_manifest": manifest.op13_merkle_manifest,
 }
 
 #: Where SQL can say the same; the other operators are tested against brute force in tests/llm.
-SQL: dict[str, str] = {"op7_ngram_jaccard_join": jaccard_join.SQL, "op10_embedding_near_dedup": vectors.LINKS_SQL, "op13_merkle_manifest": manifest.SQL}
+SQL: dict[str, str] = {"op7_ngram_jaccard_join": jaccard_join.SQL, "op10_embedding_near_dedup": vectors.LINKS_SQL, "op11_source_divergence": divergence.SQL, "op13_merkle_manifest": manifest.SQL}
