@@ -19,13 +19,14 @@ def odd_dir(spark, odd, tmp_path_factory):
     spark.createDataFrame(vectors, "vec_id long, embedding array<float>").selectExpr("*", "1 as node", "2 as cell", "'q' as query").write.parquet(f"{folder}/embeddings.parquet")
     pages = [(1, "http://a.net/x", None), (1, "http://a.net/x", None), (None, None, ""), (2, "", "<a href='http://b.com'>"), (3, "http://b.com/" + "y" * 30_000, "z" * 100_000)]
     spark.createDataFrame(pages, "page_id long, url string, html string").selectExpr("*", "'h' as host", "1 as trust").write.parquet(f"{folder}/pages.parquet")
+    spark.createDataFrame([(1, 1, 0), (2, 0, 0), (4, None, 1), (None, 1, 0), (5, 0, 0), (5, 0, 0)], "doc_id long, quality int, toxic int").selectExpr("*", "7 as label").write.parquet(f"{folder}/labels.parquet")
     return folder
 
 
 @pytest.fixture(scope="session")
 def empty_dir(spark, odd_dir, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("empty"))
-    for name in ("documents", "embeddings", "pages"):
+    for name in ("documents", "embeddings", "pages", "labels"):
         spark.read.parquet(f"{odd_dir}/{name}.parquet").limit(0).write.parquet(f"{folder}/{name}.parquet")
     return folder
 
@@ -41,6 +42,9 @@ def test_queries_on_odd_and_no_rows(spark, odd_dir, empty_dir, name):
         assert Counter(r.query_id for r in got) == {100: 8, 200: 8}
     elif name.startswith("op1_"):
         assert {r.doc_id for r in got} == {r.doc_id for r in rows} and sum(r.start == 0 for r in got) == len(rows)
+    elif name.startswith("op11"):
+        # "" has one source, de two and fr two, en three
+        assert Counter((r.lang, r.part) for r in got) == {("de", "pair"): 2, ("fr", "pair"): 2, ("en", "pair"): 6}
     else:
         key = got[0].__fields__[0]
         assert Counter(r[key] for r in got) == Counter(r[key] for r in rows)
