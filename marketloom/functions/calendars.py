@@ -23,6 +23,15 @@ def days(spark: SparkSession, start: str, end: str, rule: str = "all") -> DataFr
     return spark.sql(f"select explode(sequence(date'{start}', date'{end}', interval 1 day)) as d").where(RULES[rule])
 
 
+def spans(df: DataFrame, start: str, end: str, rule: str = "all") -> DataFrame:
+    """df with a row for each of the rule's days (d) from its start column to its end column, both included; none where
+    either is null or the end lies before. month_unclamped begins with the first of start's month."""
+    since = F.trunc(start, "MM") if rule == "month_unclamped" else F.col(start)
+    step = F.expr("interval 1 month") if rule == "month_unclamped" else F.expr("interval 1 day")
+    days = df.withColumn("d", F.explode(F.when(F.col(start) <= F.col(end), F.sequence(since, F.col(end), step))))
+    return days if rule == "month_unclamped" else days.where(RULES[rule])
+
+
 def day_count(start, end, rule: str = "weekday"):
     """How many days of a rule lie between two date columns, both included."""
     keep = {

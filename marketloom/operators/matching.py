@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import clean_ticker, normalize_name
+from . import containment
 from .relational import dedup
 
 
@@ -33,25 +34,23 @@ def by_normal_name(names: DataFrame, stocks: DataFrame) -> DataFrame:
     return names.withColumn("key", normalize_name(F.col("name"))).join(keyed, "key").select("name", "code", F.lit("exact_norm").alias("method"))
 
 
-def by_containment(names: DataFrame, stocks: DataFrame, least: int = 5) -> DataFrame:
-    """One name holds the other (the held one of at least `least` signs); the first stock by ordinal wins.
+def by_containment(names: DataFrame, stocks: DataFrame, least: int = 5, **blocks) -> DataFrame:
+    """The first stock by ordinal whose normalised name is equal to (exact), held by (contains) or holds (reverse_contains) the name's.
 
-    stocks is the catalogue of listed companies. Candidates meet on five-sign pieces of the held
-    name, so only names with a piece in common are compared.
+    stocks (ordinal, code, eng) is the catalogue of listed companies; names of under three signs don't count, and a held
+    name has at least `least`. Either way round one automaton of the held names goes over the others (see containment),
+    so no pairs are made. Returns name, code, method.
     """
-    n = names.select("name", normalize_name(F.col("name")).alias("a"))
-    s = stocks.select("ordinal", "code", normalize_name(F.col("eng")).alias("b")).where("length(b) >= 3")
-
-    def pieces(c):
-        return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - least + 1, F.lit(1))), lambda k: F.substring(c, k, F.lit(least))))
-
-    left = n.where(f"length(a) >= {least}").select("name", "a", F.explode(pieces(F.col("a"))).alias("piece"))
-    right = s.where(f"length(b) >= {least}").select("ordinal", "code", "b", F.explode(pieces(F.col("b"))).alias("piece"))
-    met = left.join(right, "piece").select("name", "a", "ordinal", "code", "b").distinct()
-    short = n.where(f"length(a) < {least}").join(s.where(f"length(b) < {least}"), F.col("a") == F.col("b")).select("name", "a", "ordinal", "code", "b")
-    hit = met.where(F.contains("a", "b") | F.contains("b", "a")).unionByName(short)
-    method = F.when(F.contains("a", "b"), "contains").otherwise("reverse_contains")
-    return dedup(hit.withColumn("method", method), ["name"], [F.asc("ordinal")]).select("name", "code", "method")
+    n = names.select("name", normalize_name(F.col("name")).alias("a")).where("a <> ''")
+    s = stocks.select(F.col("ordinal").cast("long").alias("ordinal"), "code", normalize_name(F.col("eng")).alias("b")).where("length(b) >= 3")
+    equal = n.join(s, F.col("a") == F.col("b")).groupBy("a").agg(F.min("ordinal").alias("ordinal"))
+    holds = containment.first_held(n.select(F.col("a").alias("text")), s.where(f"length(b) >= {least}").select(F.col("b").alias("pattern"), "ordinal"), **blocks)
+    held = containment.first_holder(n.where(f"length(a) >= {least}").select(F.col("a").alias("pattern")), s.select(F.col("b").alias("text"), "ordinal"), **blocks)
+    tiers = [df.select(F.col(df.columns[0]).alias("a"), "ordinal", F.lit(k).alias("tier")) for k, df in enumerate((equal, holds, held))]
+    best = reduce(DataFrame.unionByName, tiers).groupBy("a").agg(F.min(F.struct("ordinal", "tier")).alias("best")).select("a", "best.*")
+    method = F.element_at(F.array(F.lit("exact"), F.lit("contains"), F.lit("reverse_contains")), F.col("tier") + 1)
+    codes = s.groupBy("ordinal").agg(F.min("code").alias("code"))
+    return n.join(best, "a").join(codes, "ordinal").select("name", "code", method.alias("method"))
 
 
 def by_words(names: DataFrame, stocks: DataFrame, common: int = 2, least: float = 0.5) -> DataFrame:
@@ -79,6 +78,11 @@ def by_words(names: DataFrame, stocks: DataFrame, common: int = 2, least: float
     return dedup(met, ["name"], [F.desc("score"), F.asc("ordinal")]).select("name", "code", "ordinal", "score")
 
 
+def word_label(score):
+    """The label of a word match: its score to two places, halves to the even digit."""
+    return F.concat(F.lit("word_match("), F.format_string("%s", F.bround(score.cast("decimal(20,10)"), 2).cast("decimal(4,2)")), F.lit(")"))
+
+
 def by_rule(names: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     """Special cases before all tiers: names that hold a phrase get its code. rules: (phrase, code), the first that fits."""
     code = F.coalesce(*(F.when(F.contains(F.lower("name"), F.lit(phrase)), code) for phrase, code in rules))

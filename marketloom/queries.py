@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from .functions import calendars, scalars
 from .operators import coverage, holdings, matching, notices, relational
 from .plans import catalog
-from .sources import readers, sinks
-from .streaming import ingest
+from .sources import landed as responses_source
+from .sources import payloads, readers, sinks, versions
+from .streaming import ingest, runs
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -239,43 +240,51 @@ def norm_sql(c: str) -> str:
     return f"trim(regexp_replace(regexp_replace({out}, '[^a-z0-9\\s]', '', 'g'), '\\s+', ' ', 'g'))"
 
 
-STOCKS = [(1, "A1", "Old Anvil Corp."), (2, "B2", "gizmo"), (3, "C3", "Small Ring International Co., Ltd"), (4, "D4", "the blue widget works"), (5, "E5", "Red Bolt Holding"), (6, "F6", "steel"), (7, "G7", "new rod"), (8, "H8", "New Rod Group"), (9, "I9", "Works of the Hot Plate"), (10, "J10", "plate hot")]
-STOCK_SQL = "stocks(ordinal, code, eng) as (values " + ", ".join(str(s) for s in STOCKS) + ")"
-CONTAINS = f"""n as (select distinct name, {norm_sql("name")} a from names), s as (select ordinal, code, {norm_sql("eng")} b from stocks),
-hit as (select name, code, case when contains(a, b) then 'contains' else 'reverse_contains' end as method, row_number() over (partition by name order by ordinal) k
-from n join s on length(b) >= 3 and (a = b or (contains(a, b) and length(b) >= 5) or (contains(b, a) and length(a) >= 5)))"""
+#: Every part is a listed company and a held name, written in several ways.
+STOCKS_SQL = """stocks as (select p_partkey ordinal, 'P' || p_partkey code,
+case p_type when 'STANDARD' then p_name || ' Corp.' when 'PROMO' then 'The ' || p_name || ' ' || p_brand || ' Works' else p_name || ' ' || p_brand || ' ' || p_size || ' International Co., Ltd' end eng from part)"""
+NAMES_SQL = "names as (select distinct case when p_size <= 10 then p_name when p_size <= 25 then p_name || ' ' || lower(p_type) else p_name || ' ' || p_brand || ' ' || p_type end as name from part)"
+MATCHED = f"""n as (select name, {norm_sql("name")} a from names), s as (select ordinal, code, {norm_sql("eng")} b from stocks)"""
+CONTAINS = MATCHED + """, na as (select distinct a from n), sb as (select b, min(ordinal) ordinal from s where length(b) >= 3 group by b),
+hit as (select a, ordinal, case when a = b then 0 when contains(a, b) and length(b) >= 5 then 1 else 2 end t from na join sb on a = b or (contains(a, b) and length(b) >= 5) or (contains(b, a) and length(a) >= 5) where a <> ''),
+best as (select a, min((ordinal, t)) m from hit group by a),
+held as (select name, code, list_value('exact', 'contains', 'reverse_contains')[m[2] + 1] as method from n join best using (a) join s on s.ordinal = m[1])"""
 
 
-@query(f"""with {STOCK_SQL}, names as (select distinct p_name as name from part), {CONTAINS} select name, code, method from hit where k = 1""")
+def listed(spark, sf_dir):
+    """Names and the catalogue of stocks, both of all parts."""
+    p = load(spark, sf_dir, "part")
+    eng = F.when(F.col("p_type") == "STANDARD", F.concat("p_name", F.lit(" Corp."))).when(F.col("p_type") == "PROMO", F.concat(F.lit("The "), "p_name", F.lit(" "), "p_brand", F.lit(" Works")))
+    eng = eng.otherwise(F.concat("p_name", F.lit(" "), "p_brand", F.lit(" "), F.col("p_size").cast("string"), F.lit(" International Co., Ltd")))
+    name = F.when(F.col("p_size") <= 10, F.col("p_name")).when(F.col("p_size") <= 25, F.concat("p_name", F.lit(" "), F.lower("p_type"))).otherwise(F.concat_ws(" ", "p_name", "p_brand", "p_type"))
+    return p.select(name.alias("name")).distinct(), p.select(F.col("p_partkey").alias("ordinal"), F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("code"), eng.alias("eng"))
+
+
+@query(f"with {STOCKS_SQL}, {NAMES_SQL}, {CONTAINS} select * from held")
 def contains_match(spark, sf_dir):
-    names = load(spark, sf_dir, "part").select(F.col("p_name").alias("name")).distinct()
-    return matching.by_containment(names, spark.createDataFrame(STOCKS, "ordinal int, code string, eng string"))
+    """Names that are, hold or are held by a stock's name, over the whole catalogue in one pass each way."""
+    return matching.by_containment(*listed(spark, sf_dir))
 
 
-@query(f"""with {STOCK_SQL}, n as (select distinct p_name as name, {norm_sql("p_name")} a from part), s as (select *, {norm_sql("eng")} b from stocks)
-select name, arg_max(code, ordinal) code, 'exact_norm' as method from n join s on a = b where length(b) > 1 group by 1""")
+@query(f"with {STOCKS_SQL}, {NAMES_SQL}, {MATCHED} select name, arg_max(code, ordinal) code, 'exact_norm' as method from n join s on a = b where length(b) > 1 group by 1")
 def normal_name_match(spark, sf_dir):
-    names = load(spark, sf_dir, "part").select(F.col("p_name").alias("name")).distinct()
-    return matching.by_normal_name(names, spark.createDataFrame(STOCKS, "ordinal int, code string, eng string"))
+    return matching.by_normal_name(*listed(spark, sf_dir))
 
 
-RULES = [("government of taiwan", "GOV")]
-NAMES_SQL = "names as (select p_name as name from part union select 'Bonds of the Government of Taiwan' union select 'hot works of plate')"
+RULES = [("hot plate", "GOV")]
 
 
-@query(f"""with {STOCK_SQL}, {NAMES_SQL}, {CONTAINS},
-g as (select name, 'GOV' code, 'manual' as method from names where contains(lower(name), 'government of taiwan')),
+@query(f"""with {STOCKS_SQL}, {NAMES_SQL}, {CONTAINS},
+g as (select name, 'GOV' code, 'manual' as method from names where contains(lower(name), 'hot plate')),
 x as (select name, arg_max(code, ordinal) code, 'exact_norm' as method from n join s on a = b where length(b) > 1 group by 1),
-w as (select name, code, 'word_match' as method from (select name, code, row_number() over (partition by name order by len(list_intersect(u, v)) / greatest(len(u), len(v)) desc, ordinal) k
-  from (select name, list_distinct(string_split(a, ' ')) u from n), (select ordinal, code, list_distinct(string_split(b, ' ')) v from s)
-  where len(u) >= 2 and len(v) >= 2 and len(list_intersect(u, v)) >= 2 and len(list_intersect(u, v)) / greatest(len(u), len(v)) >= 0.5) where k = 1),
-every as (select *, 0 t from g union all select *, 1 from x union all select name, code, method, 2 from hit where k = 1 union all select *, 3 from w)
+o as (select name, ordinal, code, len(list_intersect(u, v)) c, len(list_intersect(u, v)) / greatest(len(u), len(v)) score from (select name, list_distinct(string_split(a, ' ')) u from n), (select ordinal, code, list_distinct(string_split(b, ' ')) v from s)
+  where len(u) >= 2 and len(v) >= 2 and len(list_intersect(u, v)) >= 2),
+w as (select name, code, 'word_match(' || printf('%.2f', score) || ')' as method from (select *, row_number() over (partition by name order by score desc, ordinal) k from o where score >= 0.5) where k = 1),
+every as (select *, 0 t from g union all select *, 1 from x union all select *, 2 from held union all select *, 3 from w)
 select name, code, method from (select *, row_number() over (partition by name order by t) r from every) where r = 1""")
 def name_cascade(spark, sf_dir):
-    extra = spark.createDataFrame([("Bonds of the Government of Taiwan",), ("hot works of plate",)], "name string")
-    names = load(spark, sf_dir, "part").select(F.col("p_name").alias("name")).unionByName(extra).distinct()
-    stocks = spark.createDataFrame(STOCKS, "ordinal int, code string, eng string")
-    words = matching.by_words(names, stocks).withColumn("method", F.lit("word_match"))
+    names, stocks = listed(spark, sf_dir)
+    words = matching.by_words(names, stocks).withColumn("method", matching.word_label(F.col("score")))
     return matching.cascade(names, matching.by_rule(names, RULES), matching.by_normal_name(names, stocks), matching.by_containment(names, stocks), words)
 
 
@@ -315,11 +324,19 @@ up as (select o_custkey, d, o_orderkey, o_totalprice from (select *, row_number(
 """
 
 
-def upserted(spark, sf_dir):
+UPSERT_WINDOW = ("1998-01-01", "1998-03-31")
+
+
+def upsert_inputs(spark, sf_dir):
     orders = load(spark, sf_dir, "orders").withColumn("d", F.col("o_orderdate").cast("date"))
     old = orders.select("o_custkey", "d", "o_orderkey", "o_totalprice")
     new = orders.where("o_orderpriority = '1-URGENT' and d between date'1998-01-01' and date'1998-03-31'").select("o_custkey", "d", "o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice"))
-    out = relational.windowed_upsert(old, new, "o_custkey", ["o_custkey", "d"], "d", "1998-01-01", "1998-03-31", [F.desc("o_orderkey"), F.desc("o_totalprice")])
+    return old, new
+
+
+def upserted(spark, sf_dir):
+    old, new = upsert_inputs(spark, sf_dir)
+    out = relational.windowed_upsert(old, new, "o_custkey", ["o_custkey", "d"], "d", *UPSERT_WINDOW, [F.desc("o_orderkey"), F.desc("o_totalprice")])
     return old, out
 
 
@@ -358,7 +375,6 @@ def manifest_dedup(spark, sf_dir):
 
 # --- calendars ---------------------------------------------------------------------------------
 
-SPAN = ("1995-02-14", "1999-08-09")
 CAL = {
     "cal_weekday": ("weekday", "isodow(d) < 6"), "cal_mon_sat": ("mon_sat", "isodow(d) <> 7"), "cal_all": ("all", "true"), "cal_monday": ("monday", "isodow(d) = 1"),
     "cal_month_clamped": ("month_clamped", "day(d) = 1"), "cal_quarter_end": ("quarter_end", "d = last_day(d) and month(d) in (3, 6, 9, 12)"), "cal_month_unclamped": ("month_unclamped", "day(d) = 1"),
@@ -366,9 +382,17 @@ CAL = {
 
 
 def _calendar(name, rule, where):
-    start = "1995-02-01" if rule == "month_unclamped" else SPAN[0]
-    QUERIES[name] = lambda spark, sf_dir: calendars.days(spark, *SPAN, rule)
-    SQL[name] = f"select cast(d as date) d from (select cast(unnest(generate_series(date '{start}', date '{SPAN[1]}', interval 1 day)) as date) d) where {where}"
+    """Each order priority's days of a rule, from its first order to its last."""
+
+    def run(spark, sf_dir):
+        day = F.col("o_orderdate").cast("date")
+        asked = load(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("dataset")).agg(F.min(day).alias("a"), F.max(day).alias("b"))
+        return calendars.spans(asked, "a", "b", rule).select("dataset", "d")
+
+    start = "date_trunc('month', a)" if rule == "month_unclamped" else "a"
+    QUERIES[name] = run
+    SQL[name] = f"""with s as (select o_orderpriority dataset, min(o_orderdate)::date a, max(o_orderdate)::date b from orders group by 1),
+e as (select dataset, unnest(generate_series({start}, b, interval 1 day))::date d from s) select dataset, d from e where {where}"""
 
 
 for _name, _rule in CAL.items():
@@ -726,13 +750,16 @@ def roundtrip_json(spark, sf_dir):
     return spark.read.schema("c_custkey long, c_name string, c_acctbal double").json(path)
 
 
+def events_stream(spark, sf_dir):
+    """The events table as a file stream: where it is one file, that file of its folder."""
+    source = load(spark, sf_dir, "events")
+    one = [f.rsplit("/", 1)[-1] for f in source.inputFiles()] == ["events.parquet"]
+    return ingest.file_stream(spark, sf_dir if one else f"{sf_dir}/events.parquet", source.schema, "ts", "events.parquet" if one else None)
+
+
 def streamed(spark, sf_dir, make, mode):
     path = scratch(spark)
-    source = load(spark, sf_dir, "events")
-    # a file stream reads a folder; where the table is one file its folder holds the others too
-    copy = f"{path}-in"
-    source.write.mode("overwrite").parquet(copy)
-    ingest.run_once(make(ingest.file_stream(spark, copy, source.schema, "ts")), path, f"{path}-log", mode)
+    ingest.run_once(make(events_stream(spark, sf_dir)), path, f"{path}-log", mode)
     return spark.read.parquet(path)
 
 
@@ -744,9 +771,139 @@ def stream_dedup(spark, sf_dir):
 @query("select cast(ts as date) d, event_type, count(*) n from events group by 1, 2")
 def stream_tumbling(spark, sf_dir):
     """Daily counts by a stream in update mode: each micro-batch lands the windows that changed, and of a window the last batch counts."""
-    path, source = scratch(spark), load(spark, sf_dir, "events")
-    source.write.mode("overwrite").parquet(f"{path}-in")
-    stream = ingest.tumbling(ingest.file_stream(spark, f"{path}-in", source.schema, "ts"), "ts", "1 day", ["event_type"], "1 day")
+    path = scratch(spark)
+    stream = ingest.tumbling(events_stream(spark, sf_dir), "ts", "1 day", ["event_type"], "1 day")
     ingest.upsert_stream(stream, lambda rows, batch: rows.withColumn("batch", F.lit(batch)).write.mode("overwrite").parquet(f"{path}/batch={batch:06d}"), f"{path}-log")
     found = spark.read.option("basePath", path).parquet(path)
     return relational.dedup(found, ["start", "event_type"], [F.desc("batch")]).select(F.col("start").cast("date").alias("d"), "event_type", "n")
+
+
+@query(UPSERT + "select o_custkey, d, o_orderkey, round(o_totalprice, 2) o_totalprice from up")
+def stream_upsert(spark, sf_dir):
+    """The windowed upsert as a stream of three files, a micro-batch each, into a versioned table that starts with the old orders."""
+    path = scratch(spark)
+    old, new = upsert_inputs(spark, sf_dir)
+    target = versions.Table(spark, f"{path}/table", "o_custkey", 16)
+    target.commit(old, None)
+    # a batch has all of its customers' rows of the window
+    new.repartition(3, "o_custkey").write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(new.schema).option("maxFilesPerTrigger", "1").parquet(f"{path}/in")
+    ingest.versioned_upserts(stream, target, ["o_custkey", "d"], "d", [F.desc("o_orderkey"), F.desc("o_totalprice")], f"{path}/log", "orders", UPSERT_WINDOW)
+    return target.read(target.head()).select("o_custkey", "d", "o_orderkey", F.round("o_totalprice", 2).alias("o_totalprice"))
+
+
+def in_order(spark, sf_dir, make):
+    """What a stateful stream of the events hands on, once a row far ahead has moved the watermark over all of them."""
+    path, source = scratch(spark), events_stream(spark, sf_dir)
+    ahead = load(spark, sf_dir, "events").limit(1).withColumns({"user_id": F.lit(None).cast(source.schema["user_id"].dataType), "ts": F.lit("2100-01-01").cast("timestamp")})
+    ahead.write.parquet(f"{path}-ahead")
+    both = source.unionByName(spark.readStream.schema(ahead.schema).parquet(f"{path}-ahead"))
+    before = spark.conf.get(runs.STORE[0])
+    spark.conf.set(*runs.STORE)
+    try:
+        ingest.upsert_stream(make(both), lambda rows, batch: rows.write.mode("overwrite").parquet(f"{path}/batch={batch:06d}"), f"{path}-log")
+    finally:
+        spark.conf.set(runs.STORE[0], before)
+    return spark.read.option("basePath", path).parquet(path)
+
+
+@query(SQL["failure_runs"])
+def stream_failure_runs(spark, sf_dir):
+    """Runs of errors by a stateful stream; of an island that grew over several micro-batches the longest counts."""
+    found = in_order(spark, sf_dir, lambda s: runs.failure_runs(s, "user_id", "ts", "event_id", F.col("event_type") == "error"))
+    return found.groupBy("user_id", "island").agg(F.max("run_length").alias("run_length")).where("run_length >= 2")
+
+
+@query("""with recursive e as (select user_id, epoch_us(ts) // 1000 ms, event_type = 'error' s, row_number() over (partition by user_id order by epoch_us(ts) // 1000, event_id) k from events),
+w as (select user_id, 0::bigint k, null::bigint due, null::bigint fired from (select distinct user_id from e)
+  union all select e.user_id, e.k, case when not e.s then null when w.due is null or w.due < e.ms then e.ms + 3600000 else w.due end, case when w.due < e.ms then w.due end from w join e on e.user_id = w.user_id and e.k = w.k + 1),
+l as (select user_id, due from w where due is not null and (user_id, k) in (select user_id, max(k) from e group by 1) union all select user_id, fired from w where fired is not null)
+select user_id, due from l""")
+def stream_sweeps(spark, sf_dir):
+    """Users to look at again an hour after their first error, unless something else than an error came by then."""
+    found = in_order(spark, sf_dir, lambda s: runs.deferred_sweeps(s, "user_id", "ts", "event_id", F.col("event_type") == "error"))
+    return found.select("user_id", F.unix_millis("due").alias("due"))
+
+
+# --- landed responses --------------------------------------------------------------------------
+
+#: How the test responses go wrong, in SQL: of whole responses and of items.
+RESPONSE = """with x as (select event_type dataset, case when event_type = 'view' then 'u' || user_id % 2 end unit, cast(ts as date) d, event_id, user_id, value,
+  case when event_id % 97 = 0 then 'item is no object' when event_id % 50 = 0 then 'bad user_id' end wrong, row_number() over (partition by event_type, case when event_type = 'view' then 'u' || user_id % 2 end, cast(ts as date) order by event_id) - 1 ordinal from events),
+g as (select distinct dataset, unit, d, case when dataset = 'error' and day(d) % 2 = 1 then 'quota' when dataset = 'view' and unit = 'u1' and isodow(d) = 1 then 'not json' when dataset = 'click' and day(d) % 5 = 0 then 'no data'
+  when dataset = 'purchase' and day(d) % 3 = 0 then 'rejected' end reason from x),
+days as (select unnest(generate_series(min(d) - 3, max(d), interval 1 day))::date d from x),
+plan as (select dataset, unit, days.d, case when g.d is null then 'no response' else reason end reason from (select distinct dataset, unit from x) a cross join days left join g using (dataset, unit, d) where unit is not null
+  union all select dataset, null, days.d, case when g.d is null then 'no response' else reason end from (select distinct dataset from x where unit is null) a cross join days left join g using (dataset, d))
+"""
+
+
+def responses(spark, sf_dir):
+    """Lands responses made from the events, one a dataset, unit and day, and the plan that asks for them and for days without any; returns the plan's folder."""
+    root = scratch(spark)
+    unit = F.when(F.col("event_type") == "view", F.concat(F.lit("u"), (F.col("user_id") % 2).cast("string")))
+    e = load(spark, sf_dir, "events").select(F.col("event_type").alias("dataset"), unit.alias("unit"), F.col("ts").cast("date").alias("d"), "event_id", "user_id", "value")
+    user = F.when(F.col("event_id") % 50 == 0, F.lit('"x"')).otherwise(F.col("user_id").cast("string"))
+    item = F.concat(F.lit('{"event_id":'), "event_id", F.lit(',"user_id":'), user, F.lit(',"value":'), F.col("value").cast("string"), F.lit(',"more":[1]}'))
+    item = F.when(F.col("event_id") % 97 == 0, F.lit("7")).otherwise(item)
+    each = e.groupBy("dataset", "unit", "d").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", item.alias("item")))), lambda x: x["item"]), ",").alias("items"))
+    good = F.concat(F.lit('{"status":200,"msg":"success","data":['), "items", F.lit("]}"))
+    body = (
+        F.when((F.col("dataset") == "error") & (F.day("d") % 2 == 1), F.lit('{"status":402,"msg":"Requests exceeded"}'))
+        .when((F.col("dataset") == "view") & (F.col("unit") == "u1") & (F.weekday("d") == 0), F.lit("<html>busy</html>"))
+        .when((F.col("dataset") == "click") & (F.day("d") % 5 == 0), F.lit('{"status":200,"msg":"success","data":[]}'))
+        .when((F.col("dataset") == "purchase") & (F.day("d") % 3 == 0), F.replace(good, F.lit(":200,"), F.lit(':"200",'))).otherwise(good)
+    )
+    each.select("dataset", "unit", "d", body.alias("value")).write.partitionBy("dataset", "unit", "d").text(f"{root}/landed")
+    part = lambda name: F.nullif(F.regexp_extract("path", f"/{name}=([^/]+)/", 1), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    files = readers.listing(spark, f"{root}/landed", "*.txt").select(part("dataset").alias("dataset"), part("unit").alias("unit"), part("d").cast("date").alias("d"), F.col("path").alias("file"))
+    span = e.agg(F.date_sub(F.min("d"), 3).alias("a"), F.max("d").alias("b"))
+    asked = calendars.spans(e.select("dataset", "unit").distinct().crossJoin(F.broadcast(span)), "a", "b")
+    responses_source.plan(asked, files, f"{root}/plan")
+    return f"{root}/plan"
+
+
+@query(RESPONSE + "select *, case when reason is null then 'ok' when reason = 'no data' then 'nodata' when reason = 'no response' then 'absent' else 'fail' end status from plan")
+def landed_statuses(spark, sf_dir):
+    """What became of every request of the plan."""
+    return payloads.judged(responses_source.load(spark, responses(spark, sf_dir)), "body").select("dataset", "unit", "d", "status", "reason")
+
+
+@query(RESPONSE + """select dataset, x.unit, d, event_id, user_id, round(value, 4) as value from x join g using (dataset, d) where x.unit is not distinct from g.unit and reason is null and wrong is null
+and dataset in ('view', 'click') and d >= (select max(d) - 6 from x)""")
+def landed_load(spark, sf_dir):
+    """The rows of two datasets' last week: only these responses are opened."""
+    last = load(spark, sf_dir, "events").agg((F.max(F.col("ts").cast("date")) - 6).alias("d")).first()[0]
+    asked = responses_source.load(spark, responses(spark, sf_dir)).where(F.col("dataset").isin("view", "click") & (F.col("d") >= F.lit(last)))
+    found = payloads.rows(asked, "body", "event_id long, user_id long, value double").where("reason is null")
+    return found.select("dataset", "unit", "d", "event_id", "user_id", F.round("value", 4).alias("value"))
+
+
+@query(RESPONSE + """select dataset, unit, d, cast(null as int) ordinal, reason from plan where reason is not null
+union all select x.dataset, x.unit, x.d, ordinal::int, wrong from x join g on x.dataset = g.dataset and x.unit is not distinct from g.unit and x.d = g.d where reason is null and wrong is not null""")
+def landed_rejects(spark, sf_dir):
+    """Every response and item that gave no row, with its reason."""
+    found = payloads.rows(responses_source.load(spark, responses(spark, sf_dir)), "body", "event_id long, user_id long, value double")
+    return found.where("reason is not null").select("dataset", "unit", "d", "ordinal", "reason")
+
+
+@query("""select p_brand etf, p_partkey, case p_size % 6 when 0 then 'no Title' when 1 then 'no Data' when 2 then 'short row' when 3 then 'bad number' when 4 then 'stale' end reason,
+case when p_size % 6 = 5 then p_partkey * 1234 / 1000 end holdings from part""")
+def positional_rejects(spark, sf_dir):
+    """Positional payloads made from parts, five of six with one fault each."""
+    p = load(spark, sf_dir, "part")
+    k = F.col("p_size") % 6
+    shares = F.when(k == 3, F.lit("1,2x")).otherwise(F.format_number(F.col("p_partkey") * 1234, 0))
+    cells = F.array(F.when(k == 4, F.lit("20240229")).otherwise("20240301"), F.col("p_partkey").cast("string"), F.lit("x"), F.col("p_size").cast("string"), shares)
+    titles = F.array(*(F.lit(x) for x in "abcde"))
+    whole = F.struct(F.when(k == 0, F.slice(titles, 1, 4)).otherwise(titles).alias("Title"), F.when(k == 1, F.array().cast("array<array<string>>")).otherwise(F.array(F.when(k == 2, F.slice(cells, 1, 4)).otherwise(cells))).alias("Data"))
+    found = payloads.positional(p.select(F.struct("p_brand", "p_partkey").alias("key"), F.to_json(whole).alias("payload")), "payload", "key", F.lit("2024-03-01").cast("date"))
+    return found.select(F.col("etf.p_brand").alias("etf"), F.col("etf.p_partkey").alias("p_partkey"), "reason", "holdings")
+
+
+@query("""select s_name period, case s_suppkey % 4 when 0 then 'not json' when 1 then 'data is no list' when 2 then 'no data' else 'item is no object' end reason, case when s_suppkey % 4 = 3 then 1 end::int ordinal from supplier""")
+def fund_rejects(spark, sf_dir):
+    """Fund payloads made from suppliers: cut off, without a list, with an empty one, or with an item that is no entry."""
+    k = F.col("s_suppkey") % 4
+    payload = F.when(k == 0, '{"date":').when(k == 1, '{"data":{"data":{"n":1}}}').when(k == 2, '{"data":[]}').otherwise('{"data":{"data":[{"n":"Acer"},"Acer"]}}')
+    return payloads.fund_rejects(load(spark, sf_dir, "supplier").select("s_name", payload.alias("payload")), "payload", "s_name").select("period", "reason", "ordinal")

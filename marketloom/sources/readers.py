@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import payloads
+
 HOLDINGS = T.StructType([T.StructField("date", T.DateType()), T.StructField("stock_id", T.StringType()), T.StructField("weight_pct", T.DoubleType()), T.StructField("holdings", T.DoubleType()), T.StructField("etf", T.StringType())])
 
 
@@ -26,12 +28,8 @@ def csv(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def positional_rows(df: DataFrame, payload: str, etf: str) -> DataFrame:
-    """Holdings from {Title, Data} payloads: positions 0, 1, 3, 4; payloads of under five titles or no rows give none."""
-    from ..functions.scalars import to_lots
-
-    p = df.withColumn("p", F.from_json(payload, "struct<Title: array<string>, Data: array<array<string>>>")).where("size(p.Title) >= 5 and size(p.Data) > 0")
-    rows = p.select(F.col(etf).alias("etf"), F.posexplode("p.Data").alias("ordinal", "r"))
-    return rows.select("ordinal", F.to_date(F.col("r")[0], "yyyyMMdd").alias("date"), F.col("r")[1].alias("stock_id"), F.col("r")[3].cast("double").alias("weight_pct"), to_lots(F.col("r")[4]).alias("holdings"), "etf")
+    """Holdings from {Title, Data} payloads: positions 0, 1, 3, 4. Payloads with a fault give none; payloads.positional tells which."""
+    return payloads.positional(df, payload, etf).where("reason is null").drop("reason")
 
 
 #: The fund's asset types.
