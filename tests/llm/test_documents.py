@@ -404,29 +404,3 @@ def test_license_inheritance(spark):
     root = spark.createDataFrame([("COPYING", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"), ("x/y", "none")], "path string, text string")
     assert {(r.path, r.license, r.inherited_from) for r in licenses.scan(root).collect()} == {("COPYING", "GPL-2.0", None), ("x/y", "GPL-2.0", "")}
     assert licenses.scan(root.limit(0)).count() == 0
-
-
-@pytest.mark.parametrize("which", ["real", "odd"])
-def test_license_scores_match_brute_force(which, request):
-    df = request.getfixturevalue(which).withColumn("path", F.concat_ws("/", F.lit("d"), F.coalesce(F.col("doc_id").cast("string"), F.lit("LICENSE"))))
-    rows = [(r.path, r.text) for r in df.select("path", "text").collect()]
-    n, seen = 0, Counter()
-    for _, t in rows:
-        if t is not None:
-            n += 1
-            seen.update(set(re.findall(licenses.TERM, re.sub("[A-Z]", lambda m: m[0].lower(), t))))
-    w = licenses.Weights(n, seen)
-    want = Counter()
-    for path, t in rows:
-        units = [re.findall(licenses.TERM, u) for u in re.split(licenses.UNIT, re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))]
-        bags = [sum(units[i : i + k], []) for k in (1, 2, 3) for i in range(len(units))]
-        bags += [u[i : i + k] for u in units if len(u) > 2 * max(licenses.WINDOWS) for k in licenses.WINDOWS for i in range(0, len(u), k // 3)]
-        bags += [sum(units, [])] * path.endswith("LICENSE")
-        best = (0.0, None)
-        for b in {tuple(b) for b in bags if b}:
-            v = {x: c * w.idf.get(x, w.other) for x, c in Counter(b).items()}
-            norm = math.sqrt(sum(x * x for x in v.values()))
-            best = max([best, *((round(sum(x * u.get(k, 0) for k, x in v.items()) / norm, 6), name) for name, u in w.templates)], key=lambda x: (x[0], x[1] or ""))
-        want[(path, *(best if best[0] >= 0.6 else (None, None)))] += 1
-    got = Counter((r.path, round(r.score, 6) if r.origin == "header" else None, r.license if r.origin == "header" else None) for r in licenses.scan(df).collect())
-    assert got == want and (which == "odd" or sum(k[2] is not None for k in want) > 3)
