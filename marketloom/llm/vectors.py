@@ -38,34 +38,36 @@ def matrix(column) -> np.ndarray:
 class Codebook:
     """Four-bit codes of vectors, two components to a code, whose error is least along the vector itself.
 
-    Nearest by Euclidean distance is largest by inner product of (x, -|x|^2 / 2) with (q, 1), so
-    vectors are coded with that last component. The loss of a code is the squared error plus
+    Distances don't change with the origin and only scale with the unit, so vectors are taken from the sample's mean and
+    in its spread. Nearest by Euclidean distance is largest by inner product with the query less |x|^2 / 2: the product
+    is approximated by codes, the norm is not coded but exact. The loss of a code is the squared error plus
     (eta - 1) times its part parallel to the vector; codes are set by coordinate descent, centroids by
     the weighted least squares that follow from it.
     """
 
     def __init__(self, x: np.ndarray, eta: float = 4.0, rounds: int = 6, seed: int = 5):
         self.eta = eta
-        x = self.lifted(x)
+        self.mean = x.mean(0)
+        self.spread = max(float(np.sqrt(((x - self.mean) ** 2).mean())), 1e-30)
+        x = self.framed(x)
         rng = np.random.default_rng(seed)
         parts = self.parts(x)
         self.centroids = np.stack([p[rng.choice(len(p), 16, replace=len(p) < 16)] for p in parts])
         codes = None
         for _ in range(rounds):
-            codes = self.encode(x, codes, lifted=True)
+            codes = self.encode(x, codes, framed=True)
             self.update(x, codes)
 
-    @staticmethod
-    def lifted(x: np.ndarray) -> np.ndarray:
-        x = np.column_stack((x, -0.5 * (x * x).sum(1)))
+    def framed(self, x: np.ndarray) -> np.ndarray:
+        x = (x - self.mean) / self.spread
         return np.column_stack((x, np.zeros(len(x)))) if x.shape[1] % 2 else x
 
     @staticmethod
     def parts(x: np.ndarray) -> np.ndarray:
         return x.reshape(len(x), -1, 2).transpose(1, 0, 2)
 
-    def encode(self, x: np.ndarray, codes: np.ndarray | None = None, lifted: bool = False, rounds: int = 2) -> np.ndarray:
-        x = x if lifted else self.lifted(x)
+    def encode(self, x: np.ndarray, codes: np.ndarray | None = None, framed: bool = False, rounds: int = 2) -> np.ndarray:
+        x = x if framed else self.framed(x)
         parts, norm = self.parts(x), np.maximum((x * x).sum(1), 1e-12)
         if codes is None:
             codes = np.stack([((p[:, None] - c) ** 2).sum(2).argmin(1) for p, c in zip(parts, self.centroids)]).astype(np.uint8)
@@ -98,16 +100,25 @@ class Codebook:
             total += new - along[m]
             along[m] = new
 
-    def scan(self, queries: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        """Approximate inner products of queries with coded vectors: 16-entry tables, added up."""
-        q = np.column_stack((queries, np.ones(len(queries))))
-        q = np.column_stack((q, np.zeros(len(q)))) if q.shape[1] % 2 else q
+    def scan(self, queries: np.ndarray, codes: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+        """Scores of coded vectors for queries, larger where nearer: 16-entry tables of the query, added up, less half the squared norm."""
+        q = self.framed(queries)
         tables = np.einsum("qmd,mkd->qmk", q.reshape(len(q), -1, 2), self.centroids).astype(np.float32)
-        out = np.zeros((len(q), codes.shape[1]), dtype=np.float32)
+        out = np.tile((-0.5 * (self.framed(vectors) ** 2).sum(1)).astype(np.float32), (len(q), 1))
         for m in range(len(codes)):
             out += tables[:, m][:, codes[m]]
         return out
 
+    def places(self, x: np.ndarray, k: int, queries: int = 64) -> np.ndarray:
+        """The places, by scanned scores, of the true k nearest of x to some of x itself."""
+        q = x[:queries]
+        d = (q**2).sum(1)[:, None] - 2 * q @ x.T + (x**2).sum(1)
+        score = self.scan(q, self.encode(x), x)
+        for y, worst in ((d, np.inf), (score, -np.inf)):
+            y[np.arange(len(q)), np.arange(len(q))] = worst
+        true = np.argsort(d, axis=1, kind="stable")[:, : min(k, len(x) - 1)]
+        return np.take_along_axis(np.argsort(np.argsort(-score, axis=1, kind="stable"), axis=1, kind="stable"), true, 1).ravel()
+
 
 def packed(codes: np.ndarray) -> np.ndarray:
     """Codes (parts x vectors) as rows of bytes, two codes to a byte."""
@@ -122,18 +133,22 @@ def unpacked(rows: np.ndarray, parts: int) -> np.ndarray:
 
 
 class Index(NamedTuple):
-    """What is fitted for vectors of one length: a codebook and the centroids of cells, to the nearest of which a vector belongs."""
+    """What is fitted for vectors of one length: a codebook, the centroids of cells, to the nearest of which a vector belongs, and how many of a part must be compared exactly."""
 
     book: Codebook
     cells: np.ndarray
+    rerank: int
 
     def order(self, x: np.ndarray) -> np.ndarray:
         """Cells by their distance to each of x, nearest first."""
         return np.argsort((self.cells**2).sum(1)[None] - 2 * x @ self.cells.T, axis=1, kind="stable")
 
 
-def fit_index(vectors: DataFrame, part: int, bound: int, seed: int = 3) -> dict[int, Index]:
-    """An Index for each length of vectors, fitted on about `bound` of them at most, the first by hashed vec_id. A cell for each `part` vectors, but not more than one for 8 of the sample."""
+def fit_index(vectors: DataFrame, part: int, bound: int, k: int, rerank: int, seed: int = 3) -> dict[int, Index]:
+    """An Index for each length of vectors, fitted on about `bound` of them at most, the first by hashed vec_id. A cell for each `part` vectors, but not more than one for 8 of the sample.
+
+    Of a part at least `rerank` vectors are compared exactly, and half as many again as 99 % of the true k nearest ask for in a part made from the sample.
+    """
     sizes = {r["dim"]: r["count"] for r in vectors.groupBy(F.size("embedding").alias("dim")).count().collect()}
     n = sum(sizes.values())
     mark = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "vec_id"), 1).cast("double") / float(1 << 63)
@@ -144,12 +159,14 @@ def fit_index(vectors: DataFrame, part: int, bound: int, seed: int = 3) -> dict[
     found = {}
     for d, rows in by.items():
         x = np.asarray(rows, dtype=np.float64)
-        k = max(1, min(-(-sizes[d] // part), len(x) // 8))
-        cells = x[np.random.default_rng(seed).choice(len(x), k, replace=False)]
+        n_cells = max(1, min(-(-sizes[d] // part), len(x) // 8))
+        cells = x[np.random.default_rng(seed).choice(len(x), n_cells, replace=False)]
         for _ in range(8):
             near = ((cells**2).sum(1)[None] - 2 * x @ cells.T).argmin(1)
-            cells = np.stack([x[near == j].mean(0) if (near == j).any() else cells[j] for j in range(k)])
-        found[d] = Index(Codebook(x), cells)
+            cells = np.stack([x[near == j].mean(0) if (near == j).any() else cells[j] for j in range(n_cells)])
+        book = Codebook(x)
+        places = book.places(x[:part], k) if len(x) > 1 else np.zeros(1)
+        found[d] = Index(book, cells, max(rerank, math.ceil(1.5 * np.quantile(places, 0.99, method="higher")) + k + 1))
     return found
 
 
@@ -217,8 +234,8 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 10, rerank: int = 1
     All vectors are coded, in four bits for two components, and belong to the nearest of the cells; a cell's vectors are
     dealt to parts of about `part`. A query looks into as many cells as a sample of queries shows to hold `coverage` of true neighbours
     (see probes_for): few where the vectors lie in clusters, nearly all where they don't. In each part the queries that look into it, in
-    blocks of about `block`, scan the four-bit tables, which pick the part's `rerank` best distinct
-    vectors; exact distances in double precision on the original vectors pick its k. So a task holds about
+    blocks of about `block`, scan the four-bit tables, which pick the part's best distinct
+    vectors, at least `rerank` and as many as a part of the sample asks for (see fit_index); exact distances in double precision on the original vectors pick its k. So a task holds about
     `part` vectors and `block` queries at any size of the tables.
 
     Returns query_id, rank (from 1), vec_id, score; nearest first, ties to the smaller vec_id; fewer than k where fewer are
@@ -229,7 +246,7 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 10, rerank: int = 1
     ready = usable(vectors.where("vec_id is not null").select(F.col("vec_id").cast("long").alias("vec_id"), "embedding"))
     asked = usable(queries.where("vec_id is not null").select(F.col("vec_id").cast("long").alias("query_id"), "embedding"))
     asked = written(asked.withColumn("query", F.monotonically_increasing_id()), "asked")
-    index = fit_index(ready, part, fit_bound)
+    index = fit_index(ready, part, fit_bound, k, rerank)
     ready = written(coded(ready, index), "coded")
     looks = probes_for(asked, ready, index, k, sampled, coverage)
 
@@ -261,10 +278,10 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 10, rerank: int = 1
             u, index_ = x[first], index.get(x.shape[1])
             codes = unpacked(np.stack([np.frombuffer(own["codes"][int(i)].as_py(), np.uint8) for i in first]), len(index_.book.centroids)) if index_ else None
             keys, qids, qx = wanted["query"].to_numpy(), wanted["query_id"].to_numpy(), matrix(wanted["embedding"])
-            m = min(rerank, len(u))
+            m = min(index_.rerank if index_ else rerank, len(u))
             for lo in range(0, len(qids), 256):
                 q = qx[lo : lo + 256]
-                best = np.argpartition(-index_.book.scan(q, codes), m - 1, axis=1)[:, :m] if index_ else np.broadcast_to(np.arange(len(u)), (len(q), len(u)))
+                best = np.argpartition(-index_.book.scan(q, codes, u), m - 1, axis=1)[:, :m] if index_ else np.broadcast_to(np.arange(len(u)), (len(q), len(u)))
                 for j, cand in enumerate(best):
                     dist = np.sqrt(((u[cand] - q[j]) ** 2).sum(1))
                     edge = np.partition(dist, min(k, len(dist) - 1))[min(k, len(dist) - 1)]
@@ -296,7 +313,7 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def directions(dim: int, passes: int, hashes: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng((seed, dim))
-    return rng.standard_normal((passes * hashes, dim)) / np.sqrt(dim), rng.random(passes * hashes)
+    return rng.standard_normal((passes * hashes, dim)), rng.random(passes * hashes)
 
 
 def forest(a: np.ndarray, b: np.ndarray, sure: int | None = None) -> np.ndarray:
@@ -342,24 +359,78 @@ def matches(kinds, small, scale, error, window: int, least: float):
     return (np.concatenate(v, axis=1) if v else none for v in (sure, maybe))
 
 
-def depth_and_passes(n: int) -> tuple[int, int]:
-    """Hashes in a key and passes for n classes: keys tell n classes apart, passes grow as near pairs part in ever longer keys."""
-    return math.ceil(math.log2(n + 2)), math.ceil(10 + n**0.28)
+class Frame(NamedTuple):
+    """Where unit vectors of one length lie, and the passes that they ask for: keys are made of (x - mean) / spread, of length 1 on average."""
+
+    mean: np.ndarray | float = 0.0
+    spread: float = 1.0
+    passes: int = 12
 
 
 def pass_keys(x: np.ndarray, axes: np.ndarray, shift: np.ndarray, passes: int, width: float) -> np.ndarray:
-    """Sort keys of unit vectors for each pass: projections cut to steps of `width`, a byte each, then one projection's value, big-endian bytes."""
+    """Sort keys of framed vectors for each pass: projections cut to steps of `width`, a byte each, then one projection's value, big-endian bytes."""
     at = (x @ axes.T).reshape(len(x), passes, -1)
     cut = np.clip(np.floor(at[..., :-1] / width + shift.reshape(passes, -1)[:, :-1]) + 128, 0, 255).astype(np.uint8)
     value = np.clip(np.floor(at[..., -1:] * (1 << 22)) + (1 << 31), 0, (1 << 32) - 1).astype(">u4")
     return np.concatenate((cut, np.ascontiguousarray(value).view(np.uint8)), axis=2)
 
 
-def link_vectors(vectors: DataFrame, least: float = 0.9, passes: int | None = None, hashes: int | None = None, window: int = 48, width: float = 0.2, block: int = 512, seed: int = 23) -> DataFrame:
+def met_in(x: np.ndarray, pairs: int, hashes: int, passes: int, windows: tuple[int, ...], width: float, seed: int) -> np.ndarray:
+    """The share of the pairs (k, pairs + k), by window, that one pass brings within it."""
+    axes, shift = directions(x.shape[1], passes, hashes + 1, seed)
+    place, met = np.empty(len(x), np.int64), np.zeros(len(windows))
+    for p in range(passes):
+        own = slice(p * (hashes + 1), (p + 1) * (hashes + 1))
+        keys = pass_keys(x, axes[own], shift[own], 1, width)[:, 0]
+        place[np.lexsort(keys.T[::-1])] = np.arange(len(x))
+        met += [(abs(place[:pairs] - place[pairs : 2 * pairs]) <= w).mean() for w in windows]
+    return met / passes
+
+
+def fit_frame(x: np.ndarray, n: int, least: float, window: int, hashes: int, width: float, target: float, seed: int) -> Frame:
+    """Mean, spread and passes for n vectors of which the unit vectors x are a sample.
+
+    Partners of cosine `least` are planted beside vectors of the sample. How often a pass brings a pair together falls with
+    a power of the table's size, which the sample shows by a window an eighth as wide; carried on to n it gives the
+    passes after which a share of `target` has met, and half as many again, as some pairs meet less often than most.
+    """
+    mean = x.mean(0)
+    spread = max(float(np.sqrt(((x - mean) ** 2).sum(1).mean())), 1e-9)
+    pairs = min(len(x) // 2, 1000)
+    if pairs < 32 or spread < 1e-6:
+        return Frame(mean, spread)
+    rng = np.random.default_rng(seed)
+    side = rng.standard_normal((pairs, x.shape[1]))
+    side -= (side * x[:pairs]).sum(1, keepdims=True) * x[:pairs]
+    planted = least * x[:pairs] + math.sqrt(1 - least**2) * side / np.maximum(np.linalg.norm(side, axis=1, keepdims=True), 1e-12)
+    framed = (np.concatenate((x[:pairs], planted, x[pairs:])) - mean) / spread
+    wide, narrow = np.maximum(met_in(framed, pairs, hashes, 16, (window, max(1, window // 8)), width, seed), 1e-4)
+    power = min(1.0, max(0.0, math.log(wide / narrow) / math.log(window / max(1, window // 8))))
+    share = min(0.9, wide * (len(framed) / max(n, len(framed))) ** power)
+    return Frame(mean, spread, max(Frame().passes, math.ceil(1.5 * math.log(1 - target) / math.log(1 - share))))
+
+
+def fit_frames(classes: DataFrame, least: float, window: int, hashes: int, width: float, bound: int, target: float, seed: int) -> dict[int, Frame]:
+    """A Frame for each length of vectors, from about `bound` of them, the first by their hashes."""
+    sizes = {r["dim"]: r["count"] for r in classes.groupBy(F.size("embedding").alias("dim")).count().collect()}
+    n = sum(sizes.values())
+    mark = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "a"), 1).cast("double") / float(1 << 63)
+    by: dict[int, list] = defaultdict(list)
+    for r in sorted(classes.where(mark < bound / max(n, 1)).select("a", "b", "embedding").collect(), key=lambda r: (r.a, r.b)):
+        by[len(r.embedding)].append(r.embedding)
+    out = {}
+    for d, rows in by.items():
+        x = np.asarray(rows, dtype=np.float64)
+        out[d] = fit_frame(x / np.linalg.norm(x, axis=1, keepdims=True), sizes[d], least, window, hashes, width, target, seed)
+    return out
+
+
+def link_vectors(vectors: DataFrame, least: float = 0.9, window: int = 48, width: float = 2.6, block: int = 512, fit_bound: int = 8192, target: float = 0.985, seed: int = 23) -> DataFrame:
     """Near-duplicate vectors (vec_id, embedding) by sorted projection passes.
 
-    Vectors alike are one class. In each pass the classes are ordered by concatenated random hashes
-    (projections cut to steps of `width`; as many as depth_and_passes says, then a projection's value). Only sort keys and vectors rounded to
+    Vectors alike are one class. In each pass the classes are ordered by concatenated random hashes: projections of the unit vectors,
+    taken from the mean of a sample of about `fit_bound` and in its spread, cut to steps of `width`, as many as tell the classes apart, then
+    a projection's value. There are as many passes as pairs planted into the sample ask for to meet with a share of `target` (see fit_frame). Only sort keys and vectors rounded to
     a byte a component are sorted; each is compared with the `window` after it. What links whatever the rounding ties components
     together; pairs that the rounding leaves open, and that aren't tied by then, are checked on the original vectors. The pairs of all passes are united. Then the members of each
     component are compared in blocks for their exact numbers of links, of which only counts leave a task.
@@ -374,7 +445,9 @@ def link_vectors(vectors: DataFrame, least: float = 0.9, passes: int | None = No
     classes = ready.groupBy("a", "b").agg(F.min("vec_id").alias("low"), F.count("*").alias("n"), F.min("embedding").alias("embedding"))
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     n_classes = classes.count()
-    hashes, passes = (given or found for given, found in zip((hashes, passes), depth_and_passes(n_classes)))
+    hashes = math.ceil(math.log2(n_classes + 2))
+    frames = fit_frames(classes, least, window, hashes, width, fit_bound, target, seed)
+    passes = max((f.passes for f in frames.values()), default=Frame().passes)
 
     def deal(batches):
         for batch in batches:
@@ -384,9 +457,10 @@ def link_vectors(vectors: DataFrame, least: float = 0.9, passes: int | None = No
                 dim = x.shape[1]
                 small, scale, error = rounded(x)
                 values = pa.array([r.tobytes() for r in small], pa.binary())
-                axes, shift = directions(dim, passes, hashes + 1, seed)
-                order = pass_keys(x, axes, shift, passes, width)
-                for p in range(passes):
+                frame = frames.get(dim, Frame())
+                axes, shift = directions(dim, frame.passes, hashes + 1, seed)
+                order = pass_keys((x - frame.mean) / frame.spread, axes, shift, frame.passes, width)
+                for p in range(frame.passes):
                     keys = [dim.to_bytes(4, "big") + p.to_bytes(2, "big") + r.tobytes() for r in order[:, p]]
                     yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), part["node"].combine_chunks() if isinstance(part["node"], pa.ChunkedArray) else part["node"], values, pa.array(scale), pa.array(error)], ["key", "node", "x", "scale", "error"])
 

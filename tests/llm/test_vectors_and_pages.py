@@ -49,30 +49,79 @@ def test_vector_links(points):
     assert len(rows[504]) == 2 and rows[504][0].n_links == 1
 
 
-def planted_recall(n, cosine, pairs=500, window=48, seed=11):
-    """The share of planted pairs that some pass brings within the window, among n random unit vectors of 64 dimensions."""
+def cone(rng, n, dim, cosine):
+    """Unit vectors whose mean cosine with each other is `cosine`."""
+    x = rng.standard_normal((n, dim))
+    x[:, 0] = 0
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x *= math.sqrt(1 - cosine)
+    x[:, 0] = math.sqrt(cosine)
+    return x
+
+
+def partners(rng, x, cosine):
+    side = rng.standard_normal(x.shape)
+    side -= (side * x).sum(1, keepdims=True) * x
+    return cosine * x + np.sqrt(1 - cosine**2) * side / np.linalg.norm(side, axis=1, keepdims=True)
+
+
+def planted_recall(n, cosine, mean=0.0, pairs=500, window=48, seed=11):
+    """The share of planted pairs that some pass brings within the window, among n unit vectors of 64 dimensions, and the passes."""
     rng = np.random.default_rng(seed)
-    x = rng.standard_normal((n, 64))
+    x = cone(rng, n, 64, mean) if mean else rng.standard_normal((n, 64))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    a = x[:pairs]
-    side = rng.standard_normal(a.shape)
-    side -= (side * a).sum(1, keepdims=True) * a
-    x[pairs : 2 * pairs] = cosine * a + np.sqrt(1 - cosine**2) * side / np.linalg.norm(side, axis=1, keepdims=True)
-    hashes, passes = vectors.depth_and_passes(n)
-    axes, shift = vectors.directions(64, passes, hashes + 1, 23)
-    met = np.zeros(pairs, bool)
-    for p in range(passes):
+    x[pairs : 2 * pairs] = partners(rng, x[:pairs], cosine)
+    hashes = math.ceil(math.log2(n + 2))
+    frame = vectors.fit_frame(x[rng.choice(n, 8192, replace=False)], n, 0.9, window, hashes, 2.6, 0.985, 23)
+    axes, shift = vectors.directions(64, frame.passes, hashes + 1, 23)
+    met, y = np.zeros(pairs, bool), (x - frame.mean) / frame.spread
+    for p in range(frame.passes):
         own = slice(p * (hashes + 1), (p + 1) * (hashes + 1))
-        keys = np.ascontiguousarray(vectors.pass_keys(x, axes[own], shift[own], 1, 0.2)[:, 0])
+        keys = np.ascontiguousarray(vectors.pass_keys(y, axes[own], shift[own], 1, 2.6)[:, 0])
         place = np.empty(n, int)
         place[np.lexsort(keys.T[::-1])] = np.arange(n)
         met |= abs(place[:pairs] - place[pairs : 2 * pairs]) <= window
-    return met.mean()
+    return met.mean(), frame.passes
 
 
 @pytest.mark.parametrize("n", [20_000, 80_000])
 def test_planted_pairs_meet(n):
-    assert planted_recall(n, 0.905) >= 0.98 and planted_recall(n, 0.95) >= 0.995
+    found = {c: planted_recall(n, *c) for c in ((0.905, 0.0), (0.95, 0.0), (0.92, 0.5), (0.92, 0.8))}
+    assert all(recall >= (0.995 if c[0] == 0.95 else 0.98) for c, (recall, _) in found.items()), found
+
+
+def test_planted_links_in_a_cone(spark):
+    """20,000 vectors of mean cosine 0.8: planted pairs of cosine 0.92 and all links there are, by component or directly."""
+    rng = np.random.default_rng(13)
+    x = cone(rng, 20_000, 64, 0.8)
+    x[500:1000] = partners(rng, x[:500], 0.92)
+    near = np.concatenate([(x[lo : lo + 2000] @ x.T >= 0.9).sum(1) - 1 for lo in range(0, 20_000, 2000)])
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(20_000), "embedding": pa.array(list(3 * x), pa.list_(pa.float64()))}))
+    got = vectors.link_vectors(df).toPandas().set_index("vec_id").sort_index()
+    assert (got.n_links.to_numpy() <= near).all() and got.n_links.sum() >= 0.98 * near.sum() and near.sum() > 5000
+    assert (got.component_id.to_numpy()[:500] == got.component_id.to_numpy()[500:1000]).mean() >= 0.98
+
+
+@pytest.mark.parametrize("shape", ["shifted", "norms of 20", "log-normal norms", "cone 0.8", "cone 0.95"])
+def test_recall_wherever_vectors_lie(spark, shape):
+    """50,000 vectors in several parts, of which distances don't change with the origin."""
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((50_000, 64))
+    if shape == "shifted":
+        x += 10
+    elif shape.startswith("cone"):
+        x = cone(rng, 50_000, 64, float(shape.split()[1]))
+    else:
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        x *= (rng.normal(20, 2, 50_000) if shape == "norms of 20" else rng.lognormal(0, 0.5, 50_000))[:, None]
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(50_000), "embedding": pa.array(list(x), pa.list_(pa.float64()))}))
+    got = vectors.nearest(df.where("vec_id % 2000 = 0"), df).toPandas().groupby("query_id").vec_id.agg(set)
+    hits = 0
+    for q in range(0, 50_000, 2000):
+        d = ((x - x[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hits += len(got[q] & set(np.argsort(d)[:10].tolist()))
+    assert hits / 250 >= 0.95
 
 
 def test_nearest_answers_every_query_row(spark):
