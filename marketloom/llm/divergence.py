@@ -20,7 +20,7 @@ HELD = 400_000
 #: Rows of a group after which a task reduces what it holds to their skyband, and rows of all groups together.
 GROUP_ROWS, ALL_ROWS = 16_384, 400_000
 #: Cells of one matrix of sources by terms, and the sources that one task sets against all.
-CELLS, SOURCES = 1 << 18, 256
+CELLS, SOURCES = 1 << 16, 256
 
 
 def term_counts(batches):
