@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import human_bytes, progress_bar
+from ..functions.scalars import human_bytes
 
 
 def completeness(expected: DataFrame, landed: DataFrame) -> DataFrame:
@@ -18,6 +18,17 @@ def completeness(expected: DataFrame, landed: DataFrame) -> DataFrame:
     return out.withColumn("pct", F.when(F.col("candidates") > 0, F.round(F.col("done") / F.col("candidates") * 100, 4)).otherwise(0.0))
 
 
+def completeness_of_table(expected: DataFrame, table: DataFrame) -> DataFrame:
+    """completeness of a landed table partitioned by (dataset, d), with the rows that have landed in all.
+
+    table comes from readers.parquet_by_footers: partitions and their row counts are known from footers, so the only
+    thing that grows with the rows is the number of files.
+    """
+    days = table.groupBy("dataset", "d").agg(F.count("*").alias("rows")).where("rows > 0")
+    rows = days.groupBy("dataset").agg(F.sum("rows").alias("rows"))
+    return completeness(expected, days).join(rows, "dataset", "left").withColumn("rows", F.coalesce("rows", F.lit(0).cast("long")))
+
+
 def pending(expected: DataFrame, landed: DataFrame, refresh: bool = False) -> DataFrame:
     """What is still to load: all of expected on a refresh, else what has not landed."""
     return expected if refresh else expected.join(landed.select(*expected.columns).distinct(), expected.columns, "left_anti")
@@ -32,10 +43,6 @@ def sizes(files: DataFrame) -> DataFrame:
     return files.rollup("dataset").agg(F.sum("length").alias("bytes")).withColumn("size", human_bytes(F.col("bytes")))
 
 
-def with_bar(report: DataFrame) -> DataFrame:
-    return report.withColumn("bar", progress_bar(F.col("pct")))
-
-
 def latest_before(asked: DataFrame, landed: DataFrame, most: int = 15) -> DataFrame:
     """For each asked (dataset, d) the last weekday up to d, d included, that has landed data, of at most `most` weekdays; null if none has."""
     have = landed.select("dataset", "d").where("weekday(d) < 5").distinct().withColumn("_h", F.col("d"))

@@ -13,7 +13,7 @@ from .functions import calendars, scalars
 from .operators import coverage, holdings, matching, notices, relational
 from .plans import catalog
 from .sources import landed as responses_source
-from .sources import payloads, readers, sinks, versions
+from .sources import archives, payloads, readers, sinks, versions, workbooks
 from .streaming import ingest, runs
 
 QUERIES: dict = {}
@@ -907,3 +907,114 @@ def fund_rejects(spark, sf_dir):
     k = F.col("s_suppkey") % 4
     payload = F.when(k == 0, '{"date":').when(k == 1, '{"data":{"data":{"n":1}}}').when(k == 2, '{"data":[]}').otherwise('{"data":{"data":[{"n":"Acer"},"Acer"]}}')
     return payloads.fund_rejects(load(spark, sf_dir, "supplier").select("s_name", payload.alias("payload")), "payload", "s_name").select("period", "reason", "ordinal")
+
+
+# --- archives, footers, counters ---------------------------------------------------------------
+
+
+@query("""select n_name || '.zip' archive, count(*) members, sum(length(s_name) + length(s_suppkey::varchar) + 1)::bigint bytes, sum(s_suppkey)::bigint keys
+from supplier join nation on n_nationkey = s_nationkey where s_suppkey % 2 = 0 group by 1""")
+def archive_members(spark, sf_dir):
+    """Archives of a nation's suppliers, one file each, of which every other is read."""
+    root = f"{scratch(spark)}/archives"
+    rows = load(spark, sf_dir, "supplier").join(load(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    line = F.concat_ws(",", "s_suppkey", "s_name")
+    archives.packed(rows.select(F.concat("n_name", F.lit(".zip")).alias("archive"), F.concat(F.lit("s/"), F.col("s_suppkey").cast("string"), F.lit(".csv")).alias("member"), line.cast("binary").alias("content")), root)
+    asked = archives.members(spark, root).where("cast(regexp_extract(member, '([0-9]+)', 1) as long) % 2 = 0")
+    found = archives.contents(asked).select(F.substring_index("path", "/", -1).alias("archive"), F.decode("content", "utf-8").alias("line"))
+    return found.groupBy("archive").agg(F.count("*").alias("members"), F.sum(F.length("line")).alias("bytes"), F.sum(F.split("line", ",")[0].cast("long")).alias("keys"))
+
+
+@query(LANDED + """, c as (select x.dataset, count(*) candidates, count(l.d) done from x left join l on x.dataset = l.dataset and x.d = l.d group by 1), s as (select dataset, count(*) landed_all, min(d) first_day, max(d) last_day from l group by 1)
+select c.dataset, candidates, done, coalesce(landed_all, 0) landed_all, first_day, last_day, round(done / candidates * 100, 4) pct, coalesce(r.n, 0) as rows
+from c left join s on c.dataset = s.dataset left join (select event_type, count(*) n from events where value > 150 group by 1) r on r.event_type = c.dataset""")
+def completeness_footers(spark, sf_dir):
+    """Completeness of a table of landed days, from its partitions and footers alone."""
+    path = scratch(spark)
+    rows = load(spark, sf_dir, "events").where("value > 150").select(F.col("event_type").alias("dataset"), F.col("ts").cast("date").alias("d"), "event_id")
+    sinks.dated(rows, path, ["dataset", "d"])
+    return coverage.completeness_of_table(expected(spark, sf_dir), readers.parquet_by_footers(spark, path))
+
+
+@query("select count(*) filter (s = 'ok') ok, count(*) filter (s = 'skip') skip, count(*) filter (s = 'fail') fail, count(*) rows_written from (select case o_orderstatus when 'F' then 'ok' when 'O' then 'skip' else 'fail' end s from orders)")
+def status_counters(spark, sf_dir):
+    """A load's counters, taken while its rows are written."""
+    path = scratch(spark)
+    o = load(spark, sf_dir, "orders").withColumn("s", F.when(F.col("o_orderstatus") == "F", "ok").when(F.col("o_orderstatus") == "O", "skip").otherwise("fail"))
+    counts = {s: F.count_if(F.col("s") == s) for s in ("ok", "skip", "fail")} | {"rows_written": F.count(F.lit(1))}
+    seen = sinks.counted(o, lambda df: df.write.partitionBy("s").parquet(path), **counts)
+    return spark.createDataFrame([seen], ", ".join(f"{c} long" for c in counts))
+
+
+@query(SQL["upsert_stats"])
+def upsert_counters(spark, sf_dir):
+    """upsert_stats as the upsert's buckets are written, not from a second look at both tables."""
+    old, merged = upserted(spark, sf_dir)
+    path = scratch(spark)
+    sinks.entities(old, path, "o_custkey")
+    kinds = ("created", "removed", "updated", "unchanged")
+    types = relational.change_types(old, merged, "o_custkey")
+    counts = {k: F.count_if(F.col("change_type") == k) for k in kinds}
+    seen = sinks.counted(types, lambda df: sinks.entities(merged, path, "o_custkey", changed=df.where("change_type <> 'unchanged'")), **counts)
+    return spark.createDataFrame([(k, seen[k]) for k in kinds if seen[k]], "change_type string, n long")
+
+
+@query("select o_orderkey k, o_orderstatus as name, cast(null as double) bal, o_orderpriority extra from orders union all select s_suppkey, s_name, s_acctbal, null from supplier")
+def align_extras(spark, sf_dir):
+    """Known columns first, in order; others are kept after them."""
+    o = load(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("extra"), F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("name"))
+    s = load(spark, sf_dir, "supplier").select(F.col("s_acctbal").alias("bal"), F.col("s_name").alias("name"), F.col("s_suppkey").alias("k"))
+    return relational.align(relational.union_all(o, s), ["k", "name", "bal", "missing"], extras=True)
+
+
+def books(spark, sf_dir) -> str:
+    """Workbooks of each nation's suppliers: keys, names as shared strings, balances, and days as styled serial numbers."""
+    root, w = f"{scratch(spark)}/books", Window.partitionBy("archive").orderBy("s_suppkey")
+    s = load(spark, sf_dir, "supplier").join(load(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).withColumn("archive", F.concat("n_name", F.lit(".xlsx")))
+    s = s.withColumn("n", F.row_number().over(w))
+    at = lambda c: F.concat(F.lit(f'<c r="{c}'), (F.col("n") + 1).cast("string"), F.lit('"'))
+    row = F.concat(
+        F.lit('<row r="'), (F.col("n") + 1).cast("string"), F.lit('">'), at("A"), F.lit("><v>"), F.col("s_suppkey").cast("string"), F.lit("</v></c>"), at("B"), F.lit(' t="s"><v>'), (F.col("n") - 1).cast("string"), F.lit("</v></c>"),
+        at("C"), F.lit("><v>"), F.col("s_acctbal").cast("string"), F.lit("</v></c>"), at("D"), F.lit(' s="1"><v>'), (F.col("s_suppkey") + 45292).cast("string"), F.lit("</v></c></row>"),
+    )
+    joined = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", c.alias("x")))), lambda y: y["x"]), "")
+    made = s.groupBy("archive").agg(joined(row).alias("rows"), joined(F.concat(F.lit("<si><t>"), F.replace("s_name", F.lit("#"), F.lit(" &amp; ")), F.lit("</t></si>"))).alias("strings"))
+    head = "".join(f'<c r="{c}1" t="inlineStr"><is><t>{name}</t></is></c>' for c, name in zip("ABCD", ("id", "name", "bal", "day")))
+    space = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    members = {
+        workbooks.BOOK: F.lit(f'<workbook {space}><sheets><sheet name="調整" sheetId="1" r:id="rId1"/></sheets></workbook>'), workbooks.STRINGS: F.concat(F.lit(f"<sst {space}>"), "strings", F.lit("</sst>")),
+        workbooks.RELATIONS: F.lit('<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Type="x" Target="worksheets/sheet1.xml"/></Relationships>'),
+        workbooks.STYLES: F.lit(f'<styleSheet {space}><cellXfs count="2"><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs></styleSheet>'),
+        f"{workbooks.SHEETS}sheet1.xml": F.concat(F.lit(f'<worksheet {space}><dimension ref="A1:D2"/><sheetData><row r="1">{head}</row>'), "rows", F.lit("</sheetData></worksheet>")),
+    }
+    each = made.select("archive", F.explode(F.array(*(F.struct(F.lit(m).alias("member"), F.encode(x, "utf-8").alias("content")) for m, x in members.items()))).alias("m"))
+    archives.packed(each.select("archive", "m.*"), root)
+    return root
+
+
+def book_rows(spark, path):
+    found = workbooks.table(workbooks.cells(spark, path))
+    v = lambda name, kind: F.col("values")[name].cast(kind).alias(name)
+    return found.select(F.substring_index("path", "/", -1).alias("archive"), v("id", "long"), v("name", "string"), v("bal", "double"), v("day", "date"))
+
+
+@query("select n_name || '.xlsx' archive, s_suppkey id, replace(s_name, '#', ' & ') as name, s_acctbal bal, date '2024-01-01' + s_suppkey::int as day from supplier join nation on n_nationkey = s_nationkey")
+def workbook_rows(spark, sf_dir):
+    """Rows of workbooks by the names in their first row: shared strings joined by index, days told by their style."""
+    return book_rows(spark, books(spark, sf_dir))
+
+
+@query("""with s as (select *, n_name || '.xlsx' archive, row_number() over (partition by n_name order by s_suppkey) n, count(*) over (partition by n_name) k from supplier join nation on n_nationkey = s_nationkey)
+select archive, s_suppkey id, case when n % 3 = 0 then 'new <' || n || '>' else replace(s_name, '#', ' & ') end as name, case when n % 3 <> 1 then s_acctbal end bal, case when n % 3 = 0 then date '2020-02-29' else date '2024-01-01' + s_suppkey::int end as day from s
+union all select archive, -1, null, 0.5, null from s where n = k""")
+def workbook_patch(spark, sf_dir):
+    """Workbooks with cells overwritten, emptied and added, and a row appended; what isn't named stays."""
+    root = books(spark, sf_dir)
+    rows = workbooks.cells(spark, root).where("column = 'A' and row > 1").select(F.substring_index("path", "/", -1).alias("archive"), "sheet", "row")
+    n = F.col("row") - 1
+    cell = lambda column, kind, value: F.struct(F.lit(column).alias("column"), F.lit(kind).alias("kind"), value.cast("string").alias("value"))
+    named = F.array(cell("B", "text", F.concat(F.lit("new <"), n.cast("string"), F.lit(">"))), cell("D", "date", F.lit("2020-02-29")))
+    changes = rows.select("archive", "sheet", "row", F.explode(F.when(n % 3 == 0, named).when(n % 3 == 1, F.array(cell("C", "number", F.lit(None))))).alias("c"))
+    more = rows.groupBy("archive", "sheet").agg((F.max("row") + 1).alias("row")).select("archive", "sheet", "row", F.explode(F.array(cell("A", "number", F.lit(-1)), cell("C", "number", F.lit(0.5)))).alias("c"))
+    workbooks.patch(spark, root, f"{root}-after", changes.unionByName(more).select("archive", "sheet", "row", "c.*", F.lit(None).cast("int").alias("style")))
+    return book_rows(spark, f"{root}-after")

@@ -17,11 +17,6 @@ def envelope(spark: SparkSession, path: str, row: str) -> DataFrame:
     return df.where("status = 200").select(F.explode("data").alias("r")).select("r.*")
 
 
-def parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
-    return df.select(*columns) if columns else df
-
-
 def csv(spark: SparkSession, path: str, schema) -> DataFrame:
     """CSV with a header (and perhaps a byte-order mark) under a declared schema: ids keep leading zeros."""
     return spark.read.schema(schema).option("header", True).csv(path)
@@ -57,12 +52,6 @@ def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     return df.select("path", F.substring_index("path", "/", -1).alias("name"), "length", F.col("modificationTime").alias("modified"))
 
 
-def with_magic(spark: SparkSession, path: str, magic: bytes) -> DataFrame:
-    """Whether each file begins with the magic bytes: path, valid."""
-    df = spark.read.format("binaryFile").load(path)
-    return df.select("path", (F.substring("content", 1, len(magic)) == F.lit(magic)).alias("valid"))
-
-
 def date_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.trim("value").alias("d")).where("d <> ''").select(F.col("d").cast("date").alias("d"))
 
@@ -76,16 +65,14 @@ def whole_texts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
-def unzip(spark: SparkSession, path: str) -> DataFrame:
-    """Members of ZIP archives: path, member, content. One archive is opened in one task, in Python."""
-    import io
-    import zipfile
-
-    def run(batches):
-        import pandas as pd
-
-        for pdf in batches:
-            rows = [(p, n, z.read(n)) for p, c in zip(pdf.path, pdf.content) for z in [zipfile.ZipFile(io.BytesIO(c))] for n in z.namelist()]
-            yield pd.DataFrame(rows, columns=["path", "member", "content"])
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, member string, content binary")
+def parquet_by_footers(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table whose counts, minima and maxima, grouped by its partition columns or not at all, are answered
+    from its files' footers: no column is read. Sets the session's pushdown of aggregates; other tables are read as before."""
+    kinds = "spark.sql.sources.useV1SourceList"
+    before = spark.conf.get(kinds)
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    spark.conf.set(kinds, ",".join(k for k in before.split(",") if k.strip().lower() != "parquet"))
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(kinds, before)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -34,6 +34,13 @@ def lines(df: DataFrame, column: str, path: str) -> None:
     df.select(df[column].cast("string").alias("value")).write.mode("overwrite").text(path)
 
 
+def counted(df: DataFrame, write, **counts: Column) -> dict:
+    """Calls write(df) and returns the counts (aggregates by name) of the rows that it wrote, taken as they pass: df is not run again."""
+    seen = Observation()
+    write(df.observe(seen, *(c.alias(name) for name, c in counts.items())))
+    return seen.get
+
+
 def entities(df: DataFrame, path: str, entity: str, buckets: int = 64, changed: DataFrame | None = None) -> None:
     """A table of entities in hashed buckets. With changed (entity), only the buckets that hold one are written again; df then has all rows of these."""
     bucket = F.pmod(F.xxhash64(entity), F.lit(buckets)).cast("int")

@@ -7,7 +7,7 @@ from datetime import date
 from marketloom.functions import calendars, scalars
 from marketloom.operators import coverage, holdings, matching, notices, relational
 from marketloom.plans import catalog
-from marketloom.sources import readers, sinks
+from marketloom.sources import archives, readers, sinks
 from pyspark.sql import functions as F
 
 
@@ -98,9 +98,9 @@ def test_files(spark, tmp_path):
         z.writestr("x.csv", "1,2")
         z.writestr("y.csv", "3")
     (tmp_path / "b.zip").write_bytes(b"no archive")
-    valid = {r.path.rsplit("/", 1)[1]: r.valid for r in readers.with_magic(spark, f"file://{tmp_path}", b"PK").collect()}
+    valid = {r.path.rsplit("/", 1)[1]: r.valid for r in archives.begins_with(spark, f"file://{tmp_path}", b"PK").collect()}
     assert valid == {"a.zip": True, "b.zip": False}
-    assert {(r.member, bytes(r.content)) for r in readers.unzip(spark, f"file://{tmp_path}/a.zip").collect()} == {("x.csv", b"1,2"), ("y.csv", b"3")}
+    assert {(r.member, bytes(r.content)) for r in archives.contents(archives.members(spark, f"file://{tmp_path}", "a.zip")).collect()} == {("x.csv", b"1,2"), ("y.csv", b"3")}
     (tmp_path / "t").mkdir()
     (tmp_path / "t" / "one.txt").write_text("a\nb")
     assert [r.text for r in readers.whole_texts(spark, f"file://{tmp_path}/t").collect()] == ["a\nb"]
