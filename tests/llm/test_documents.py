@@ -338,12 +338,12 @@ def test_suffix_tree_base_and_gain(which, request):
         assert sum(r.score for r in rows) >= sum(r.base_score for r in rows)
 
 
-@pytest.mark.parametrize("which,depth,sure", [("real", 2, 10**6), ("real", 3, 40), ("odd", 3, 10**6)])
-def test_suffix_tree_score_matches_brute_force(which, depth, sure, request):
+@pytest.mark.parametrize("which,depth,sure,numbers", [("real", 2, 10**6, 1 << 32), ("real", 3, 40, 1 << 32), ("real", 3, 10**6, 0), ("odd", 3, 10**6, 1 << 32)])
+def test_suffix_tree_score_matches_brute_force(which, depth, sure, numbers, request):
     df = request.getfixturevalue(which)
     if which == "real":
         df = df.orderBy("doc_id").limit(60).cache()
-    rows = suffix_tree.score(df, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 1, depth=depth, sure=sure, piece_words=3000).collect()
+    rows = suffix_tree.score(df, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 1, depth=depth, sure=sure, piece_words=3000, numbers=numbers).collect()
     followers, counts, own = defaultdict(Counter), Counter(), []
     for i, t in texts(df):
         words = [*WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or "")), None]
