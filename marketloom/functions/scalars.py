@@ -44,13 +44,17 @@ def falsy_coalesce(*cols: Column) -> Column:
     return F.coalesce(*(F.nullif(c.cast("string"), F.lit("")) for c in cols), F.lit(""))
 
 
-def parse_date_any(c: Column) -> Column:
-    """The first date in a text: of the form Y年M月D or Y/M/D if there is one, else of YYYYMMDD; null if it is no real day."""
+#: How a date stands in a text, year, month and day each a group; the first form goes before the second.
+DATE_FORMS = (r"(20\d{2})\s*[年/]\s*(\d{1,2})\s*[月/]\s*(\d{1,2})", r"(20\d{2})(\d{2})(\d{2})")
+
+
+def parse_date_any(c: Column, forms: tuple[str, ...] = DATE_FORMS) -> Column:
+    """The first date in a text of the first of the forms that it has; null if it is no real day."""
     def parts(pattern):
-        y, m, d = (F.regexp_extract(c, pattern, k) for k in (1, 2, 3))
+        y, m, d = (F.regexp_extract(c, rf"(?U){pattern}", k) for k in (1, 2, 3))
         return F.when(y != "", F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")))
 
-    return F.try_to_date(F.coalesce(parts(r"(?U)(20\d{2})\s*[年/]\s*(\d{1,2})\s*[月/]\s*(\d{1,2})"), parts(r"(20\d{2})(\d{2})(\d{2})")), "yyyy-MM-dd")
+    return F.try_to_date(F.coalesce(*map(parts, forms)), "yyyy-MM-dd")
 
 
 def excel_serial(c: Column) -> Column:

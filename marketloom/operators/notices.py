@@ -19,6 +19,7 @@ EFFECTIVE = r"(20\d{2}\s*年\s*\d{1,2}\s*月\s*\d{1,2}\s*日)[^年。]*?起生
 REVIEW = r"定審資料日\s*[（(]\s*(\d{8})\s*[)）]"
 SCHEDULE_TITLE = r"(20\d{2}\s*年\s*\d{1,2}\s*月.*?日程表)"
 UPDATED = r"更新日期\s*[:：]\s*([\d/]+)"
+SLASH_FORM = r"(20\d{2})\s*/\s*(\d{1,2})\s*/\s*(\d{1,2})"
 SLASHED = r"20\d{2}/\d{1,2}/\d{1,2}"
 HAN = r"[\x{4E00}-\x{9FFF}]"
 
@@ -62,9 +63,9 @@ def parse(notices: DataFrame) -> DataFrame:
 def schedule(reports: DataFrame) -> DataFrame:
     """Review schedules (notice_id, text) as rows: notice_id, report_title, update_date, index_name, announce_date, effective_date.
 
-    A row is a line with at least two dates and an index's name before the first of them.
+    A row is a line with at least two dates and an index's name before the first of them. The update's date counts in the form Y/M/D only.
     """
-    meta = reports.select("notice_id", "text", norm_whitespace(F.regexp_extract("text", rf"(?U){SCHEDULE_TITLE}", 1)).alias("report_title"), parse_date_any(F.regexp_extract("text", rf"(?U){UPDATED}", 1)).alias("update_date"))
+    meta = reports.select("notice_id", "text", norm_whitespace(F.regexp_extract("text", rf"(?U){SCHEDULE_TITLE}", 1)).alias("report_title"), parse_date_any(F.regexp_extract("text", rf"(?U){UPDATED}", 1), (SLASH_FORM,)).alias("update_date"))
     lines = meta.select("notice_id", "report_title", "update_date", F.explode(F.split("text", r"\r\n|\n|\r")).alias("line"))
     lines = lines.withColumn("dates", F.regexp_extract_all("line", F.lit(SLASHED), F.lit(0))).where("size(dates) >= 2")
     name = norm_whitespace(F.expr("substring(line, 1, locate(dates[0], line) - 1)"))

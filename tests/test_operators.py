@@ -34,6 +34,8 @@ def test_schedules(spark):
     text = "2026年6月 指數審核 日程表\n更新日期：2026/5/3\n甲指數 2026/06/09\n乙 2026/06/09 2026/06/26\n丙 指數 2026/6/9 2026/06/26\n"
     got = [tuple(r) for r in notices.schedule(spark.createDataFrame([(1, text), (2, None), (3, "")], "notice_id int, text string")).collect()]
     assert got == [(1, "2026年6月指數審核日程表", date(2026, 5, 3), "丙指數", date(2026, 6, 9), date(2026, 6, 26))]
+    undated = notices.schedule(spark.createDataFrame([(1, text.replace("2026/5/3", "20260503"))], "notice_id int, text string")).first()
+    assert undated.update_date is None and undated.index_name == "丙指數"
 
 
 def test_names(spark):
