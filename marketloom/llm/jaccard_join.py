@@ -275,7 +275,8 @@ def labelled(docs: DataFrame, small: int = 8, listed: int = 64, block: int = 204
     xxhash64) and component (the smallest hash of a set reachable; null for an empty set). Texts of
     fewer than five words are one shingle; null texts and texts without words have none and link with
     nothing. Rows alike, or with the same set, are one class. Rows without doc_id take part; where no
-    row of a component has one, component_id is null. Empty tables give no rows.
+    row of a component has one, component_id is null. Empty tables give no rows. Texts count whole, however long; columns
+    but doc_id and text are left out, so names can't clash.
 
     1. Classes with a common prefix shingle meet. 2. In every such group R-trees of count vectors bound
     the overlap by summed coordinate minima; what may link is tied to clusters by spanning forests, so

@@ -108,8 +108,8 @@ def identify(docs: DataFrame, model: Model, dim: int = DIM) -> DataFrame:
     """Predicts each row's language from its whole text: docs' columns, lang_pred, score, rejected.
 
     Null texts and texts without a letter get und, score 0 and are rejected; a text whose best cosine
-    is under its language's floor is rejected and keeps its best language. One row per row; columns
-    named like the results or _text are left out.
+    is under its language's floor is rejected and keeps its best language. Of centroids equally near the first counts, in the order
+    of their languages' names. One row per row, an empty table gives none; columns named like the results or _text are left out.
     """
     kept = [c for c in docs.columns if c not in ("lang_pred", "score", "rejected", "_text")]
 

@@ -79,7 +79,8 @@ def judge(pages: DataFrame, rules=RULES, most: int = 40, close: float = 1e-3, bi
     against them, from a blocked host to those that link to it. A host without a fitting rule is blocked
     if its distrust exceeds bias times its trust, else allowed, so hosts that neither reaches are
     allowed; so are all where no page is a seed. Null urls and urls without :// have an empty host and path, match no rule and are allowed.
-    Rows alike are judged each; an empty table gives none.
+    Rows alike are judged each; an empty table gives none. Urls and pages count whole, however long; other columns,
+    of whatever names, are left out.
     """
     parsed = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), "html").withColumns({"host": host_of("url"), "path": path_of("url")})
     ruled = match(parsed, rules)

@@ -342,7 +342,8 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = 1024, end_id:
 
     Returns a row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids).
     Null or empty texts hold the end id alone; rows with the same or a null doc_id are packed each
-    on its own; an empty table gives none.
+    on its own; an empty table gives none. Texts count whole: the longest are cut into pieces of capacity tokens, of which
+    the first may be shorter.
     """
     return place(written(pieces(docs, path, capacity, end_id, with_ids), "pieces"), capacity)
 

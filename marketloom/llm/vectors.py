@@ -437,7 +437,8 @@ def link_vectors(vectors: DataFrame, least: float = 0.9, window: int = 48, width
 
     Returns a row per row: vec_id, n_links, component_id (smallest vec_id), kept. Unusable vectors (see
     usable) and rows without vec_id link with nothing: n_links 0, themselves as component. Rows with the
-    same vec_id are each a row of their own, linked only if their vectors are. Vectors of different length are never linked.
+    same vec_id are each a row of their own, linked only if their vectors are. Vectors of different length are never linked. An empty table
+    gives no rows; columns but vec_id and embedding, of whatever names, are left out.
     """
     spark = vectors.sparkSession
     keyed = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")

@@ -404,3 +404,50 @@ def test_license_inheritance(spark):
     root = spark.createDataFrame([("COPYING", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"), ("x/y", "none")], "path string, text string")
     assert {(r.path, r.license, r.inherited_from) for r in licenses.scan(root).collect()} == {("COPYING", "GPL-2.0", None), ("x/y", "GPL-2.0", "")}
     assert licenses.scan(root.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("which", ["real", "odd"])
+def test_language_scores_match_brute_force(which, request):
+    """The model's predictions from dictionaries of n-grams, and its own idf, centroids and floors from the training texts."""
+    df = request.getfixturevalue(which)
+    model = langid.fit(df, bound=10**6, clusters=2)
+    kept = [(r.lang, r.text) for r in df.select("lang", "text").collect() if r.text is not None and r.lang is not None and any(c.isalpha() for c in r.text)]
+
+    def counts(text):
+        raw = bytes(c if c > 127 or 97 <= c <= 122 else 32 for c in text.lower().encode())
+        raw = b" ".join(raw.split()).join((b" ", b" ")) if raw.split() else b" "
+        found = Counter()
+        for size in (2, 3):
+            for k in range(len(raw) - size + 1):
+                found[(int.from_bytes(raw[k : k + size], "big") * 2654435761 % 2**32 >> 16) % langid.DIM] += 1
+        return found
+
+    bags = [(lang, counts(t)) for lang, t in kept]
+    df_, n = Counter(x for _, b in bags for x in b), len(bags)
+    idf = [math.log((1 + n) / (1 + df_[k])) + 1 for k in range(langid.DIM)]
+    assert np.allclose(model.idf, idf, rtol=1e-5)
+
+    def vector(bag):
+        v = {k: math.log1p(c) * idf[k] for k, c in bag.items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {k: x / norm for k, x in v.items()}
+
+    def near(bag):
+        v = vector(bag)
+        return [sum(x * float(c[k]) for k, x in v.items()) for c in model.centroids]
+
+    best = lambda s, lang=None: max((x, -j) for j, x in enumerate(s) if lang in (None, model.langs[j]))
+    assert model.langs == sorted(model.langs) and set(model.langs) == {lang for lang, _ in bags} and np.allclose(np.linalg.norm(model.centroids, axis=1), 1, atol=1e-4)
+    for lang in set(model.langs):
+        assert math.isclose(model.floor[lang], 0.5 * min(best(near(b), lang)[0] for g, b in bags if g == lang), abs_tol=1e-4)
+    # a centroid lies in the middle of texts of its language: nowhere near another one's
+    got = langid.identify(df.select("doc_id", "text"), model).collect()
+    assert len(got) == df.count()
+    for r in got:
+        if r.text is None or not any(c.isalpha() for c in r.text):
+            assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, True)
+            continue
+        s = near(counts(r.text))
+        top, j = best(s)
+        assert abs(r.score - min(max(top, 0), 1)) < 1e-4 and r.rejected == (r.score < model.floor[r.lang_pred])
+        assert r.lang_pred == model.langs[-j] or abs(best(s, r.lang_pred)[0] - top) < 1e-5
