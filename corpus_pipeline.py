@@ -12,7 +12,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents whose language the model tells; it learns from those of documents not held out."""
+    """Keeps the documents whose language the model tells; it learns from those of documents not held out. Null texts and texts without a letter have none and go."""
     out = F.coalesce(langid.held_out(), F.lit(False))
     found = langid.identify(docs, langid.fit(docs.where(~out)))
     return found.where("not rejected").select(*docs.columns)
@@ -32,7 +32,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Puts [EMAIL], [IP], [CARD] or [PHONE] where personal data was found; n_chars follows."""
+    """Puts [EMAIL], [IP], [CARD] or [PHONE] where personal data was found, of overlapping finds the first; n_chars follows. Every row stays; null and empty texts as they are, with n_chars null and 0."""
     found = pii.detect(docs.withColumn("_whole", F.col("text")))
     spans = F.array_sort(F.transform("spans", lambda x: F.struct(x["start"].alias("s"), x["end"].alias("e"), x["kind"].alias("k"))))
     done = F.aggregate(
@@ -54,7 +54,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is left into sequences of 1024 tokens."""
+    """Packs what is left into sequences of 1024 tokens: a row a piece, null and empty texts as their end alone; rows alike are packed each."""
     return packing.pack(docs)
 
 
