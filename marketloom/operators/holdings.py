@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import arrow, percent_change
@@ -23,8 +23,17 @@ def top_changes(d: DataFrame, key: str, n: int = 15, least: float = 0.5) -> Data
     return both.orderBy(F.abs("holdings_diff").desc(), F.asc(key)).limit(n)
 
 
-def report(d: DataFrame, key: str) -> list[str]:
-    """Lines for the console: counts by status and the top changes."""
-    lines = [f"{r.status}: {r.n}" for r in d.groupBy("status").agg(F.count("*").alias("n")).orderBy("status").collect()]
+def lines(d: DataFrame, key: str) -> DataFrame:
+    """The report's lines (n, line): counts by status, then the top changes, numbers with thousands separators."""
+    counts = d.groupBy("status").agg(F.count("*").alias("c")).select(F.lit(0).alias("part"), F.col("status").alias("at"), F.format_string("%s: %d", "status", "c").alias("line"))
     text = F.format_string("%s %s %,.0f (%+.2f%%)", F.col(key).cast("string"), "sign", "holdings_diff", "change_pct")
-    return lines + [r.line for r in top_changes(d, key).select(text.alias("line")).collect()]
+    # the largest first, ties by key: at most fifteen rows
+    order = F.struct(-F.abs("holdings_diff"), F.col(key))
+    top = top_changes(d, key).groupBy().agg(F.array_sort(F.collect_list(F.struct(order.alias("at"), text.alias("line")))).alias("x")).select(F.posexplode("x").alias("at", "x"))
+    every = counts.unionByName(top.select(F.lit(1).alias("part"), F.format_string("%05d", "at").alias("at"), F.col("x.line").alias("line")))
+    return every.select(F.row_number().over(Window.orderBy("part", "at")).alias("n"), "line")
+
+
+def report(d: DataFrame, key: str) -> list[str]:
+    """lines() for the console."""
+    return [r.line for r in lines(d, key).orderBy("n").collect()]

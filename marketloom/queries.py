@@ -1018,3 +1018,86 @@ def workbook_patch(spark, sf_dir):
     more = rows.groupBy("archive", "sheet").agg((F.max("row") + 1).alias("row")).select("archive", "sheet", "row", F.explode(F.array(cell("A", "number", F.lit(-1)), cell("C", "number", F.lit(0.5)))).alias("c"))
     workbooks.patch(spark, root, f"{root}-after", changes.unionByName(more).select("archive", "sheet", "row", "c.*", F.lit(None).cast("int").alias("style")))
     return book_rows(spark, f"{root}-after")
+
+
+# --- reports, files and payloads of the tables' own rows ---------------------------------------
+
+
+@query(DIFF + """, t as (select stock_id, holdings_now - holdings_prev c, (holdings_now - holdings_prev) / holdings_prev * 100 pct from d where status = 'both' and abs(holdings_now - holdings_prev) > 0.5 order by abs(c) desc, stock_id limit 15),
+e as (select 0 part, status a, 0::double b, 0 k, status || ': ' || count(*) line from d group by status
+  union all select 1, '', -abs(c), stock_id, stock_id || case when c > 0 then ' ▲ ' else ' ▼ ' end || format('{:,}', c::bigint) || ' (' || printf('%+.2f', pct) || '%)' from t)
+select row_number() over (order by part, a, b, k)::int n, line from e""")
+def holdings_report(spark, sf_dir):
+    """The report of a day's differences, line by line."""
+    return holdings.lines(whole_diff(spark, sf_dir), "stock_id")
+
+
+@query(LANDED + "select dataset, d from x")
+def refresh_plan(spark, sf_dir):
+    """On a refresh all that is expected is loaded again, landed or not."""
+    return coverage.pending(expected(spark, sf_dir), landed(spark, sf_dir), refresh=True)
+
+
+@query("with s as (select event_type dataset, max(ts)::date b from events group by 1) select dataset, unnest(generate_series(b - 6, b, interval 1 day))::date d from s")
+def last_seven_days(spark, sf_dir):
+    """The last seven days of each event type, up to its last event's."""
+    last = load(spark, sf_dir, "events").groupBy(F.col("event_type").alias("dataset")).agg(F.max(F.col("ts").cast("date")).alias("b"))
+    return calendars.spans(last.withColumn("a", F.date_sub("b", 6)), "a", "b").select("dataset", "d")
+
+
+@query("select unnest([" + ", ".join(f"'{t}'" for t in TABLES) + "]) as name, true valid")
+def file_magic(spark, sf_dir):
+    """Whether the tables' files begin as Parquet does; four bytes of each are read."""
+    found = archives.begins_with(spark, sf_dir, b"PAR1", "*.parquet").withColumn("name", F.regexp_extract("path", r"([^/]+)\.parquet(/|$)", 1))
+    return found.where(F.col("name").isin(*TABLES)).groupBy("name").agg(F.bool_and("valid").alias("valid"))
+
+
+@query("select c_nationkey, count(*)::int members, max(c_name) last_name from customer group by 1")
+def json_documents(spark, sf_dir):
+    """One JSON document a nation, over several lines, each in a file of its own."""
+    path = scratch(spark)
+    c = load(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count("*").alias("members"), F.max("c_name").alias("last_name"))
+    text = F.format_string('{\n  "c_nationkey": %d,\n  "members": %d,\n\n  "last_name": "%s"\n}', "c_nationkey", "members", "last_name")
+    c.select(F.col("c_nationkey").alias("k"), text.alias("value")).write.partitionBy("k").text(path)
+    return readers.json(spark, path, "c_nationkey int, members int, last_name string").select("c_nationkey", "members", "last_name")
+
+
+@query("""with e as (select l_suppkey, l_partkey, max(l_extendedprice) e, sum(l_quantity) q from lineitem group by 1, 2)
+select s_name period, date '1998-12-31' period_date, s_acctbal > 0 interim, p_name || ' ' || l_partkey company_name, n_name country_code, case p_size % 5 when 0 then 'Equity' when 1 then 'Fixed Income' when 2 then 'Real Estate' when 3 then 'Infrastructure' else '4' end asset_type,
+case when p_size % 7 <> 0 then e end market_value_nok, case when p_size % 7 <> 0 then q end nominal_value, p_size / 100 ownership_pct, case when p_size % 2 = 0 then p_brand else p_type end sector,
+case when p_size % 2 = 0 then l_partkey::varchar else 'B' || l_partkey end ticker, case when p_size % 2 = 0 then n_name end incorporation_country, case when p_size % 2 = 0 then p_size / 10 end voting_pct
+from e join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey join part on l_partkey = p_partkey""")
+def fund_positions(spark, sf_dir):
+    """Fund payloads of the parts that each supplier sold, a list or an object that holds one, taken apart again."""
+    e = load(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.max("l_extendedprice").alias("e"), F.sum("l_quantity").alias("q"))
+    e = e.join(load(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(load(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(load(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    key, even = F.col("l_partkey").cast("string"), F.col("p_size") % 2 == 0
+    entry = F.struct(
+        F.concat_ws(" ", "p_name", key).alias("n"), F.col("n_name").alias("cc"), (F.col("p_size") % 5).alias("at"), (F.col("p_size") / 100).alias("o"), F.when(F.col("p_size") % 7 != 0, F.struct("e", F.col("q").alias("n"))).alias("a"),
+        F.when(even, F.struct(F.col("p_brand").alias("s"), key.alias("vid"), F.col("n_name").alias("icc"), (F.col("p_size") / 10).alias("v"))).alias("eq"), F.when(~even, F.struct(F.col("p_type").alias("s"), F.concat(F.lit("B"), key).alias("vid"))).alias("fi"),
+    )
+    held = e.groupBy("s_name", "s_acctbal", "s_nationkey").agg(F.to_json(F.collect_list(entry)).alias("items"))
+    data = F.when(F.col("s_nationkey") < 12, F.col("items")).otherwise(F.concat(F.lit('{"data":'), "items", F.lit("}")))
+    payload = F.concat(F.lit('{"date":"1998-12-31T00:00:00","interim":'), (F.col("s_acctbal") > 0).cast("string"), F.lit(',"data":'), data, F.lit("}"))
+    return readers.fund_entries(held.select("s_name", payload.alias("payload")), "payload", "s_name")
+
+
+@query("""with l as (select distinct l_suppkey, l_partkey, year(l_shipdate) y from lineitem where year(l_shipdate) in (1998, 1999)),
+c as (select l_suppkey, case y when 1998 then 'add' else 'delete' end action, lpad((l_partkey % 9000 + 1000)::varchar, 4, '0') code, arg_min(p_name, l_partkey) as name from l join part on l_partkey = p_partkey group by all)
+select l_suppkey notice_id, '供應' || l_suppkey || '指數' index_name, date '2026-06-09' announce_date, null::date review_date, date '2026-06-26' effective_date, action, code, name from c""")
+def notice_lists(spark, sf_dir):
+    """Notices that add the parts which a supplier shipped in one year and delete those of the next."""
+    ship = F.col("l_shipdate")
+    sold = load(spark, sf_dir, "lineitem").where((ship >= F.lit("1998-01-01").cast("timestamp_ntz")) & (ship < F.lit("2000-01-01").cast("timestamp_ntz"))).select("l_suppkey", "l_partkey", F.year(ship).alias("y")).distinct()
+    sold = sold.join(load(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey")
+    item = F.concat(F.lpad((F.col("l_partkey") % 9000 + 1000).cast("string"), 4, "0"), F.lit(" "), "p_name")
+
+    def listed_in(year):
+        return F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("y") == year, F.struct("l_partkey", item.alias("x"))))), lambda x: x["x"]), "、")
+
+    n = sold.groupBy("l_suppkey").agg(listed_in(1998).alias("a"), listed_in(1999).alias("b"), F.count_if(F.col("y") == 1998).alias("m"), F.count_if(F.col("y") == 1999).alias("k"))
+    text = F.concat(
+        F.lit("「供應"), F.col("l_suppkey").cast("string"), F.lit("指數」定期審核\n2026/06/09\n自 2026 年 6 月 26 日 起生效\n成分股納入("), F.col("m").cast("string"), F.lit(")："), F.when(F.col("m") > 0, F.col("a")).otherwise("無"),
+        F.lit("\n成分股刪除 （ "), F.col("k").cast("string"), F.lit(" ）："), F.when(F.col("k") > 0, F.col("b")).otherwise("無"), F.lit("\n* 9998 註\n"),
+    )
+    return notices.parse(n.select(F.col("l_suppkey").alias("notice_id"), text.alias("text")))

@@ -37,9 +37,14 @@ def fund_entries(df: DataFrame, payload: str, period: str, labels: dict = ASSET_
 
     entry = "array<struct<n:string,cc:string,at:int,o:double,a:struct<e:double,n:double>,eq:struct<s:string,vid:string,icc:string,v:double>,fi:struct<s:string,vid:string>>>"
     data = F.get_json_object(payload, "$.data")
-    rows = df.withColumn("e", F.explode(F.coalesce(F.from_json(F.when(F.startswith(F.ltrim(data), F.lit("[")), data), entry), F.from_json(F.get_json_object(payload, "$.data.data"), entry))))
+    items = F.coalesce(F.from_json(F.when(F.startswith(F.ltrim(data), F.lit("[")), data), entry), F.from_json(F.get_json_object(payload, "$.data.data"), entry))
+    # what a payload says once is read before its entries are rows
+    whole = df.select(
+        F.col(period).alias("period"), F.try_to_date(F.substring(F.get_json_object(payload, "$.date"), 1, 10), "yyyy-MM-dd").alias("period_date"), F.get_json_object(payload, "$.interim").cast("boolean").alias("interim"), items.alias("items"),
+    )
+    rows = whole.select("period", "period_date", "interim", F.explode("items").alias("e"))
     return rows.select(
-        F.col(period).alias("period"), F.try_to_date(F.substring(F.get_json_object(payload, "$.date"), 1, 10), "yyyy-MM-dd").alias("period_date"), F.get_json_object(payload, "$.interim").cast("boolean").alias("interim"),
+        "period", "period_date", "interim",
         F.col("e.n").alias("company_name"), F.col("e.cc").alias("country_code"), enum_label(F.col("e.at"), labels).alias("asset_type"), F.col("e.a.e").alias("market_value_nok"), F.col("e.a.n").alias("nominal_value"),
         F.col("e.o").alias("ownership_pct"), falsy_coalesce(F.col("e.eq.s"), F.col("e.fi.s")).alias("sector"), falsy_coalesce(F.col("e.eq.vid"), F.col("e.fi.vid")).alias("ticker"),
         F.col("e.eq.icc").alias("incorporation_country"), F.col("e.eq.v").alias("voting_pct"),
