@@ -79,8 +79,8 @@ TEMPLATES = (
 )
 #: An SPDX line's expression.
 EXPRESSION = r"(?i:SPDX-License-Identifier):[\x20\t]*(\(?[A-Za-z0-9.+-]+\)?(?:[\x20\t]+(?:OR|AND|WITH)[\x20\t]+\(?[A-Za-z0-9.+-]+\)?)*)"
-#: A term: a word, or a number with its points. A version's v is left out.
-TERM = r"[a-z0-9]+(?:\.[0-9]+)*"
+#: A term, the pattern's group: a word, or a number with its points. A version's v is left out.
+TERM = r"(?:(?<![a-z0-9])v(?=[0-9]))?([a-z0-9]+(?:\.[0-9]+)*)"
 #: Where a text falls into units: line ends and sentence ends.
 UNIT = r"\r\n|\n|\r|(?<=[.!?;:])[\x20\t]+"
 #: Where it falls into paragraphs: lines with nothing but signs (of comments, or rules) or nothing at all.
@@ -93,12 +93,7 @@ WINDOWS, PARAGRAPHS, MOST = (6, 12, 24), 8, 1000
 
 def bags() -> list[tuple[str, list[str], list[str]]]:
     """(license, terms that a text must have, terms) of each template."""
-    return [(name, must.split(), re.findall(TERM, lowered(text))) for name, must, text in TEMPLATES]
-
-
-def lowered(text: str) -> str:
-    """Lower case with the v before a version's number taken off."""
-    return re.sub(r"\bv(?=[0-9])", "", text.lower())
+    return [(name, must.split(), re.findall(TERM, text.lower())) for name, must, text in TEMPLATES]
 
 
 class Weights:
@@ -122,14 +117,10 @@ class Weights:
             self.common.append(max(0.0, 1 - sum(self.rare[-1].values())) + 1e-9)
 
 
-def plain(text: Column) -> Column:
-    return F.regexp_replace(ascii_lower(text), r"\bv(?=[0-9])", "")
-
-
 def weigh(files: DataFrame) -> Weights:
     """Counts in how many files each template term is: one pass, of which at most the templates' terms reach the driver."""
     vocabulary = sorted({t for _, _, b in bags() for t in b})
-    terms = F.array_intersect(F.regexp_extract_all(plain(F.col("text")), F.lit(TERM), F.lit(0)), F.array(*map(F.lit, vocabulary)))
+    terms = F.array_intersect(F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(TERM), F.lit(1)), F.array(*map(F.lit, vocabulary)))
     seen = files.where("text is not null").select(F.explode(F.concat(F.array(F.lit("")), terms)).alias("t")).groupBy("t").count()
     counts = {r.t: r["count"] for r in seen.collect()}
     return Weights(counts.pop("", 0), counts)
@@ -162,7 +153,7 @@ def windows(path: str, weights: Weights, least: float) -> Column:
         return f"transform(sequence(0, size({parts}) - 1), i -> flatten(slice({parts}, i + 1, {k})))"
 
     def terms(parts, pattern):
-        return f"filter(transform(split({parts}, {quoted(pattern)}), x -> regexp_extract_all(x, {quoted(TERM)}, 0)), x -> size(x) > 0)"
+        return f"filter(transform(split({parts}, {quoted(pattern)}), x -> regexp_extract_all(x, {quoted(TERM)}, 1)), x -> size(x) > 0)"
 
     long_ = 2 * max(WINDOWS)
     cut = [f"flatten(transform(filter(u, x -> size(x) > {long_}), x -> transform(sequence(0, size(x) - 1, {k // 3}), i -> slice(x, i + 1, {k}))))" for k in WINDOWS]
@@ -170,9 +161,11 @@ def windows(path: str, weights: Weights, least: float) -> Column:
     every = [in_a_row("u", k) for k in (1, 2, 3)] + [f"if(size(p) >= {k}, {in_a_row('p', k)}, array())" for k in range(1, PARAGRAPHS + 1)]
     found = f"array_distinct(filter(concat({', '.join(every + cut + [whole])}), x -> size(x) > 0 and size(x) <= {MOST} and {may('x')}))"
     paragraphs = f"filter({terms('low', PARAGRAPH)}, x -> size(x) <= {MOST})"
-    body = let("u", terms("low", UNIT), f"if(size(u) > 0 and {may('flatten(u)')}, {let('p', paragraphs, found)}, null)")
+    body = let("u", terms("low", UNIT), f"if(size(u) > 0, {let('p', paragraphs, found)}, null)")
+    # most texts are ruled out by their terms alone, before they are cut up
+    body = f"if({may(f'regexp_extract_all(low, {quoted(TERM)}, 1)')}, {body}, null)"
     body = let("bounds", bounds, let("rare", rare, body))
-    return F.expr(let("low", "regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '\\\\bv(?=[0-9])', '')", body))
+    return F.expr(let("low", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')", body))
 
 
 def own_licenses(rows: DataFrame, weights: Weights, least: float) -> DataFrame:
@@ -183,15 +176,15 @@ def own_licenses(rows: DataFrame, weights: Weights, least: float) -> DataFrame:
     """
     spark = rows.sparkSession
     vocabulary = spark.createDataFrame([(t, x) for t, x in sorted(weights.idf.items())], "term string, idf double")
-    known = spark.createDataFrame([(t, k, x) for k, (_, _, v) in enumerate(weights.templates) for t, x in sorted(v.items())], "term string, template int, x double")
-    named = spark.createDataFrame([(k, name, must) for k, (name, must, _) in enumerate(weights.templates)], "template int, license string, must array<string>")
+    known = spark.createDataFrame([(t, k, x, int(t in must)) for k, (_, must, v) in enumerate(weights.templates) for t, x in sorted(v.items())], "term string, template int, x double, own int")
+    named = spark.createDataFrame([(k, name, len(must)) for k, (name, must, _) in enumerate(weights.templates)], "template int, license string, must int")
     each = rows.where("windows is not null").select("id", F.posexplode("windows").alias("window", "terms"))
     counts = each.select("id", "window", F.explode("terms").alias("term")).groupBy("id", "window", "term").agg(F.count("*").alias("n"))
     weighed = counts.join(F.broadcast(vocabulary), "term", "left").withColumn("w", F.col("n") * F.coalesce("idf", F.lit(weights.other)))
     norms = weighed.groupBy("id", "window").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = weighed.where("idf is not null").join(F.broadcast(known), "term").groupBy("id", "window", "template").agg(F.sum(F.col("w") * F.col("x")).alias("dot"), F.collect_set("term").alias("has"))
+    dots = weighed.where("idf is not null").join(F.broadcast(known), "term").groupBy("id", "window", "template").agg(F.sum(F.col("w") * F.col("x")).alias("dot"), F.sum("own").alias("own"))
     met = dots.join(norms, ["id", "window"]).withColumn("score", F.round(F.col("dot") / F.col("norm"), 9)).where(F.col("score") >= least)
-    met = met.join(F.broadcast(named), "template").where(F.size(F.array_except("must", "has")) == 0)
+    met = met.join(F.broadcast(named), "template").where("own = must")
     # SPDX first, all rights reserved last; then what covers most of its text: the window's length along the template
     rank = F.struct((F.col("license") == "SPDX").alias("spdx"), (F.col("license") != "Proprietary").alias("named"), F.round("dot", 6).alias("covers"), "score", "license")
     return met.groupBy("id").agg(F.max(rank).alias("best")).select("id", F.struct("best.score", "best.license").alias("own"))
