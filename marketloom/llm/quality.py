@@ -30,7 +30,7 @@ def pieces(text: bytes):
     while at < len(text):
         end = -1
         if len(text) - at > CHUNK:
-            end = max(text.rfind(b"\n", at, at + CHUNK), text.rfind(b" ", at, at + CHUNK)) + 1 or text.find(b" ", at + CHUNK) + 1
+            end = text.rfind(b"\n", at, at + CHUNK) + 1 or text.rfind(b" ", at, at + CHUNK) + 1 or text.find(b" ", at + CHUNK) + 1
         end = end if end > at else len(text)
         yield text[at:end]
         at = end
