@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Patterns in one automaton, and texts that one task goes through with it. Both bound a task's memory.
-PATTERNS, TEXTS = 100_000, 200_000
+PATTERNS, TEXTS = 100_000, 50_000
 
 
 def _blocks(df: DataFrame, column: str, size: int) -> tuple[DataFrame, int]:

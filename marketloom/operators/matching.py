@@ -93,3 +93,15 @@ def cascade(names: DataFrame, *tiers: DataFrame) -> DataFrame:
     """Each name's match (name, code, method) of the first tier that has one."""
     numbered = [t.select("name", "code", "method").withColumn("tier", F.lit(k)) for k, t in enumerate(tiers)]
     return dedup(reduce(DataFrame.unionByName, numbered), ["name"], [F.asc("tier"), F.asc("code")]).drop("tier").join(names.select("name").distinct(), "name", "left_semi")
+
+
+def in_turn(names: DataFrame, keep, *tiers) -> DataFrame:
+    """Like cascade, of tiers that are functions of names: each sees only the names that those before it left.
+
+    keep(df) stores a tier's matches (a written table, say) and reads them, so that they aren't made again for what follows.
+    """
+    found, rest = [], names.select("name").distinct()
+    for tier in tiers:
+        found.append(keep(tier(rest).select("name", "code", "method")))
+        rest = rest.join(found[-1], "name", "left_anti")
+    return reduce(DataFrame.unionByName, found)

@@ -243,7 +243,8 @@ def norm_sql(c: str) -> str:
 #: Every part is a listed company and a held name, written in several ways.
 STOCKS_SQL = """stocks as (select p_partkey ordinal, 'P' || p_partkey code,
 case p_type when 'STANDARD' then p_name || ' Corp.' when 'PROMO' then 'The ' || p_name || ' ' || p_brand || ' Works' else p_name || ' ' || p_brand || ' ' || p_size || ' International Co., Ltd' end eng from part)"""
-NAMES_SQL = "names as (select distinct case when p_size <= 10 then p_name when p_size <= 25 then p_name || ' ' || lower(p_type) else p_name || ' ' || p_brand || ' ' || p_type end as name from part)"
+NAMES_SQL = """names as (select distinct case when p_size <= 10 then p_name when p_size <= 25 then p_name || ' ' || lower(p_type) when p_size <= 40 then p_name || ' ' || p_brand || ' ' || p_type
+else string_split(p_name, ' ')[2] || ' ' || string_split(p_name, ' ')[1] || ' ' || p_size end as name from part)"""
 MATCHED = f"""n as (select name, {norm_sql("name")} a from names), s as (select ordinal, code, {norm_sql("eng")} b from stocks)"""
 CONTAINS = MATCHED + """, na as (select distinct a from n), sb as (select b, min(ordinal) ordinal from s where length(b) >= 3 group by b),
 hit as (select a, ordinal, case when a = b then 0 when contains(a, b) and length(b) >= 5 then 1 else 2 end t from na join sb on a = b or (contains(a, b) and length(b) >= 5) or (contains(b, a) and length(a) >= 5) where a <> ''),
@@ -256,7 +257,9 @@ def listed(spark, sf_dir):
     p = load(spark, sf_dir, "part")
     eng = F.when(F.col("p_type") == "STANDARD", F.concat("p_name", F.lit(" Corp."))).when(F.col("p_type") == "PROMO", F.concat(F.lit("The "), "p_name", F.lit(" "), "p_brand", F.lit(" Works")))
     eng = eng.otherwise(F.concat("p_name", F.lit(" "), "p_brand", F.lit(" "), F.col("p_size").cast("string"), F.lit(" International Co., Ltd")))
-    name = F.when(F.col("p_size") <= 10, F.col("p_name")).when(F.col("p_size") <= 25, F.concat("p_name", F.lit(" "), F.lower("p_type"))).otherwise(F.concat_ws(" ", "p_name", "p_brand", "p_type"))
+    name = F.when(F.col("p_size") <= 10, F.col("p_name")).when(F.col("p_size") <= 25, F.concat("p_name", F.lit(" "), F.lower("p_type"))).when(F.col("p_size") <= 40, F.concat_ws(" ", "p_name", "p_brand", "p_type"))
+    turned = F.split("p_name", " ")
+    name = name.otherwise(F.concat_ws(" ", turned[1], turned[0], F.col("p_size").cast("string")))
     return p.select(name.alias("name")).distinct(), p.select(F.col("p_partkey").alias("ordinal"), F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("code"), eng.alias("eng"))
 
 
@@ -284,8 +287,15 @@ every as (select *, 0 t from g union all select *, 1 from x union all select *,
 select name, code, method from (select *, row_number() over (partition by name order by t) r from every) where r = 1""")
 def name_cascade(spark, sf_dir):
     names, stocks = listed(spark, sf_dir)
-    words = matching.by_words(names, stocks).withColumn("method", matching.word_label(F.col("score")))
-    return matching.cascade(names, matching.by_rule(names, RULES), matching.by_normal_name(names, stocks), matching.by_containment(names, stocks), words)
+    path = scratch(spark)
+
+    def keep(df):
+        return spark.read.schema(df.schema).parquet(sinks.snapshot(df, path))
+
+    return matching.in_turn(
+        names, keep, lambda rest: matching.by_rule(rest, RULES), lambda rest: matching.by_normal_name(rest, stocks), lambda rest: matching.by_containment(rest, stocks),
+        lambda rest: matching.by_words(rest, stocks).withColumn("method", matching.word_label(F.col("score"))),
+    )
 
 
 @query("""with n as (select distinct p_name || ' ' || lower(p_type) as name from part), s as (select p_partkey ordinal, 'P' || p_partkey code, p_name || ' ' || lower(p_type) eng from part),
