@@ -100,24 +100,27 @@ class Codebook:
             total += new - along[m]
             along[m] = new
 
-    def scan(self, queries: np.ndarray, codes: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-        """Scores of coded vectors for queries, larger where nearer: 16-entry tables of the query, added up, less half the squared norm."""
-        q = self.framed(queries)
+    def decoded(self, codes: np.ndarray) -> np.ndarray:
+        """The vectors that codes stand for, framed."""
+        return np.concatenate([c[k] for c, k in zip(self.centroids, codes)], axis=1)
+
+    def scan(self, queries: np.ndarray, codes: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Squared distances of coded vectors to queries by 16-entry tables of the query, added up; and how wrong they may be.
+
+        With r what a vector's code leaves over, its product with the vector itself is added exactly. So of a vector at distance d the
+        squared distance is wrong by 2 (x - q) r, that is by 2 d |r| at most, and by the rounding of the sums. Returns the squares, |r|,
+        and bounds on the rounding. All is framed: distances are in units of the spread.
+        """
+        q, x, y = self.framed(queries), self.framed(vectors), self.decoded(codes)
+        rest = x - y
         tables = np.einsum("qmd,mkd->qmk", q.reshape(len(q), -1, 2), self.centroids).astype(np.float32)
-        out = np.tile((-0.5 * (self.framed(vectors) ** 2).sum(1)).astype(np.float32), (len(q), 1))
+        norm, norms = (q * q).sum(1), (x * x).sum(1)
+        out = np.tile((-0.5 * norms + (x * rest).sum(1)).astype(np.float32), (len(q), 1))
         for m in range(len(codes)):
             out += tables[:, m][:, codes[m]]
-        return out
-
-    def places(self, x: np.ndarray, k: int, queries: int = 64) -> np.ndarray:
-        """The places, by scanned scores, of the true k nearest of x to some of x itself."""
-        q = x[:queries]
-        d = (q**2).sum(1)[:, None] - 2 * q @ x.T + (x**2).sum(1)
-        score = self.scan(q, self.encode(x), x)
-        for y, worst in ((d, np.inf), (score, -np.inf)):
-            y[np.arange(len(q)), np.arange(len(q))] = worst
-        true = np.argsort(d, axis=1, kind="stable")[:, : min(k, len(x) - 1)]
-        return np.take_along_axis(np.argsort(np.argsort(-score, axis=1, kind="stable"), axis=1, kind="stable"), true, 1).ravel()
+        sizes = norms + np.sqrt(norms * (rest * rest).sum(1))
+        rounding = 4e-7 * (len(codes) + 8) * (np.sqrt(norm)[:, None] * np.sqrt((y * y).sum(1)) + sizes + norm[:, None])
+        return norm[:, None] - 2.0 * out, np.sqrt((rest * rest).sum(1)), rounding
 
 
 def packed(codes: np.ndarray) -> np.ndarray:
@@ -133,22 +136,18 @@ def unpacked(rows: np.ndarray, parts: int) -> np.ndarray:
 
 
 class Index(NamedTuple):
-    """What is fitted for vectors of one length: a codebook, the centroids of cells, to the nearest of which a vector belongs, and how many of a part must be compared exactly."""
+    """What is fitted for vectors of one length: a codebook, and the centroids of cells, from the sample's mean, to the nearest of which a vector belongs."""
 
     book: Codebook
     cells: np.ndarray
-    rerank: int
 
     def order(self, x: np.ndarray) -> np.ndarray:
         """Cells by their distance to each of x, nearest first."""
-        return np.argsort((self.cells**2).sum(1)[None] - 2 * x @ self.cells.T, axis=1, kind="stable")
-
+        return np.argsort((self.cells**2).sum(1)[None] - 2 * (x - self.book.mean) @ self.cells.T, axis=1, kind="stable")
 
-def fit_index(vectors: DataFrame, part: int, bound: int, k: int, rerank: int, seed: int = 3) -> dict[int, Index]:
-    """An Index for each length of vectors, fitted on about `bound` of them at most, the first by hashed vec_id. A cell for each `part` vectors, but not more than one for 8 of the sample.
 
-    Of a part at least `rerank` vectors are compared exactly, and half as many again as 99 % of the true k nearest ask for in a part made from the sample.
-    """
+def fit_index(vectors: DataFrame, part: int, bound: int, seed: int = 3) -> dict[int, Index]:
+    """An Index for each length of vectors, fitted on about `bound` of them at most, the first by hashed vec_id. A cell for each `part` vectors, but not more than one for 8 of the sample."""
     sizes = {r["dim"]: r["count"] for r in vectors.groupBy(F.size("embedding").alias("dim")).count().collect()}
     n = sum(sizes.values())
     mark = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "vec_id"), 1).cast("double") / float(1 << 63)
@@ -160,13 +159,13 @@ def fit_index(vectors: DataFrame, part: int, bound: int, k: int, rerank: int, se
     for d, rows in by.items():
         x = np.asarray(rows, dtype=np.float64)
         n_cells = max(1, min(-(-sizes[d] // part), len(x) // 8))
+        book = Codebook(x)
+        x = x - book.mean
         cells = x[np.random.default_rng(seed).choice(len(x), n_cells, replace=False)]
         for _ in range(8):
             near = ((cells**2).sum(1)[None] - 2 * x @ cells.T).argmin(1)
             cells = np.stack([x[near == j].mean(0) if (near == j).any() else cells[j] for j in range(n_cells)])
-        book = Codebook(x)
-        places = book.places(x[:part], k) if len(x) > 1 else np.zeros(1)
-        found[d] = Index(book, cells, max(rerank, math.ceil(1.5 * np.quantile(places, 0.99, method="higher")) + k + 1))
+        found[d] = Index(book, cells)
     return found
 
 
@@ -211,6 +210,8 @@ def probes_for(asked: DataFrame, ready: DataFrame, index: dict[int, Index], k: i
                 x, cell = matrix(t["embedding"]), t["cell"].to_numpy()
                 q = own.get(x.shape[1], np.zeros((0, x.shape[1])))
                 if len(q):
+                    mean = index[x.shape[1]].book.mean
+                    q, x = q - mean, x - mean
                     d = (q**2).sum(1)[:, None] - 2 * q @ x.T + (x**2).sum(1)
                     near = np.argsort(d, axis=1, kind="stable")[:, : k + 1]
                     m = near.shape[1]
@@ -234,8 +235,9 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 10, rerank: int = 1
     All vectors are coded, in four bits for two components, and belong to the nearest of the cells; a cell's vectors are
     dealt to parts of about `part`. A query looks into as many cells as a sample of queries shows to hold `coverage` of true neighbours
     (see probes_for): few where the vectors lie in clusters, nearly all where they don't. In each part the queries that look into it, in
-    blocks of about `block`, scan the four-bit tables, which pick the part's best distinct
-    vectors, at least `rerank` and as many as a part of the sample asks for (see fit_index); exact distances in double precision on the original vectors pick its k. So a task holds about
+    blocks of about `block`, scan the four-bit tables. Exact distances, in double precision on the original vectors, of the `rerank` distinct
+    vectors that look best bound the distance of the k-th; every vector of the part that is not shown to lie beyond it (see Codebook.scan)
+    is then compared exactly too. So no part loses a neighbour, however alike its vectors are, and only cells that aren't looked into do. A task holds about
     `part` vectors and `block` queries at any size of the tables.
 
     Returns query_id, rank (from 1), vec_id, score; nearest first, ties to the smaller vec_id; fewer than k where fewer are
@@ -246,7 +248,7 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 10, rerank: int = 1
     ready = usable(vectors.where("vec_id is not null").select(F.col("vec_id").cast("long").alias("vec_id"), "embedding"))
     asked = usable(queries.where("vec_id is not null").select(F.col("vec_id").cast("long").alias("query_id"), "embedding"))
     asked = written(asked.withColumn("query", F.monotonically_increasing_id()), "asked")
-    index = fit_index(ready, part, fit_bound, k, rerank)
+    index = fit_index(ready, part, fit_bound)
     ready = written(coded(ready, index), "coded")
     looks = probes_for(asked, ready, index, k, sampled, coverage)
 
@@ -278,11 +280,19 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 10, rerank: int = 1
             u, index_ = x[first], index.get(x.shape[1])
             codes = unpacked(np.stack([np.frombuffer(own["codes"][int(i)].as_py(), np.uint8) for i in first]), len(index_.book.centroids)) if index_ else None
             keys, qids, qx = wanted["query"].to_numpy(), wanted["query_id"].to_numpy(), matrix(wanted["embedding"])
-            m = min(index_.rerank if index_ else rerank, len(u))
+            m = min(max(rerank, k + 1), len(u))
             for lo in range(0, len(qids), 256):
                 q = qx[lo : lo + 256]
-                best = np.argpartition(-index_.book.scan(q, codes, u), m - 1, axis=1)[:, :m] if index_ else np.broadcast_to(np.arange(len(u)), (len(q), len(u)))
-                for j, cand in enumerate(best):
+                if index_ and m < len(u):
+                    square, rest, rounding = index_.book.scan(q, codes, u)
+                    best = np.argpartition(square, m - 1, axis=1)[:, :m]
+                    edges = [np.partition(np.sqrt(((u[c] - y) ** 2).sum(1)), k)[k] / index_.book.spread for c, y in zip(best, q)]
+                    edges = np.array(edges)[:, None]
+                    near = ~(square > edges**2 + 2 * edges * rest + rounding)
+                    np.put_along_axis(near, best, True, 1)
+                else:
+                    near = np.ones((len(q), len(u)), bool)
+                for j, cand in enumerate(map(np.flatnonzero, near)):
                     dist = np.sqrt(((u[cand] - q[j]) ** 2).sum(1))
                     edge = np.partition(dist, min(k, len(dist) - 1))[min(k, len(dist) - 1)]
                     found = []

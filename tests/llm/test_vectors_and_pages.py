@@ -124,6 +124,30 @@ def test_recall_wherever_vectors_lie(spark, shape):
     assert hits / 250 >= 0.95
 
 
+@pytest.mark.parametrize("shape", ["tight clusters", "dense behind the first ids", "outliers", "far off"])
+def test_recall_where_codes_tell_little(spark, shape):
+    """20,000 vectors much nearer to each other than codes tell apart, or ids that say something of the place."""
+    rng = np.random.default_rng(21)
+    n, dim = 20_000, 32
+    x = rng.standard_normal((n, dim))
+    if shape == "tight clusters":
+        x = 5 * x[rng.integers(0, 16, n)] + 0.001 * rng.standard_normal((n, dim))
+    elif shape == "dense behind the first ids":
+        x[9_000:] = x[9_000] + 0.01 * x[9_000:]
+    elif shape == "outliers":
+        x[::97] *= 1e6
+    else:
+        x += 1e7
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(n), "embedding": pa.array(list(x), pa.list_(pa.float64()))}))
+    got = vectors.nearest(df.where("vec_id % 500 = 0"), df).toPandas().groupby("query_id").vec_id.agg(set)
+    hits = 0
+    for q in range(0, n, 500):
+        d = ((x - x[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hits += len(got[q] & set(np.argsort(d)[:10].tolist()))
+    assert hits / (10 * len(got)) >= 0.95, hits / (10 * len(got))
+
+
 def test_nearest_answers_every_query_row(spark):
     rows = [(100, [1.0, 0.0]), (100, [0.0, 1.0]), (100, [0.0, 1.0]), (1, [1.0, 0.1]), (2, [0.0, 0.9]), (3, [1.0, 0.0]), (None, [1.0, 0.0]), (4, [1.0]), (200, [5.0]), (300, None)]
     df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<double>, query string").withColumn("rank", F.lit(1)).withColumn("cell", F.lit("c"))
