@@ -44,6 +44,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return written_twice(df, name)[0]
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Like written, as a table dealt by key: grouping by it and joins on it don't shuffle its rows again."""
+    spark = df.sparkSession
+    own = f"{name}_{uuid.uuid4().hex}"
+    df.write.format("parquet").bucketBy(shuffle_partitions(spark), key).option("path", f"{shared_dir(spark)}/tables/{own}").saveAsTable(own)
+    return spark.table(own)
+
+
 def drop_written(df: DataFrame) -> None:
     """Deletes a table that written() made and that nothing will read again."""
     spark = df.sparkSession

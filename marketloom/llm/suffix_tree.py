@@ -12,14 +12,18 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import bucketed, table, written
 
 #: What stands for the end of a text among the words: no word holds white space.
 END = b"\n"
 #: Words of a piece (a row of whole texts) and, about, of a bucket (a group of counts): bounds on a task's memory.
 PIECE = 1_500_000
-#: States seen oftener stay without the test: so many draws tell any two distributions apart. Their followers spread over buckets.
-SURE = 1_000_000
+#: The followers of a context seen oftener spread over buckets, about so many to each.
+HEAP = 1_000_000
+#: Stands among a spread context's followers in each of its buckets, and brings its whole count there.
+WHOLE = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Steps of a gain for a nat: whole numbers, whose sum doesn't depend on how followers are spread.
+UNIT = 1 << 20
 LOW = np.uint64(0xFFFFFFFF)
 HIGH = np.uint64(32)
 #: Steps of a parent's log probability, for a nat, as it goes to the test.
@@ -104,14 +108,15 @@ def in_pieces(docs: DataFrame, most: int) -> DataFrame:
 
 
 class Model(NamedTuple):
-    """What all tasks share: buckets, training tokens, distinct ones, score's parameters, and whether two words' numbers fit one of 64 bits."""
+    """What all tasks share: buckets, training tokens, distinct ones, score's parameters (sure: infinite for none), and whether two words' numbers fit one of 64 bits."""
 
     buckets: int
     n: int = 0
     v: int = 0
     least: float = 3.0
     spread: float = 0.85
-    sure: int = SURE
+    sure: float = np.inf
+    heap: int = HEAP
     paired: bool = True
 
 
@@ -160,13 +165,21 @@ class Piece:
         entries, first, self.inverse = np.unique(place.astype(np.uint64) << HIGH | self.words[at].astype(np.uint64), return_index=True, return_inverse=True)
         self.state, self.word, self.parent = states[(entries >> HIGH).astype(np.int64)], self.ids[(entries & LOW).astype(np.int64)], self.p[at[first]]
         self.total = self.count[at[first] - 1]
-        subs = (self.total // self.model.sure + 1).astype(np.uint64)
+        subs = (self.total // self.model.heap + 1).astype(np.uint64)
         spot = np.where(subs > 1, self.state ^ mix(mix(self.word) % subs + np.uint64(1)), self.state)
         self.bucket = bucket_of(spot, self.model.buckets)
+        # a spread context asks each of its buckets, as its test is on all followers
+        at = firsts(self.state)
+        at = at[subs[at] > 1]
+        spots = [np.unique(bucket_of(self.state[k] ^ mix(np.arange(1, int(subs[k]) + 1, dtype=np.uint64)), self.model.buckets)) for k in at]
+        self.real, self.of = len(self.word), np.repeat(at, [len(b) for b in spots])
+        self.bucket = np.concatenate([self.bucket, *spots])
+        self.state, self.total = np.append(self.state, self.state[self.of]), np.append(self.total, self.total[self.of])
+        self.word = np.append(self.word, np.full(len(self.of), WHOLE))
 
     def ask(self, level: int) -> pa.Table:
         own = np.bincount(self.inverse[self.learnt[self.at]], minlength=len(self.word))
-        parents = np.rint(-np.log(self.parent) * STEPS).astype(np.uint64)
+        parents = np.append(np.rint(-np.log(self.parent) * STEPS), self.total[self.real :]).astype(np.uint64)
         return self.rows(level, self.bucket, self.state, self.word, parents, own)
 
     def rows(self, level: int, bucket, state, word, parents, own) -> pa.Table:
@@ -179,11 +192,22 @@ class Piece:
 
     def hear(self, level: int) -> None:
         """Takes a level's answers: p where a state stays, key and count of the contexts one word longer."""
-        counts, stays = np.zeros(len(self.word), np.int64), np.zeros(len(self.word), bool)
+        counts, stays = np.zeros(len(self.word), np.int64), np.zeros(len(self.word), np.uint64)
         for bucket, own in self.dealt(self.bucket):
             c, kept = self.answers[level, bucket]
             fans = np.diff(np.append(firsts(self.state[own]), len(own)))
-            counts[own], stays[own] = c, np.repeat(kept > 0, fans)
+            counts[own], stays[own] = c, np.repeat(kept, fans)
+        parts, stays = stays[self.real :], stays > 0
+        if len(parts):
+            begin = firsts(self.of)
+            gains = np.add.reduceat((parts >> np.uint64(2)).astype(np.int64) * np.where(parts & np.uint64(2), -1, 1), begin)
+            kept = (gains >= self.model.least * UNIT) & (np.bitwise_or.reduceat(parts & np.uint64(1), begin) > 0)
+            spread = self.of[begin]
+            place = np.searchsorted(spread, firsts(self.state[: self.real]))
+            runs = np.diff(np.append(firsts(self.state[: self.real]), self.real))
+            hit = np.isin(firsts(self.state[: self.real]), spread)
+            whole = np.where(hit, kept[np.minimum(place, len(spread) - 1)], stays[firsts(self.state[: self.real])])
+            stays[: self.real] = np.repeat(whole, runs)
         stays |= self.total >= self.model.sure
         weight = strength(self.total, self.model.spread)
         here = stays[self.inverse]
@@ -203,7 +227,8 @@ def reply(model: Model):
 
     At level 0 it numbers the words instead, frequent ones low, so that all pieces call a word alike.
     A state stays if its next-word distribution diverges from its parent's, that of the longest state among its suffixes: the gain in log likelihood
-    of its own followers, each predicted without itself, is at least `least` nats, and one came twice.
+    of its own followers, each predicted without itself, is at least `least` nats, and one came twice. Of a spread context the bucket
+    answers its followers' part of the gain instead, which the pieces sum: four times its size, plus 2 if it is below zero, plus 1 if a follower came twice.
     """
 
     def answer(asked: pa.Table) -> pa.Table:
@@ -226,11 +251,17 @@ def reply(model: Model):
             stays, known = rank * model.buckets + bucket, int((c > 0).sum())
             top = int(stays.max())
         else:
-            p = np.exp(-parent[order][first].astype(np.float64) / STEPS)
+            whole, brought = word[order][first] == WHOLE, parent[order][first]
+            p = np.where(whole, 1.0, np.exp(-brought.astype(np.float64) / STEPS))
             n = np.add.reduceat(c, by)
+            n[at[whole]] = brought[whole].astype(np.int64)
             weight = strength(n, model.spread)
             without = np.where(c > 0, (c - 1 + weight[at] * p) / (n[at] - 1 + weight[at]), p)
-            stays = ((np.add.reduceat(c * np.log(without / p), by) >= model.least) & (np.maximum.reduceat(c, by) >= 2)).astype(np.int64)
+            gain = np.add.reduceat(np.rint(c * np.log(without / p) * UNIT).astype(np.int64), by)
+            twice = np.maximum.reduceat(c, by) >= 2
+            stays = ((gain >= model.least * UNIT) & twice).astype(np.int64)
+            spread = at[whole]
+            stays[spread] = np.abs(gain[spread]) * 4 + (gain[spread] < 0) * 2 + twice[spread]
         out, lo = [], 0
         for k, r in enumerate(rows):
             hi = lo + int(fans[k].sum())
@@ -243,12 +274,12 @@ def reply(model: Model):
     return answer
 
 
-def score(docs: DataFrame, train, depth: int = 2, least: float = 3.0, spread: float = 0.85, sure: int = SURE, piece_words: int = PIECE, numbers: int = 1 << 32) -> DataFrame:
+def score(docs: DataFrame, train, depth: int = 2, least: float = 3.0, spread: float = 0.85, sure: int | None = None, piece_words: int = PIECE, numbers: int = 1 << 32, heap: int = HEAP) -> DataFrame:
     """Scores docs (doc_id, text) by what the rows where `train` holds teach.
 
     Symbols are words and the end. The root predicts by add-half counts, with one class for words not
     seen. Every context of 1 to `depth` words may be a state; whether it is, the divergence test says
-    (reply; contexts seen `sure` times are states). A state seen n times predicts (c + a * p) / (n + a): p is its parent's prediction, that of the longest state among
+    (reply), at any size; only a caller that gives `sure` takes contexts seen so many times for states untested. A state seen n times predicts (c + a * p) / (n + a): p is its parent's prediction, that of the longest state among
     its suffixes, and a = n ** spread; the longest state that fits speaks, so each distribution sums to one.
 
     Returns doc_id, held_out (not train), n_tokens, n_known, train_tokens, base_score, score. Null
@@ -257,14 +288,15 @@ def score(docs: DataFrame, train, depth: int = 2, least: float = 3.0, spread: fl
 
     Texts are written once as pieces of about `piece_words` words. For each level pieces ask buckets, of about as
     many words, for counts: of their distinct words, then of the words after their contexts of one word and so on. Both sides pre-aggregate;
-    the followers of contexts seen `sure` times or more spread over buckets by word, so no bucket grows with
-    a frequent word. A piece has a row for a bucket only where it asks, so there are never more rows than distinct n-grams in the pieces. Pairs of words go by their two numbers while these
+    the followers of contexts seen `heap` times or more spread over buckets by word, so no bucket grows with
+    a frequent word; their parts of the gain are whole numbers, whose sum is the same however they are spread. Pieces stay where
+    they are, dealt by number when written; only asks and answers are shuffled. A piece has a row for a bucket only where it asks, so there are never more rows than distinct n-grams in the pieces. Pairs of words go by their two numbers while these
     stay below `numbers`, beyond it by hashes of 64 bits, as longer contexts do at any size.
     """
     own = F.coalesce(train, F.lit(False)).alias("train")
-    pieces = written(in_pieces(docs.select(F.col("doc_id").cast("long").alias("doc_id"), own, F.col("text").cast("string").alias("text")), piece_words), "pieces")
+    pieces = bucketed(in_pieces(docs.select(F.col("doc_id").cast("long").alias("doc_id"), own, F.col("text").cast("string").alias("text")), piece_words), "pieces", "piece")
     n, total = (int(x or 0) for x in pieces.agg(F.sum("learnt"), F.sum("total")).first())
-    model = Model(total // piece_words + 1, n, 0, least, spread, sure)
+    model = Model(total // piece_words + 1, n, 0, least, spread, np.inf if sure is None else sure, heap)
 
     def ask_words(batches):
         for batch in batches:

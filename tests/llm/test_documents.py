@@ -386,6 +386,21 @@ def test_suffix_tree_score_matches_brute_force(which, depth, sure, numbers, requ
         assert math.isclose(sum(p(state, w) for w in counts) + p(state, "never seen"), 1.0, rel_tol=1e-9)
 
 
+def test_suffix_tree_of_frequent_contexts(spark):
+    """Contexts are tested alike however often they come: followers spread over many buckets or in one give the same scores, and none is a state for its count alone."""
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{k}" for k in rng.zipf(1.3, 400) % 300)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").cache()
+    train = F.col("doc_id") % 5 != 1
+
+    def scores(**more):
+        return {r.doc_id: r.score for r in suffix_tree.score(docs, train, piece_words=1500, **more).collect()}
+
+    one = scores()
+    assert scores(heap=20) == one and scores(heap=3, depth=3) == scores(depth=3)
+    assert scores(sure=20) != one
+
+
 def test_license_inheritance(spark):
     rows = [
         ("a/LICENSE", "Licensed under the Apache License, Version 2.0."), ("a/x.py", "code"), ("a/b/c/y.py", None), ("a/b/z.py", "Released under the MIT License."), ("d/e.py", ""), (None, "x"),
