@@ -12,14 +12,16 @@ from pyspark.sql import functions as F
 PATTERNS, TEXTS = 100_000, 50_000
 
 
-def _blocks(df: DataFrame, column: str, size: int) -> tuple[DataFrame, int]:
-    n = max(1, math.ceil(df.count() / size))
+def _blocks(df: DataFrame, column: str, size: int, spread: bool = False) -> tuple[DataFrame, int]:
+    # smaller blocks where one would leave most tasks idle
+    rows, tasks = df.count(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if spread else 1
+    n = max(1, math.ceil(rows / size), min(tasks, rows // 2_000))
     return df.withColumn("own", F.pmod(F.xxhash64(column), F.lit(n)).cast("int")), n
 
 
 def _spread(texts: DataFrame, patterns: DataFrame, run, schema: str, texts_per: int, patterns_per: int) -> DataFrame:
     """Each block of texts meets each block of patterns in one task; both are copied once for each block of the other."""
-    t, blocks = _blocks(texts, "text", texts_per)
+    t, blocks = _blocks(texts, "text", texts_per, True)
     p, shards = _blocks(patterns, "pattern", patterns_per)
     t = t.select(F.col("own").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), *texts.columns)
     p = p.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.col("own").alias("shard"), *patterns.columns)

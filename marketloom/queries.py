@@ -252,6 +252,12 @@ best as (select a, min((ordinal, t)) m from hit group by a),
 held as (select name, code, list_value('exact', 'contains', 'reverse_contains')[m[2] + 1] as method from n join best using (a) join s on s.ordinal = m[1])"""
 
 
+def keeper(spark):
+    """Writes what it is given to a scratch folder and reads it."""
+    path = scratch(spark)
+    return lambda df: spark.read.schema(df.schema).parquet(sinks.snapshot(df, path))
+
+
 def listed(spark, sf_dir):
     """Names and the catalogue of stocks, both of all parts."""
     p = load(spark, sf_dir, "part")
@@ -266,7 +272,7 @@ def listed(spark, sf_dir):
 @query(f"with {STOCKS_SQL}, {NAMES_SQL}, {CONTAINS} select * from held")
 def contains_match(spark, sf_dir):
     """Names that are, hold or are held by a stock's name, over the whole catalogue in one pass each way."""
-    return matching.by_containment(*listed(spark, sf_dir))
+    return matching.by_containment(*listed(spark, sf_dir), keep=keeper(spark))
 
 
 @query(f"with {STOCKS_SQL}, {NAMES_SQL}, {MATCHED} select name, arg_max(code, ordinal) code, 'exact_norm' as method from n join s on a = b where length(b) > 1 group by 1")
@@ -287,13 +293,9 @@ every as (select *, 0 t from g union all select *, 1 from x union all select *,
 select name, code, method from (select *, row_number() over (partition by name order by t) r from every) where r = 1""")
 def name_cascade(spark, sf_dir):
     names, stocks = listed(spark, sf_dir)
-    path = scratch(spark)
-
-    def keep(df):
-        return spark.read.schema(df.schema).parquet(sinks.snapshot(df, path))
-
+    keep = keeper(spark)
     return matching.in_turn(
-        names, keep, lambda rest: matching.by_rule(rest, RULES), lambda rest: matching.by_normal_name(rest, stocks), lambda rest: matching.by_containment(rest, stocks),
+        names, keep, lambda rest: matching.by_rule(rest, RULES), lambda rest: matching.by_normal_name(rest, stocks), lambda rest: matching.by_containment(rest, stocks, keep=keep),
         lambda rest: matching.by_words(rest, stocks).withColumn("method", matching.word_label(F.col("score"))),
     )
 

@@ -67,6 +67,22 @@ def test_words_match_brute_force(spark):
     assert rows(got) == want and len(want) > 50
 
 
+def test_matching_of_a_catalogue_listed_over_and_over(spark):
+    """Copies of a stock are matched once: what joins and automata get doesn't grow with them, and the first of them wins."""
+    import random
+
+    random.seed(5)
+    pool = [f"word{k}" for k in range(9)]
+    engs = sorted({" ".join(random.sample(pool, 4)) for _ in range(60)})
+    names = spark.createDataFrame([(" ".join(e.split()[::-1][:3]),) for e in engs], "name string").distinct()
+    once = [(k, f"c{k}", e) for k, e in enumerate(engs)]
+    again = [(k + 1000 * i, f"c{k + 1000 * i}", e) for k, _, e in once for i in range(40)]
+    one, many = (spark.createDataFrame(r, "ordinal long, code string, eng string") for r in (once, again))
+    for tier in (matching.by_words, matching.by_containment):
+        assert rows(tier(names, many)) == rows(tier(names, one)) and tier(names, one).count() > 0
+    assert matching.firsts(many).count() == len(engs)
+
+
 def test_dates_and_bytes(spark):
     df = spark.createDataFrame([("2026年6月26日",), ("2026/06/26",), ("(20260609)",), ("20260609 2026/1/2",), ("2026/13/1",), ("none",), (None,)], "c string")
     assert [r[0] for r in df.select(scalars.parse_date_any(F.col("c"))).collect()] == [date(2026, 6, 26), date(2026, 6, 26), date(2026, 6, 9), date(2026, 1, 2), None, None, None]
