@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zipfile
 from collections.abc import Iterator
+from contextlib import ExitStack
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,8 @@ from .readers import listing
 
 #: Bytes of a member in one row.
 PART = 4 << 20
+#: Bytes of an archive whose members go to one task, which reads its directory once.
+SPAN = 32 << 20
 MEMBERS = "path string, member string, offset long, size long, compressed long, error string"
 
 
@@ -51,28 +54,38 @@ def _contents(batches) -> Iterator[pa.RecordBatch]:
     def row(path, member, offset, part, content, error):
         return pa.RecordBatch.from_arrays([pa.array([path]), pa.array([member]), pa.array([offset], pa.int64()), pa.array([part], pa.int32()), pa.array([content], pa.binary()), pa.array([error], pa.string())], names)
 
-    for batch in batches:
-        for path, member, offset in zip(*(batch.column(k).to_pylist() for k in range(3))):
-            part = 0
-            try:
-                with opened(path) as f, zipfile.ZipFile(f) as z:
-                    info = next(m for m in z.infolist() if m.header_offset == offset)
-                    with z.open(info) as m:
+    last, held, z, places = None, ExitStack(), None, {}
+    with held:
+        for batch in batches:
+            for path, member, offset in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                part = 0
+                try:
+                    if path != last:
+                        # rows come archive by archive, so a directory is read once, not for each member
+                        last, places = None, {}
+                        held.close()
+                        z = held.enter_context(zipfile.ZipFile(held.enter_context(opened(path))))
+                        for m in z.infolist():
+                            places.setdefault(m.header_offset, m)
+                        last = path
+                    if offset not in places:
+                        raise KeyError(f"no member at {offset}")
+                    with z.open(places[offset]) as m:
                         while (content := m.read(PART)) or not part:
                             yield row(path, member, offset, part, content, None)
                             part += 1
-            except (zipfile.BadZipFile, OSError, EOFError, RuntimeError, NotImplementedError, StopIteration) as e:
-                yield row(path, member, offset, part, None, str(e) or type(e).__name__)
+                except (zipfile.BadZipFile, OSError, EOFError, RuntimeError, NotImplementedError, KeyError) as e:
+                    yield row(path, member, offset, part, None, str(e) or type(e).__name__)
 
 
 def contents(asked: DataFrame) -> DataFrame:
     """The contents of members (path, member, offset): path, member, offset, part, content, error.
 
-    A large archive's members are dealt to different tasks, each of which reads just its members' bytes; a member
+    A large archive's members are dealt to different tasks by the place where they begin, each of which reads the directory once and just its members' bytes; a member
     comes in parts of at most PART bytes, from 0. One that is encrypted, damaged or packed by an unknown method has its error in its last part;
     the parts before it are as far as it could be read.
     """
-    rows = asked.where("member is not null").select("path", "member", "offset").repartition("path", "offset")
+    rows = asked.where("member is not null").select("path", "member", "offset").repartition("path", F.floor(F.col("offset") / SPAN)).sortWithinPartitions("path", "offset")
     return rows.mapInArrow(_contents, "path string, member string, offset long, part int, content binary, error string")
 
 

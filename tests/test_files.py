@@ -136,3 +136,18 @@ def test_counters_come_from_the_write_itself(spark, tmp_path):
     df = spark.range(100).mapInArrow(seen, "id long")
     got = sinks.counted(df, lambda x: x.write.parquet(f"{tmp_path}/t"), rows=F.count("*"), even=F.count_if(F.col("id") % 2 == 0), last=F.max("id"))
     assert got == {"rows": 100, "even": 50, "last": 99} and runs.value == 100 and spark.read.parquet(f"{tmp_path}/t").count() == 100
+
+
+def test_a_directory_is_read_once(tmp_path, monkeypatch):
+    """However many members of an archive a task reads, its directory is read once."""
+    for name in ("a.zip", "b.zip"):
+        with zipfile.ZipFile(tmp_path / name, "w") as z:
+            for k in range(50):
+                z.writestr(f"{k}.txt", f"{name} {k}")
+    found = [r for n in ("a.zip", "b.zip") for b in archives._directories([pa.RecordBatch.from_pydict({"path": [str(tmp_path / n)]})]) for r in b.to_pylist()]
+    reads, read = [], archives.opened
+    monkeypatch.setattr(archives, "opened", lambda path: reads.append(path) or read(path))
+    asked = pa.RecordBatch.from_pylist([{k: r[k] for k in ("path", "member", "offset")} for r in found])
+    got = [r for b in archives._contents([asked.slice(0, 30), asked.slice(30)]) for r in b.to_pylist()]
+    assert [r["content"].decode() for r in got] == [f"{n} {k}" for n in ("a.zip", "b.zip") for k in range(50)]
+    assert reads == [str(tmp_path / n) for n in ("a.zip", "b.zip")]
