@@ -32,18 +32,23 @@ def judged(df: DataFrame, body: str) -> DataFrame:
     Only the number 200 is a good status; a null body is absent; data that is missing, null, empty or false is nodata,
     any other than a list fails. The body stays as it is; columns named status, reason and data are replaced.
     """
-    v = F.try_parse_json(F.col(body))
-    code, data = _part(v, "$.status"), _part(v, "$.data")
-    message = _part(v, "$.msg", "string")
-    empty = _kind(data).isNull() | F.to_json(data).isin("[]", "{}", '""', "0", "false")
+    kept = [c for c in df.columns if c not in ("status", "reason", "data")]
+    # each response is parsed once; kinds are told by a schema of the whole value, so what a look at one place can tell is told by that
+    v, data = F.col("_v"), F.col("_data")
+    parts = df.select(*kept, F.try_parse_json(F.col(body)).alias("_v"))
+    parts = parts.select(*kept, "_v", _part(v, "$.status").alias("_code"), _part(v, "$.data").alias("_data"), _part(v, "$.data[0]").isNotNull().alias("_items"), _part(v, "$.msg", "string").alias("_msg"))
+    code, items = F.col("_code"), F.col("_items")
+    not_object = F.when(items | code.isNotNull(), False).otherwise(F.coalesce(_kind(v), F.lit("")) != "object")
+    empty = F.when(items, False).otherwise(_kind(data).isNull() | F.to_json(data).isin("[]", "{}", '""', "0", "false"))
+    no_list = F.when(items, False).otherwise(_kind(data) != "array")
     reason = (
-        F.when(F.col(body).isNull(), "no response").when(v.isNull(), "not json").when(F.coalesce(_kind(v), F.lit("")) != "object", "no object")
-        .when(~F.coalesce((_kind(code) == "number") & (F.try_variant_get(code, "$", "double") == 200), F.lit(False)), F.when(over_quota(message), "quota").otherwise("rejected"))
-        .when(empty, "no data").when(_kind(data) != "array", "data is no list")
+        F.when(F.col(body).isNull(), "no response").when(v.isNull(), "not json").when(not_object, "no object")
+        .when(~F.coalesce((_kind(code) == "number") & (F.try_variant_get(code, "$", "double") == 200), F.lit(False)), F.when(over_quota(F.col("_msg")), "quota").otherwise("rejected"))
+        .when(empty, "no data").when(no_list, "data is no list")
     )
     status = F.when(F.col("reason").isNull(), "ok").when(F.col("reason") == "no response", "absent").when(F.col("reason") == "no data", "nodata").otherwise("fail")
-    kept = [c for c in df.columns if c not in ("status", "reason", "data")]
-    return df.select(*kept, reason.alias("reason"), F.when(reason.isNull(), _part(data, "$", "array<variant>")).alias("data")).withColumn("status", status)
+    judged_ = parts.select(*kept, reason.alias("reason"), "_data")
+    return judged_.select(*kept, "reason", F.when(F.col("reason").isNull(), _part(data, "$", "array<variant>")).alias("data")).withColumn("status", status)
 
 
 def rows(df: DataFrame, body: str, row: str) -> DataFrame:

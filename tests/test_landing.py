@@ -250,3 +250,11 @@ def test_spans_of_days(spark):
     count = lambda rule: [(r.k, r.d) for r in calendars.spans(df, "a", "b", rule).orderBy("d").collect()]
     assert len(count("all")) == 31 and count("month_clamped") == [("x", DAY(2024, 2, 1)), ("x", DAY(2024, 3, 1))]
     assert count("month_unclamped") == [("x", DAY(2024, 1, 1)), ("x", DAY(2024, 2, 1)), ("x", DAY(2024, 3, 1))] and count("quarter_end") == []
+
+
+def test_a_response_is_parsed_once(spark):
+    """However many questions are asked of a response, and a list is told by its first item, null or not."""
+    df = spark.createDataFrame([('{"status":200,"data":[null]}',), ('{"data":[1]}',)], "body string")
+    found = payloads.judged(df, "body")
+    assert [(r.status, r.reason) for r in found.collect()] == [("ok", None), ("fail", "rejected")]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
