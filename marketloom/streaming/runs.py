@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Row
@@ -13,7 +14,10 @@ STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.e
 
 
 class InOrder(StatefulProcessor):
-    """Holds a key's rows (millis, tie, flag) until the watermark has passed them and folds them in order, however they came in."""
+    """Holds a key's rows (millis, tie, flag) until the watermark has passed them and folds them in order, however they came in.
+
+    A micro-batch's rows of a key are one value of the state, as each value goes to the store and back by itself.
+    """
 
     #: The folded state, as DDL, and its first value; the names of what fold() hands on.
     state, first, names = "", (), ()
@@ -23,22 +27,22 @@ class InOrder(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getListState("held", "millis long, tie long, flag boolean")
+        self.held = handle.getListState("held", "rows binary")
         self.folded = handle.getValueState("folded", self.state)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         new = [(r.millis, r.tie, r.flag) for r in rows]
         if key[0] is not None:
-            self.held.appendList(new)
+            self.held.appendValue((pickle.dumps(new),))
             self.handle.registerTimer(max(r[0] for r in new))
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         until = timerValues.getCurrentWatermarkInMs()
-        held = sorted(self.held.get())
+        held = sorted(r for (rows,) in self.held.get() for r in pickle.loads(rows))
         past = [r for r in held if r[0] <= until]
         if len(past) < len(held):
-            self.held.put(held[len(past) :])
+            self.held.put([(pickle.dumps(held[len(past) :]),)])
         else:
             self.held.clear()
         before = self.folded.get() if self.folded.exists() else self.first

@@ -258,3 +258,21 @@ def test_a_response_is_parsed_once(spark):
     found = payloads.judged(df, "body")
     assert [(r.status, r.reason) for r in found.collect()] == [("ok", None), ("fail", "rejected")]
     assert found._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+
+
+def test_a_batch_of_a_key_is_one_value_of_the_state():
+    from types import SimpleNamespace
+
+    from marketloom.streaming import runs
+
+    held, timers = [], []
+    p = runs.Runs("k")
+    p.held = SimpleNamespace(appendValue=held.append, appendList=held.extend, get=lambda: iter(held), clear=held.clear, put=lambda v: held.__setitem__(slice(None), v))
+    p.handle = SimpleNamespace(registerTimer=timers.append)
+    state = []
+    p.folded = SimpleNamespace(exists=lambda: bool(state), get=lambda: state[0], update=lambda v: state.__setitem__(slice(None), [v]))
+    for batch in (range(50, 100), range(50)):
+        list(p.handleInputRows((1,), iter([SimpleNamespace(millis=k, tie=k, flag=k % 10 != 0) for k in batch]), None))
+    assert len(held) == 2 and timers == [99, 49]
+    got = [r for until in (59, 99) for r in p.handleExpiredTimer((1,), SimpleNamespace(getCurrentWatermarkInMs=lambda: until), None)]
+    assert max(r.run_length for r in got) == 9 and not held and state == [(10, 9)]
