@@ -6,21 +6,28 @@ import bisect
 import math
 import os
 import zlib
-from array import array
 from collections import defaultdict
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import shuffle_partitions, table, written
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: Entries of each of the tokeniser's two caches, the newer and the older: a bound on memory, not on results.
-CACHE = 600_000
+#: Bytes of text whose words are encoded together: a bound on memory, not on results.
+SLICE = 16 << 20
+#: Cuts that the tokeniser gets as one text, and texts that it gets at once.
+JOINED = 128
 ENDS = ",.;:!?"
+#: A cut that ends in a punctuation mark after a letter or digit (of the alphabets named).
+ENDED = r"[0-9A-Za-zÀ-ÖØ-öø-ɏЀ-ҁҊ-ԯ][,.;:!?]\z"
+#: A cut that is empty, ends with white space, or begins with it but for one space.
+SPACES = r"\x09-\x0d\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+BLANK = rf"^\z|^ ?[{SPACES}]|^  |[ {SPACES}]\z"
 
 
 def tokenizer_path() -> str:
@@ -29,12 +36,23 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def gathered(store: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The runs of store that begin at starts, one after the other."""
+    return store[np.arange(lengths.sum()) + np.repeat(starts - np.cumsum(lengths) + lengths, lengths)]
+
+
+def led(mark: str, texts: pa.Array) -> pa.Array:
+    """texts, each after a mark."""
+    return pc.binary_join_element_wise(pa.scalar(mark, texts.type), texts, pa.scalar("", texts.type))
+
+
 class Encoder:
     """Token ids of whole texts as little-endian unsigned 32-bit bytes.
 
     A byte-level BPE never merges across a pre-token border, and there always is one before a lone
-    space between two other characters. So the text is cut there and each cut, cached, is encoded on
-    its own. Texts with other white space beside a space or with special tokens are encoded whole.
+    space and around a lone line end between two other characters. So the texts are cut there, and each distinct cut is
+    encoded once: cuts are joined by line ends, whose id then parts the ids. Texts with other white space beside a
+    space or a line end or with special tokens are encoded whole; with line ends in a row, cut at spaces only.
     """
 
     def __init__(self, path: str):
@@ -43,39 +61,78 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes | None] = {}
-        self.older: dict[str, bytes | None] = {}
-        self.ends = dict(zip(ENDS, self.whole(list(ENDS))))
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [t and "\0" not in t and not any(s in t for s in self.special) for t in texts]
-        cuts = [t.replace(" ", "\0 ").split("\0") if ok else () for t, ok in zip(texts, plain)]
-        if len(self.cache) > CACHE:
-            self.cache, self.older = {}, self.cache
-        cache, older = self.cache, self.older
-        words, ended = [], []
-        for c in set().union(*cuts) - cache.keys():
-            if c in older:
-                cache[c] = older[c]
-            elif not c.strip() or c[-1].isspace() or c[c[0] == " "].isspace():
-                cache[c] = None
-            elif c[-1] in ENDS and c[-2:-1].isalnum():
-                ended.append(c)  # a letter or number and a punctuation mark never share a pre-token
-            else:
-                words.append(c)
-        stems = {c[:-1] for c in ended} - cache.keys()
-        words += stems.difference(words)
-        cache.update(zip(words, self.whole(words)))
-        for c in ended:
-            cache[c] = cache[c[:-1]] + self.ends[c[-1]]
-        out = []
-        for t, c in zip(texts, cuts):
-            parts = list(map(cache.__getitem__, c)) or [None]
-            out.append(b"" if not t else self.whole([t])[0] if None in parts else b"".join(parts))
-        return out
+        self.line, *self.ends = self.whole(["\n", *ENDS])
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        batches = (texts[k : k + JOINED] for k in range(0, len(texts), JOINED))
+        return [np.array(e.ids, dtype="<u4") for own in batches for e in self.tokenizer.encode_batch_fast(own, add_special_tokens=False)]
+
+    def runs(self, cuts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct cuts, which neither begin (but for one space) nor end with white space: store, starts and lengths of each in it."""
+        apart = pc.match_substring(cuts, "\n").to_numpy(zero_copy_only=False) | (len(self.line) > 1)
+        own = cuts.filter(pa.array(~apart))
+        lists = pa.LargeListArray.from_arrays(pa.array([*range(0, len(own), JOINED), len(own)], pa.int64()), own)
+        found = self.whole(pc.binary_join(lists, pa.scalar("\n", cuts.type)).to_pylist())
+        store = np.concatenate([x for ids in found for x in (ids, self.line)]) if found else np.zeros(0, "<u4")
+        ends = np.flatnonzero(store == self.line[0])
+        rest = self.whole(cuts.filter(pa.array(apart)).to_pylist())
+        starts, lengths = np.zeros(len(cuts), np.int64), np.zeros(len(cuts), np.int64)
+        starts[~apart] = np.concatenate([[0], ends[:-1] + 1])[: len(own)]
+        lengths[~apart] = ends - starts[~apart]
+        lengths[apart] = [len(x) for x in rest]
+        starts[apart] = len(store) + np.cumsum(lengths[apart]) - lengths[apart]
+        return np.concatenate([store, *rest]), starts, lengths
+
+    def words(self, marked: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct cuts, of which those that don't follow a space are marked by \\0: store, starts, lengths, and which can't be cut so."""
+        cuts = pc.replace_substring(led(" ", marked), " \0", "")
+        line = pc.equal(cuts, "\n")
+        uncut = pc.and_not(pc.match_substring_regex(cuts, BLANK), line)
+        # a letter or number and a punctuation mark never share a pre-token
+        ended = pc.match_substring_regex(cuts, ENDED)
+        mark = pc.index_in(pc.utf8_slice_codeunits(cuts, -1), pa.array([*ENDS], cuts.type)).to_numpy(zero_copy_only=False)
+        stems = pc.if_else(pc.or_(uncut, line), pa.scalar(None, cuts.type), pc.if_else(ended, pc.utf8_slice_codeunits(cuts, 0, -1), cuts)).dictionary_encode()
+        store, starts, lengths = self.runs(stems.dictionary)
+        # after the stems' ids: none, a line end's and the marks'
+        more = [self.line[:0], self.line, *self.ends]
+        size = np.array([len(x) for x in more])
+        starts, lengths = np.concatenate([starts, len(store) + np.cumsum(size) - size]), np.concatenate([lengths, size])
+        n = len(stems.dictionary)
+        line, ended = (x.to_numpy(zero_copy_only=False) for x in (line, ended))
+        first = np.where(line, n + 1, pc.fill_null(stems.indices, n).to_numpy(zero_copy_only=False))
+        both = np.stack([first, np.where(ended, n + 2 + np.nan_to_num(mark), n).astype(np.int64)], axis=1)
+        store = gathered(np.concatenate([store, *more]), starts[both.ravel()], lengths[both.ravel()])
+        lengths = lengths[both].sum(axis=1)
+        return store, np.cumsum(lengths) - lengths, lengths, uncut.to_numpy(zero_copy_only=False)
+
+    def encode(self, texts: pa.Array):
+        """Yields each text's ids."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), pa.scalar("", pa.large_string()))
+        plain = pc.invert(pc.match_substring(texts, "\0"))
+        for s in self.special:
+            plain = pc.and_not(plain, pc.match_substring(texts, s))
+        apart = texts if len(self.line) > 1 else pc.if_else(pc.match_substring(texts, "\n\n"), texts, pc.replace_substring(texts, "\n", " \0\n \0"))
+        cuts = pc.split_pattern(led("\0", pc.if_else(plain, apart, pa.scalar("", apart.type))), " ")
+        at = np.concatenate([[0], np.cumsum(pc.list_value_length(cuts).to_numpy())])
+        found = pc.list_flatten(cuts).dictionary_encode()
+        del apart, cuts
+        store, starts, lengths, uncut = self.words(found.dictionary)
+        place = found.indices.to_numpy()
+        whole = np.logical_or.reduceat(uncut[place], at[:-1])
+        for k in range(0, len(texts), 256):
+            own = at[k : k + 257]
+            some = place[own[0] : own[-1]]
+            ids = gathered(store, starts[some], lengths[some])
+            ends = np.concatenate([[0], np.cumsum(lengths[some])])[own - own[0]]
+            for i, (s, e) in enumerate(zip(ends, ends[1:]), k):
+                yield ids[s:e].tobytes() if not whole[i] else self.whole([texts[i].as_py()])[0].tobytes()
+
+
+def slices(texts: pa.Array):
+    """Slices of at most SLICE bytes, or of one text."""
+    share = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy()) // SLICE
+    at = [0, *(np.flatnonzero(np.diff(share)) + 1).tolist(), len(texts)]
+    return [texts.slice(s, e - s) for s, e in zip(at, at[1:]) if e > s]
 
 
 def pieces(docs: DataFrame, path: str | None = None, capacity: int = 1024, end_id: int = 2, with_ids: bool = False) -> DataFrame:
@@ -89,11 +146,10 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = 1024, end_i
     def cut(batches):
         encoder, end = Encoder(path), np.uint32(end_id).astype("<u4").tobytes()
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1)
-            for lo in range(0, len(keys), 512):
-                part = [t or "" for t in texts.slice(lo, 512).to_pylist()]
+            keys = iter(batch.column(0).to_pylist())
+            for part in slices(batch.column(1)):
                 rows = []
-                for key, ids in zip(keys[lo : lo + 512], encoder.encode(part)):
+                for ids, key in zip(encoder.encode(part), keys):
                     ids += end
                     n = len(ids) // 4
                     at = [0, *range(n % capacity or capacity, n, capacity), n] if n > capacity else [0, n]

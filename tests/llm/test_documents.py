@@ -45,6 +45,21 @@ def test_packing_round_trip(which, request):
     assert sum(r.length for r in rows) == sum(len(k[1]) * n for k, n in want.items())
 
 
+def test_texts_are_encoded_as_whole_and_their_words_together(monkeypatch):
+    import pyarrow as pa
+
+    rng, encoder = np.random.default_rng(5), packing.Encoder(packing.tokenizer_path())
+    signs = ["a", "b", "é", "日", "1", " ", " ", "\n", "\t", "\r", ".", ",", "'s", "\xa0", "\u3000", "\x1c", "\0", "<|endoftext|>", "²", "\u0301", "🙂", "\x85", "я"]
+    odd = ["".join(rng.choice(signs, n)) for n in rng.integers(0, 12, 20_000)]
+    words = [" ".join(f"w{k}x" for k in range(n, n + 40)) for n in range(0, 4000, 40)]
+    for texts in (odd, ["", None], [None], [], ["x" * 5000, "two\n\nlines", "two\nlines."]):
+        got = [x for part in packing.slices(pa.array(texts, pa.string())) for x in encoder.encode(part)]
+        assert got == [x.tobytes() for x in encoder.whole([t or "" for t in texts])]
+    given, whole = [], encoder.whole
+    monkeypatch.setattr(encoder, "whole", lambda texts: given.extend(texts) or whole(texts))
+    assert len(list(encoder.encode(pa.array(words * 3)))) == 300 and len(given) <= 4000 / 100
+
+
 def histograms():
     rng = np.random.default_rng(1)
     mid = dict(zip(range(200, 451), rng.integers(50, 5000, 251).tolist()))
