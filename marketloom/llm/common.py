@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +63,29 @@ def drop_written(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release() -> None:
+    """Gives memory that is free, but kept by Arrow and by the allocator below NumPy, back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError):  # only the GNU C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def releasing(run, every: int = 16):
+    """run, a mapInArrow function, that releases memory after so many results and at its end: Python workers outlive their tasks, and idle ones count."""
+
+    def released(batches):
+        k = 0
+        for batch in run(batches):
+            yield batch
+            del batch
+            k += 1
+            if k % every == 0:
+                release()
+        release()
+
+    return released
+
+
 def ascii_lower(column):
     """Lower-cases A-Z and nothing else."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

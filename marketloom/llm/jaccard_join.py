@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, drop_written, table, written
+from .common import components, drop_written, releasing, table, written
 from .vectors import forest
 
 #: Percent of the union that the intersection must have at least.
@@ -84,7 +84,7 @@ def sketch(docs: DataFrame) -> DataFrame:
                     pa.array([count_vector(s).tobytes() for s in sets], pa.binary()),
                 ], ["doc_id", "hash", "node", "n", "prefix", "vector"])
 
-    return docs.select("doc_id", F.xxhash64("text").alias("hash"), "text").mapInArrow(run, "doc_id long, hash long, node long, n long, prefix array<long>, vector binary")
+    return docs.select("doc_id", F.xxhash64("text").alias("hash"), "text").mapInArrow(releasing(run), "doc_id long, hash long, node long, n long, prefix array<long>, vector binary")
 
 
 def node_of(shingles: np.ndarray) -> int:
@@ -258,7 +258,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 sets = [shingles.of(x.as_py()) for x in part["text"]]
                 yield pa.RecordBatch.from_arrays([part["doc_id"].combine_chunks(), pa.array([node_of(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["doc_id", "of", "shingles"])
 
-    made = docs.select("doc_id", "text", bit_of("doc_id").alias("bit")).mapInArrow(run, "doc_id long, of long, shingles array<long>")
+    made = docs.select("doc_id", "text", bit_of("doc_id").alias("bit")).mapInArrow(releasing(run), "doc_id long, of long, shingles array<long>")
     met = made.join(wanted, made.doc_id.eqNullSafe(wanted.rep) & (F.col("of") == F.col("node")))
     return met.select("node", "cluster", "weight", "shingles").dropDuplicates(["node"])
 
@@ -312,7 +312,7 @@ def labelled(docs: DataFrame, small: int = 8, listed: int = 64, block: int = 204
                 good.append(bool(enough(int(np.minimum(folded(v, d), folded(w, d)).sum()), n[k], m[k])))
             yield from t.select(["a", "b"]).filter(pa.array(good, pa.bool_())).to_batches()
 
-    few = few.where(f"100 * n >= {LEAST} * m and 100 * m >= {LEAST} * n").mapInArrow(bound, "a long, b long")
+    few = few.where(f"100 * n >= {LEAST} * m and 100 * m >= {LEAST} * n").mapInArrow(releasing(bound), "a long, b long")
     mid = lists.where(F.size("nodes") > small).select(F.xxhash64("nodes").alias("gid"), F.size("nodes").alias("size"), F.explode("nodes").alias("node"))
     big = shared.where(F.col("size") > listed).select(F.col("token").alias("gid"), F.col("size").cast("int").alias("size"), "node")
     many = candidate_edges(mid.union(big).join(points, "node"), block)

@@ -8,7 +8,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import releasing, table
 
 LETTER = regex.compile(r"\p{L}")
 #: Bytes that aren't part of letters (ASCII but for a-z) count as a word's border.
@@ -131,7 +131,7 @@ def identify(docs: DataFrame, model: Model, dim: int = DIM) -> DataFrame:
 
     rows = docs.select(*kept, F.col("text").cast("string").alias("_text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
-    return rows.mapInArrow(predict, f"{fields}, lang_pred string, score double, rejected boolean")
+    return rows.mapInArrow(releasing(predict), f"{fields}, lang_pred string, score double, rejected boolean")
 
 
 def held_out(column: str = "doc_id"):

@@ -15,11 +15,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, table, written
+from .common import releasing, shuffle_partitions, table, written
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Bytes of text whose words are encoded together: a bound on memory, not on results.
-SLICE = 16 << 20
+SLICE = 8 << 20
 #: Cuts that the tokeniser gets as one text, and texts that it gets at once.
 JOINED = 128
 ENDS = ",.;:!?"
@@ -164,7 +164,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = 1024, end_i
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, PIECES + ", ids array<long>" * with_ids)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(releasing(cut, every=1), PIECES + ", ids array<long>" * with_ids)
 
 
 def knapsack(weight: np.ndarray, capacity: int, slack: float = 0.01, most: int = 64) -> tuple[float, list[tuple[int, ...]]]:
@@ -390,7 +390,7 @@ def place(parts: DataFrame, capacity: int = 1024) -> DataFrame:
 
     ranked = ranked.select(*parts.columns, (F.col("_before") + F.col("_rank") - 1).alias("_rank"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema)
-    return ranked.mapInArrow(seats, f"{fields}, sequence_id long, offset long")
+    return ranked.mapInArrow(releasing(seats), f"{fields}, sequence_id long, offset long")
 
 
 def pack(docs: DataFrame, path: str | None = None, capacity: int = 1024, end_id: int = 2, with_ids: bool = False) -> DataFrame:

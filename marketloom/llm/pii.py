@@ -11,9 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import releasing, table, written
 
 KINDS = ("email", "ip", "card", "phone")
+#: Rows whose spans a task holds as Python values at once.
+BLOCK = 512
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 NOT_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -180,16 +182,17 @@ def scan(docs: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            t = pa.Table.from_batches([batch])
-            spans, seen = [], []
-            for text in t["_text"].to_pylist():
-                own, all_ = marked(text or "", bounds)
-                spans.append([dict(zip(names, x)) for x in own])
-                seen.append([dict(zip(names, x)) for x in all_])
-            t = t.drop_columns(["_text"]).append_column("spans", pa.array(spans, pa.list_(item))).append_column("seen", pa.array(seen, pa.list_(more)))
-            yield from t.to_batches()
-
-    return docs.select(*(f.name for f in fields), F.col("text").cast("string").alias("_text")).mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", " + SCAN)
+            whole = pa.Table.from_batches([batch])
+            for lo in range(0, len(whole), BLOCK):
+                t, spans, seen = whole.slice(lo, BLOCK), [], []
+                for text in t["_text"]:
+                    own, all_ = marked(text.as_py() or "", bounds)
+                    spans.append([dict(zip(names, x)) for x in own])
+                    seen.append([dict(zip(names, x)) for x in all_])
+                t = t.drop_columns(["_text"]).append_column("spans", pa.array(spans, pa.list_(item))).append_column("seen", pa.array(seen, pa.list_(more)))
+                yield from t.to_batches()
+
+    return docs.select(*(f.name for f in fields), F.col("text").cast("string").alias("_text")).mapInArrow(releasing(run), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", " + SCAN)
 
 
 PATTERN = ["side", "context", "shape"]

@@ -60,6 +60,29 @@ def test_texts_are_encoded_as_whole_and_their_words_together(monkeypatch):
     assert len(list(encoder.encode(pa.array(words * 3)))) == 300 and len(given) <= 4000 / 100
 
 
+def test_tasks_release_their_memory(monkeypatch):
+    events = []
+    monkeypatch.setattr(common, "release", lambda: events.append("release"))
+    for x in common.releasing(lambda batches: (2 * b for b in batches), every=2)(range(5)):
+        events.append(x)
+    assert events == [0, 2, "release", 4, 6, "release", 8, "release"]
+    monkeypatch.undo()
+
+    def anonymous():
+        with open("/proc/self/smaps_rollup") as f:
+            return int(re.search(r"\nPss_Anon:\s+(\d+)", f.read())[1]) / 1024
+
+    def held(batches):
+        for b in batches:
+            rows = [bytes(1000 + k % 7) for k in range(150_000)]
+            yield len(rows)
+            fence.append(bytes(1000))  # keeps the heap's end in use, as what lives longer does
+            del rows
+
+    fence, before = [], anonymous()
+    assert list(common.releasing(held)([0])) == [150_000] and anonymous() < before + 75
+
+
 def histograms():
     rng = np.random.default_rng(1)
     mid = dict(zip(range(200, 451), rng.integers(50, 5000, 251).tolist()))
