@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from array import array
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,32 +24,90 @@ HEAP = 1_000_000
 WHOLE = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Steps of a gain for a nat: whole numbers, whose sum doesn't depend on how followers are spread.
 UNIT = 1 << 20
-LOW = np.uint64(0xFFFFFFFF)
 HIGH = np.uint64(32)
 #: Steps of a parent's log probability, for a nat, as it goes to the test.
 STEPS = 1024.0
+#: Bytes of texts whose words are cut at once.
+SLICE = 1 << 22
 
 PIECES = "piece long, doc_id array<long>, train array<boolean>, sizes array<int>, keys binary, words binary, learnt long, total long"
 ASKS = "level int, bucket int, piece long, states binary, fans binary, words binary, parents binary, own binary"
 ANSWERS = "level int, bucket int, piece long, counts binary, stays binary, known long, top long"
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Words with A-Z lower-cased, then the end. bytes.lower and bytes.split know ASCII only, as wanted."""
-    return [*(text or "").encode("utf-8", "replace").lower().split(), END]
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts with A-Z lower-cased, and how many each text has. bytes.lower and Arrow's ascii_split_whitespace know ASCII only, as wanted."""
+    # not by ascii_lower, which gives zero bytes where an array's first offset isn't 0, as after a slice's cast
+    lower = pa.array([(t or b"").lower() for t in texts.cast(pa.large_binary()).to_pylist()], pa.large_binary())
+    lists = pc.ascii_split_whitespace(lower.view(pa.large_string()))
+    words, cuts = lists.flatten(), np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)))
+    # white space at a text's ends leaves empty words
+    real = pc.greater(pc.binary_length(words), 0)
+    before = np.append(0, np.cumsum(real.to_numpy(zero_copy_only=False)))
+    return words.filter(real), np.diff(before[cuts])
+
+
+def slices(texts: pa.Array):
+    """Where slices of about SLICE bytes begin and end."""
+    at = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64) // SLICE
+    cuts = firsts(at)
+    return zip(cuts.tolist(), np.append(cuts[1:], len(at)).tolist())
 
 
 def shut(values: np.ndarray) -> bytes:
-    """Whole numbers as bytes: all lowest bytes first, then all second ones and so on, compressed."""
+    """Whole numbers as bytes, 1, 2, 4 or 8 for each as the largest asks: all lowest bytes first, then all second ones and so on, compressed."""
     values = np.ascontiguousarray(values, dtype=np.uint64)
-    flat = values.view(np.uint8).reshape(-1, 8).T.tobytes()
-    return len(values).to_bytes(8, "little") + pa.compress(flat, "zstd", asbytes=True)
+    width = next(w for w in (1, 2, 4, 8) if not len(values) or int(values.max()) >> 8 * w == 0)
+    flat = values.astype(f"<u{width}").view(np.uint8).reshape(-1, width)
+    flat = np.stack([flat[:, k] for k in range(width)]).tobytes()
+    return (len(values) << 4 | width).to_bytes(8, "little") + pa.compress(flat, "zstd", asbytes=True)
 
 
 def opened(data: bytes) -> np.ndarray:
-    n = int.from_bytes(data[:8], "little")
-    flat = pa.decompress(data[8:], 8 * n, "zstd", asbytes=True)
-    return np.ascontiguousarray(np.frombuffer(flat, np.uint8).reshape(8, n).T).reshape(-1).view(np.uint64)
+    head = int.from_bytes(data[:8], "little")
+    n, width = head >> 4, head & 15
+    flat = pa.decompress(data[8:], width * n, "zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(flat, np.uint8).reshape(width, n).T).reshape(-1).view(f"<u{width}").astype(np.uint64)
+
+
+def order_of(*columns: np.ndarray) -> np.ndarray:
+    """Places of the rows in the columns' order, the first column foremost, equal rows as they come.
+
+    What np.lexsort gives of the columns turned round, but by sorting whole numbers that carry their place in the
+    lowest bits: plain sorts of 64-bit numbers take a fraction of the time. Columns are joined where their bits fit.
+    """
+    n = len(columns[0])
+    place, bits = np.arange(n, dtype=np.uint64), n.bit_length()
+    parts: list[tuple[np.ndarray, int]] = []
+    for c in reversed(columns):
+        top = int(c.max()).bit_length() if n else 0
+        if parts and top + parts[-1][1] <= 64 - bits:
+            low, size = parts.pop()
+            parts.append((c.astype(np.uint64) << np.uint64(size) | low, top + size))
+        elif top:
+            parts.append((c.astype(np.uint64), top))
+    order = place
+    for c, top in parts:  # the hindmost first
+        for low in range(0, top, 64 - bits):
+            # a shift to the left drops what is above this pass's bits
+            keyed = ((c if order is place else c[order]) >> np.uint64(low)) << np.uint64(bits) | place
+            keyed.sort()
+            keyed &= np.uint64((1 << bits) - 1)
+            order = keyed if order is place else order[keyed]
+    return order.view(np.int64)
+
+
+def grouped(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """order_of, and where in it runs of equal rows begin."""
+    order = order_of(*columns)
+    return order, firsts(*(c[order] for c in columns))
+
+
+def spread_out(values: np.ndarray, order: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """For each row, the value of its run."""
+    out = np.empty(len(order), values.dtype)
+    out[order] = np.repeat(values, np.diff(np.append(begin, len(order))))
+    return out
 
 
 def firsts(*columns: np.ndarray) -> np.ndarray:
@@ -78,29 +136,43 @@ def in_pieces(docs: DataFrame, most: int) -> DataFrame:
     """Rows of whole texts, about `most` words each: doc_ids, hashes of their distinct words and, for each place, the word's number."""
 
     def deal(batches):
-        number: dict[bytes, int] = {}
-        ids, train, sizes, flat = [], [], [], array("i")
+        ids, train, sizes, taken = [], [], [], []
 
         def row():
-            words = np.frombuffer(flat, np.int32)
+            words = pa.chunked_array(taken, pa.large_string()).combine_chunks().dictionary_encode()
+            # the bytes of all distinct words, cut here: a Python value for each by Arrow takes longer than numbering them
+            _, cuts, data = words.dictionary.buffers()
+            cuts = np.frombuffer(cuts, np.int64)[: len(words.dictionary) + 1].tolist() if len(words.dictionary) else []
+            data = data.to_pybytes() if cuts else b""
+            number = [*(data[a:b] for a, b in zip(cuts, cuts[1:])), END]
+            # each text's words, then the end
+            at = np.ones(sum(sizes), bool)
+            at[np.cumsum(sizes) - 1] = False
+            flat = np.full(len(at), len(number) - 1, np.int64)
+            flat[at], words = words.indices.to_numpy(), flat
             often = np.argsort(-np.bincount(words, minlength=len(number)), kind="stable")
             place = np.empty(len(often), np.int64)
             place[often] = np.arange(len(often))
-            keys = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in number), dtype=np.uint64, count=len(number))[often]
+            keys = np.fromiter(map(xxhash.xxh3_64_intdigest, number), dtype=np.uint64, count=len(number))[often]
             learnt = sum(n for n, t in zip(sizes, train) if t)
             values = [uuid.uuid4().int >> 65, ids, train, sizes, shut(keys), shut(place[words]), learnt, len(words)]
             types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
             names = ["piece", "doc_id", "train", "sizes", "keys", "words", "learnt", "total"]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names)
 
+        total = 0
         for batch in batches:
-            for doc_id, own, text in zip(batch["doc_id"].to_pylist(), batch["train"].to_pylist(), batch["text"]):
-                words = words_of(text.as_py())
-                flat.extend([number.setdefault(w, len(number)) for w in words])
-                ids.append(doc_id), train.append(own), sizes.append(len(words))
-                if len(flat) >= most:
-                    yield row()
-                    number, ids, train, sizes, flat = {}, [], [], [], array("i")
+            for lo, hi in slices(batch["text"]):
+                words, counts = words_of(batch["text"][lo:hi])
+                begin = end = 0
+                for doc_id, own, n in zip(batch["doc_id"][lo:hi].to_pylist(), batch["train"][lo:hi].to_pylist(), counts.tolist()):
+                    ids.append(doc_id), train.append(own), sizes.append(n + 1)
+                    total, end = total + n + 1, end + n
+                    if total >= most:
+                        taken.append(words[begin:end])
+                        yield row()
+                        total, ids, train, sizes, taken, begin = 0, [], [], [], [], end
+                taken.append(words[begin:])
         if sizes:
             yield row()
 
@@ -123,8 +195,9 @@ class Model(NamedTuple):
 class Piece:
     """A piece, and what the answers known so far say of it.
 
-    For each place there are the probability p of its word after the longest state known by then, and the
-    key and count of the longest context that ends with it and is still asked for: first a word, then a pair and so on.
+    For each place there are the probability p of its word after the longest state known by then, and the number
+    of the longest context that ends with it and is still asked for: first a word, then a pair and so on.
+    Contexts are numbered by the piece, as their keys ascend: what is small sorts fast. Each number has a key and a count.
     """
 
     def __init__(self, row: pa.Table, answers: pa.Table | None, model: Model):
@@ -141,30 +214,34 @@ class Piece:
     @staticmethod
     def dealt(bucket: np.ndarray):
         """Buckets and the places of the entries that each gets."""
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.flatnonzero(np.concatenate([[True], np.diff(bucket[order]) != 0])) if len(order) else []
-        for own in np.split(order, cuts[1:]) if len(order) else []:
-            yield int(bucket[own[0]]), own
+        order, cuts = grouped(bucket)
+        for lo, hi in zip(cuts, np.append(cuts[1:], len(order))):
+            yield int(bucket[order[lo]]), order[lo:hi]
 
     def start(self) -> None:
         """The words' numbers, that all pieces share, and counts, from the answers of level 0."""
         ids, seen = np.zeros(len(self.keys), np.uint64), np.zeros(len(self.keys), np.int64)
-        order = np.argsort(self.keys)
+        order = order_of(self.keys)
         for bucket, own in self.dealt(bucket_of(self.keys[order], self.model.buckets)):
             seen[order[own]], ids[order[own]] = self.answers[0, bucket]
-        self.ids, self.flat, self.seen = ids, ids[self.words], seen[self.words]
+        order, number = order_of(ids), np.empty(len(ids), np.int64)
+        number[order] = np.arange(len(ids))
+        self.words = self.own = number[self.words]
+        self.ids = self.key = ids[order]
+        self.seen = self.count = seen[order]
         self.root = (self.seen + 0.5) / (self.model.n + 0.5 * (self.model.v + 1))
-        self.p, self.key, self.count = self.root.copy(), self.flat.copy(), self.seen.copy()
+        self.p, self.bits = self.root[self.words], np.uint64(len(ids).bit_length())
 
     def extend(self, level: int) -> None:
         """The distinct entries of a level: a context of so many words, seen twice at least (no other passes the test), and the word after it."""
-        at = np.flatnonzero(self.within >= level)
-        self.at = at = at[self.count[at - 1] >= 2]
-        states, place = np.unique(self.key[at - 1], return_inverse=True)
-        # by the piece's own numbers, which are small however many words there are in all
-        entries, first, self.inverse = np.unique(place.astype(np.uint64) << HIGH | self.words[at].astype(np.uint64), return_index=True, return_inverse=True)
-        self.state, self.word, self.parent = states[(entries >> HIGH).astype(np.int64)], self.ids[(entries & LOW).astype(np.int64)], self.p[at[first]]
-        self.total = self.count[at[first] - 1]
+        real = (self.count >= 2)[self.own[:-1]] & (self.within[1:] >= level)
+        self.at = at = np.flatnonzero(real) + 1
+        entries = self.own[:-1][real].astype(np.uint64) << self.bits | self.words[1:][real].astype(np.uint64)
+        order, begin = grouped(entries)
+        self.inverse = spread_out(np.arange(len(begin)), order, begin)
+        first = at[order[begin]]
+        context, self.parent = self.own[first - 1], self.p[first]
+        self.state, self.total, self.word = self.key[context], self.count[context], self.ids[self.words[first]]
         subs = (self.total // self.model.heap + 1).astype(np.uint64)
         spot = np.where(subs > 1, self.state ^ mix(mix(self.word) % subs + np.uint64(1)), self.state)
         self.bucket = bucket_of(spot, self.model.buckets)
@@ -183,15 +260,16 @@ class Piece:
         return self.rows(level, self.bucket, self.state, self.word, parents, own)
 
     def rows(self, level: int, bucket, state, word, parents, own) -> pa.Table:
-        rows = []
-        for k, mine in self.dealt(bucket):
-            at = firsts(state[mine])
-            rows.append((level, k, self.number, shut(np.diff(state[mine][at], prepend=np.uint64(0))), shut(np.diff(np.append(at, len(mine)))), shut(word[mine]), shut(parents[mine]), shut(own[mine])))
+        rows, (order, cuts) = [], grouped(bucket)
+        bucket, state, *columns = (c[order] for c in (bucket, state, word, parents, own))
+        for lo, hi in zip(cuts, np.append(cuts[1:], len(order))):
+            at = firsts(state[lo:hi])
+            rows.append((level, int(bucket[lo]), self.number, shut(np.diff(state[lo:hi][at], prepend=np.uint64(0))), shut(np.diff(np.append(at, hi - lo))), *(shut(c[lo:hi]) for c in columns)))
         types = [pa.int32(), pa.int32(), pa.int64()] + [pa.binary()] * 5
         return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["level", "bucket", "piece", "states", "fans", "words", "parents", "own"])
 
-    def hear(self, level: int) -> None:
-        """Takes a level's answers: p where a state stays, key and count of the contexts one word longer."""
+    def hear(self, level: int, last: int | None = None) -> None:
+        """Takes a level's answers: p where a state stays, key and count of the contexts one word longer, unless it is the last level."""
         counts, stays = np.zeros(len(self.word), np.int64), np.zeros(len(self.word), np.uint64)
         for bucket, own in self.dealt(self.bucket):
             c, kept = self.answers[level, bucket]
@@ -209,17 +287,26 @@ class Piece:
             whole = np.where(hit, kept[np.minimum(place, len(spread) - 1)], stays[firsts(self.state[: self.real])])
             stays[: self.real] = np.repeat(whole, runs)
         stays |= self.total >= self.model.sure
-        weight = strength(self.total, self.model.spread)
+        p, e = self.parent, np.flatnonzero(stays[: self.real])
+        weight = strength(self.total[e], self.model.spread)
+        p[e] = (counts[e] + weight * p[e]) / (self.total[e] + weight)
         here = stays[self.inverse]
-        at, e = self.at[here], self.inverse[here]
-        self.p[at] = (counts[e] + weight[e] * self.p[at]) / (self.total[e] + weight[e])
-        longer = np.zeros_like(self.key)
+        self.p[self.at[here]] = p[self.inverse[here]]
+        if level == last:
+            return
         # a pair's key is its two numbers where they fit, other contexts' keys are hashes of 64 bits
-        key = self.state << HIGH | self.word if level == 1 and self.model.paired else mix(mix(self.state) + self.word)
-        longer[self.at] = key[self.inverse]
-        self.count = np.zeros_like(self.count)
-        self.count[self.at] = counts[self.inverse]
-        self.key = longer
+        state, word, counts, number = self.state[: self.real], self.word[: self.real], counts[: self.real], self.inverse
+        if level == 1 and self.model.paired:
+            key = state << HIGH | word  # ascends as the entries do
+        else:
+            key = mix(mix(state) + word)
+            order, rank = order_of(key), np.empty(len(key), np.int64)
+            rank[order] = np.arange(len(key))
+            key, counts, number = key[order], counts[order], rank[number]
+        # the last number is that of places without such a context
+        self.key, self.count = np.append(key, np.uint64(0)), np.append(counts, 0)
+        self.own = np.full(len(self.words), len(key))
+        self.own[self.at] = number
 
 
 def reply(model: Model):
@@ -235,13 +322,13 @@ def reply(model: Model):
         rows = asked.to_pylist()
         level, bucket = rows[0]["level"], rows[0]["bucket"]
         states, fans = [np.cumsum(opened(r["states"])) for r in rows], [opened(r["fans"]).astype(np.int64) for r in rows]
-        state = np.concatenate([np.repeat(s, k) for s, k in zip(states, fans)])
+        distinct = np.concatenate(states)
+        order, begin = grouped(distinct)
+        state = np.repeat(spread_out(np.arange(len(begin)), order, begin), np.concatenate(fans))
         word, parent, own = (np.concatenate([opened(r[k]) for r in rows]) for k in ("words", "parents", "own"))
-        order = np.lexsort((word, state))
-        first = firsts(state[order], word[order])
+        order, first = grouped(state, word)
         c = np.add.reduceat(own[order].astype(np.int64), first)
-        pair = np.empty(len(order), np.int64)
-        pair[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
+        pair = spread_out(np.arange(len(first)), order, first)
         by = firsts(state[order][first])
         at = np.repeat(np.arange(len(by)), np.diff(np.append(by, len(first))))
         known = top = 0
@@ -302,7 +389,7 @@ def score(docs: DataFrame, train, depth: int = 2, least: float = 3.0, spread: fl
         for batch in batches:
             for k in range(batch.num_rows):
                 p = Piece(pa.Table.from_batches([batch.slice(k, 1)]), None, model)
-                number, order = np.empty(len(p.keys), np.int64), np.argsort(p.keys)
+                number, order = np.empty(len(p.keys), np.int64), order_of(p.keys)
                 number[order] = np.arange(len(order))
                 keys, none = p.keys[order], np.zeros(len(order), np.uint64)
                 own = np.bincount(number[p.words][p.learnt], minlength=len(keys))
@@ -323,7 +410,7 @@ def score(docs: DataFrame, train, depth: int = 2, least: float = 3.0, spread: fl
         p.start()
         for k in range(1, levels + 1):
             p.extend(k)
-            p.hear(k)
+            p.hear(k, last=depth)
         return p
 
     def asker(level: int, model: Model):
@@ -345,9 +432,9 @@ def score(docs: DataFrame, train, depth: int = 2, least: float = 3.0, spread: fl
             "doc_id": p.doc_id,
             "held_out": pa.array(~p.train),
             "n_tokens": pa.array(p.sizes),
-            "n_known": pa.array(whole((p.seen > 0).astype(np.int64))),
+            "n_known": pa.array(whole((p.seen > 0).astype(np.int64)[p.words])),
             "train_tokens": pa.array(np.full(len(start), n, np.int64)),
-            "base_score": pa.array(whole(np.log10(p.root))),
+            "base_score": pa.array(whole(np.log10(p.root)[p.words])),
             "score": pa.array(whole(np.log10(p.p))),
         }
         return pa.table(out)

@@ -1,10 +1,12 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -439,6 +441,50 @@ def test_suffix_tree_of_frequent_contexts(spark):
     assert scores(sure=20) != one
 
 
+def test_suffix_tree_words_of_slices(monkeypatch):
+    """Words are cut for many texts at once: those of a slice, of null and empty texts, and of white space and letters that only Unicode knows."""
+    found = [None, "", " ", "A b", " A\x0bB\x0c c\t\r\n\u0085x\xa0Y  z ", "\x1c\x1d \x00q", "ÄÖ İẞK A", None, "last\u3000one "]
+    want = [(t or "").encode().lower().split() for t in found]
+    for lo, hi in [(0, 9), (0, 3), (3, 9), (4, 7), (5, 5)]:
+        for kind in (pa.string(), pa.large_string()):
+            words, sizes = suffix_tree.words_of(pa.array(found, kind)[lo:hi])
+            assert words.cast(pa.large_binary()).to_pylist() == sum(want[lo:hi], []) and sizes.tolist() == [len(w) for w in want[lo:hi]]
+    monkeypatch.setattr(suffix_tree, "SLICE", 8)
+    for texts_ in (found, [], [None], ["x" * 30, None, "y"]):
+        cuts = list(suffix_tree.slices(pa.array(texts_, pa.string())))
+        assert [k for lo, hi in cuts for k in range(lo, hi)] == list(range(len(texts_)))
+
+
+def test_suffix_tree_of_more_than_a_slice(spark):
+    """Texts of more bytes than are cut at once, one of them longer than a slice and than a piece: every word is there, after whatever the last slice left."""
+    rows = [(i, "Ab c " * n) for i, n in enumerate([3, 300_000, 1000, 900_000, 2, 0, 5])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.n_tokens, r.n_known) for r in suffix_tree.score(docs, F.lit(True), piece_words=500_000).collect()}
+    assert got == {i: (2 * t.count("c") + 1,) * 2 for i, t in rows}
+
+
+def test_suffix_tree_order_and_coding():
+    """Orders are np.lexsort's, at a fraction of its CPU seconds, and whole numbers take no more bytes than the largest asks."""
+    rng = np.random.default_rng(5)
+    for size in (0, 1, 2, 3000):
+        for bits in ([64], [1, 64], [64, 64, 3], [20, 22], [63, 40, 1]):
+            columns = [rng.integers(0, (1 << b) - 1, size, dtype=np.uint64, endpoint=True) for b in bits]
+            columns[0][: size // 2] = columns[0][-1] if size else 0
+            assert (suffix_tree.order_of(*columns) == np.lexsort(columns[::-1])).all()
+            for c in columns:
+                assert (suffix_tree.opened(suffix_tree.shut(c)) == c).all()
+    small, large = (suffix_tree.shut(rng.integers(0, 1 << b, 10000, dtype=np.uint64)) for b in (8, 63))
+    assert len(small) < 10100 and int.from_bytes(small[:8], "little") & 15 == 1 and len(large) > 75000
+
+    def cpu(run):
+        began = time.process_time()
+        run()
+        return time.process_time() - began
+
+    state, word = (rng.integers(0, 1 << b, 1_000_000, dtype=np.uint64) for b in (20, 22))
+    assert min(cpu(lambda: suffix_tree.order_of(state, word)) for _ in range(3)) < 0.7 * min(cpu(lambda: np.lexsort((word, state))) for _ in range(3))
+
+
 def test_license_inheritance(spark):
     rows = [
         ("a/LICENSE", "Licensed under the Apache License, Version 2.0."), ("a/x.py", "code"), ("a/b/c/y.py", None), ("a/b/z.py", "Released under the MIT License."), ("d/e.py", ""), (None, "x"),
